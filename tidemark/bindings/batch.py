@@ -12,10 +12,9 @@ from tidemark.functions.json_text import payload_as_text, prune_json
 from tidemark.functions.text import quoted_list
 from tidemark.functions.time import day_key, floor_hour, hour_key, parse_utc
 from tidemark.operators import dedupe, dims, events, facts, hours, issues, ledger, profiles, rankings, text
-from tidemark.schemas import RAW_EVENT
 from tidemark.session import new_run_dir
 from tidemark.sinks.publish import FileTarget, publish
-from tidemark.sources.files import parse_lines, read_activity
+from tidemark.sources.files import parse_lines, read_activity, spread
 
 # Dates that divide the user and repository histories into stored and incoming
 # parts; the parts overlap so that older, equal and newer versions all occur.
@@ -31,12 +30,16 @@ def _hour(s, d):
     return hours.latest_hour(V.table(s, d, "events"))
 
 
-def _raw(s, d):
-    return parse_lines(V.activity_lines(_activity(s, d)))
+def _lines(s, d):
+    return V.activity_lines(V.view(s, d, "activity", wide=True))
+
+
+def _ods(s, d):
+    return V.ods_rows(_activity(s, d))
 
 
 def _facts(s, d):
-    return facts.split_facts(_raw(s, d))
+    return facts.split_facts(_ods(s, d))
 
 
 def _issues(s, d):
@@ -73,7 +76,7 @@ def _all_user_activity(s, d):
 
 
 def ods_scan(s: SparkSession, d: str) -> DataFrame:
-    return _raw(s, d).select(
+    return parse_lines(_lines(s, d)).select(
         "id", "type", F.col("actor")["login"].alias("actor_login"), F.col("repo")["name"].alias("repo_name"),
         F.col("payload")["action"].alias("action"), F.col("payload")["issue"].alias("issue"), "public", "created_at",
     )
@@ -82,18 +85,18 @@ def ods_scan(s: SparkSession, d: str) -> DataFrame:
 def json_files(s: SparkSession, d: str) -> DataFrame:
     """Write the raw lines as gzip JSON files, read them back through the file reader."""
     path = new_run_dir(s, "json-files")
-    V.activity_lines(_activity(s, d)).write.option("compression", "gzip").text(path)
+    _lines(s, d).write.option("compression", "gzip").text(path)
     raw = read_activity(s, path)
     return raw.groupBy("type").agg(F.count("*").alias("events"), F.count_distinct("id").alias("ids"))
 
 
 def hour_keys(s: SparkSession, d: str) -> DataFrame:
-    raw = _raw(s, d).select("id", parse_utc(F.col("created_at")).alias("ts"))
+    raw = _ods(s, d).select("id", parse_utc(F.col("created_at")).alias("ts"))
     return raw.select("id", hour_key(F.col("ts")).alias("time_hour"), day_key(F.col("ts")).alias("time_day"))
 
 
 def time_dim(s: SparkSession, d: str) -> DataFrame:
-    return facts.time_dim(_raw(s, d), 1700000000.5)
+    return facts.time_dim(_ods(s, d), 1700000000.5)
 
 
 def fact_split(s: SparkSession, d: str) -> DataFrame:
@@ -105,7 +108,7 @@ def _fact_query(name: str):
 
 
 def issue_dim(s: SparkSession, d: str) -> DataFrame:
-    return facts.issue_dim(parse_lines(V.issue_lines(_issues(s, d))))
+    return facts.issue_dim(V.issue_rows(_issues(s, d)))
 
 
 def dedupe_events(s: SparkSession, d: str) -> DataFrame:
@@ -186,17 +189,17 @@ def upsert_repos(s: SparkSession, d: str) -> DataFrame:
 
 def topics_list(s: SparkSession, d: str) -> DataFrame:
     doc = F.from_json("doc", "id bigint, topics array<string>")
-    docs = V.repo_docs(V.table(s, d, "part")).select(doc.alias("doc"))
+    docs = V.repo_docs(spread(V.table(s, d, "part"))).select(doc.alias("doc"))
     return docs.select("doc.id", quoted_list(F.col("doc.topics")).alias("topics"))
 
 
 def _edges(s, d):
-    return dims.follow_edges(V.follow_docs(V.table(s, d, "lineitem")))
+    return dims.follow_edges(V.follow_docs(spread(V.table(s, d, "lineitem"))))
 
 
 def follow_edges_insert(s: SparkSession, d: str) -> DataFrame:
-    lineitem = V.table(s, d, "lineitem")
-    stored = dims.follow_edges(V.follow_docs(lineitem.where(F.col("l_returnflag") == "R")))
+    lineitem = V.table(s, d, "lineitem").where(F.col("l_returnflag") == "R")
+    stored = dims.follow_edges(V.follow_docs(spread(lineitem)))
     return dims.insert_new(_edges(s, d), stored, ["follower_id", "following_id"])
 
 
@@ -207,11 +210,11 @@ def missing_hours(s: SparkSession, d: str) -> DataFrame:
 
 
 def pruned_pages(s: SparkSession, d: str) -> DataFrame:
-    return V.page_docs(V.table(s, d, "pages")).select("page_id", prune_json(F.col("doc")).alias("doc"))
+    return V.page_docs(spread(V.table(s, d, "pages"))).select("page_id", prune_json(F.col("doc")).alias("doc"))
 
 
 def payload_text(s: SparkSession, d: str) -> DataFrame:
-    lines = V.activity_lines(_activity(s, d)).select(payload_as_text(F.col("value")).alias("value"))
+    lines = _lines(s, d).select(payload_as_text(F.col("value")).alias("value"))
     parsed = F.from_json("value", "id string, public boolean, actor struct<id:bigint>, payload string")
     inner = F.get_json_object("r.payload", "$.action")
     return lines.select(parsed.alias("r")).select(
@@ -277,13 +280,13 @@ QUERIES = {
     "advance_watermark": advance_watermark,
     "upsert_users": upsert_users,
     "upsert_repos": upsert_repos,
-    "flatten_users": lambda s, d: dims.flatten_users(V.user_docs(_users(s, d))),
-    "flatten_repos": lambda s, d: dims.flatten_repos(V.repo_docs(V.table(s, d, "part"))),
+    "flatten_users": lambda s, d: dims.flatten_users(V.user_docs(V.view(s, d, "users", wide=True))),
+    "flatten_repos": lambda s, d: dims.flatten_repos(V.repo_docs(spread(V.table(s, d, "part")))),
     "topics_list": topics_list,
     "follow_edges": _edges,
     "follow_edges_insert": follow_edges_insert,
     "exclude_bots": lambda s, d: dims.exclude_bots(_users(s, d)).select("id", "login"),
-    "refresh_candidates": lambda s, d: dims.refresh_candidates(_raw(s, d)),
+    "refresh_candidates": lambda s, d: dims.refresh_candidates(_ods(s, d)),
     "missing_hours": missing_hours,
     "word_count": lambda s, d: text.word_count(V.table(s, d, "conversations"), "text"),
     "prune_json": pruned_pages,

@@ -12,6 +12,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.files import spread
+
 SPARK_JSON_K = "get_json_object(props, '$.k')"
 ANSI_JSON_K = "json_extract_string(props, '$.k')"
 
@@ -87,9 +89,24 @@ REPO_ORDER = ("updated_at", "order_seq", "line_seq", "supp_seq", "size", "starga
 
 _TABLE = re.compile(r"\{(\w+)\}")
 
+# Column types of the provided tables, so that no footer is read to find them.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "pages": "page_id bigint, url string, html string",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spark_view(spark: SparkSession, name: str, **tables: DataFrame) -> DataFrame:
@@ -97,10 +114,10 @@ def spark_view(spark: SparkSession, name: str, **tables: DataFrame) -> DataFrame
     return spark.sql(VIEWS[name].replace("JSON_K", SPARK_JSON_K), **tables)
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A view over the provided tables."""
-    names = set(_TABLE.findall(VIEWS[name]))
-    return spark_view(spark, name, **{n: table(spark, sf_dir, n) for n in names})
+def view(spark: SparkSession, sf_dir: str, name: str, wide: bool = False) -> DataFrame:
+    """A view over the provided tables; ``wide`` spreads a narrow scan for costly row work."""
+    tables = {n: table(spark, sf_dir, n) for n in set(_TABLE.findall(VIEWS[name]))}
+    return spark_view(spark, name, **{n: spread(t) if wide else t for n, t in tables.items()})
 
 
 def ctes(*names: str, **more: str) -> str:
@@ -116,36 +133,37 @@ _REF_TYPES = ("CreateEvent", "DeleteEvent")
 _ISSUE_TYPES = ("IssuesEvent", "IssueCommentEvent")
 
 
-def activity_lines(activity: DataFrame) -> DataFrame:
-    """The activity view as raw JSON lines (``value``), one archive record each.
-
-    Links are added where an archive record has them, so pruning has work to do.
-    """
-    kind, key, n = F.col("type"), F.col("repo_id"), F.col("id")
+def _payload(kind: F.Column, key: F.Column, n: F.Column) -> list[F.Column]:
+    """Payload members of a record of each type; NULL where the type lacks one."""
 
-    def only(types: tuple[str, ...], value) -> F.Column:
+    def only(types: tuple[str, ...], value: F.Column) -> F.Column:
         return F.when(kind.isin(*types), value)
 
-    action = F.create_map(
-        *[F.lit(x) for pair in (
-            ("IssuesEvent", "opened"), ("IssueCommentEvent", "created"), ("PullRequestEvent", "closed"),
-            ("ReleaseEvent", "published"), ("WatchEvent", "started"),
-        ) for x in pair]
-    )[kind]
-    payload = F.struct(
+    action = (
+        F.when(kind == "IssuesEvent", "opened").when(kind == "IssueCommentEvent", "created")
+        .when(kind == "PullRequestEvent", "closed").when(kind == "ReleaseEvent", "published")
+        .when(kind == "WatchEvent", "started")
+    )
+    issue = F.struct((n + 1000000).alias("id"), key.alias("number"), F.lit("open").alias("state"))
+    return [
         only(_REF_TYPES, F.concat(F.lit("b"), key.cast("string"))).alias("ref"),
         only(_REF_TYPES, F.lit("branch")).alias("ref_type"),
         only(("CreateEvent",), F.lit("main")).alias("master_branch"),
         only(("CreateEvent",), F.when(key > 50, F.concat(F.lit("repo "), key.cast("string")))).alias("description"),
         only(_REF_TYPES, F.lit("user")).alias("pusher_type"),
         action.alias("action"),
-        only(_ISSUE_TYPES, F.struct((n + 1000000).alias("id"), key.alias("number"), F.lit("open").alias("state"))).alias("issue"),
+        only(_ISSUE_TYPES, issue).alias("issue"),
         only(("PullRequestEvent",), key).alias("number"),
         only(("PushEvent",), n + 5000000).alias("push_id"),
         only(("PushEvent",), key).alias("size"),
         only(("PushEvent",), key + 1).alias("distinct_size"),
         only(("ReleaseEvent",), F.struct((n + 7000000).alias("id"))).alias("release"),
-    )
+    ]
+
+
+def _record(activity: DataFrame) -> DataFrame:
+    """The activity view as archive records, links included so that pruning has work to do."""
+    kind, key, n = F.col("type"), F.col("repo_id"), F.col("id")
     actor_id, repo_id = F.col("actor_id").cast("string"), key.cast("string")
     bot = F.when(F.col("actor_id") % 10 == 0, F.lit("[bot]")).otherwise(F.lit(""))
     actor = F.struct(
@@ -158,25 +176,47 @@ def activity_lines(activity: DataFrame) -> DataFrame:
         F.concat(F.lit("o/repo-"), repo_id).alias("name"),
         F.concat(F.lit("https://example.org/repos/"), repo_id).alias("url"),
     )
-    record = F.struct(
-        n.cast("string").alias("id"), "type", actor.alias("actor"), repo.alias("repo"), payload.alias("payload"),
-        F.lit(True).alias("public"), F.date_format("ts", ISO).alias("created_at"),
+    return activity.select(
+        n.cast("string").alias("id"), "type", actor.alias("actor"), repo.alias("repo"),
+        F.struct(*_payload(kind, key, n)).alias("payload"), F.lit(True).alias("public"),
+        F.date_format("ts", ISO).alias("created_at"),
+    )
+
+
+def activity_lines(activity: DataFrame) -> DataFrame:
+    """Archive records as raw JSON lines (``value``)."""
+    return _record(activity).select(F.to_json(F.struct("*")).alias("value"))
+
+
+def _text_map(struct: str, members: list[str], nested: tuple[str, ...] = ()) -> F.Column:
+    pairs = []
+    for name in members:
+        value = F.col(f"{struct}.{name}")
+        pairs += [F.lit(name), F.to_json(value) if name in nested else value.cast("string")]
+    return F.create_map(*pairs).alias(struct)
+
+
+def ods_rows(activity: DataFrame) -> DataFrame:
+    """Archive records as the landed layer holds them: text maps, nested values as JSON text."""
+    records = _record(activity)
+    return records.select(
+        "id", "type", _text_map("actor", ["id", "login"]), _text_map("repo", ["id", "name"]),
+        _text_map("payload", records.schema["payload"].dataType.names, ("issue", "release")),
+        F.col("public").cast("string").alias("public"), "created_at",
     )
-    return activity.select(F.to_json(record).alias("value"))
 
 
-def issue_lines(issues: DataFrame) -> DataFrame:
-    """The issues view as raw JSON lines of issue records."""
+def issue_rows(issues: DataFrame) -> DataFrame:
+    """The issues view as landed issue records."""
     issue = F.struct(
         "id", "state_reason", "state", "comments", "number",
         F.date_format("start_time", ISO).alias("created_at"), F.date_format("end_time", ISO).alias("closed_at"),
     )
-    record = F.struct(
+    return issues.select(
         F.concat(F.lit("e"), F.col("id").cast("string")).alias("id"), F.lit("IssuesEvent").alias("type"),
-        F.struct(F.lit("opened").alias("action"), issue.alias("issue")).alias("payload"),
-        F.lit(True).alias("public"), F.date_format("start_time", ISO).alias("created_at"),
+        F.create_map(F.lit("action"), F.lit("opened"), F.lit("issue"), F.to_json(issue)).alias("payload"),
+        F.date_format("start_time", ISO).alias("created_at"),
     )
-    return issues.select(F.to_json(record).alias("value"))
 
 
 def user_docs(users: DataFrame) -> DataFrame:

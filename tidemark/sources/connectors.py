@@ -70,6 +70,7 @@ class KafkaTopic:
     starting: str = "latest"
     fail_on_data_loss: bool = False
     max_offsets_per_trigger: int | None = None
+    min_partitions: int | None = None
     format: str = "kafka"
 
     def read_options(self) -> dict[str, str]:
@@ -81,6 +82,8 @@ class KafkaTopic:
         }
         if self.max_offsets_per_trigger:
             options["maxOffsetsPerTrigger"] = str(self.max_offsets_per_trigger)
+        if self.min_partitions:
+            options["minPartitions"] = str(self.min_partitions)
         return options
 
     def write_options(self) -> dict[str, str]:

@@ -9,14 +9,30 @@ from pyspark.sql import types as T
 from tidemark.schemas import RAW_EVENT
 
 
-def read_activity(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """JSON-lines activity, plain or gzip.
+def few_partitions(df: DataFrame) -> bool:
+    """Whether a scan leaves cores idle: fewer partitions than the cluster can run at once.
 
-    A gzip file is read by one task; ``partitions`` spreads the records again
-    before anything costly happens to them.  A broken line gives a row of NULLs.
+    Only the scan is planned for this, no job runs.
     """
-    raw = spark.read.schema(RAW_EVENT).option("mode", "PERMISSIVE").json(path)
-    return raw.repartition(partitions) if partitions else raw
+    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores before something costly is done to each, if the scan is narrow.
+
+    A gzip archive or a file of one row group is read by one task however many
+    cores there are.  A scan that already fills the cluster is left as it is,
+    so a large input is never shuffled.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if few_partitions(df) else df
+
+
+def read_activity(spark: SparkSession, path: str) -> DataFrame:
+    """JSON-lines activity, plain or gzip; a broken line gives a row of NULLs.
+
+    Lines are spread before they are parsed, see :func:`spread`.
+    """
+    return parse_lines(spread(read_text(spark, path)))
 
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:
