@@ -35,7 +35,7 @@ def _lines(s, d):
 
 
 def _ods(s, d):
-    return V.ods_rows(_activity(s, d))
+    return V.ods_rows(V.view(s, d, "activity", wide=True))
 
 
 def _facts(s, d):

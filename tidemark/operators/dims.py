@@ -65,22 +65,29 @@ def follow_edges(docs: DataFrame, text: str = "doc") -> DataFrame:
     return parsed.select(F.inline(F.concat(inward, outward))).distinct()
 
 
-def latest_snapshot(history: DataFrame, order: Sequence[str], key: str = "id") -> DataFrame:
+def _one_per_key(pick, history: DataFrame, order: Sequence[str], key: str, keep: Sequence[str] | None) -> DataFrame:
+    keep = [name for name in keep or history.columns if name != key]
+    row = pick(F.struct(*keep), F.struct(*order)).alias("row")
+    return history.groupBy(key).agg(row).select(key, "row.*")
+
+
+def latest_snapshot(
+    history: DataFrame, order: Sequence[str], key: str = "id", keep: Sequence[str] | None = None
+) -> DataFrame:
     """Current row per key; ``order`` must be a total order within a key.
 
     A partial aggregate keeps one candidate per key and task, so a key with a
     large share of the history does not make a large shuffle partition.
+    ``keep`` names the columns wanted, by default all.
     """
-    values = [name for name in history.columns if name != key]
-    newest = F.max_by(F.struct(*values), F.struct(*order)).alias("row")
-    return history.groupBy(key).agg(newest).select(key, "row.*")
+    return _one_per_key(F.max_by, history, order, key, keep)
 
 
-def first_snapshot(history: DataFrame, order: Sequence[str], key: str = "id") -> DataFrame:
-    """Earliest row per key; ``order`` must be a total order within a key."""
-    values = [name for name in history.columns if name != key]
-    oldest = F.min_by(F.struct(*values), F.struct(*order)).alias("row")
-    return history.groupBy(key).agg(oldest).select(key, "row.*")
+def first_snapshot(
+    history: DataFrame, order: Sequence[str], key: str = "id", keep: Sequence[str] | None = None
+) -> DataFrame:
+    """Earliest row per key; see :func:`latest_snapshot`."""
+    return _one_per_key(F.min_by, history, order, key, keep)
 
 
 def changed_since(source: DataFrame, mark, version: str = "updated_at") -> DataFrame:

@@ -45,9 +45,7 @@ def _ranked(df: DataFrame, ties: Sequence[str], k: int | None) -> DataFrame:
 
 
 def _with_current(counts: DataFrame, history: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
-    needed = dict.fromkeys(("id", *columns, *order))
-    current = latest_snapshot(history.select(*needed), order)
-    return counts.join(current.select("id", *columns), "id")
+    return counts.join(latest_snapshot(history, order, keep=columns), "id")
 
 
 def _totals(df: DataFrame, value: Column, name: str, k: int | None) -> DataFrame:

@@ -152,6 +152,14 @@ def analyse(
 
 
 def live(log: DataFrame, target, checkpoint: str, every: str = "1 minute"):
-    """Count the events of every micro-batch by type and send the counts to a target."""
+    """Count the events of every micro-batch by type and send ``type, count, updated_at`` to a target.
+
+    A plain append target can receive a batch twice if the run stops between
+    the write and its checkpoint; ``streaming.writers.write_batches`` cannot.
+    """
     flat = flatten_records(parse_records(log))
-    return write_target(flat, target, checkpoint, mode="append", each=type_counts, every=every)
+
+    def counts(batch: DataFrame) -> DataFrame:
+        return type_counts(batch).withColumnRenamed("events", "count")
+
+    return write_target(flat, target, checkpoint, mode="append", each=counts, every=every)
