@@ -1,13 +1,18 @@
 """The recurring jobs end to end: land, split, sync, analyse; each round twice."""
 
+import gzip
 import json
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tidemark.plans.jobs import Warehouse, analyse, land, split, split_landed, sync_table
+from tidemark import __main__ as command
+from tidemark.plans.jobs import (
+    Warehouse, analyse, land, live, prepare, split, split_landed, sync_table, upsert_dimension,
+)
 from tidemark.plans.results import JOBS
 from tidemark.sinks.publish import FileTarget
+from tidemark.sources.files import tail_lines
 
 
 def event(i, kind, hour, **payload):
@@ -88,3 +93,54 @@ def test_rounds(spark, tmp_path):
     assert [tuple(r) for r in rows("topActiveRegion", "location", "activity_cnt")] == [("There", 3)]
     assert [tuple(r) for r in rows("topLanguage", "language", "activity_cnt")] == [("Go", 3)]
     assert spark.read.parquet(str(published / "eventCount")).count() == 2
+
+
+def test_prepare_prunes_and_keeps_broken_lines(spark, tmp_path):
+    archive = tmp_path / "archive"
+    archive.mkdir()
+    with gzip.open(archive / "2024-01-01-5.json.gz", "wt") as f:
+        f.write('{"id":"1","actor":{"url":"https://x","id":3},"tags":[]}\nbroken\n')
+    prepare(spark, str(archive), str(tmp_path / "landing"))
+    lines = {r["value"] for r in spark.read.text(str(tmp_path / "landing")).collect()}
+    assert lines == {'{"id":"1","actor":{"id":3}}', "broken"}
+
+
+def test_upsert_versions(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    schema = "id int, login string, followers int, updated_at timestamp_ntz, seq int"
+    first = spark.createDataFrame([(1, "a", 1, datetime(2024, 1, 1), 1), (2, "b", 1, datetime(2024, 1, 5), 2)], schema)
+    second = spark.createDataFrame([(1, "A", 9, datetime(2024, 1, 2), 1), (2, "B", 9, datetime(2024, 1, 4), 2)], schema)
+    updates = ("followers", "updated_at")
+    upsert_dimension(house, "current_users", first, updates, ["seq"], 1)
+    for _ in range(2):
+        out = upsert_dimension(house, "current_users", second, updates, ["seq"], 2)
+    assert out.columns == ["id", "login", "followers", "updated_at"]
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "a", 9, datetime(2024, 1, 2)), (2, "b", 1, datetime(2024, 1, 5))]
+
+
+def test_live_counts_each_batch(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "1").write_text(event(1, "PushEvent", 5) + "\n" + event(2, "PushEvent", 5) + "\n")
+    target = FileTarget(str(tmp_path / "counts"))
+    query = live(tail_lines(spark, str(folder)), target, str(tmp_path / "check"), every="1 second")
+    query.processAllAvailable()
+    query.stop()
+    back = spark.read.parquet(target.path)
+    assert back.columns == ["type", "count", "updated_at"]
+    assert [(r["type"], r["count"]) for r in back.collect()] == [("PushEvent", 2)]
+
+
+def test_command_line_rounds(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(command, "build_session", lambda app: spark)
+    archive, landing, root = (str(tmp_path / n) for n in ("archive", "landing", "house"))
+    (tmp_path / "archive").mkdir()
+    (tmp_path / "archive" / "5.json").write_text("\n".join(event(i, "PushEvent", 5, push_id=i) for i in range(4)))
+    command.main(["prepare", archive, landing])
+    command.main(["land", root, landing])
+    command.main(["split", root])
+    house = Warehouse(spark, root)
+    sync_table(house, "users", users(spark, 1, (0, 5)), "a")
+    sync_table(house, "repos", repos(spark, 0, 1), "a")
+    command.main(["analyse", root, str(tmp_path / "out"), "--jobs", "events"])
+    assert spark.read.parquet(str(tmp_path / "out" / "eventCount")).first()["pushEventCount"] == 4

@@ -12,6 +12,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.time import iso_utc
 from tidemark.sources.files import spread
 
 SPARK_JSON_K = "get_json_object(props, '$.k')"
@@ -127,8 +128,6 @@ def ctes(*names: str, **more: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
-ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-
 _REF_TYPES = ("CreateEvent", "DeleteEvent")
 _ISSUE_TYPES = ("IssuesEvent", "IssueCommentEvent")
 
@@ -179,7 +178,7 @@ def _record(activity: DataFrame) -> DataFrame:
     return activity.select(
         n.cast("string").alias("id"), "type", actor.alias("actor"), repo.alias("repo"),
         F.struct(*_payload(kind, key, n)).alias("payload"), F.lit(True).alias("public"),
-        F.date_format("ts", ISO).alias("created_at"),
+        iso_utc(F.col("ts")).alias("created_at"),
     )
 
 
@@ -210,12 +209,12 @@ def issue_rows(issues: DataFrame) -> DataFrame:
     """The issues view as landed issue records."""
     issue = F.struct(
         "id", "state_reason", "state", "comments", "number",
-        F.date_format("start_time", ISO).alias("created_at"), F.date_format("end_time", ISO).alias("closed_at"),
+        iso_utc(F.col("start_time")).alias("created_at"), iso_utc(F.col("end_time")).alias("closed_at"),
     )
     return issues.select(
         F.concat(F.lit("e"), F.col("id").cast("string")).alias("id"), F.lit("IssuesEvent").alias("type"),
         F.create_map(F.lit("action"), F.lit("opened"), F.lit("issue"), F.to_json(issue)).alias("payload"),
-        F.date_format("start_time", ISO).alias("created_at"),
+        iso_utc(F.col("start_time")).alias("created_at"),
     )
 
 

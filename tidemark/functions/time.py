@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 HOUR_KEY = "yyyy-MM-dd-HH"
 DAY_KEY = "yyyy-MM-dd"
+ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def parse_utc(iso: Column) -> Column:
@@ -14,6 +15,11 @@ def parse_utc(iso: Column) -> Column:
     return iso.try_cast("timestamp_ntz")
 
 
+def iso_utc(ts: Column) -> Column:
+    """Inverse of :func:`parse_utc`, to the second."""
+    return F.date_format(ts, ISO_UTC)
+
+
 def hour_key(ts: Column) -> Column:
     return F.date_format(ts, HOUR_KEY)
 

@@ -1,4 +1,4 @@
-"""The recurring jobs: land, split, sync, analyse, live.
+"""The recurring jobs: prepare, land, split, sync, upsert, analyse, live.
 
 Each call is one round; the caller's scheduler decides when to run the next.
 A round that is repeated, or restarted after a failure, leaves the same tables.
@@ -13,20 +13,29 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.json_text import prune_json
 from tidemark.functions.time import parse_utc
-from tidemark.operators.dedupe import dedupe_events, new_events
-from tidemark.operators.dims import changed_since, next_mark
+from tidemark.operators.dedupe import new_events
+from tidemark.operators.dims import changed_since, merge_newest, next_mark
 from tidemark.operators.facts import FACT_SPECS, ISSUE_COLUMNS, fact, issue_snapshots, split_facts, time_dim
 from tidemark.operators.hours import latest_loaded_hour
 from tidemark.plans.results import JOBS, RESULTS, Inputs
-from tidemark.schemas import LANDED_EVENT
+from tidemark.schemas import LANDED_EVENT, RAW_EVENT
 from tidemark.sinks.publish import FileTarget, balanced, publish
-from tidemark.sources.files import tail_activity
-from tidemark.sources.marks import _exists, read_mark, write_mark
+from tidemark.sources.files import read_text, spread, tail_activity
+from tidemark.sources.marks import path_exists, read_mark, write_mark
 from tidemark.streaming.records import flatten_records, parse_records, type_counts
 from tidemark.streaming.writers import land_files, write_target
 
 
+# Layers computed from raw records; their columns are those of the operator.
+LAYERS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "facts": split_facts,
+    "issue": issue_snapshots,
+    "timestable": lambda raw: time_dim(raw, 0.0),
+}
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Where the layers live, under one root folder."""
@@ -38,10 +47,14 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     def has(self, table: str) -> bool:
-        return _exists(self.spark, self.path(table))
+        return path_exists(self.spark, self.path(table))
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A stored table; a layer that was not loaded yet is empty, with its columns."""
+        if name not in LAYERS:
+            return self.spark.read.parquet(self.path(name))
+        empty = LAYERS[name](self.spark.createDataFrame([], RAW_EVENT))
+        return self.spark.read.schema(empty.schema).parquet(self.path(name)) if self.has(name) else empty
 
     def fact(self, name: str) -> DataFrame:
         return fact(self.table("facts"), name)
@@ -51,7 +64,8 @@ class Warehouse:
         for name in FACT_SPECS:
             self.fact(name).createOrReplaceTempView(name)
         self.table("issue").select(*ISSUE_COLUMNS).createOrReplaceTempView("issue")
-        for name in ("timestable", "users", "repos"):
+        self.table("timestable").drop("load_id").createOrReplaceTempView("timestable")
+        for name in ("users", "repos"):
             if self.has(name):
                 self.table(name).drop("load_id").createOrReplaceTempView(name)
 
@@ -68,6 +82,16 @@ class Warehouse:
         )
 
 
+def prepare(spark: SparkSession, archive: str, directory: str) -> None:
+    """Prune an archive (JSON lines, plain or gzip) into a landing folder.
+
+    A line that is not JSON is passed on as it is, so that nothing is lost.
+    """
+    lines = spread(read_text(spark, archive))
+    pruned = lines.select(F.coalesce(prune_json(F.col("value")), F.col("value")).alias("value"))
+    pruned.write.mode("append").text(directory)
+
+
 def land(house: Warehouse, directory: str, **options: str) -> None:
     """Move new JSON files into the raw layer, each file once."""
     raw = tail_activity(house.spark, directory, **options)
@@ -103,10 +127,7 @@ def split_landed(house: Warehouse, loaded_at: float) -> None:
 
 
 def _append_new(house: Warehouse, rows: DataFrame, table: str, key: str, partition_by: tuple[str, ...]) -> None:
-    if house.has(table):
-        fresh = new_events(rows, house.table(table), key)
-    else:
-        fresh = dedupe_events(rows, key)
+    fresh = new_events(rows, house.table(table), key)
     FileTarget(house.path(table), partition_by=partition_by).write(balanced(fresh, *partition_by))
 
 
@@ -139,6 +160,24 @@ def sync_table(house: Warehouse, name: str, source: DataFrame, load_id: str) ->
     sync_dimension(house, name, lambda mark: changed_since(source, mark), load_id)
 
 
+def upsert_dimension(
+    house: Warehouse, name: str, incoming: DataFrame, updates: Sequence[str], order: Sequence[str], version: int
+) -> DataFrame:
+    """Merge fetched records into a current-state table; returns the new version.
+
+    Version ``n`` is version ``n - 1`` and the incoming records; version 1
+    starts from nothing.  A repeated call rewrites the same version.
+    """
+    root = house.path(name)
+    columns = [c for c in incoming.columns if c not in order or c in updates]
+    if version > 1:
+        stored = house.spark.read.parquet(f"{root}/version={version - 1}")
+    else:
+        stored = house.spark.createDataFrame([], incoming.select(*columns).schema)
+    merge_newest(stored, incoming, updates, order).write.mode("overwrite").parquet(f"{root}/version={version}")
+    return house.spark.read.parquet(f"{root}/version={version}")
+
+
 def analyse(
     inputs: Inputs,
     targets: Callable[[str], Sequence[object]],

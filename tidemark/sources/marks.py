@@ -13,14 +13,14 @@ from tidemark.schemas import HIGH_WATER_MARK
 EPOCH = datetime(1970, 1, 1)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def read_mark(spark: SparkSession, path: str, source: str) -> datetime:
     """Newest mark of a source: one value, read to the driver to build the next filter."""
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return EPOCH
     marks = spark.read.schema(HIGH_WATER_MARK).parquet(path).where(F.col("source") == source)
     return marks.agg(F.max("mark").alias("mark")).first()["mark"] or EPOCH

@@ -60,6 +60,14 @@ def write_console(stream: DataFrame, checkpoint: str, mode: str = "complete", ev
     return writer.start()
 
 
+def forward_lines(lines: DataFrame, topic, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Send every line (``value``) of a stream to a topic."""
+    writer = lines.select("value").writeStream.format(topic.format).options(**topic.write_options())
+    writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def land_files(stream: DataFrame, path: str, checkpoint: str, partition_by: tuple[str, ...] = (),
                max_records: int = 5_000_000, every: str | None = None) -> StreamingQuery:
     """Append a stream to a Parquet folder, every source file exactly once.
