@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import re
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from tidemark import __main__ as command
 from tidemark.plans.jobs import (
     Warehouse, analyse, land, live, prepare, split, split_landed, sync_table, upsert_dimension,
 )
-from tidemark.plans.results import JOBS
+from tidemark.operators.events import recent
+from tidemark.plans.results import JOBS, RESULTS
 from tidemark.sinks.publish import FileTarget
 from tidemark.sources.files import tail_lines
 
@@ -78,6 +80,14 @@ def test_rounds(spark, tmp_path):
     assert spark.sql("SELECT count(*) FROM pushTable WHERE time = '2024-01-01-06'").first()[0] == 3
     assert spark.table("issue").columns == ["id", "state_reason", "state", "comments", "number", "start_time", "end_time"]
 
+    inputs = house.inputs()
+    hourly = RESULTS["topActiveUser"](inputs)._jdf.queryExecution().executedPlan().toString()
+    facts_scan = next(row for row in hourly.splitlines() if "/house/facts" in row)
+    assert "event_date" in facts_scan and re.search(r"PartitionFilters: \[[^\]]*type#[^\]]*Subquery", facts_scan)
+    assert "id#" not in facts_scan.replace("actor_id#", "")
+    last = recent(house.table("facts"), 20, inputs.hour, inputs.date)
+    assert sorted(r["id"] for r in last.collect()) == ["11", "20", "21", "22"]
+
     published = tmp_path / "published"
     for _ in range(2):
         analyse(house.inputs(), lambda name: [FileTarget(str(published / name))], datetime(2024, 2, 1))

@@ -65,29 +65,34 @@ def follow_edges(docs: DataFrame, text: str = "doc") -> DataFrame:
     return parsed.select(F.inline(F.concat(inward, outward))).distinct()
 
 
+def _ordered_row(order: Sequence[str], keep: Sequence[str]) -> Column:
+    """The kept columns behind the order columns, so that comparing rows compares the order first."""
+    return F.struct(*order, *[name for name in keep if name not in order])
+
+
 def _one_per_key(pick, history: DataFrame, order: Sequence[str], key: str, keep: Sequence[str] | None) -> DataFrame:
     keep = [name for name in keep or history.columns if name != key]
-    row = pick(F.struct(*keep), F.struct(*order)).alias("row")
-    return history.groupBy(key).agg(row).select(key, "row.*")
+    picked = history.groupBy(key).agg(pick(_ordered_row(order, keep)).alias("row"))
+    return picked.select(key, *[f"row.{name}" for name in keep])
 
 
 def latest_snapshot(
     history: DataFrame, order: Sequence[str], key: str = "id", keep: Sequence[str] | None = None
 ) -> DataFrame:
-    """Current row per key; ``order`` must be a total order within a key.
+    """Current row per key: the last by ``order``, then by the other columns.
 
     A partial aggregate keeps one candidate per key and task, so a key with a
     large share of the history does not make a large shuffle partition.
     ``keep`` names the columns wanted, by default all.
     """
-    return _one_per_key(F.max_by, history, order, key, keep)
+    return _one_per_key(F.max, history, order, key, keep)
 
 
 def first_snapshot(
     history: DataFrame, order: Sequence[str], key: str = "id", keep: Sequence[str] | None = None
 ) -> DataFrame:
     """Earliest row per key; see :func:`latest_snapshot`."""
-    return _one_per_key(F.min_by, history, order, key, keep)
+    return _one_per_key(F.min, history, order, key, keep)
 
 
 def changed_since(source: DataFrame, mark, version: str = "updated_at") -> DataFrame:
@@ -121,35 +126,28 @@ def merge_newest(
     dropped from the result.
     """
     columns = stored.columns
-    arrival = F.struct(*order)
+    values = [name for name in columns if name != key]
+    # Oldest age is newest version; among equal versions the earliest arrival.
+    age = -F.unix_micros(F.col(version).cast("timestamp"))
+    newest = F.struct(age.alias("_age"), _ordered_row(order, updates).alias("row"))
     reduced = incoming.groupBy(key).agg(
-        F.min_by(F.struct(*[c for c in columns if c != key]), arrival).alias("first"),
-        _newest_update(updates, order, version).alias("newest"),
+        F.min(_ordered_row(order, values)).alias("_first"),
+        F.min(F.when(F.col(version).isNotNull(), newest))["row"].alias("_newest"),
     )
-    joined = stored.withColumn("known", F.lit(True)).join(reduced, key, "full_outer")
-    known = F.col("known").isNotNull()
-    base = F.when(known, F.col(version)).otherwise(F.col(f"first.{version}"))
-    newer = F.col(f"newest.{version}") > base
+    joined = stored.withColumn("_known", F.lit(True)).join(reduced, key, "full_outer")
+    known = F.col("_known").isNotNull()
+    base = F.when(known, F.col(version)).otherwise(F.col(f"_first.{version}"))
+    newer = F.col(f"_newest.{version}") > base
 
     def merged(name: str) -> Column:
-        kept = F.when(known, F.col(name)).otherwise(F.col(f"first.{name}"))
+        kept = F.when(known, F.col(name)).otherwise(F.col(f"_first.{name}"))
         if name in updates:
-            kept = F.when(newer, F.col(f"newest.{name}")).otherwise(kept)
+            kept = F.when(newer, F.col(f"_newest.{name}")).otherwise(kept)
         return kept.alias(name)
 
     return joined.select(*[F.col(key) if c == key else merged(c) for c in columns])
 
 
-def _newest_update(updates: Sequence[str], order: Sequence[str], version: str) -> Column:
-    """Newest version's update columns; the earliest arrival among equal versions.
-
-    ``min_by`` over the negated version and the arrival order does both at once.
-    """
-    values = F.struct(*updates)
-    age = -F.unix_micros(F.col(version).cast("timestamp"))
-    return F.min_by(values, F.when(F.col(version).isNotNull(), F.struct(age.alias("age"), *order)))
-
-
 def insert_new(incoming: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Incoming rows whose key is not stored yet; incoming must be unique on ``keys``."""
     return incoming.join(stored.select(*keys), list(keys), "left_anti")

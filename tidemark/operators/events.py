@@ -46,9 +46,9 @@ def event_all_count(activity: DataFrame, hour: DataFrame) -> DataFrame:
     return stamp_hour(count_types(activity), hour)
 
 
-def event_count(activity: DataFrame, hour: DataFrame) -> DataFrame:
-    """Counts within the data hour."""
-    return stamp_hour(count_types(activity.where(within_hour(hour))), hour)
+def event_count(activity: DataFrame, hour: DataFrame, date: str | None = None) -> DataFrame:
+    """Counts within the data hour; see :func:`within_hour` for ``date``."""
+    return stamp_hour(count_types(activity.where(within_hour(hour, date=date))), hour)
 
 
 def event_ratio(counts: DataFrame) -> DataFrame:
@@ -71,10 +71,19 @@ def event_trend(activity: DataFrame) -> DataFrame:
     return hourly.withColumn("change", F.col("events") - previous)
 
 
-def recent(activity: DataFrame, minutes: int = 20) -> DataFrame:
-    """Records newer than ``minutes`` before the newest one."""
-    cutoff = activity.agg((F.max("ts") - F.make_interval(mins=F.lit(minutes))).alias("cutoff"))
-    return activity.where(F.col("ts") > cutoff.scalar())
+def recent(
+    activity: DataFrame, minutes: int = 20, hour: DataFrame | None = None, date: str | None = None
+) -> DataFrame:
+    """Records newer than ``minutes`` before the newest one.
+
+    The newest time is looked for in the whole activity, or in the data hour
+    where that is known; ``date`` names a partition column, to read the days
+    from the cutoff on only.
+    """
+    newest = activity if hour is None else activity.where(within_hour(hour, date=date))
+    cutoff = newest.agg((F.max("ts") - F.make_interval(mins=F.lit(minutes))).alias("cutoff")).scalar()
+    found = activity.where(F.col("ts") > cutoff)
+    return found if date is None else found.where(F.col(date) >= F.to_date(cutoff))
 
 
 def count_by(activity: DataFrame, key: str) -> DataFrame:

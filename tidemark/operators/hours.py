@@ -24,9 +24,11 @@ def latest_loaded_hour(times: DataFrame) -> DataFrame:
     return times.agg(parse_hour_key(key).alias("created_at"))
 
 
-def within_hour(hour: DataFrame, ts: str = "ts") -> Column:
+def within_hour(hour: DataFrame, ts: str = "ts", date: str | None = None) -> Column:
+    """Records of the hour; ``date`` names a partition column, to read that day's files only."""
     start = hour.scalar()
-    return (F.col(ts) >= start) & (F.col(ts) < start + F.expr("INTERVAL 1 HOUR"))
+    inside = (F.col(ts) >= start) & (F.col(ts) < start + F.expr("INTERVAL 1 HOUR"))
+    return inside if date is None else inside & (F.col(date) == F.to_date(start))
 
 
 def stamp_hour(df: DataFrame, hour: DataFrame) -> DataFrame:

@@ -79,6 +79,7 @@ class Warehouse:
             user_order=("updated_at", "load_id"),
             repo_order=("updated_at", "load_id"),
             unique_events=True,
+            date="event_date",
         )
 
 

@@ -19,7 +19,8 @@ class Inputs:
 
     ``users`` and ``repos`` keep every snapshot; the order columns rank the
     snapshots of one id.  ``hour`` is a one-row frame, see ``operators.hours``.
-    ``unique_events`` says that no event occurs twice in ``activity``.
+    ``unique_events`` says that no event occurs twice in ``activity``; ``date``
+    names the column its files are partitioned by, if they are.
     """
 
     activity: DataFrame
@@ -30,6 +31,7 @@ class Inputs:
     user_order: Sequence[str] = ("updated_at",)
     repo_order: Sequence[str] = ("updated_at",)
     unique_events: bool = False
+    date: str | None = None
 
     @cached_property
     def current_users(self) -> DataFrame:
@@ -37,7 +39,7 @@ class Inputs:
 
     @cached_property
     def pushes(self) -> DataFrame:
-        return self.activity.where(within_hour(self.hour))
+        return self.activity.where(within_hour(self.hour, date=self.date))
 
     def user_activity(self) -> DataFrame:
         return rankings.activity_per(self.pushes, "actor_id", unique=self.unique_events)
@@ -51,7 +53,7 @@ def _event_all_ratio(i: Inputs) -> DataFrame:
 
 
 def _event_ratio(i: Inputs) -> DataFrame:
-    return events.event_ratio(events.event_count(i.activity, i.hour))
+    return events.event_ratio(events.event_count(i.activity, i.hour, i.date))
 
 
 def _top_active_user(i: Inputs) -> DataFrame:
@@ -69,7 +71,7 @@ def _top_language(i: Inputs) -> DataFrame:
 # Names of the published tables.
 RESULTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "eventAllCount": lambda i: events.event_all_count(i.activity, i.hour),
-    "eventCount": lambda i: events.event_count(i.activity, i.hour),
+    "eventCount": lambda i: events.event_count(i.activity, i.hour, i.date),
     "eventAllRatio": _event_all_ratio,
     "eventRatio": _event_ratio,
     "usersCount": lambda i: events.dim_count(i.users, "usersCount"),

@@ -46,6 +46,8 @@ def local_session(cores: int = 8, **conf: str) -> SparkSession:
         "spark__ui__enabled": "false",
         "spark__sql__shuffle__partitions": str(cores),
         "spark__driver__memory": "8g",
+        # Tables of a few megabytes would otherwise be merged into one task.
+        "spark__sql__adaptive__coalescePartitions__minPartitionSize": "128k",
         **conf,
     }
     session = build_session(master=f"local[{cores}]", **settings)

@@ -10,19 +10,19 @@ from tidemark.schemas import RAW_EVENT
 
 
 def few_partitions(df: DataFrame) -> bool:
-    """Whether a scan leaves cores idle: fewer partitions than the cluster can run at once.
+    """Whether a scan leaves at least half of the cores idle.
 
     Only the scan is planned for this, no job runs.
     """
-    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+    return 2 * df.rdd.getNumPartitions() <= df.sparkSession.sparkContext.defaultParallelism
 
 
 def spread(df: DataFrame) -> DataFrame:
     """Rows over all cores before something costly is done to each, if the scan is narrow.
 
     A gzip archive or a file of one row group is read by one task however many
-    cores there are.  A scan that already fills the cluster is left as it is,
-    so a large input is never shuffled.
+    cores there are.  A scan that keeps the cluster busy is left as it is, so a
+    large input is never shuffled.
     """
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if few_partitions(df) else df
 
