@@ -293,6 +293,14 @@ def test_rankings(spark):
     assert rows(rankings.active_languages(per_repo, repos, ["updated_at"])) == [("Go", 4)]
 
 
+def test_current_table_is_joined_without_a_snapshot(spark):
+    counts = spark.createDataFrame([(1, 4), (2, 3)], "id bigint, activity_cnt bigint")
+    current = spark.createDataFrame([(1, "acme"), (2, "None"), (3, "idle")], "id bigint, company string")
+    ranked = rankings.active_companies(counts, current, None)
+    assert rows(ranked) == [("acme", 4)]
+    assert "max(struct" not in ranked._jdf.queryExecution().executedPlan().toString()
+
+
 def test_unique_events_need_no_distinct(spark):
     activity = spark.createDataFrame([(i, "PushEvent", i % 3, 7, T0) for i in range(30)], EVENT)
     plain = rankings.activity_per(activity, "actor_id")

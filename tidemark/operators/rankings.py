@@ -21,6 +21,10 @@ PUSH = "PushEvent"
 # Fixed value: the word that stands for a missing location, company or language.
 ABSENT = ("None",)
 
+# Columns that rank the snapshots of one id; None for a table of current rows,
+# which is joined as it is.
+Order = Sequence[str] | None
+
 USER_COLUMNS = ("login", "company", "location", "followers", "following", "public_repos")
 
 
@@ -44,8 +48,9 @@ def _ranked(df: DataFrame, ties: Sequence[str], k: int | None) -> DataFrame:
     return ordered if k is None else ordered.limit(k)
 
 
-def _with_current(counts: DataFrame, history: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
-    return counts.join(latest_snapshot(history, order, keep=columns), "id")
+def _with_current(counts: DataFrame, dim: DataFrame, columns: Sequence[str], order: Order) -> DataFrame:
+    current = dim.select("id", *columns) if order is None else latest_snapshot(dim, order, keep=columns)
+    return counts.join(current, "id")
 
 
 def _totals(df: DataFrame, value: Column, name: str, k: int | None) -> DataFrame:
@@ -53,24 +58,24 @@ def _totals(df: DataFrame, value: Column, name: str, k: int | None) -> DataFrame
     return _ranked(totals, [name], k)
 
 
-def active_users(counts: DataFrame, users: DataFrame, order: Sequence[str], k: int | None = None) -> DataFrame:
+def active_users(counts: DataFrame, users: DataFrame, order: Order, k: int | None = None) -> DataFrame:
     """Users by activity, with their current profile; those without a public repository are left out."""
     found = _with_current(counts, users, USER_COLUMNS, order).where(F.col("public_repos") > 0)
     return _ranked(found, ["id"], k).select(*USER_COLUMNS, "activity_cnt")
 
 
-def active_regions(counts: DataFrame, users: DataFrame, order: Sequence[str], k: int | None = None) -> DataFrame:
+def active_regions(counts: DataFrame, users: DataFrame, order: Order, k: int | None = None) -> DataFrame:
     """Activity per region, the part of the location after its last comma."""
     found = _with_current(counts, users, ["location"], order).where(is_present(F.col("location"), ABSENT))
     return _totals(found, region(F.col("location")), "location", k)
 
 
-def active_companies(counts: DataFrame, users: DataFrame, order: Sequence[str], k: int | None = None) -> DataFrame:
+def active_companies(counts: DataFrame, users: DataFrame, order: Order, k: int | None = None) -> DataFrame:
     found = _with_current(counts, users, ["company"], order).where(is_present(F.col("company"), ABSENT))
     return _totals(found, F.col("company"), "company", k)
 
 
-def active_repos(counts: DataFrame, repos: DataFrame, order: Sequence[str], k: int | None = None) -> DataFrame:
+def active_repos(counts: DataFrame, repos: DataFrame, order: Order, k: int | None = None) -> DataFrame:
     """Repositories by activity, with their current name and language."""
     found = _with_current(counts, repos, ("name", "full_name", "language"), order)
     return _ranked(found, ["id"], k).select(
@@ -78,6 +83,6 @@ def active_repos(counts: DataFrame, repos: DataFrame, order: Sequence[str], k: i
     )
 
 
-def active_languages(counts: DataFrame, repos: DataFrame, order: Sequence[str], k: int | None = None) -> DataFrame:
+def active_languages(counts: DataFrame, repos: DataFrame, order: Order, k: int | None = None) -> DataFrame:
     found = _with_current(counts, repos, ["language"], order).where(is_present(F.col("language"), ABSENT))
     return _totals(found, F.col("language"), "language", k)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -17,8 +17,9 @@ from tidemark.operators.hours import stamp_hour, within_hour
 class Inputs:
     """Frames the result tables are computed from.
 
-    ``users`` and ``repos`` keep every snapshot; the order columns rank the
-    snapshots of one id.  ``hour`` is a one-row frame, see ``operators.hours``.
+    ``users`` and ``repos`` keep every snapshot, and the order columns rank the
+    snapshots of one id; with an order of None they hold current rows only.
+    ``hour`` is a one-row frame, see ``operators.hours``.
     ``unique_events`` says that no event occurs twice in ``activity``; ``date``
     names the column its files are partitioned by, if they are.
     """
@@ -28,14 +29,14 @@ class Inputs:
     users: DataFrame
     repos: DataFrame
     hour: DataFrame
-    user_order: Sequence[str] = ("updated_at",)
-    repo_order: Sequence[str] = ("updated_at",)
+    user_order: rankings.Order = ("updated_at",)
+    repo_order: rankings.Order = ("updated_at",)
     unique_events: bool = False
     date: str | None = None
 
     @cached_property
     def current_users(self) -> DataFrame:
-        return latest_snapshot(self.users, self.user_order)
+        return self.users if self.user_order is None else latest_snapshot(self.users, self.user_order)
 
     @cached_property
     def pushes(self) -> DataFrame:
