@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import __main__ as command
 from tidemark.plans.jobs import (
     Warehouse, analyse, land, live, prepare, split, split_landed, sync_table, upsert_dimension,
+    with_current_dimensions,
 )
 from tidemark.operators.events import recent
 from tidemark.plans.results import JOBS, RESULTS
@@ -88,6 +89,10 @@ def test_rounds(spark, tmp_path):
     last = recent(house.table("facts"), 20, inputs.hour, inputs.date)
     assert sorted(r["id"] for r in last.collect()) == ["11", "20", "21", "22"]
 
+    current = with_current_dimensions(inputs, JOBS)
+    assert current.users.count() == 3 and current.repos.count() == 2
+    assert with_current_dimensions(inputs, ["events"]) is inputs
+
     published = tmp_path / "published"
     for _ in range(2):
         analyse(house.inputs(), lambda name: [FileTarget(str(published / name))], datetime(2024, 2, 1))

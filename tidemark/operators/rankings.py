@@ -26,6 +26,7 @@ ABSENT = ("None",)
 Order = Sequence[str] | None
 
 USER_COLUMNS = ("login", "company", "location", "followers", "following", "public_repos")
+REPO_COLUMNS = ("name", "full_name", "language")
 
 
 def activity_per(
@@ -77,7 +78,7 @@ def active_companies(counts: DataFrame, users: DataFrame, order: Order, k: int |
 
 def active_repos(counts: DataFrame, repos: DataFrame, order: Order, k: int | None = None) -> DataFrame:
     """Repositories by activity, with their current name and language."""
-    found = _with_current(counts, repos, ("name", "full_name", "language"), order)
+    found = _with_current(counts, repos, REPO_COLUMNS, order)
     return _ranked(found, ["id"], k).select(
         F.col("id").alias("repo_id"), F.col("id").alias("act_id"), "language", "full_name", "name", "activity_cnt"
     )

@@ -7,7 +7,7 @@ A round that is repeated, or restarted after a failure, leaves the same tables.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,18 +16,17 @@ from pyspark.sql import functions as F
 from tidemark.functions.json_text import prune_json
 from tidemark.functions.time import parse_utc
 from tidemark.operators.dedupe import new_events
-from tidemark.operators.dims import changed_since, merge_newest, next_mark
+from tidemark.operators.dims import changed_since, latest_snapshot, merge_newest, next_mark
 from tidemark.operators.facts import FACT_SPECS, ISSUE_COLUMNS, fact, issue_snapshots, split_facts, time_dim
 from tidemark.operators.hours import latest_loaded_hour
-from tidemark.plans.results import JOBS, RESULTS, Inputs
+from tidemark.plans.results import CURRENT_REPO, CURRENT_USER, JOBS, RESULTS, Inputs
 from tidemark.schemas import LANDED_EVENT, RAW_EVENT
-from tidemark.sinks.publish import FileTarget, balanced, publish
+from tidemark.sinks.publish import FileTarget, balanced, publish, staged
 from tidemark.sources.files import read_text, spread, tail_activity
 from tidemark.sources.marks import path_exists, read_mark, write_mark
 from tidemark.streaming.records import flatten_records, parse_records, type_counts
 from tidemark.streaming.writers import land_files, write_target
 
-
 # Layers computed from raw records; their columns are those of the operator.
 LAYERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "facts": split_facts,
@@ -179,13 +178,30 @@ def upsert_dimension(
     return house.spark.read.parquet(f"{root}/version={version}")
 
 
+def with_current_dimensions(inputs: Inputs, jobs: Iterable[str]) -> Inputs:
+    """Inputs whose histories are reduced to current rows once, for the jobs that share them.
+
+    Six tables use the current users and two the current repositories; without
+    this each would aggregate the whole history again.
+    """
+    jobs = set(jobs)
+    if jobs & {"users", "user_activity"} and inputs.user_order is not None:
+        users = latest_snapshot(inputs.users, inputs.user_order, keep=CURRENT_USER)
+        inputs = replace(inputs, users=staged(users, "users"), user_order=None)
+    if "repo_activity" in jobs and inputs.repo_order is not None:
+        repos = latest_snapshot(inputs.repos, inputs.repo_order, keep=CURRENT_REPO)
+        inputs = replace(inputs, repos=staged(repos, "repos"), repo_order=None)
+    return inputs
+
+
 def analyse(
     inputs: Inputs,
     targets: Callable[[str], Sequence[object]],
     as_of: datetime,
-    jobs: Iterable[str] = tuple(JOBS),
+    jobs: Sequence[str] = tuple(JOBS),
 ) -> None:
     """Compute and publish the result tables of the given jobs."""
+    inputs = with_current_dimensions(inputs, jobs)
     for job in jobs:
         for name in JOBS[job]:
             publish(RESULTS[name](inputs), targets(name), as_of)

@@ -91,6 +91,10 @@ RESULTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "topLanguage": _top_language,
 }
 
+# Dimension columns the tables above need.
+CURRENT_USER = ("login", *profiles.TEXT_FIELDS, *profiles.NUMBER_FIELDS)
+CURRENT_REPO = rankings.REPO_COLUMNS
+
 # The tables each analysis job publishes.
 JOBS = {
     "events": ("eventAllCount", "eventCount", "eventAllRatio", "eventRatio", "usersCount", "reposCount"),

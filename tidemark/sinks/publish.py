@@ -54,6 +54,13 @@ class ConnectorTarget:
         writer.options(**self.connector.write_options()).save()
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """The frame computed once and read back from a table in the shared folder."""
+    path = new_run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def publish(df: DataFrame, targets: Sequence[object], as_of=None) -> DataFrame:
     """Write one result to every target; returns what was written.
 
@@ -64,9 +71,7 @@ def publish(df: DataFrame, targets: Sequence[object], as_of=None) -> DataFrame:
     if as_of is not None:
         df = stamp_run(df, as_of)
     if len(targets) > 1:
-        staged = new_run_dir(df.sparkSession, "publish")
-        df.write.parquet(staged)
-        df = df.sparkSession.read.parquet(staged)
+        df = staged(df, "publish")
     for target in targets:
         target.write(df)
     return df
