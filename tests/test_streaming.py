@@ -1,13 +1,17 @@
 """Streams: late rows, restarts, several batches, the same result as a batch."""
 
 import json
-from datetime import datetime
+import os
+from datetime import datetime, timedelta
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.text import word_count
+from tidemark.session import new_run_dir, shared_dir
 from tidemark.sinks.publish import FileTarget
-from tidemark.sources.files import tail_activity, tail_lines
+from tidemark.sources.files import tail_activity, tail_lines, tail_table
 from tidemark.streaming import records, writers
 
 
@@ -129,3 +133,43 @@ def test_console_writer_runs_to_the_end(spark, tmp_path):
     query = writers.write_console(word_count(tail_lines(spark, str(tmp_path / "in"))), str(tmp_path / "check"))
     query.awaitTermination()
     assert query.exception() is None
+
+
+def test_many_batches_equal_one_batch(spark, tmp_path):
+    """The events as six files in time order, one per batch: closed windows hold the batch counts."""
+    folder = tmp_path / "events"
+    folder.mkdir()
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").orderBy("ts").toPandas()
+    size = -(-len(events) // 6)
+    for part in range(6):
+        path = folder / f"{part}.parquet"
+        events.iloc[part * size:(part + 1) * size].to_parquet(path, coerce_timestamps="us")
+        os.utime(path, (1_700_000_000 + part, 1_700_000_000 + part))
+    schema = spark.read.parquet("/root/testdata/sf0.001/events.parquet").schema
+    stream = tail_table(spark, str(folder), schema, maxFilesPerTrigger="1").withColumnRenamed("event_type", "type")
+    out = run(records.window_counts(stream), tmp_path)
+    assert out.select(writers.BATCH).distinct().count() > 3
+
+    whole = spark.createDataFrame(events).select(F.date_trunc("hour", "ts").alias("hour"), F.col("event_type").alias("type"))
+    limit = events["ts"].max() - pd.Timedelta(minutes=1)
+    expected = {
+        (r["hour"], r["type"]): r["n"]
+        for r in whole.groupBy("hour", "type").agg(F.count("*").alias("n")).collect()
+        if r["hour"] + timedelta(hours=1) <= limit
+    }
+    assert {(r["window_start"], r["type"]): r["events"] for r in out.collect()} == expected
+
+
+def test_shared_folder_is_required_on_a_cluster(spark):
+    class Conf(dict):
+        set = dict.__setitem__
+
+    class Session:
+        conf = Conf({"spark.master": "yarn"})
+
+    with pytest.raises(ValueError):
+        shared_dir(Session())
+    Session.conf = Conf({"spark.master": "local[2]"})
+    assert shared_dir(Session()) == Session.conf["spark.checkpoint.dir"]
+    Session.conf = Conf({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///x/"})
+    assert new_run_dir(Session(), "a").startswith("hdfs:///x/tidemark/a-")
