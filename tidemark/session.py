@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +26,9 @@ SEMANTIC_CONF = {
 }
 
 
+_SHIPPED: dict[str, str] = {}
+
+
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings above; ``conf`` keys use ``__`` for a dot.
 
@@ -58,19 +63,34 @@ def local_session(cores: int = 8, **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Where the setting is missing, a local session gets a temporary folder of
-    its own; on a cluster that would not be shared, so it is an error there.
+    Where the setting is missing it is set to a folder of the warehouse, which
+    executors share as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    base = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    if not base:
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
 
 
 def new_run_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; nothing is created yet."""
     return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once per application.
+
+    Without it Python functions of the package run only where the cluster has
+    the package on its path already.
+    """
+    context = spark.sparkContext
+    if _SHIPPED.get("application") == context.applicationId:
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    path = pathlib.Path(tempfile.mkdtemp(prefix="tidemark-")) / "tidemark.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(path))
+    _SHIPPED["application"] = context.applicationId
