@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid
+from tidemark.llm import langid, neardup
 from tidemark.llm.store import held_out, table, training_fold
 
 #: SQL with the same rows, for DuckDB.
@@ -22,6 +22,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "kept")
+
+
 QUERIES = {
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op9_language_id": op9_language_id,
 }
