@@ -5,13 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, neardup
+from tidemark.llm import decontaminate, langid, neardup
 from tidemark.llm.store import held_out, table, training_fold
 
 #: SQL with the same rows, for DuckDB.
 SQL: dict[str, str] = {}
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find(spark, docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", decontaminate.hit_words(F.col("hit_runs")).alias("n_hit"),
+        F.size("hit_items").cast("long").alias("n_items"), decontaminate.items_digest(F.col("hit_items")).alias("items_sha256"),
+        (F.size("hit_runs") > 0).alias("contaminated"),
+    )
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.filter(training_fold()))
@@ -28,6 +38,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op9_language_id": op9_language_id,
 }
