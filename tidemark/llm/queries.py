@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, neardup
+from tidemark.llm import decontaminate, langid, neardup, secrets
 from tidemark.llm.store import held_out, table, training_fold
 
 #: SQL with the same rows, for DuckDB.
 SQL: dict[str, str] = {}
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    language, forest = secrets.fit(docs)
+    found = secrets.judge(secrets.find(docs, language), forest)
+    return found.select(
+        "doc_id", "begin", "end", "rule", F.sha2("value", 256).alias("value_sha256"), F.round("probability", 6).alias("probability"), "is_secret"
+    )
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find(spark, docs, table(spark, sf_dir, "benchmark"))
@@ -38,6 +47,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scans": op1_secret_scans,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op9_language_id": op9_language_id,
