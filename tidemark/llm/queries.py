@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, neardup, secrets
-from tidemark.llm.store import held_out, table, training_fold
+from tidemark.llm import decontaminate, langid, mixing, neardup, secrets
+from tidemark.llm.store import held_out, staged, table, training_fold
 
 #: SQL with the same rows, for DuckDB.
 SQL: dict[str, str] = {}
@@ -21,6 +21,13 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.words_of(F.col("text")).alias("n"))
+    docs = staged(docs, "sizes")
+    mixed = mixing.mix(docs, F.col("n"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.col("draws.shard").alias("shards"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find(spark, docs, table(spark, sf_dir, "benchmark"))
@@ -48,6 +55,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op3_mixing": op3_mixing,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op9_language_id": op9_language_id,
