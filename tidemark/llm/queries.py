@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, mixing, neardup, secrets
+from tidemark.llm import decontaminate, langid, mixing, neardup, secrets, substrings
 from tidemark.llm.store import held_out, staged, table, training_fold
 
 #: SQL with the same rows, for DuckDB.
@@ -21,6 +21,11 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_duplicates(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256", F.size("factors").alias("n_factors"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.words_of(F.col("text")).alias("n"))
     docs = staged(docs, "sizes")
@@ -55,6 +60,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_mixing": op3_mixing,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
