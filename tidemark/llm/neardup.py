@@ -5,11 +5,11 @@ their sets is 0.8 or more, and a class is a connected component of links.  Equal
 one node from the start.  40 bands of 6 coordinates miss a pair of similarity 0.8 with a
 probability of 5e-6.
 
-A bucket of one band may hold many nodes.  It isn't expanded into pairs: in each round a few
-of its nodes, the centres, are compared with the members that are in another class so far;
-then they leave the bucket, which is done when one class is left in it.  The links of a
-large group of copies are found in the first round, and each later round costs a row for
-each member that is still undecided.
+A bucket of one band may hold many nodes, and links are not transitive.  Its smallest node is
+compared with every other member; where all are linked to it the bucket is done, as large
+groups of copies mostly are.  In the others all members are compared, chunk with chunk, inside
+tasks: a chunk has a bounded number of runs of words, and a pair of chunks returns a spanning
+forest of its links, never the pairs.
 
 Edge cases: a text of one to four words is a set of one run; a null text or one without
 words links with nothing and is its own class.  Rows with equal ids are separate texts.  The
@@ -30,6 +30,8 @@ from tidemark.llm.store import staged
 from tidemark.llm.words import slices, split_words
 
 ROWS = 512
+#: Runs of words in one chunk of a bucket that is compared in a task.
+CHUNK_ITEMS = 200_000
 
 
 def _pieces(column: pa.Array):
@@ -93,43 +95,62 @@ def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def _centres(many: int):
-    """A few members of a bucket, each the lowest by another hash."""
-    return F.array(*[F.min(F.struct(F.xxhash64(F.lit(i), "node").alias("order"), "node", "label")) for i in range(many)])
-
-
-def classes(buckets: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """``(node, label)``: classes of the nodes that share ``buckets (h, node)``, links checked on ``sets``."""
-    label = staged(buckets.select("node").distinct().select("node", F.col("node").alias("label")), "labels")
-    tested, many = None, 1
-    while True:
-        members = buckets.join(label, "node")
-        active = staged(
-            members.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high"), _centres(many).alias("centres"))
-            .filter("low <> high").select("h", F.array_distinct("centres").alias("centres")), "centres",
-        )
-        if not active.limit(1).count():
-            return label
-        facing = members.join(active, "h").select("node", "label", F.explode("centres").alias("c"))
-        pairs = (
-            facing.filter("label <> c.label")
-            .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        links = staged(_similar(pairs, sets, threshold), "links")
-        tested = pairs if tested is None else tested.union(pairs)
-        buckets = staged(
-            buckets.join(active, "h").filter(~F.array_contains(F.col("centres.node"), F.col("node"))).select("h", "node"), "buckets"
-        )
-        if links.limit(1).count():
-            from_a = label.select(F.col("node").alias("a"), F.col("label").alias("la"))
-            from_b = label.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-            merged = components(links.join(from_a, "a").join(from_b, "b").select(F.col("la").alias("a"), F.col("lb").alias("b")))
-            merged = merged.select(F.col("node").alias("label"), F.col("label").alias("to"))
-            label = staged(label.join(merged, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
-        many = min(many * 4, 64)
+def _star(buckets: DataFrame) -> DataFrame:
+    """``(h, a, b)``: every bucket's smallest node with each other member."""
+    centre = buckets.groupBy("h").agg(F.min("node").alias("a"))
+    return buckets.join(centre, "h").filter("node <> a").select("h", "a", F.col("node").alias("b"))
+
+
+def _compared(parts: DataFrame, threshold: float) -> DataFrame:
+    """A spanning forest of the links in each group ``(h, i, j)`` of ``parts (.., chunk, node, items)``.
+
+    Members of chunk ``i`` are compared with those of chunk ``j``, each with all at once.
+    """
+
+    def compare(group: pa.Table) -> pa.Table:
+        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        group = group.sort_by("node")
+        node = group.column("node").to_pylist()
+        chunk = np.asarray(group.column("chunk"))
+        lists = group.column("items").combine_chunks()
+        offsets = np.asarray(lists.offsets)
+        _, code = np.unique(np.asarray(lists.flatten()), return_inverse=True)
+        size = np.diff(offsets := offsets - offsets[0])
+        root = np.arange(len(node))
+        mark = np.zeros(int(code.max()) + 1, np.int32)
+        links = []
+        for x in np.flatnonzero(chunk == i):
+            mark[code[offsets[x] : offsets[x + 1]]] = 1
+            shared = np.add.reduceat(mark[code], offsets[:-1])
+            mark[code[offsets[x] : offsets[x + 1]]] = 0
+            near = (shared >= threshold * (size[x] + size - shared)) & (chunk == j) & (root != root[x])
+            for y in np.flatnonzero(near):
+                if root[y] != root[x]:
+                    links.append((node[min(x, y)], node[max(x, y)]))
+                    root[root == root[y]] = root[x]
+        return pa.table({"a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
+
+    return parts.groupBy("h", "i", "j").applyInArrow(compare, "a binary, b binary")
+
+
+def links_of(buckets: DataFrame, sets: DataFrame, threshold: float, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
+    """``(a, b)``: links that connect all nodes of ``buckets (h, node)`` that links connect."""
+    star = staged(_star(buckets), "star")
+    near = staged(_similar(star.select("a", "b").distinct(), sets, threshold), "links")
+    failed = star.join(near, ["a", "b"], "left_anti").select("h").distinct()
+    members = buckets.join(failed, "h").join(sets, "node")
+    sizes = members.groupBy("h").agg(
+        F.sum(F.size("items")).alias("n_items"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("members")
+    )
+    # Several bands often have the same members: one of these buckets stands for all.
+    once = sizes.groupBy("members").agg(F.min(F.struct("h", "n_items")).alias("x")).select("x.*")
+    once = staged(once.withColumn("chunks", F.ceil(F.col("n_items") / chunk_items).cast("int")), "open")
+    own = buckets.join(once, "h").withColumn("chunk", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("chunks")).cast("int"))
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    parts = own.join(sets, "node").select(
+        "h", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "node", "items"
+    )
+    return near.union(staged(_compared(parts, threshold), "links"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, size: int = 5,
@@ -162,7 +183,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     sets = staged(
         chosen.select(shingle_sets(F.col("text"), size, counted).alias("s")).select("s.node", "s.items").dropDuplicates(["node"]), "sets"
     )
-    label = classes(buckets, sets, threshold)
+    label = components(links_of(buckets, sets, threshold))
     placed = drawn.join(label, "node", "left").select("row", "id", "text_hash", "node", F.coalesce("label", "node").alias("label"))
     whole = placed.filter("label is not null").groupBy("label").agg(F.count(F.lit(1)).alias("class_size"), first)
     alone = F.col("label").isNull()
