@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, mixing, neardup, secrets, substrings
+from tidemark.llm import decontaminate, embeddings, langid, mixing, neardup, secrets, substrings
 from tidemark.llm.store import held_out, staged, table, training_fold
 
 #: SQL with the same rows, for DuckDB.
@@ -33,6 +33,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", F.col("draws.shard").alias("shards"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find(spark, docs, table(spark, sf_dir, "benchmark"))
@@ -62,6 +66,7 @@ QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_mixing": op3_mixing,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op9_language_id": op9_language_id,
