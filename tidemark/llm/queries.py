@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, embeddings, langid, mixing, neardup, secrets, substrings
+from tidemark.llm import decontaminate, embeddings, langid, mixing, neardup, secrets, substrings, toxicity
 from tidemark.llm.store import held_out, staged, table, training_fold
 
 #: SQL with the same rows, for DuckDB.
@@ -37,6 +37,15 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(training_fold()))
+    return toxicity.score(docs, lexicon).select(
+        "doc_id", held_out().alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.3).cast("int").alias("predicted"), "toxic_terms",
+    )
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find(spark, docs, table(spark, sf_dir, "benchmark"))
@@ -67,6 +76,7 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_mixing": op3_mixing,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op9_language_id": op9_language_id,
