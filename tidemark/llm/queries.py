@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, embeddings, langid, mixing, neardup, secrets, substrings, toxicity
+from tidemark.llm import decontaminate, embeddings, html_text, langid, mixing, neardup, secrets, substrings, toxicity
 from tidemark.llm.store import held_out, staged, table, training_fold
 
 #: SQL with the same rows, for DuckDB.
@@ -37,6 +37,12 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    trees = html_text.train(html_text.derived_pages(pages))
+    return html_text.extract(pages.select("page_id", "url", "html"), trees).select("page_id", "url", "text", "n_chars")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(training_fold()))
@@ -76,6 +82,7 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_mixing": op3_mixing,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op6_html_extraction": op6_html_extraction,
     "op7_toxicity": op7_toxicity,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
