@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, embeddings, html_text, langid, mixing, neardup, secrets, substrings, toxicity
+from tidemark.llm import decontaminate, embeddings, html_text, langid, mixing, neardup, quality, secrets, substrings, toxicity
 from tidemark.llm.store import held_out, staged, table, training_fold
 
 #: SQL with the same rows, for DuckDB.
@@ -37,6 +37,15 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    learned = docs.join(trusted.filter(training_fold()), "doc_id", "left_semi")
+    scored = staged(quality.perplexity(spark, docs, learned).select("doc_id", "lang", "perplexity", "n_chars"), "scored")
+    judged = quality.judge(scored, trusted.filter(held_out()), size="n_chars")
+    return judged.select("doc_id", "perplexity", "highest", "kept")
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     trees = html_text.train(html_text.derived_pages(pages))
@@ -82,6 +91,7 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_mixing": op3_mixing,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_html_extraction": op6_html_extraction,
     "op7_toxicity": op7_toxicity,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
