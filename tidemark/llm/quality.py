@@ -185,7 +185,7 @@ def perplexity(spark: SparkSession, docs: DataFrame, trusted: DataFrame, text: s
 
 
 def judge(scored: DataFrame, unseen: DataFrame, key: str = "doc_id", size: str = "n_chars", lang: str = "lang",
-          high: float = 0.998, reach: float = 2.0) -> DataFrame:
+          high: float = 0.998, reach: float = 1.5) -> DataFrame:
     """``scored`` with ``highest`` and ``kept``: by quantiles over the ids ``unseen`` of trusted texts.
 
     The bound lies ``reach`` times as far from the median as the quantile ``high``, as a

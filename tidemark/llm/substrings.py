@@ -1,179 +1,312 @@
 """Substring dedup: relative Lempel-Ziv factors against earlier documents.
 
-The reference is every document with a smaller id; its index holds, for each run of 13 words
-that two different texts share, the earliest document with it.  A document is parsed greedily:
-a factor starts at the first indexed run and goes on while the following runs come from the
-same reference; where it ends, the run at the boundary is looked up anew.  Factors are 13
-words or longer; all words of the document that lie in one are removed.
-
-Only shared runs are indexed.  In every run of 13 words one of its ten 4-word runs is its
-anchor, the one with the lowest hash, so equal runs have equal anchors.  Anchors are a fifth of
-the words; those that occur in one text only are dropped after a count, and only the runs of
-the others are shuffled.  Runs are compared by 64-bit hashes.  Exact copies are found by text
-beforehand and removed whole, so a large group of copies costs one row for each copy.
+The reference is every document with a smaller id.  Its index holds the runs of 13 words that
+two different texts share, each with the earliest document that has it.  A document is
+parsed greedily: a factor starts at the first indexed run and goes on while the following runs
+come from the same reference; where it ends, the run at the boundary is looked up anew.
+Factors are 13 words or longer; all words that lie in one are removed.
+
+Only shared runs are indexed.  In every run of 13 words, one of its ten 4-word runs is its
+anchor, the one with the lowest hash, so equal runs have equal anchors; anchors are a fifth of
+the words.  Documents are dealt into chunks of bounded text.  A chunk sends its distinct
+anchors, sorted and packed, to the shards of the hash space; a shard answers which of them
+another text has as well.  The chunk then sends the distinct runs with such anchors, each
+with its smallest id, and gets the smallest id of all.  So a passage with a third of
+all documents costs one entry for each chunk.  Runs are compared by 64-bit hashes.
+Exact copies are found by text beforehand and removed whole.
 
 Edge cases: a null text and one without words have 0 words and keep the empty string.  Fewer
 than 13 words are never removed.  Rows of equal id are no reference for each other.  A row
-without id comes after all others and is a reference for none.  An empty table gives an
-empty table.
+without id comes after all others and is a reference for none.  Ids are integers.  An empty
+table gives an empty table.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.store import staged
-from tidemark.llm.words import U, Words, grams, lowest, mix, slices, split_words
+from tidemark.llm.words import U, Words, grams, lowest, slices, split_words
 
 ANCHOR = 4
-WORD = r"([^\x20\x09-\x0D]+)"
-
-
-def _anchors(words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every run of ``n`` words inside a row: its first word, its row, its anchor."""
-    runs = grams(words.hash, ANCHOR)
-    place = lowest(runs, n - ANCHOR + 1)
-    inside = np.flatnonzero(words.inside(n)) if len(words.hash) >= n else np.zeros(0, np.int64)
-    return inside, words.row[inside], runs[place[inside]] if len(inside) else np.zeros(0, U)
-
-
-def _lists(values: np.ndarray, row: np.ndarray, rows: int) -> pa.ListArray:
-    offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=rows))]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-
-
-def anchors_of(text, n: int):
-    """Column expression: the distinct anchors of a text."""
-
-    @F.arrow_udf("array<bigint>")
-    def run(column: pa.Array) -> pa.Array:
-        out = []
-        for part in slices(pa.record_batch([column], names=["text"]), "text"):
-            _, row, anchor = _anchors(split_words(part.column(0)), n)
-            order = np.lexsort((anchor, row))
-            row, anchor = row[order], anchor[order]
-            new = np.concatenate([[True], (row[1:] != row[:-1]) | (anchor[1:] != anchor[:-1])]) if len(row) else np.zeros(0, bool)
-            out.append(_lists(anchor[new].view(np.int64), row[new], part.num_rows))
-        return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int64()))
-
-    return run(text)
-
-
-def runs_of(text, shared, n: int):
-    """Column expression: place and hash of the runs of a text whose anchor is in ``shared``."""
-
-    @F.arrow_udf("struct<at:array<int>,h:array<bigint>>")
-    def run(column: pa.Array, wanted: pa.Array) -> pa.Array:
-        out = []
-        for part in slices(pa.record_batch([column, wanted], names=["text", "wanted"]), "text"):
-            words = split_words(part.column(0))
-            first, row, anchor = _anchors(words, n)
-            own = part.column(1)
-            values = np.asarray(own.flatten()).view(U)
-            of = np.repeat(np.arange(part.num_rows), np.diff(np.asarray(own.offsets)))
-            key = lambda a, r: mix(a + r.astype(U) * U(0x9E3779B97F4A7C15))
-            some = np.isin(key(anchor, row), key(values, of))
-            first, row = first[some], row[some]
-            hashes = grams(words.hash, n, 41)[first].view(np.int64)
-            at = (first - words.first[row]).astype(np.int32)
-            out.append(pa.StructArray.from_arrays([_lists(at, row, part.num_rows), _lists(hashes, row, part.num_rows)], ["at", "h"]))
-        return pa.concat_arrays(out) if out else pa.array([], pa.struct([("at", pa.list_(pa.int32())), ("h", pa.list_(pa.int64()))]))
-
-    return run(text, shared)
+#: Text of a chunk, and words of the corpus for each shard of the hash space.
+CHUNK_BYTES = 16 << 20
+SHARD_WORDS = 8_000_000
+_SLOT_BITS = 48
+_LAST = np.int64(2**63 - 1)  # stands for a missing id
+_REPLY = "chunk int, kind int, shard int, data binary, more binary"
+
+
+def _packed(values: np.ndarray, rising: bool) -> bytes:
+    """64-bit numbers, byte plane by byte plane; of rising ones the differences."""
+    if rising:
+        values = np.diff(values, prepend=U(0))
+    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _unpacked(data: bytes, rising: bool) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    values = np.ascontiguousarray(planes.T).view(U).ravel()
+    return np.cumsum(values, dtype=U) if rising else values
+
+
+def _bits(flags: np.ndarray) -> bytes:
+    return zstandard.compress(np.packbits(flags).tobytes(), 1)
+
+
+def _flags(data: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(zstandard.decompress(data), np.uint8), count=n).astype(bool)
+
+
+def _cuts(sorted_values: np.ndarray, bits: int, shards: int) -> np.ndarray:
+    """Where each shard's range of a sorted array begins and ends."""
+    edges = np.array([(i << bits) // shards for i in range(shards)] + [(1 << bits) - 1], dtype=U)
+    cuts = np.searchsorted(sorted_values, edges)
+    cuts[-1] = len(sorted_values)
+    return cuts
+
+
+@dataclass
+class Chunk:
+    """Rows of a chunk, the slots of the anchors of its texts, and those that another text has."""
+
+    table: pa.Table
+    ids: np.ndarray
+    copy_of: np.ndarray  # the earliest id with the same text, where that is another one
+    n: int
+
+    def slices(self):
+        """Pieces of the table with their first row."""
+        at = 0
+        for batch in self.table.combine_chunks().to_batches():
+            for part in slices(batch, "text"):
+                yield at, part
+                at += part.num_rows
+
+    def anchors(self, at: int, part: pa.RecordBatch) -> tuple[Words, np.ndarray, np.ndarray]:
+        """Words of a piece, the first words of the runs inside a row, and the slots of their anchors."""
+        words = split_words(part.column("text"))
+        runs = grams(words.hash, ANCHOR)
+        place = lowest(runs, self.n - ANCHOR + 1)
+        first = np.flatnonzero(words.inside(self.n)) if len(words.hash) >= self.n else np.zeros(0, np.int64)
+        own = self.copy_of[at : at + part.num_rows] == self.ids[at : at + part.num_rows]
+        first = first[own[words.row[first]]]  # whole copies need no index
+        return words, first, runs[place[first]] >> U(64 - _SLOT_BITS)
+
+    def slots(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct slots, sorted, and whether two different texts of the chunk have them."""
+        found, text = [], []
+        for at, part in self.slices():
+            words, first, slot = self.anchors(at, part)
+            new = np.concatenate([[True], (slot[1:] != slot[:-1]) | np.diff(words.row[first]).astype(bool)]) if len(slot) else np.zeros(0, bool)
+            found.append(slot[new])
+            text.append(np.asarray(part.column("th").cast(pa.int64()))[words.row[first][new]])
+        slot, text = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((found, U), (text, np.int64)))
+        if not len(slot):
+            return slot, np.zeros(0, bool)
+        order = np.lexsort((text, slot))
+        slot, text = slot[order], text[order]
+        start = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+        several = np.minimum.reduceat(text, start) != np.maximum.reduceat(text, start)
+        return slot[start], several
+
+    def runs(self, shared: np.ndarray):
+        """Per piece: its words, the first words of the runs with shared anchors, and their hashes."""
+        for at, part in self.slices():
+            words, first, slot = self.anchors(at, part)
+            place = np.minimum(np.searchsorted(shared, slot), max(0, len(shared) - 1))
+            first = first[shared[place] == slot] if len(shared) else first[:0]
+            yield at, part, words, first, grams(words.hash, self.n, 41)[first]
+
+    def index(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct hashes of those runs, sorted, each with the smallest id of the chunk."""
+        hashes, ids = [np.zeros(0, U)], [np.zeros(0, np.int64)]
+        for at, _, words, first, h in self.runs(shared):
+            hashes.append(h)
+            ids.append(self.ids[at + words.row[first]])
+        return _least(np.concatenate(hashes), np.concatenate(ids))
+
+
+def _least(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys, ids = keys[order], ids[order]
+    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[start], np.minimum.reduceat(ids, start) if len(keys) else ids
+
+
+def _chunk(docs: pa.Table, side: pa.Table, n: int) -> tuple[Chunk, dict[tuple[int, int], tuple[bytes, bytes]]]:
+    """The chunk, and the answers to it by kind and shard."""
+    ids = np.asarray(docs.column("id").fill_null(int(_LAST)).combine_chunks())
+    earliest = np.asarray(docs.column("earliest").fill_null(int(_LAST)).combine_chunks())
+    rows = side.to_pylist() if side is not None else []
+    return Chunk(docs, ids, np.minimum(ids, earliest), n), {(r["kind"], r["shard"]): (r["data"], r["more"]) for r in rows}
+
+
+def _shared_slots(chunk: Chunk, answers: dict, shards: int) -> np.ndarray:
+    slot, _ = chunk.slots()
+    cuts = _cuts(slot, _SLOT_BITS, shards)
+    keep = np.zeros(len(slot), bool)
+    for shard in range(shards):
+        if (1, shard) in answers:
+            keep[cuts[shard] : cuts[shard + 1]] = _flags(answers[1, shard][0], int(cuts[shard + 1] - cuts[shard]))
+    return slot[keep]
+
+
+def _sent(chunk: int, kind: int, keys: np.ndarray, bits: int, shards: int, more) -> pa.Table:
+    cuts = _cuts(keys, bits, shards)
+    full = [s for s in range(shards) if cuts[s + 1] > cuts[s]]
+    return pa.table({
+        "chunk": pa.array([chunk] * len(full), pa.int32()), "kind": pa.array([kind] * len(full), pa.int32()),
+        "shard": pa.array(full, pa.int32()), "data": pa.array([_packed(keys[cuts[s] : cuts[s + 1]], True) for s in full], pa.binary()),
+        "more": pa.array([more(slice(cuts[s], cuts[s + 1])) for s in full], pa.binary()),
+    })
+
+
+def _answer(group: pa.Table, kind: int, answers: list[bytes]) -> pa.Table:
+    return pa.table({
+        "chunk": group.column("chunk"), "kind": pa.array([kind] * len(group), pa.int32()), "shard": group.column("shard"),
+        "data": pa.array(answers, pa.binary()), "more": pa.array([None] * len(group), pa.binary()),
+    })
+
+
+def _which_are_shared(group: pa.Table) -> pa.Table:
+    """A shard's answer to each chunk: which of its slots two different texts have."""
+    sent = [_unpacked(d, True) for d in group.column("data").to_pylist()]
+    several = [_flags(d, len(s)) for d, s in zip(group.column("more").to_pylist(), sent, strict=True)]
+    slots, place, count = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
+    shared = count > 1
+    np.logical_or.at(shared, place, np.concatenate(several))
+    flags = np.split(shared[place], np.cumsum([len(s) for s in sent])[:-1])
+    return _answer(group, 1, [_bits(f) for f in flags])
+
+
+def _earliest_of_all(group: pa.Table) -> pa.Table:
+    """A shard's answer to each chunk: the smallest id that has each of its runs."""
+    sent = [_unpacked(d, True) for d in group.column("data").to_pylist()]
+    ids = [_unpacked(d, False).view(np.int64) for d in group.column("more").to_pylist()]
+    keys, least = _least(np.concatenate(sent), np.concatenate(ids))
+    return _answer(group, 2, [_packed(least[np.searchsorted(keys, s)].view(U), False) for s in sent])
+
+
+def parse(at: np.ndarray, source: np.ndarray, n: int) -> list[tuple[int, int, int]]:
+    """Factors ``(first word, words, source)`` from indexed runs: their places in order, and their references."""
+    if not len(at):
+        return []
+    start = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 1) | (np.diff(source) != 0)]))
+    end = np.append(start[1:], len(at)) - 1
+    return [(int(at[a]), int(at[b] - at[a] + n), int(source[a])) for a, b in zip(start, end, strict=True)]
 
 
-def parse(at: list[int], source: list, n: int) -> list[tuple[int, int, object]]:
-    """Factors ``(first word, words, source)`` from indexed runs: their places in order, and their references."""
-    factors: list[tuple[int, int, object]] = []
-    begin = None
-    for i, (place, ref) in enumerate(zip(at, source, strict=True)):
-        if begin is not None and place == at[i - 1] + 1 and ref == source[i - 1]:
-            continue
-        if begin is not None:
-            factors.append((at[begin], at[i - 1] - at[begin] + n, source[begin]))
-        begin = i
-    if begin is not None:
-        factors.append((at[begin], at[-1] - at[begin] + n, source[begin]))
-    return factors
-
-
-def cut_of(text, found, n: int, id_type: str):
-    """Column expression: what is left of a text after its factors are removed."""
-
-    @F.arrow_udf(f"struct<n_words:bigint,n_removed:bigint,kept_sha256:string,factors:array<struct<begin:int,words:int,source:{id_type}>>>")
-    def run(column: pa.Array, runs: pa.Array) -> pa.Array:
-        out = []
-        for part in slices(pa.record_batch([column, runs], names=["text", "runs"]), "text"):
-            words = split_words(part.column(0))
-            for row, indexed in enumerate(part.column(1).to_pylist()):
-                indexed = sorted(indexed or [], key=lambda x: x["at"])
-                factors = parse([x["at"] for x in indexed], [x["source"] for x in indexed], n)
-                a, b = int(words.first[row]), int(words.first[row + 1])
-                gone = np.zeros(b - a, bool)
-                for begin, size, _ in factors:
-                    gone[begin : begin + size] = True
-                kept = b" ".join(words.data[words.start[i] : words.end[i]].tobytes() for i in a + np.flatnonzero(~gone))
-                out.append({
-                    "n_words": b - a, "n_removed": int(gone.sum()), "kept_sha256": hashlib.sha256(kept).hexdigest(),
-                    "factors": [{"begin": f[0], "words": f[1], "source": f[2]} for f in factors],
-                })
-        return pa.array(out, shape)
-
-    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-    factor = pa.struct([("begin", pa.int32()), ("words", pa.int32()), ("source", kinds[id_type])])
-    shape = pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("factors", pa.list_(factor))])
-    return run(text, found)
-
-
-def remove_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 13) -> DataFrame:
+def _cut(chunk: Chunk, shared: np.ndarray, keys: np.ndarray, least: np.ndarray) -> pa.Table:
+    """What is left of every row of the chunk."""
+    counts, removed, digests, factors = [], [], [], []
+    nothing = hashlib.sha256(b"").hexdigest()
+    for at, part, words, first, h in chunk.runs(shared):
+        source = least[np.searchsorted(keys, h)] if len(h) else np.zeros(0, np.int64)
+        row = words.row[first]
+        earlier = source < chunk.ids[at + row]
+        first, row, source = first[earlier], row[earlier], source[earlier]
+        of_row = np.searchsorted(row, np.arange(part.num_rows + 1))
+        texts = part.column("text")
+        for i in range(part.num_rows):
+            a, b = int(words.first[i]), int(words.first[i + 1])
+            counts.append(b - a)
+            if b - a >= chunk.n and chunk.copy_of[at + i] != chunk.ids[at + i]:
+                removed.append(b - a)
+                digests.append(nothing)
+                factors.append([(0, b - a, int(chunk.copy_of[at + i]))])
+                continue
+            own = slice(of_row[i], of_row[i + 1])
+            found = parse(first[own] - a, source[own], chunk.n)
+            factors.append(found)
+            if not found:
+                removed.append(0)
+                digests.append(hashlib.sha256(b" ".join((texts[i].as_py() or "").encode().split())).hexdigest())
+                continue
+            gone = np.zeros(b - a, bool)
+            for begin, size, _ in found:
+                gone[begin : begin + size] = True
+            removed.append(int(gone.sum()))
+            kept = b" ".join(words.data[words.start[j] : words.end[j]].tobytes() for j in a + np.flatnonzero(~gone))
+            digests.append(hashlib.sha256(kept).hexdigest())
+    shape = pa.list_(pa.struct([("begin", pa.int32()), ("words", pa.int32()), ("source", pa.int64())]))
+    listed = [[{"begin": b, "words": w, "source": s} for b, w, s in f] for f in factors]
+    return pa.table({
+        "id": chunk.table.column("id"), "text_hash": chunk.table.column("th"), "n_words": pa.array(counts, pa.int64()),
+        "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(digests, pa.string()), "factors": pa.array(listed, shape),
+    })
+
+
+def remove_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 13, chunk_bytes: int = CHUNK_BYTES,
+                      shard_words: int = SHARD_WORDS) -> DataFrame:
     """``(key, text_hash, n_words, n_removed, kept_sha256, factors)``, one row for each row of ``docs``.
 
-    A whole copy of an earlier text has one factor, the whole text.
+    A factor is ``(first word, words, source id)``; a whole copy of an earlier text is one factor.
     """
-    docs = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).withColumn("th", F.xxhash64("text"))
-    id_type = docs.schema["id"].dataType.simpleString()
-    words = F.regexp_extract_all("text", F.lit(WORD), 1)
-    digest = F.struct(F.coalesce(F.size(words), F.lit(0)).alias("n"), F.sha2(F.coalesce(F.array_join(words, " "), F.lit("")), 256).alias("sha"))
-    whole = docs.withColumn("d", digest).select("id", "th", F.unhex(F.md5("text")).alias("same"), "d.n", "d.sha")
-    whole = staged(whole.withColumn("n", F.greatest("n", F.lit(0)).cast("long")), "digest")
-    earliest = whole.filter("same is not null").groupBy("same").agg(F.min("id").alias("earliest"))
-    whole = whole.join(earliest, "same", "left").withColumn(
-        "copy", F.coalesce((F.col("earliest") < F.col("id")) | (F.col("id").isNull() & F.col("earliest").isNotNull()), F.lit(False))
-    )
-
-    anchored = docs.select("id", "th", F.explode(anchors_of(F.col("text"), n)).alias("anchor"))
-    shared = anchored.groupBy("anchor").agg(F.min("th").alias("a"), F.max("th").alias("b")).filter("a <> b").select("anchor")
-    wanted = anchored.join(shared, "anchor").groupBy("id", "th").agg(F.collect_set("anchor").alias("shared"))
-    first = whole.filter("not copy").select(F.col("id").alias("fid"), F.col("th").alias("fth")).distinct()
-    wanted = wanted.join(first, F.col("id").eqNullSafe(F.col("fid")) & (F.col("th") == F.col("fth")), "left_semi")
-    wanted = wanted.select(F.col("id").alias("wid"), F.col("th").alias("wth"), "shared")
-    chosen = docs.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth")))
-    chosen = chosen.withColumn("runs", runs_of(F.col("text"), F.col("shared"), n))
-    chosen = staged(chosen.select(F.monotonically_increasing_id().alias("row"), "id", "th", "text", "runs.at", "runs.h"), "runs")
-
-    indexed = chosen.select("id", F.explode("h").alias("h")).groupBy("h").agg(
-        F.min("id").alias("source"), F.max("id").alias("last"), F.count_if(F.col("id").isNull()).alias("unnamed")
-    )
-    indexed = indexed.filter("source < last or (source is not null and unnamed > 0)").select("h", "source")
-    sought = chosen.select("row", "id", F.posexplode("h").alias("i", "h")).join(indexed, "h")
-    sought = sought.filter("source < id or id is null").groupBy("row").agg(F.collect_list(F.struct("i", "source")).alias("found"))
-    hit = chosen.select("row", "id", "th", "text", "at").join(sought, "row")
-    runs = F.transform("found", lambda f: F.struct(F.get("at", f["i"]).alias("at"), f["source"].alias("source")))
-    cut = hit.select("id", "th", cut_of(F.col("text"), runs, n, id_type).alias("c"))
-    cut = cut.select(F.col("id").alias("cid"), F.col("th").alias("cth"), "c").dropDuplicates(["cid", "cth"])
-
-    nothing = hashlib.sha256(b"").hexdigest()
-    gone = F.col("copy") & (F.col("n") >= n)
-    all_of_it = F.array(F.struct(F.lit(0).alias("begin"), F.col("n").cast("int").alias("words"), F.col("earliest").alias("source")))
-    joined = whole.join(cut, F.col("id").eqNullSafe(F.col("cid")) & F.col("th").eqNullSafe(F.col("cth")), "left")
-    return joined.select(
-        F.col("id").alias(key), F.col("th").alias("text_hash"), F.col("n").alias("n_words"),
-        F.when(gone, F.col("n")).otherwise(F.coalesce("c.n_removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(gone, nothing).otherwise(F.coalesce("c.kept_sha256", "sha")).alias("kept_sha256"),
-        F.when(gone, all_of_it).otherwise(F.coalesce("c.factors", F.array())).alias("factors"),
-    )
+    docs = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    docs = docs.withColumn("th", F.coalesce(F.xxhash64("text"), F.lit(0)))
+    sizes = staged(docs.select("id", "th", F.unhex(F.md5("text")).alias("same"), F.octet_length("text").alias("size")), "sizes")
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    chunks, shards = max(1, math.ceil(total / chunk_bytes)), max(1, math.ceil(total / 6 / shard_words))
+    dealt = F.pmod(F.xxhash64("id", "th"), F.lit(chunks)).cast("int").alias("chunk")
+    # Copies of an earlier text: as few rows as there are copies, sent to their chunks.
+    earliest = sizes.filter("same is not null").groupBy("same").agg(F.min("id").alias("earliest"))
+    copies = sizes.join(earliest, "same").filter("earliest < id or (id is null and earliest is not null)")
+    copies = staged(copies.select(dealt, F.col("id").alias("cid"), F.col("th").alias("cth"), "earliest").distinct(), "copies")
+    named = copies.select("chunk", F.lit(0).alias("kind"), F.lit(0).alias("shard"), F.lit(None).cast("binary").alias("data"),
+                          F.lit(None).cast("binary").alias("more"), "cid", "cth", "earliest")
+    rows = docs.select(dealt, "id", "th", "text")
+
+    def opened(left: pa.Table, right: pa.Table):
+        """The chunk with the earliest copies of its rows, and the answers that it got."""
+        is_copy = pa.compute.equal(right.column("kind"), 0)
+        known = right.filter(is_copy)
+        of = dict(zip(zip(known.column("cid").to_pylist(), known.column("cth").to_pylist(), strict=True), known.column("earliest").to_pylist(), strict=True))
+        pairs = zip(left.column("id").to_pylist(), left.column("th").to_pylist(), strict=True)
+        left = left.append_column("earliest", pa.array([of.get(p) for p in pairs], pa.int64()))
+        return _chunk(left, right.filter(pa.compute.invert(is_copy)), n)
+
+    def joined(answers: DataFrame | None, run, schema: str) -> DataFrame:
+        """``run`` of every chunk, with what is known about it so far."""
+        side = named
+        if answers is not None:
+            none = [F.lit(None).cast("long").alias(c) for c in ("cid", "cth", "earliest")]
+            side = named.unionByName(answers.select("chunk", "kind", "shard", "data", "more", *none))
+        side = side.withColumnRenamed("chunk", "to")
+        return rows.groupBy("chunk").cogroup(side.groupBy("to")).applyInArrow(run, schema)
+
+    def send_slots(left: pa.Table, right: pa.Table) -> pa.Table:
+        chunk, _ = opened(left, right)
+        slot, several = chunk.slots()
+        number = left.column("chunk")[0].as_py() if len(left) else 0
+        return _sent(number, 1, slot, _SLOT_BITS, shards, lambda s: _bits(several[s]))
+
+    def send_runs(left: pa.Table, right: pa.Table) -> pa.Table:
+        chunk, answers = opened(left, right)
+        keys, ids = chunk.index(_shared_slots(chunk, answers, shards))
+        number = left.column("chunk")[0].as_py() if len(left) else 0
+        return _sent(number, 2, keys, 64, shards, lambda s: _packed(ids[s].view(U), False))
+
+    def finish(left: pa.Table, right: pa.Table) -> pa.Table:
+        chunk, answers = opened(left, right)
+        shared = _shared_slots(chunk, answers, shards)
+        keys, _ = chunk.index(shared)
+        least = [_unpacked(answers[2, s][0], False).view(np.int64) for s in range(shards) if (2, s) in answers]
+        return _cut(chunk, shared, keys, np.concatenate(least) if least else np.zeros(0, np.int64))
+
+    slots = staged(joined(None, send_slots, _REPLY), "slots")
+    first = staged(slots.groupBy("shard").applyInArrow(_which_are_shared, _REPLY), "answers")
+    runs = staged(joined(first, send_runs, _REPLY), "runs")
+    second = staged(runs.groupBy("shard").applyInArrow(_earliest_of_all, _REPLY), "answers")
+    result = "id bigint, text_hash bigint, n_words bigint, n_removed bigint, kept_sha256 string, " \
+             "factors array<struct<begin:int,words:int,source:bigint>>"
+    return joined(first.unionByName(second), finish, result).withColumnRenamed("id", key)
