@@ -177,7 +177,8 @@ def _plan(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
     dealt = drawn.groupBy("name", "block").agg(draws, last)
     return (
         blocks.join(wanted, "name").join(dealt, ["name", "block"], "left")
-        .select("name", "block", "source_size", "target", "full", F.coalesce("extra", F.lit(0)).alias("extra"), "draws")
+        .select("name", "block", "source_size", "target", "full", F.coalesce("extra", F.lit(0)).alias("extra"),
+                F.coalesce("draws", F.array().cast("array<struct<pass:bigint,shard:int>>")).alias("draws"))
     )
 
 

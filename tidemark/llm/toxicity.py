@@ -147,8 +147,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """Learn from at most ``per_class`` labelled texts of each kind."""
     known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(label).cast("int").alias("label"))
     picked = [smallest_by_hash(known.filter(F.col("label") == kind).distinct(), per_class, "k", seed=3) for kind in (0, 1)]
-    sample = docs.filter(F.col(text).isNotNull()).join(F.broadcast(picked[0].union(picked[1])), F.col(key) == F.col("k"))
-    sample = sample.select(F.col(text).alias("text"), "label").dropDuplicates(["text"])
+    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).filter("text is not null")
+    # At most 2 * per_class short rows are broadcast.
+    sample = texts.join(F.broadcast(picked[0].union(picked[1])), "k").select("text", "label").dropDuplicates(["text"])
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     n_other, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not n_other or not n_toxic:
