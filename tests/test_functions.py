@@ -114,3 +114,26 @@ def test_prune_reaches_any_depth():
 def test_payload_as_text(spark):
     out = apply(spark, payload_as_text, ['{"id":"1","payload":{"a":[1,{"b":"x"}]},"public":true}', "broken"], "string")
     assert out == ['{"id":"1","payload":"{\\"a\\":[1,{\\"b\\":\\"x\\"}]}","public":true}', None]
+
+
+def test_pruning_has_no_depth_limit_and_keeps_odd_text():
+    deep = '{"a":' * 5000 + '{"u":"https://x","b":1}' + "}" * 5000
+    assert prune_text(deep) == '{"a":' * 5000 + '{"b":1}' + "}" * 5000
+    assert prune_text("[" * 5000 + "]" * 5000) == "[" * 5000 + "]" * 5000
+    assert prune_text('{"m":"cut \\ud83d","e":"\\u00e9"}') == '{"m":"cut \\ud83d","e":"é"}'
+    assert prune_text('{"x":1e400,"k":1,"k":2, "n" : [ {} , "http://a" ] }') == '{"x":1e400,"k":1,"k":2,"n":[{},"http://a"]}'
+    for broken in ("NaN", "[NaN]", '{"a":1,}', "[1,]", "[1 2]", '{"a"}', "{", "]", "", '"\n"', "1 2", "{1:2}", '{"a":1]', "01", "nul"):
+        assert prune_text(broken) is None
+    for plain in ("1", ' "a" ', "null", "[]", "{}", "-500.0"):
+        assert prune_text(plain) == plain.strip()
+
+
+def test_lone_surrogates_survive_the_job(spark):
+    frame = spark.createDataFrame([('{"m":"cut \\ud83d","l":"http://x"}',), (None,), ("broken",)], "t string")
+    assert [r[0] for r in frame.select(prune_json(F.col("t"))).collect()] == ['{"m":"cut \\ud83d"}', None, None]
+
+
+def test_offsets_become_utc(spark):
+    texts = ["2012-03-10T22:56:10-08:00", "2023-05-02T07:11:05Z", "2023-05-02T07:11:05+0530", "2023-05-02T07:11:05", "2023-05-02", "no"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").select(hour_key(parse_utc(F.col("t"))))
+    assert [r[0] for r in frame.collect()] == ["2012-03-11-06", "2023-05-02-07", "2023-05-02-01", "2023-05-02-07", "2023-05-02-00", None]

@@ -5,6 +5,7 @@ import json
 import re
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark import __main__ as command
@@ -14,7 +15,7 @@ from tidemark.plans.jobs import (
 )
 from tidemark.operators.events import recent
 from tidemark.plans.results import JOBS, RESULTS
-from tidemark.sinks.publish import FileTarget
+from tidemark.sinks.publish import CatalogTarget, FileTarget, publish, stored_rows
 from tidemark.sources.files import tail_lines
 
 
@@ -98,7 +99,7 @@ def test_rounds(spark, tmp_path):
         analyse(house.inputs(), lambda name: [FileTarget(str(published / name))], datetime(2024, 2, 1))
 
     def rows(name, *columns):
-        return spark.read.parquet(str(published / name)).select(*columns).distinct().collect()
+        return spark.read.parquet(str(published / name)).select(*columns).collect()
 
     assert sorted(p.name for p in published.iterdir()) == sorted(n for names in JOBS.values() for n in names)
     assert [tuple(r) for r in rows("eventCount", "pushEventCount", "issuesEventCount", "created_at")] == [(3, 1, datetime(2024, 1, 1, 6))]
@@ -107,7 +108,7 @@ def test_rounds(spark, tmp_path):
     assert sorted(tuple(r) for r in rows("topActiveUser", "login", "followers", "activity_cnt")) == [("u0", 5, 1), ("u1", 60, 1), ("u2", 7, 1)]
     assert [tuple(r) for r in rows("topActiveRegion", "location", "activity_cnt")] == [("There", 3)]
     assert [tuple(r) for r in rows("topLanguage", "language", "activity_cnt")] == [("Go", 3)]
-    assert spark.read.parquet(str(published / "eventCount")).count() == 2
+    assert spark.read.parquet(str(published / "eventCount")).count() == 1
 
 
 def test_prepare_prunes_and_keeps_broken_lines(spark, tmp_path):
@@ -115,9 +116,50 @@ def test_prepare_prunes_and_keeps_broken_lines(spark, tmp_path):
     archive.mkdir()
     with gzip.open(archive / "2024-01-01-5.json.gz", "wt") as f:
         f.write('{"id":"1","actor":{"url":"https://x","id":3},"tags":[]}\nbroken\n')
-    prepare(spark, str(archive), str(tmp_path / "landing"))
-    lines = {r["value"] for r in spark.read.text(str(tmp_path / "landing")).collect()}
-    assert lines == {'{"id":"1","actor":{"id":3}}', "broken"}
+    for _ in range(2):
+        prepare(spark, str(archive), str(tmp_path / "landing"), partitions=2)
+    lines = sorted(r["value"] for r in spark.read.text(str(tmp_path / "landing")).collect())
+    assert lines == ["broken", '{"id":"1","actor":{"id":3}}']
+
+
+def test_lines_that_are_no_events_are_rejected(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    nameless = event(1, "PushEvent", 5, push_id=1).replace('"id": "1", "type"', '"type"')
+    (landing / "5.json").write_text("\n".join([event(0, "PushEvent", 5, push_id=0), "{cut", nameless, nameless]))
+    house = Warehouse(spark, str(tmp_path / "house"))
+    for _ in range(2):
+        land(house, str(landing))
+        split_landed(house, loaded_at=1.0)
+    rejects = spark.read.parquet(house.path("rejects")).collect()
+    assert house.fact("pushTable").count() == 1 and len(rejects) == 3
+    assert {r["value"] for r in rejects if r["reason"] == "broken"} == {"{cut"}
+    assert all("push_id" in r["value"] for r in rejects if r["reason"] == "no id")
+
+
+def test_repeated_load_keeps_its_rows(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    loads = [("a", users(spark, 1, (0, 5), (1, 6))), ("a", users(spark, 1, (0, 5), (1, 6))), ("b", users(spark, 1, (0, 5), (1, 6), (2, 7)))]
+    for load, source in [*loads, loads[0], ("c", users(spark, 2, (1, 60)))]:
+        sync_table(house, "users", source, load)
+    rows = [(r["load_id"], r["id"], r["followers"]) for r in house.table("users").collect()]
+    assert sorted(rows) == [("a", 0, 5), ("a", 1, 6), ("b", 2, 7), ("c", 1, 60)]
+
+
+def test_publishing_again_after_a_stop_between_two_targets(spark, tmp_path):
+    first, table = FileTarget(str(tmp_path / "files")), CatalogTarget("published_twice")
+
+    class Stops:
+        def write(self, df, as_of):
+            raise RuntimeError("stopped")
+
+    frame = spark.range(3)
+    with pytest.raises(RuntimeError):
+        publish(frame, [first, table, Stops()], as_of=datetime(2024, 2, 1))
+    publish(frame, [first, table], as_of=datetime(2024, 2, 1))
+    assert spark.read.parquet(first.path).count() == 3 and stored_rows(spark, table) == 3
+    publish(frame, [first, table], as_of=datetime(2024, 2, 2))
+    assert spark.read.parquet(first.path).count() == 6 and stored_rows(spark, table) == 6
 
 
 def test_upsert_versions(spark, tmp_path):
@@ -142,7 +184,7 @@ def test_live_counts_each_batch(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     back = spark.read.parquet(target.path)
-    assert back.columns == ["type", "count", "updated_at"]
+    assert back.columns == ["type", "count", "updated_at", "batch_id"]
     assert [(r["type"], r["count"]) for r in back.collect()] == [("PushEvent", 2)]
 
 

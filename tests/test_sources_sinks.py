@@ -7,7 +7,7 @@ import pytest
 
 from tidemark.sinks.publish import CatalogTarget, ConnectorTarget, FileTarget, publish, stored_rows
 from tidemark.sources import connectors as C
-from tidemark.sources.files import few_partitions, read_activity, read_text, spread
+from tidemark.sources.files import read_activity, read_text
 from tidemark.sources.marks import EPOCH, read_mark, write_mark
 
 LINE = (
@@ -27,13 +27,10 @@ def test_activity_from_plain_and_gzip_lines(spark, tmp_path):
     assert rows["1"]["public"] == "true"
 
 
-def test_spread_only_touches_narrow_scans(spark, tmp_path):
-    (tmp_path / "one.txt").write_text("x\n" * 100)
-    narrow = read_text(spark, str(tmp_path))
-    assert few_partitions(narrow)
-    assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, 64)
-    assert spread(wide) is wide
+def test_lines_are_dealt_only_when_asked(spark, tmp_path):
+    (tmp_path / "a.json").write_text("{}\n" * 50)
+    plan = lambda **options: read_text(spark, str(tmp_path), **options)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan() and "RoundRobin" in plan(partitions=5)
 
 
 def test_marks(spark, tmp_path):

@@ -12,9 +12,11 @@ from tidemark.functions.json_text import payload_as_text, prune_json
 from tidemark.functions.text import quoted_list
 from tidemark.functions.time import day_key, floor_hour, hour_key, parse_utc
 from tidemark.operators import dedupe, dims, events, facts, hours, issues, ledger, profiles, rankings, text
+from tidemark.plans import jobs
+from tidemark.schemas import LANDED_EVENT
 from tidemark.session import new_run_dir
 from tidemark.sinks.publish import FileTarget, publish
-from tidemark.sources.files import parse_lines, read_activity, spread
+from tidemark.sources.files import parse_lines, read_activity
 
 # Dates that divide the user and repository histories into stored and incoming
 # parts; the parts overlap so that older, equal and newer versions all occur.
@@ -31,11 +33,11 @@ def _hour(s, d):
 
 
 def _lines(s, d):
-    return V.activity_lines(V.view(s, d, "activity", wide=True))
+    return V.activity_lines(V.view(s, d, "activity"))
 
 
 def _ods(s, d):
-    return V.ods_rows(V.view(s, d, "activity", wide=True))
+    return V.ods_rows(V.view(s, d, "activity"))
 
 
 def _facts(s, d):
@@ -189,17 +191,17 @@ def upsert_repos(s: SparkSession, d: str) -> DataFrame:
 
 def topics_list(s: SparkSession, d: str) -> DataFrame:
     doc = F.from_json("doc", "id bigint, topics array<string>")
-    docs = V.repo_docs(spread(V.table(s, d, "part"))).select(doc.alias("doc"))
+    docs = V.repo_docs(V.table(s, d, "part")).select(doc.alias("doc"))
     return docs.select("doc.id", quoted_list(F.col("doc.topics")).alias("topics"))
 
 
 def _edges(s, d):
-    return dims.follow_edges(V.follow_docs(spread(V.table(s, d, "lineitem"))))
+    return dims.follow_edges(V.follow_docs(V.table(s, d, "lineitem")))
 
 
 def follow_edges_insert(s: SparkSession, d: str) -> DataFrame:
     lineitem = V.table(s, d, "lineitem").where(F.col("l_returnflag") == "R")
-    stored = dims.follow_edges(V.follow_docs(spread(lineitem)))
+    stored = dims.follow_edges(V.follow_docs(lineitem))
     return dims.insert_new(_edges(s, d), stored, ["follower_id", "following_id"])
 
 
@@ -210,7 +212,7 @@ def missing_hours(s: SparkSession, d: str) -> DataFrame:
 
 
 def pruned_pages(s: SparkSession, d: str) -> DataFrame:
-    return V.page_docs(spread(V.table(s, d, "pages"))).select("page_id", prune_json(F.col("doc")).alias("doc"))
+    return V.page_docs(V.table(s, d, "pages")).select("page_id", prune_json(F.col("doc")).alias("doc"))
 
 
 def payload_text(s: SparkSession, d: str) -> DataFrame:
@@ -230,12 +232,50 @@ def publish_fanout(s: SparkSession, d: str) -> DataFrame:
     publish(trend, targets, as_of=datetime(2024, 2, 1))
     back = [
         s.read.schema("hour timestamp_ntz, type string, events bigint, change bigint").format(t.format).load(t.path)
-        .select("*", F.lit(t.format).alias("target"))
+        .drop("as_of").select("*", F.lit(t.format).alias("target"))
         for t in targets
     ]
     return back[0].unionByName(back[1])
 
 
+def publish_repeated(s: SparkSession, d: str) -> DataFrame:
+    """One result published twice for the same moment: the folder holds it once."""
+    target = FileTarget(f"{new_run_dir(s, 'publish-repeated')}/trend")
+    for _ in range(2):
+        publish(events.event_trend(_activity(s, d)), [target], as_of=datetime(2024, 2, 1))
+    return s.read.parquet(target.path).select("hour", "type", "events", "change")
+
+
+def sync_repeated(s: SparkSession, d: str) -> DataFrame:
+    """A dimension synced in two rounds, the first of them repeated after the second."""
+    house = jobs.Warehouse(s, new_run_dir(s, "sync"))
+    history = _user_history(s, d)
+    for source, load in ((_before(history), "a"), (history, "b"), (_before(history), "a")):
+        jobs.sync_table(house, "users", source, load)
+    return s.read.schema(f"{_ddl(history)}, load_id string").parquet(house.path("users"))
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in df.schema)
+
+
+def land_rejects(s: SparkSession, d: str) -> DataFrame:
+    """Lines landed from files of which some are cut off and some have no id: every one is an event or a reject."""
+    path = new_run_dir(s, "rejects")
+    n = F.get_json_object("value", "$.id").cast("bigint")
+    cut = F.when(n % 50 == 0, F.substring("value", 1, 30)).when(n % 50 == 1, F.regexp_replace("value", r'^\{"id":"\d+",', "{"))
+    _lines(s, d).select(F.coalesce(cut, "value").alias("value")).write.text(f"{path}/landing")
+    house = jobs.Warehouse(s, f"{path}/house")
+    jobs.land(house, f"{path}/landing")
+    landed = s.read.schema(LANDED_EVENT).parquet(house.path("ods"))
+    kept = landed.where("id is not null").select(F.lit("event").alias("reason"))
+    return kept.unionAll(dedupe.rejected(landed).select("reason")).groupBy("reason").agg(F.count("*").alias("lines"))
+
+
+def _recent_activity(s, d):
+    return rankings.activity_per(events.recent(_activity(s, d), 10), "actor_id")
+
+
 QUERIES = {
     "ods_scan": ods_scan,
     "ods_json_files": json_files,
@@ -280,8 +320,8 @@ QUERIES = {
     "advance_watermark": advance_watermark,
     "upsert_users": upsert_users,
     "upsert_repos": upsert_repos,
-    "flatten_users": lambda s, d: dims.flatten_users(V.user_docs(V.view(s, d, "users", wide=True))),
-    "flatten_repos": lambda s, d: dims.flatten_repos(V.repo_docs(spread(V.table(s, d, "part")))),
+    "flatten_users": lambda s, d: dims.flatten_users(V.user_docs(V.view(s, d, "users"))),
+    "flatten_repos": lambda s, d: dims.flatten_repos(V.repo_docs(V.table(s, d, "part"))),
     "topics_list": topics_list,
     "follow_edges": _edges,
     "follow_edges_insert": follow_edges_insert,
@@ -292,4 +332,9 @@ QUERIES = {
     "prune_json": pruned_pages,
     "payload_as_text": payload_text,
     "publish_fanout": publish_fanout,
+    "publish_repeated": publish_repeated,
+    "sync_repeated": sync_repeated,
+    "land_rejects": land_rejects,
+    "top_regions_recent": lambda s, d: rankings.active_regions(_recent_activity(s, d), _user_history(s, d), V.USER_ORDER),
+    "top_companies_recent": lambda s, d: rankings.active_companies(_recent_activity(s, d), _user_history(s, d), V.USER_ORDER),
 }

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.bindings import views as V
 from tidemark.operators.text import word_count
 from tidemark.session import new_run_dir
-from tidemark.sources.files import few_partitions, tail_table
+from tidemark.sources.files import tail_table
 from tidemark.streaming import records, writers
 
 
@@ -17,15 +17,8 @@ def _tail(s: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def _log(s: SparkSession, d: str) -> DataFrame:
-    """Events as the records of a message log: a binary ``value`` per record.
-
-    A table of few files is spread over the cores before the records are
-    rendered and parsed; a topic has its partitions, or ``minPartitions``.
-    """
-    tail = _tail(s, d, "events")
-    if few_partitions(V.table(s, d, "events")):
-        tail = tail.repartition(s.sparkContext.defaultParallelism)
-    activity = V.spark_view(s, "activity", events=tail)
+    """Events as the records of a message log: a binary ``value`` per record."""
+    activity = V.spark_view(s, "activity", events=_tail(s, d, "events"))
     return V.activity_lines(activity).select(F.col("value").cast("binary").alias("value"))
 
 
@@ -43,8 +36,8 @@ def parse_flatten(s: SparkSession, d: str) -> DataFrame:
 
 def event_window_count(s: SparkSession, d: str) -> DataFrame:
     flat = records.flatten_records(records.parse_records(_log(s, d)))
-    counted = records.window_counts(flat)
-    return _run(counted, new_run_dir(s, "window-count")).drop(writers.BATCH)
+    batches = _run(records.window_counts(flat), new_run_dir(s, "window-count"), mode="update")
+    return writers.newest_per_key(batches, ["window_start", "window_end", "type"], "events")
 
 
 def event_running_count(s: SparkSession, d: str) -> DataFrame:

@@ -113,8 +113,9 @@ def _per(key: str, where: str = "") -> str:
     )
 
 
-def _ranking(select: str, key: str, history: str, newest: str, hourly: bool) -> str:
+def _ranking(select: str, key: str, history: str, newest: str, hourly: bool, minutes: int = 0) -> str:
     where = f"AND {IN_HOUR}" if hourly else ""
+    where += f" AND ts > (SELECT max(ts) FROM events) - INTERVAL {minutes} MINUTE" if minutes else ""
     return ctes("activity", history, hour=HOUR, cur=newest, cnt=_per(key, where)) + select
 
 
@@ -311,13 +312,19 @@ SQL = {
     "payload_as_text": _A + f"SELECT {_ID}, TRUE AS public, actor_id, {_PAYLOAD['payload_action']} AS action FROM activity",
     "publish_fanout": ctes("activity", trend=_TREND) + """SELECT hour, type, events, change, 'parquet' AS target FROM trend
         UNION ALL SELECT hour, type, events, change, 'json' FROM trend""",
+    "publish_repeated": ctes("activity", trend=_TREND) + "SELECT hour, type, events, change FROM trend",
+    "sync_repeated": ctes("user_history") + f"""SELECT *, CASE WHEN updated_at < TIMESTAMP '{STORED_BEFORE}' THEN 'a' ELSE 'b' END AS load_id
+        FROM user_history""",
+    "land_rejects": _A + """SELECT CASE id % 50 WHEN 0 THEN 'broken' WHEN 1 THEN 'no id' ELSE 'event' END AS reason,
+        count(*) AS lines FROM activity GROUP BY 1""",
+    "top_regions_recent": _ranking(_REGIONS, "actor_id", "user_history", _USER_NEWEST, False, 10),
+    "top_companies_recent": _ranking(_COMPANIES, "actor_id", "user_history", _USER_NEWEST, False, 10),
     "ingest_files_once": "SELECT event_id, ts, user_id, event_type, CAST(ts AS DATE) AS event_date FROM events",
     "stream_parse_flatten": _A + f"""SELECT {_ID}, type, actor_id, concat('user-', actor_id, {_BOT_SUFFIX}) AS actor_login,
         repo_id, concat('o/repo-', repo_id) AS repo_name, concat('https://example.org/repos/', repo_id) AS repo_url,
         date_trunc('second', ts) AS ts FROM activity""",
     "stream_event_window_count": _A + """SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, type, events FROM
-        (SELECT date_trunc('hour', ts) AS window_start, type, count(*) AS events FROM activity GROUP BY 1, 2) w
-        WHERE window_start + INTERVAL 1 HOUR <= (SELECT date_trunc('second', max(ts)) FROM events) - INTERVAL 1 MINUTE""",
+        (SELECT date_trunc('hour', ts) AS window_start, type, count(*) AS events FROM activity GROUP BY 1, 2) w""",
     "stream_event_running_count": _TYPE_COUNTS,
     "stream_batch_count": _TYPE_COUNTS,
     "stream_word_count": _WORDS,

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import iso_utc
-from tidemark.sources.files import spread
 
 SPARK_JSON_K = "get_json_object(props, '$.k')"
 ANSI_JSON_K = "json_extract_string(props, '$.k')"
@@ -115,10 +114,9 @@ def spark_view(spark: SparkSession, name: str, **tables: DataFrame) -> DataFrame
     return spark.sql(VIEWS[name].replace("JSON_K", SPARK_JSON_K), **tables)
 
 
-def view(spark: SparkSession, sf_dir: str, name: str, wide: bool = False) -> DataFrame:
-    """A view over the provided tables; ``wide`` spreads a narrow scan for costly row work."""
-    tables = {n: table(spark, sf_dir, n) for n in set(_TABLE.findall(VIEWS[name]))}
-    return spark_view(spark, name, **{n: spread(t) if wide else t for n, t in tables.items()})
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A view over the provided tables."""
+    return spark_view(spark, name, **{n: table(spark, sf_dir, n) for n in set(_TABLE.findall(VIEWS[name]))})
 
 
 def ctes(*names: str, **more: str) -> str:

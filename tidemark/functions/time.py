@@ -11,8 +11,10 @@ ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def parse_utc(iso: Column) -> Column:
-    """``2023-05-02T07:11:05Z`` as a timestamp; NULL when it does not parse."""
-    return iso.try_cast("timestamp_ntz")
+    """``2023-05-02T07:11:05Z`` as UTC wall-clock time, other offsets converted; NULL when it does not parse."""
+    moment = iso.try_cast("timestamp").cast("timestamp_ntz")
+    shifted = F.convert_timezone(F.current_timezone(), F.lit("UTC"), moment)
+    return F.when(iso.rlike(r"T.*[+-]\d\d(:?\d\d)?$"), shifted).otherwise(iso.try_cast("timestamp_ntz"))
 
 
 def iso_utc(ts: Column) -> Column:

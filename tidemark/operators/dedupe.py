@@ -14,10 +14,19 @@ def dedupe_events(events: DataFrame, key: str = "id", order: Sequence[str] | Non
     """One row per event id: the first by ``order``, by default over all other columns.
 
     Copies collapse in a partial aggregate before the shuffle, so an id copied
-    any number of times still sends one row per task.
+    any number of times still sends one row per task.  Records without an id
+    are copies of each other only where all columns are equal.
     """
     order = order or [name for name in events.columns if name != key]
-    return first_snapshot(events, order, key).select(*events.columns)
+    named = first_snapshot(events.where(F.col(key).isNotNull()), order, key).select(*events.columns)
+    return named.unionAll(events.where(F.col(key).isNull()).distinct())
+
+
+def rejected(landed: DataFrame, key: str = "id", broken: str = "broken") -> DataFrame:
+    """Landed lines that are no events, as ``(reason, value)``: broken text, or a record without id."""
+    record = F.to_json(F.struct(*[c for c in landed.columns if c not in (broken, "event_date")]))
+    reason = F.when(F.col(broken).isNotNull(), "broken").when(F.col(key).isNull(), "no id")
+    return landed.select(reason.alias("reason"), F.coalesce(broken, record).alias("value")).where("reason is not null")
 
 
 def new_events(incoming: DataFrame, stored: DataFrame, key: str = "id", date: str = "event_date") -> DataFrame:
@@ -29,7 +38,8 @@ def new_events(incoming: DataFrame, stored: DataFrame, key: str = "id", date: st
     first = incoming.agg(F.min(date)).scalar()
     last = incoming.agg(F.max(date)).scalar()
     window = stored.where(F.col(date).between(first, last) | F.col(date).isNull())
-    return insert_new(dedupe_events(incoming, key), window, [key])
+    # Without an id nothing tells a repeated record from another one: such records are rejected, not appended.
+    return insert_new(dedupe_events(incoming.where(F.col(key).isNotNull()), key), window, [key])
 
 
 def distinct_activity(activity: DataFrame) -> DataFrame:

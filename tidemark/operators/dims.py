@@ -95,9 +95,10 @@ def first_snapshot(
     return _one_per_key(F.min, history, order, key, keep)
 
 
-def changed_since(source: DataFrame, mark, version: str = "updated_at") -> DataFrame:
-    """Rows strictly newer than the mark; the comparison is pushed to the source."""
-    return source.where(F.col(version) > F.lit(mark).cast("timestamp_ntz"))
+def changed_since(source: DataFrame, mark, version: str = "updated_at", inclusive: bool = False) -> DataFrame:
+    """Rows newer than the mark, or as new; the comparison is pushed to the source."""
+    since = F.lit(mark).cast("timestamp_ntz")
+    return source.where(F.col(version) >= since if inclusive else F.col(version) > since)
 
 
 def next_mark(increment: DataFrame, mark, version: str = "updated_at") -> DataFrame:

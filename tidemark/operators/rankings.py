@@ -50,8 +50,11 @@ def _ranked(df: DataFrame, ties: Sequence[str], k: int | None) -> DataFrame:
 
 
 def _with_current(counts: DataFrame, dim: DataFrame, columns: Sequence[str], order: Order) -> DataFrame:
-    current = dim.select("id", *columns) if order is None else latest_snapshot(dim, order, keep=columns)
-    return counts.join(current, "id")
+    if order is None:
+        return counts.join(dim.select("id", *columns), "id")
+    # Only the history of the counted keys is reduced, a small part of it for the active keys of an hour.
+    history = dim.join(counts.select("id"), "id", "left_semi")
+    return counts.join(latest_snapshot(history, order, keep=columns), "id")
 
 
 def _totals(df: DataFrame, value: Column, name: str, k: int | None) -> DataFrame:

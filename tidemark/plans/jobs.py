@@ -12,17 +12,19 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.json_text import prune_json
 from tidemark.functions.time import parse_utc
-from tidemark.operators.dedupe import new_events
+from tidemark.operators.dedupe import new_events, rejected
 from tidemark.operators.dims import changed_since, latest_snapshot, merge_newest, next_mark
 from tidemark.operators.facts import FACT_SPECS, ISSUE_COLUMNS, fact, issue_snapshots, split_facts, time_dim
 from tidemark.operators.hours import latest_loaded_hour
 from tidemark.plans.results import CURRENT_REPO, CURRENT_USER, JOBS, RESULTS, Inputs
 from tidemark.schemas import LANDED_EVENT, RAW_EVENT
+from tidemark.session import ship_package
 from tidemark.sinks.publish import FileTarget, balanced, publish, staged
-from tidemark.sources.files import read_text, spread, tail_activity
+from tidemark.sources.files import read_text, tail_activity
 from tidemark.sources.marks import path_exists, read_mark, write_mark
 from tidemark.streaming.records import flatten_records, parse_records, type_counts
 from tidemark.streaming.writers import land_files, write_target
@@ -82,14 +84,20 @@ class Warehouse:
         )
 
 
-def prepare(spark: SparkSession, archive: str, directory: str) -> None:
-    """Prune an archive (JSON lines, plain or gzip) into a landing folder.
+def prepare(spark: SparkSession, archive: str, directory: str, partitions: int | None = None) -> None:
+    """Prune an archive (JSON lines, plain or gzip) into a folder of its own under the landing folder.
 
-    A line that is not JSON is passed on as it is, so that nothing is lost.
+    A line that is not JSON is passed on as it is, so that nothing is lost.  An
+    archive that was prepared to the end is not written again; ``partitions``
+    deals the lines of a gzip archive over so many tasks.
     """
-    lines = spread(read_text(spark, archive))
+    ship_package(spark)
+    out = f"{directory}/archive={archive.rstrip('/').rpartition('/')[2]}"
+    if path_exists(spark, f"{out}/_SUCCESS"):
+        return
+    lines = read_text(spark, archive, partitions)
     pruned = lines.select(F.coalesce(prune_json(F.col("value")), F.col("value")).alias("value"))
-    pruned.write.mode("append").text(directory)
+    pruned.write.mode("overwrite").text(out)
 
 
 def land(house: Warehouse, directory: str, **options: str) -> None:
@@ -101,15 +109,16 @@ def land(house: Warehouse, directory: str, **options: str) -> None:
 
 
 def split(house: Warehouse, raw: DataFrame, load_id: str, loaded_at: float) -> None:
-    """Turn one increment of raw records into facts, issue snapshots and a time row.
+    """Turn one increment of raw records into facts, issue snapshots, a time row and rejects.
 
     Facts and issue snapshots are each appended by event id, so what an earlier
-    or interrupted round has stored is skipped; the time row of a load replaces
-    that of an earlier attempt with the same ``load_id``.
+    or interrupted round has stored is skipped; the time row and the rejects of
+    a load replace those of an earlier attempt with the same ``load_id``.
     """
     _append_new(house, split_facts(raw), "facts", "id", ("event_date", "type"))
     _append_new(house, issue_snapshots(raw), "issue", "event_id", ("event_date",))
     _replace_load(time_dim(raw, loaded_at), house.path("timestable"), load_id)
+    _replace_load(rejected(raw), house.path("rejects"), load_id)
 
 
 def split_landed(house: Warehouse, loaded_at: float) -> None:
@@ -127,7 +136,8 @@ def split_landed(house: Warehouse, loaded_at: float) -> None:
 
 
 def _append_new(house: Warehouse, rows: DataFrame, table: str, key: str, partition_by: tuple[str, ...]) -> None:
-    fresh = new_events(rows, house.table(table), key)
+    # The batch is parsed once; its dates, its rows and the anti-join read the stored result.
+    fresh = new_events(staged(rows, table), house.table(table), key)
     FileTarget(house.path(table), partition_by=partition_by).write(balanced(fresh, *partition_by))
 
 
@@ -143,21 +153,29 @@ def sync_dimension(
 ) -> None:
     """Append the records changed since the last round to a dimension's history.
 
-    ``fetch`` gets the mark and returns the newer records, for instance
-    ``lambda mark: read_since(spark, table, mark)``.  They are written once and
-    the next mark is taken from what was written, so a row changed meanwhile is
-    neither lost nor marked as read.
+    ``fetch`` gets the mark and returns the records that are newer or as new,
+    for instance ``lambda mark: read_since(spark, table, mark)``; those of the
+    mark's own moment that another load has stored are left out.  The records
+    are written once and the next mark is taken from what was written, so a row
+    changed meanwhile is neither lost nor marked as read.  A load that is
+    repeated starts where it did the first time and replaces its own records.
     """
     marks = house.path("_marks")
-    mark = read_mark(house.spark, marks, name)
-    _replace_load(fetch(mark), house.path(name), load_id)
-    written = house.spark.read.parquet(f"{house.path(name)}/load_id={load_id}")
-    write_mark(next_mark(written, mark), marks, name, load_id)
+    mark = read_mark(house.spark, marks, name, load_id)
+    fetched = fetch(mark)
+    if house.has(name):
+        at_mark = F.col("updated_at") == F.lit(mark).cast("timestamp_ntz")
+        history = house.spark.read.schema(T.StructType([*fetched.schema.fields, T.StructField("load_id", T.StringType())]))
+        known = history.parquet(house.path(name)).where(at_mark & (F.col("load_id") != load_id)).select("id", "updated_at")
+        fetched = fetched.join(known, ["id", "updated_at"], "left_anti").select(*fetched.columns)
+    _replace_load(staged(fetched, name), house.path(name), load_id)
+    written = house.spark.read.schema(fetched.schema).parquet(f"{house.path(name)}/load_id={load_id}")
+    write_mark(next_mark(written, mark), marks, name, load_id, mark)
 
 
 def sync_table(house: Warehouse, name: str, source: DataFrame, load_id: str) -> None:
     """:func:`sync_dimension` from a frame that holds the whole current table."""
-    sync_dimension(house, name, lambda mark: changed_since(source, mark), load_id)
+    sync_dimension(house, name, lambda mark: changed_since(source, mark, inclusive=True), load_id)
 
 
 def upsert_dimension(
@@ -208,10 +226,10 @@ def analyse(
 
 
 def live(log: DataFrame, target, checkpoint: str, every: str = "1 minute"):
-    """Count the events of every micro-batch by type and send ``type, count, updated_at`` to a target.
+    """Count the events of every micro-batch by type and send ``type, count, updated_at, batch_id`` to a target.
 
-    A plain append target can receive a batch twice if the run stops between
-    the write and its checkpoint; ``streaming.writers.write_batches`` cannot.
+    A folder gets a batch once, however often it is replayed; a store gets the
+    batch number, by which it can replace the rows of a replayed batch.
     """
     flat = flatten_records(parse_records(log))
 

@@ -20,7 +20,9 @@ RAW_EVENT = T.StructType(
 )
 
 # The landed layer: the record and the date its folder is named after.
-LANDED_EVENT = T.StructType([*RAW_EVENT.fields, T.StructField("event_date", T.DateType())])
+# Column that holds the text of a line which is not a record.
+BROKEN = "broken"
+LANDED_EVENT = T.StructType([*RAW_EVENT.fields, T.StructField(BROKEN, T.StringType()), T.StructField("event_date", T.DateType())])
 
 # Record as read by the live job: typed actor and repo, the rest left as text.
 STREAM_EVENT = T.StructType(
@@ -129,5 +131,6 @@ HIGH_WATER_MARK = T.StructType(
         T.StructField("source", T.StringType()),
         T.StructField("mark", T.TimestampNTZType()),
         T.StructField("load_id", T.StringType()),
+        T.StructField("since", T.TimestampNTZType()),
     ]
 )

@@ -23,31 +23,48 @@ class FileTarget:
     mode: str = "append"
     partition_by: tuple[str, ...] = ()
 
-    def write(self, df: DataFrame) -> None:
-        writer = df.write.format(self.format).mode(self.mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        (writer.partitionBy(*self.partition_by) if self.partition_by else writer).save(self.path)
+    def write(self, df: DataFrame, as_of=None) -> None:
+        """Write; with ``as_of``, an appended result has a folder of its own, which a repeated write replaces."""
+        own = as_of is not None and self.mode == "append"
+        path, mode = (f"{self.path}/as_of={as_of:%Y-%m-%dT%H%M%S}", "overwrite") if own else (self.path, self.mode)
+        writer = df.write.format(self.format).mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        (writer.partitionBy(*self.partition_by) if self.partition_by else writer).save(path)
 
 
 @dataclass(frozen=True)
 class CatalogTarget:
-    """A catalog table: created on the first write, appended to by column name after."""
+    """A catalog table: created on the first write, appended to after.
+
+    With ``as_of`` an appended result is a partition of its own, which a repeated write replaces.
+    """
 
     table: str
     mode: str = "append"
     format: str = "parquet"
 
-    def write(self, df: DataFrame) -> None:
-        df.write.format(self.format).mode(self.mode).saveAsTable(self.table)
+    def write(self, df: DataFrame, as_of=None) -> None:
+        if as_of is None or self.mode != "append":
+            df.write.format(self.format).mode(self.mode).saveAsTable(self.table)
+            return
+        spark, run = df.sparkSession, f"{as_of:%Y-%m-%dT%H%M%S}"
+        if not spark.catalog.tableExists(self.table):
+            empty = df.limit(0).withColumn("as_of", F.lit(run))
+            empty.write.format(self.format).partitionBy("as_of").saveAsTable(self.table)
+        columns = ", ".join(f"`{c}`" for c in spark.table(self.table).columns if c != "as_of")
+        spark.sql(f"INSERT OVERWRITE TABLE {self.table} PARTITION (as_of = '{run}') SELECT {columns} FROM {{rows}}", rows=df)
 
 
 @dataclass(frozen=True)
 class ConnectorTarget:
-    """A JDBC table, a collection or a topic; ``overwrite`` keeps only the current state."""
+    """A JDBC table, a collection or a topic; ``overwrite`` keeps only the current state.
+
+    An append has no place of its own there: the store tells repeated rows by their ``updated_at``.
+    """
 
     connector: object
     mode: str = "append"
 
-    def write(self, df: DataFrame) -> None:
+    def write(self, df: DataFrame, as_of=None) -> None:
         if self.connector.format == "kafka":
             df = df.select(F.to_json(F.struct("*")).alias("value"))
         writer = df.write.format(self.connector.format).mode(self.mode)
@@ -67,13 +84,15 @@ def publish(df: DataFrame, targets: Sequence[object], as_of=None) -> DataFrame:
     With more than one target the result is computed once, into a table in the
     shared folder, and every target reads that table: a lost executor then
     costs a re-read and not a second run, and all targets hold the same rows.
+    A repeated call with the same ``as_of`` leaves files and catalog tables as
+    they were, also one that follows a stop between two targets.
     """
     if as_of is not None:
         df = stamp_run(df, as_of)
     if len(targets) > 1:
         df = staged(df, "publish")
     for target in targets:
-        target.write(df)
+        target.write(df, as_of)
     return df
 
 

@@ -6,37 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import RAW_EVENT
+from tidemark.schemas import BROKEN, RAW_EVENT
 
+_TAILED = T.StructType([*RAW_EVENT.fields, T.StructField(BROKEN, T.StringType())])
 
-def few_partitions(df: DataFrame) -> bool:
-    """Whether a scan leaves at least half of the cores idle.
 
-    Only the scan is planned for this, no job runs.
-    """
-    return 2 * df.rdd.getNumPartitions() <= df.sparkSession.sparkContext.defaultParallelism
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores before something costly is done to each, if the scan is narrow.
-
-    A gzip archive or a file of one row group is read by one task however many
-    cores there are.  A scan that keeps the cluster busy is left as it is, so a
-    large input is never shuffled.
-    """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if few_partitions(df) else df
+def read_activity(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """JSON-lines activity, plain or gzip; a broken line gives a row of NULLs."""
+    return parse_lines(read_text(spark, path, partitions))
 
 
-def read_activity(spark: SparkSession, path: str) -> DataFrame:
-    """JSON-lines activity, plain or gzip; a broken line gives a row of NULLs.
-
-    Lines are spread before they are parsed, see :func:`spread`.
-    """
-    return parse_lines(spread(read_text(spark, path)))
-
-
-def read_text(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
+def read_text(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """Lines of text.  One gzip archive is one task: ``partitions`` deals its lines over so many."""
+    lines = spark.read.text(path)
+    return lines if partitions is None else lines.repartition(partitions)
 
 
 def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -45,8 +28,13 @@ def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
 
 
 def tail_activity(spark: SparkSession, directory: str, **options: str) -> DataFrame:
-    """Stream of the JSON-lines files that appear in a directory, each read once."""
-    return spark.readStream.schema(RAW_EVENT).options(**options).json(directory)
+    """Stream of the JSON-lines files that appear under a directory, each read once.
+
+    A line that is not a record keeps its text in the column ``broken``.
+    """
+    reader = spark.readStream.schema(_TAILED)
+    reader = reader.option("columnNameOfCorruptRecord", BROKEN).option("recursiveFileLookup", "true")
+    return reader.options(**options).json(directory)
 
 
 def tail_lines(spark: SparkSession, directory: str, **options: str) -> DataFrame:
@@ -60,4 +48,5 @@ def tail_table(spark: SparkSession, path: str, schema: T.StructType, **options:
     The file source takes a directory or a pattern, so the last character is
     turned into a one-character pattern that matches either.
     """
+    path = path.rstrip("/")
     return spark.readStream.schema(schema).options(**options).parquet(f"{path[:-1]}[{path[-1]}]")

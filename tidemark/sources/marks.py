@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,19 +15,31 @@ EPOCH = datetime(1970, 1, 1)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
-def read_mark(spark: SparkSession, path: str, source: str) -> datetime:
-    """Newest mark of a source: one value, read to the driver to build the next filter."""
+    """Whether Spark can read something there."""
+    try:
+        spark.read.text(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error.getCondition()):
+            return False
+        raise
+    return True
+
+
+def read_mark(spark: SparkSession, path: str, source: str, load_id: str | None = None) -> datetime:
+    """Where a load starts: one value, read to the driver to build the next filter.
+
+    A load that was marked before starts where it did then, whatever came
+    after it; a new one starts at the newest mark of the source.
+    """
     if not path_exists(spark, path):
         return EPOCH
     marks = spark.read.schema(HIGH_WATER_MARK).parquet(path).where(F.col("source") == source)
-    return marks.agg(F.max("mark").alias("mark")).first()["mark"] or EPOCH
+    again = F.min(F.when(F.col("load_id") == load_id, F.col("since"))) if load_id else F.lit(None)
+    return marks.agg(F.coalesce(again, F.max("mark")).alias("mark")).first()["mark"] or EPOCH
 
 
-def write_mark(marks: DataFrame, path: str, source: str, load_id: str) -> None:
-    """Append the ``mark`` of a one-row frame; a repeated load only repeats the row."""
-    row = marks.select(F.lit(source).alias("source"), "mark", F.lit(load_id).alias("load_id"))
+def write_mark(marks: DataFrame, path: str, source: str, load_id: str, since: datetime = EPOCH) -> None:
+    """Append the ``mark`` of a one-row frame, and where the load started; a repeated load only repeats the row."""
+    start = F.lit(since).cast("timestamp_ntz").alias("since")
+    row = marks.select(F.lit(source).alias("source"), "mark", F.lit(load_id).alias("load_id"), start)
     row.write.mode("append").parquet(path)

@@ -29,10 +29,11 @@ def flatten_records(parsed: DataFrame) -> DataFrame:
 
 
 def window_counts(events: DataFrame, window: str = "1 hour", lateness: str = "1 minute") -> DataFrame:
-    """Events per type and tumbling window, for append mode.
+    """Events per type and tumbling window.
 
-    A window is emitted once the watermark has passed its end, so the state
-    holds only the open windows; later records of a closed window are dropped.
+    In update mode every batch gives the windows it changed, open ones too; in
+    append mode a window is given once the watermark has passed its end.  The
+    state holds only the open windows; later records of a closed one are dropped.
     """
     timed = events.select(F.col("ts").cast("timestamp").alias("ts"), "type")
     counted = (

@@ -9,12 +9,15 @@ where the last run stopped.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.sinks.publish import FileTarget
+
 BATCH = "batch_id"
 
 
@@ -43,19 +46,27 @@ def write_batches(
 
 def write_target(stream: DataFrame, target, checkpoint: str, mode: str = "update",
                  each: Callable[[DataFrame], DataFrame] | None = None, every: str = "1 minute") -> StreamingQuery:
-    """Send every batch, stamped with the time it ran, to one publishing target."""
+    """Send every batch, stamped with the time it ran, to one publishing target.
+
+    In a folder a batch has a place of its own, which a replay overwrites.
+    """
 
     def send(batch: DataFrame, batch_id: int) -> None:
-        out = each(batch) if each else batch
-        target.write(out.withColumn("updated_at", F.current_timestamp()))
+        out = (each(batch) if each else batch).withColumn("updated_at", F.current_timestamp())
+        if isinstance(target, FileTarget):
+            replace(target, path=f"{target.path}/{BATCH}={batch_id}", mode="overwrite").write(out)
+        else:
+            target.write(out.withColumn(BATCH, F.lit(batch_id).cast("long")))
 
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     return writer.foreachBatch(send).trigger(processingTime=every).start()
 
 
-def write_console(stream: DataFrame, checkpoint: str, mode: str = "complete", every: str | None = None) -> StreamingQuery:
-    """Show every batch on the driver's console (a limited number of rows), to watch a query."""
+def write_console(stream: DataFrame, checkpoint: str, mode: str = "complete", every: str | None = None,
+                  rows: int = 1000) -> StreamingQuery:
+    """Show the first ``rows`` rows of every batch on the driver's console, to watch a query."""
     writer = stream.writeStream.outputMode(mode).format("console").option("checkpointLocation", checkpoint)
+    writer = writer.option("numRows", rows)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
@@ -89,7 +100,7 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])).parquet(path)
 
 
-def newest_per_key(batches: DataFrame, key: str, value: str) -> DataFrame:
+def newest_per_key(batches: DataFrame, key: str | list[str], value: str) -> DataFrame:
     """Current totals out of update-mode batches: the value of the last batch a key was in."""
     return batches.groupBy(key).agg(F.max_by(value, BATCH).alias(value))
 
