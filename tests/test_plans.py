@@ -7,8 +7,8 @@ import pytest
 import __spark_entry__ as contract
 
 SF = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-WRITES = {"ods_json_files", "publish_fanout"} | {n for n in QUERIES if n.startswith(("stream_", "ingest_"))}
+QUERIES = {**contract.batch.QUERIES, **contract.live.QUERIES}
+WRITES = {"ods_json_files", "publish_fanout", "publish_repeated", "sync_repeated", "land_rejects"} | {n for n in QUERIES if n.startswith(("stream_", "ingest_"))}
 
 
 def plan(spark, name):
@@ -56,9 +56,28 @@ def test_rows_are_reduced_before_the_shuffle(spark, name):
     assert re.search(r"Exchange hashpartitioning.*\n.*Aggregate", text) or "partial_" in text
 
 
+def test_snapshots_reduce_the_history_of_counted_keys_only(spark):
+    text = plan(spark, "top_active_users")
+    assert "LeftSemi" in text and text.index("LeftSemi") > text.index("max(struct(")
+
+
+def test_plans_do_not_depend_on_the_number_of_splits(spark):
+    def shape():
+        return re.sub(r"#\d+L?|plan_id=\d+|\d+", "", plan(spark, "fact_split"))
+
+    before = shape()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert shape() == before
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_whole_tables_are_not_broadcast_by_hint():
     import pathlib
 
     root = pathlib.Path(__file__).resolve().parents[1] / "tidemark"
-    code = "\n".join(p.read_text() for p in root.rglob("*.py"))
+    code = "\n".join(p.read_text() for p in root.rglob("*.py") if p.parent.name != "llm")
     assert "broadcast(" not in code and "crossJoin" not in code and ".collect()" not in code and "toPandas" not in code

@@ -125,7 +125,7 @@ def test_target_writer_stamps_each_batch(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert [(r["type"], r["events"]) for r in spark.read.parquet(target.path).collect()] == [("PushEvent", 1)]
-    assert spark.read.parquet(target.path).columns == ["type", "events", "updated_at"]
+    assert spark.read.parquet(target.path).columns == ["type", "events", "updated_at", "batch_id"]
 
 
 def test_console_writer_runs_to_the_end(spark, tmp_path):
@@ -160,16 +160,10 @@ def test_many_batches_equal_one_batch(spark, tmp_path):
     assert {(r["window_start"], r["type"]): r["events"] for r in out.collect()} == expected
 
 
-def test_shared_folder_is_required_on_a_cluster(spark):
-    class Conf(dict):
-        set = dict.__setitem__
-
+def test_shared_folder_is_the_same_on_any_master(spark):
     class Session:
-        conf = Conf({"spark.master": "yarn"})
+        conf = {"spark.sql.warehouse.dir": "hdfs:///w/"}
 
-    with pytest.raises(ValueError):
-        shared_dir(Session())
-    Session.conf = Conf({"spark.master": "local[2]"})
-    assert shared_dir(Session()) == Session.conf["spark.checkpoint.dir"]
-    Session.conf = Conf({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///x/"})
+    assert shared_dir(Session()) == "hdfs:///w/_shared"
+    Session.conf = {"spark.checkpoint.dir": "hdfs:///x/", "spark.sql.warehouse.dir": "hdfs:///w"}
     assert new_run_dir(Session(), "a").startswith("hdfs:///x/tidemark/a-")

@@ -54,7 +54,7 @@ def batch_count(s: SparkSession, d: str) -> DataFrame:
 
 def stream_word_count(s: SparkSession, d: str) -> DataFrame:
     counted = word_count(_tail(s, d, "conversations"), "text")
-    return writers.newest_batch(_run(counted, new_run_dir(s, "word-count"), mode="complete"))
+    return writers.newest_per_key(_run(counted, new_run_dir(s, "word-count"), mode="update"), "word", "words")
 
 
 def ingest_files_once(s: SparkSession, d: str) -> DataFrame:

@@ -63,14 +63,11 @@ def local_session(cores: int = 8, **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Where the setting is missing it is set to a folder of the warehouse, which
+    Where the setting is missing it is a folder of the warehouse, which
     executors share as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    return base.rstrip("/") if base else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def new_run_dir(spark: SparkSession, label: str) -> str:
