@@ -166,7 +166,9 @@ def derived_findings(docs: DataFrame, text: str = "text", key: str = "doc_id", s
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
                 [("text", pa.string()), ("begin", pa.int32()), ("end", pa.int32()), ("label", pa.float64())]))
 
-    return chosen.mapInArrow(build, "text string, begin int, end int, label double")
+    # One more row, so that there is something to learn from where there is no document.
+    seed = docs.sparkSession.createDataFrame([("seed", "")], "k string, t string")
+    return chosen.unionAll(seed).mapInArrow(build, "text string, begin int, end int, label double")
 
 
 def invent(seed: str, text: str) -> list[dict]:
