@@ -199,5 +199,9 @@ def test_command_line_rounds(spark, tmp_path, monkeypatch):
     house = Warehouse(spark, root)
     sync_table(house, "users", users(spark, 1, (0, 5)), "a")
     sync_table(house, "repos", repos(spark, 0, 1), "a")
-    command.main(["analyse", root, str(tmp_path / "out"), "--jobs", "events"])
+    spark.sql("CREATE DATABASE IF NOT EXISTS results")
+    for _ in range(2):
+        command.main(["analyse", root, str(tmp_path / "out"), "--jobs", "events"])
+    command.main(["analyse", root, "results", "--jobs", "dashboard", "--target", "catalog"])
+    assert spark.table("results.userEvents").agg(F.sum("activity_cnt")).first()[0] == 4
     assert spark.read.parquet(str(tmp_path / "out" / "eventCount")).first()["pushEventCount"] == 4

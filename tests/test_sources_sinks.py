@@ -85,7 +85,7 @@ def test_jdbc_options():
         "partitionColumn": "id", "lowerBound": "1", "upperBound": "1000", "numPartitions": "8",
     }
     since = table.since_options(datetime(2024, 1, 2, 3, 4, 5))
-    assert since["dbtable"] == "(SELECT * FROM users WHERE updated_at > '2024-01-02 03:04:05.000000') AS changed"
+    assert since["dbtable"] == "(SELECT * FROM users WHERE updated_at >= '2024-01-02 03:04:05.000000') AS changed"
     assert table.write_options()["dbtable"] == "users"
 
 

@@ -14,7 +14,7 @@ from datetime import datetime, timezone
 from tidemark.plans import jobs
 from tidemark.plans.results import JOBS
 from tidemark.session import build_session
-from tidemark.sinks.publish import ConnectorTarget, FileTarget
+from tidemark.sinks.publish import CatalogTarget, ConnectorTarget, FileTarget
 from tidemark.sources.connectors import JdbcTable, KafkaTopic, read_since, read_stream
 
 
@@ -35,9 +35,12 @@ def _parser() -> argparse.ArgumentParser:
     command("prepare", "archive", "landing")
     command("land", "warehouse", "landing")
     command("split", "warehouse")
-    database(command("sync", "warehouse", "table", "load_id"))
+    sync = command("sync", "warehouse", "table", "load_id")
+    database(sync)
+    sync.add_argument("--partition", nargs=4, metavar=("COLUMN", "LOW", "HIGH", "TASKS"), help="read the table by ranges of a column")
     analyse = command("analyse", "warehouse", "output")
     analyse.add_argument("--jobs", nargs="*", default=list(JOBS), choices=list(JOBS))
+    analyse.add_argument("--target", choices=("files", "catalog"), default="files", help="output is a folder, or a database of the catalog")
     live = command("live", "servers", "topic", "table", "checkpoint")
     live.add_argument("--every", default="1 minute")
     database(live)
@@ -45,7 +48,15 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _table(args: argparse.Namespace) -> JdbcTable:
-    return JdbcTable(args.url, args.table, args.user, os.environ[args.password_var])
+    ranges = getattr(args, "partition", None)
+    partition = (*ranges[:3], int(ranges[3])) if ranges else None
+    return JdbcTable(args.url, args.table, args.user, os.environ[args.password_var], partition=partition)
+
+
+def _targets(args: argparse.Namespace):
+    if args.target == "catalog":
+        return lambda name: [CatalogTarget(f"{args.output}.{name}")]
+    return lambda name: [FileTarget(f"{args.output}/{name}")]
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -67,7 +78,7 @@ def main(argv: list[str] | None = None) -> None:
             source = _table(args)
             jobs.sync_dimension(house, args.table, lambda mark: read_since(spark, source, mark), args.load_id)
         else:
-            jobs.analyse(house.inputs(), lambda name: [FileTarget(f"{args.output}/{name}")], now, args.jobs)
+            jobs.analyse(house.inputs(), _targets(args), now, args.jobs)
 
 
 if __name__ == "__main__":

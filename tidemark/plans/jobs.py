@@ -203,7 +203,7 @@ def with_current_dimensions(inputs: Inputs, jobs: Iterable[str]) -> Inputs:
     this each would aggregate the whole history again.
     """
     jobs = set(jobs)
-    if jobs & {"users", "user_activity"} and inputs.user_order is not None:
+    if jobs & {"users", "user_activity", "dashboard_rankings"} and inputs.user_order is not None:
         users = latest_snapshot(inputs.users, inputs.user_order, keep=CURRENT_USER)
         inputs = replace(inputs, users=staged(users, "users"), user_order=None)
     if "repo_activity" in jobs and inputs.repo_order is not None:

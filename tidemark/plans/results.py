@@ -91,6 +91,27 @@ RESULTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "topLanguage": _top_language,
 }
 
+# The dashboard's further tables: the trend, counts per user and repository, all-time and last-minutes rankings.
+def _recent_users(i: Inputs) -> DataFrame:
+    return rankings.activity_per(events.recent(i.activity, 10, i.hour, i.date), "actor_id", unique=i.unique_events)
+
+
+def _all_users(i: Inputs) -> DataFrame:
+    return rankings.activity_per(i.activity, "actor_id", unique=i.unique_events)
+
+
+RESULTS |= {
+    "eventTrend": lambda i: events.event_trend(i.activity),
+    "userEvents": lambda i: events.count_by(i.activity, "actor_id"),
+    "userEventsRecent": lambda i: events.count_by(events.recent(i.activity, 20, i.hour, i.date), "actor_id"),
+    "repoEvents": lambda i: events.count_by(i.activity, "repo_id"),
+    "repoEventsRecent": lambda i: events.count_by(events.recent(i.activity, 20, i.hour, i.date), "repo_id"),
+    "topRegionAllTime": lambda i: rankings.active_regions(_all_users(i), i.users, i.user_order),
+    "topCompanyAllTime": lambda i: rankings.active_companies(_all_users(i), i.users, i.user_order),
+    "topRegionRecent": lambda i: rankings.active_regions(_recent_users(i), i.users, i.user_order),
+    "topCompanyRecent": lambda i: rankings.active_companies(_recent_users(i), i.users, i.user_order),
+}
+
 # Dimension columns the tables above need.
 CURRENT_USER = ("login", *profiles.TEXT_FIELDS, *profiles.NUMBER_FIELDS)
 CURRENT_REPO = rankings.REPO_COLUMNS
@@ -102,4 +123,6 @@ JOBS = {
     "users": ("userBasic", "top20_followers", "top20_following"),
     "user_activity": ("topActiveUser", "topActiveRegion", "topActiveCompany"),
     "repo_activity": ("topActiveRepo", "topLanguage"),
+    "dashboard": ("eventTrend", "userEvents", "userEventsRecent", "repoEvents", "repoEventsRecent"),
+    "dashboard_rankings": ("topRegionAllTime", "topCompanyAllTime", "topRegionRecent", "topCompanyRecent"),
 }

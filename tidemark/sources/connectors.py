@@ -41,8 +41,8 @@ class JdbcTable:
         return {**self._base(), "dbtable": self.table, "fetchsize": str(self.fetch_size), **self._ranges()}
 
     def since_options(self, mark, version: str = "updated_at") -> dict[str, str]:
-        """Only rows newer than the mark, filtered by the database itself."""
-        subquery = f"(SELECT * FROM {self.table} WHERE {version} > '{mark:%Y-%m-%d %H:%M:%S.%f}') AS changed"
+        """Only rows as new as the mark or newer, filtered by the database itself."""
+        subquery = f"(SELECT * FROM {self.table} WHERE {version} >= '{mark:%Y-%m-%d %H:%M:%S.%f}') AS changed"
         return {**self.read_options(), "dbtable": subquery}
 
     def write_options(self) -> dict[str, str]:
