@@ -1,7 +1,7 @@
 """Words of a whole Arrow batch at once, as byte spans and 64-bit hashes.
 
-Work is vectorised over a batch of documents; a batch is cut into slices of a few
-megabytes of text so that memory does not depend on how many rows Spark sends.
+Work is vectorised over a batch of documents; a batch is cut into slices of about a
+megabyte of text so that memory does not depend on how many rows Spark sends.
 """
 
 from __future__ import annotations
@@ -67,7 +67,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The rows in pieces of about ``limit`` bytes of text; a longer row is a piece of its own."""
     if not batch.num_rows:
         return
