@@ -1,13 +1,14 @@
 """The pipeline stage by stage, and the queries' contracts on the smallest tables."""
 
 import pytest
+from compare import connect, spark_rows, sql_rows
 from llm.conftest import DOCUMENT, EDGES, rows
 from llm.test_near_duplicates import brute_classes, brute_cut, brute_hits
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import mixing
-from tidemark.llm.queries import QUERIES
+from tidemark.llm.queries import QUERIES, SQL
 from tidemark.llm.store import staged
 
 SF = "/root/testdata/sf0.001"
@@ -80,3 +81,8 @@ def test_op7_and_op9_on_held_out_rows(spark, documents):
     assert sum(r["toxic"] == r["predicted"] for r in held) >= 0.9 * len(held)
     lang = QUERIES["op9_language_id"](spark, SF).join(documents.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
     assert sum(r["lang"] == r["lang_pred"] for r in lang) >= 0.97 * len(lang)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_queries_match_their_sql(spark, name):
+    assert spark_rows(QUERIES[name](spark, SF)) == sql_rows(connect(SF), SQL[name])

@@ -9,7 +9,39 @@ from tidemark.llm import decontaminate, embeddings, html_text, langid, mixing, n
 from tidemark.llm.store import held_out, staged, table, training_fold
 
 #: SQL with the same rows, for DuckDB.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+        runs AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM d, unnest(range(1, len(w) - 11)) AS t(i)),
+        first AS (SELECT g, min(doc_id) AS source FROM runs GROUP BY g),
+        gone AS (SELECT DISTINCT doc_id, i + j AS p FROM runs JOIN first USING (g), range(13) AS r(j) WHERE source < doc_id),
+        word AS (SELECT doc_id, i AS p, w[i] AS x FROM d, unnest(range(1, len(w) + 1)) AS t(i)),
+        kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
+    "op4_embedding_near_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        near AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+        reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, n.b FROM reach r JOIN near n ON r.b = n.a)
+        SELECT vec_id, (SELECT count(*) FROM near WHERE a = vec_id) AS n_links, component_id, component_id = vec_id AS kept
+        FROM v JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = vec_id""",
+    "op8_benchmark_decontamination": r"""
+        WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+        b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        sized AS (SELECT item, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0),
+        test AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM sized, unnest(range(1, len(w) - n + 2)) AS t(i)),
+        sizes AS (SELECT DISTINCT n FROM sized),
+        runs AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS t(i)),
+        hit AS (SELECT doc_id, n, i, item FROM runs JOIN test USING (n, g)),
+        words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS t FROM (SELECT DISTINCT doc_id, item FROM hit)
+                  GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(t, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +55,7 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substrings.remove_duplicates(table(spark, sf_dir, "documents"))
-    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256", F.size("factors").alias("n_factors"))
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
