@@ -14,7 +14,7 @@ from tidemark.functions.time import day_key, floor_hour, hour_key, parse_utc
 from tidemark.operators import dedupe, dims, events, facts, hours, issues, ledger, profiles, rankings, text
 from tidemark.plans import jobs
 from tidemark.schemas import LANDED_EVENT
-from tidemark.session import new_run_dir
+from tidemark.session import new_run_dir, ship_package
 from tidemark.sinks.publish import FileTarget, publish
 from tidemark.sources.files import parse_lines, read_activity
 
@@ -212,6 +212,7 @@ def missing_hours(s: SparkSession, d: str) -> DataFrame:
 
 
 def pruned_pages(s: SparkSession, d: str) -> DataFrame:
+    ship_package(s)
     return V.page_docs(V.table(s, d, "pages")).select("page_id", prune_json(F.col("doc")).alias("doc"))
 
 
