@@ -234,3 +234,13 @@ def test_parsing():
     assert [t for _, t in pieces] == ["a", "bc d", "e", "x", "y <z", "©2 f gh"]
     blocks, pieces = html_text.parse("<script>if (a < b) '</p>'</script><textarea><b>x</textarea>t<title>q")
     assert [t for _, t in pieces] == ["t"]
+
+
+def test_quality_bound_is_a_quantile_of_unseen_texts(spark):
+    rng = random.Random(12)
+    rated = [(i, "aa", float(np.exp(2 + rng.uniform(-1, 1) * (0.01 + 1 / n) ** 0.5)), n) for i in range(1000) for n in [rng.choice([20, 50, 500, 2000])]]
+    beyond = [(2000, "aa", float(np.exp(2 + 0.13)), 2000), (2001, "aa", float(np.exp(2 + 0.38)), 20), (2002, "aa", float(np.exp(2 + 0.2)), 20)]
+    scored = spark.createDataFrame(rated + beyond, "doc_id bigint, lang string, perplexity double, n_chars int")
+    got = {r["doc_id"]: r for r in quality.judge(scored, scored.filter("doc_id < 1000").select("doc_id")).collect()}
+    assert 985 <= sum(got[i]["kept"] for i in range(1000)) <= 990  # a real 99% quantile
+    assert not got[2000]["kept"] and not got[2001]["kept"] and got[2002]["kept"]  # just beyond it, long and short; a short text varies more

@@ -8,8 +8,8 @@ then meet the probabilities shard by shard: a shard has a bounded number of n-gr
 broadcast, and a document's sum of log probabilities grows with each shard.
 
 A document is kept if its perplexity is not above a quantile of its language's trusted texts
-that the model hasn't seen.  Short texts say little: before the comparison, a text's mean is
-drawn towards that of its language as if it had ``PRIOR`` characters more.
+that the model hasn't seen.  Short texts vary more: the quantile is taken in spreads that depend
+on the length, as those texts show it.
 
 Edge cases: null and empty texts have no perplexity and are not kept.  A null language is a
 language of its own; one without unseen trusted texts uses the quantiles of all.  Without any
@@ -19,6 +19,8 @@ other columns are kept, result columns replace columns of the same name.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,8 +30,7 @@ from tidemark.llm.store import staged
 from tidemark.llm.words import U, mix, slices
 
 ORDER = 4
-#: Characters that the language's mean counts for; n-grams in one broadcast shard.
-PRIOR = 100
+#: N-grams in one broadcast shard.
 SHARD = 2_000_000
 _START = 2
 
@@ -185,26 +186,40 @@ def perplexity(spark: SparkSession, docs: DataFrame, trusted: DataFrame, text: s
 
 
 def judge(scored: DataFrame, unseen: DataFrame, key: str = "doc_id", size: str = "n_chars", lang: str = "lang",
-          high: float = 0.998, reach: float = 1.5) -> DataFrame:
-    """``scored`` with ``highest`` and ``kept``: by quantiles over the ids ``unseen`` of trusted texts.
+          high: float = 0.99) -> DataFrame:
+    """``scored`` with ``highest`` and ``kept``: by the quantile ``high`` over the ids ``unseen`` of trusted texts.
 
-    The bound lies ``reach`` times as far from the median as the quantile ``high``, as a
-    language of few unseen texts has extreme quantiles that are too near.
+    A text of n characters differs from its language's median by a spread of
+    ``sqrt(a + b / n)``, fitted to the unseen texts; the quantile is that of the differences in
+    spreads.  A language with fewer unseen texts than a quantile needs uses those of all.
     """
-    n = F.col(size)
-    per_char = F.log("perplexity")
+    u, x = 1 / F.greatest(F.col(size), F.lit(1)), F.log("perplexity")
     reference = scored.filter(F.col("perplexity").isNotNull()).join(unseen.select(F.col(key)).distinct(), key, "left_semi")
-    reference = staged(reference.select(F.col(lang).alias("l"), per_char.alias("x"), n.alias("n")), "reference")
-    means = reference.groupBy("l").agg(F.avg("x").alias("mean"))
-    drawn = reference.join(means.select(F.col("l").alias("ml"), "mean"), F.col("l").eqNullSafe(F.col("ml")))
-    drawn = drawn.withColumn("z", (F.col("x") * F.col("n") + F.col("mean") * PRIOR) / (F.col("n") + PRIOR) - F.col("mean"))
-    at = [F.percentile_approx("z", F.lit(q), F.lit(10000)) for q in (0.5, high)]
-    bounds = lambda group: group.agg((at[0] + reach * (at[1] - at[0])).alias("hi"))
-    of_lang = bounds(drawn.groupBy("l")).join(means.select(F.col("l").alias("ml"), "mean"), F.col("l").eqNullSafe(F.col("ml"))).select("l", "mean", "hi")
-    of_all = {**bounds(drawn.groupBy()).first().asDict(), **reference.agg(F.avg("x").alias("mean")).first().asDict()}
-    joined = scored.join(of_lang, scored[lang].eqNullSafe(of_lang["l"]), "left")
-    mean, hi = (F.coalesce(c, F.lit(of_all[c]).cast("double")) for c in ("mean", "hi"))
-    z = (per_char * n + mean * PRIOR) / (n + PRIOR) - mean
-    kept = F.when(F.col("perplexity").isNull(), False).otherwise(F.coalesce(z <= hi, F.lit(True)))
+    reference = staged(reference.select(F.col(lang).alias("l"), x.alias("x"), u.alias("u")), "reference")
+    centres = reference.groupBy("l").agg(F.percentile_approx("x", F.lit(0.5), F.lit(10000)).alias("centre"), F.count(F.lit(1)).alias("many"))
+    centres = centres.select(F.col("l").alias("cl"), "centre", F.col("many") >= math.ceil(1 / (1 - high) - 1e-9))
+    centres = centres.toDF("cl", "centre", "enough")
+    around = reference.join(centres, F.col("l").eqNullSafe(F.col("cl"))).withColumn("d", F.col("x") - F.col("centre"))
+    square = F.col("d") * F.col("d")
+    fitted = [F.greatest(F.lit(0.0), F.regr_slope(square, "u")).alias("b"), F.avg(square).alias("s"), F.avg("u").alias("m")]
+    quantile = F.percentile_approx(F.col("d") / _spread(F.col("u")), F.lit(high), F.lit(10000)).alias("q")
+    of_all = around.agg(*fitted).first().asDict()
+    shared = around.withColumns({c: F.lit(v).cast("double") for c, v in of_all.items()})
+    of_all |= {"q": shared.agg(quantile).first()["q"], "centre": reference.agg(F.percentile_approx("x", F.lit(0.5), F.lit(10000))).first()[0]}
+    own = around.filter("enough").groupBy("l").agg(*fitted).withColumnRenamed("l", "fl")
+    quantiles = around.join(own, F.col("l").eqNullSafe(F.col("fl"))).groupBy("fl", "b", "s", "m").agg(quantile)
+    of_lang = centres.join(quantiles, F.col("cl").eqNullSafe(F.col("fl")), "left").select("cl", "centre", "b", "s", "m", "q")
+    of_lang = staged(of_lang.toDF(*[f"_{c}" for c in of_lang.columns]), "bounds")
+    joined = scored.join(of_lang, scored[lang].eqNullSafe(of_lang["_cl"]), "left")
+    joined = joined.withColumns({f"_{c}": F.coalesce(F.col(f"_{c}"), F.lit(v).cast("double")) for c, v in of_all.items()})
+    bound = F.col("_centre") + F.col("_q") * _spread(u, "_")
+    kept = F.when(F.col("perplexity").isNull(), False).otherwise(F.coalesce(x <= bound + 1e-9, F.lit(True)))
     names = [F.col(f"`{c}`") for c in scored.columns if c not in ("highest", "kept")]
-    return joined.select(*names, F.exp(mean + hi).alias("highest"), kept.alias("kept"))
+    return joined.select(*names, F.exp(bound).alias("highest"), kept.alias("kept"))
+
+
+def _spread(u, prefix: str = ""):
+    """The spread of texts of ``1 / u`` characters, from the slope ``b`` and the means ``s`` and ``m`` of squares and ``u``."""
+    b, s, m = (F.col(prefix + c) for c in "bsm")
+    b = F.coalesce(b, F.lit(0.0))
+    return F.sqrt(F.greatest(F.lit(1e-12), s - b * m) + b * u)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, embeddings, html_text, langid, mixing, neardup, quality, secrets, substrings, toxicity
-from tidemark.llm.store import held_out, staged, table, training_fold
+from tidemark.llm.store import calibration, held_out, staged, table, training_fold
 
 #: SQL with the same rows, for DuckDB.
 SQL: dict[str, str] = {
@@ -73,9 +73,9 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     trusted = table(spark, sf_dir, "labels").filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
     # The list of trusted texts grows with the corpus: the same sort-merge join at every size.
-    learned = docs.join(trusted.filter(training_fold()).hint("merge"), "doc_id", "left_semi")
+    learned = docs.join(trusted.filter(training_fold() & ~calibration()).hint("merge"), "doc_id", "left_semi")
     scored = staged(quality.perplexity(spark, docs, learned).select("doc_id", "lang", "perplexity", "n_chars"), "scored")
-    judged = quality.judge(scored, trusted.filter(held_out()), size="n_chars")
+    judged = quality.judge(scored, trusted.filter(calibration()), size="n_chars")
     return judged.select("doc_id", "perplexity", "highest", "kept")
 
 

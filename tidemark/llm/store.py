@@ -34,3 +34,8 @@ def training_fold(doc_id: str = "doc_id"):
 
 def held_out(doc_id: str = "doc_id"):
     return (F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4) == 2
+
+
+def calibration(doc_id: str = "doc_id"):
+    """A quarter of the training fold that models aren't fitted on, so that thresholds can be set on unseen rows."""
+    return F.coalesce((F.crc32(F.col(doc_id).cast("string").cast("binary")) % 16).isin(0, 1, 3), F.lit(False))
