@@ -244,3 +244,25 @@ def test_quality_bound_is_a_quantile_of_unseen_texts(spark):
     got = {r["doc_id"]: r for r in quality.judge(scored, scored.filter("doc_id < 1000").select("doc_id")).collect()}
     assert 985 <= sum(got[i]["kept"] for i in range(1000)) <= 990  # a real 99% quantile
     assert not got[2000]["kept"] and not got[2001]["kept"] and got[2002]["kept"]  # just beyond it, long and short; a short text varies more
+
+
+def test_quality_knows_word_order(spark):
+    rng = random.Random(13)
+    words = sentence(rng, "aa", 400).split()
+    after = {w: rng.sample(words, 2) for w in words}
+
+    def chain(n):
+        out = [rng.choice(words)]
+        while len(out) < n:
+            out.append(rng.choice(after[out[-1]]))
+        return out
+
+    trusted = [(i, " ".join(chain(200)), "aa", "s") for i in range(60)]
+    probe = [(100 + i, " ".join(chain(100)), "aa", "s") for i in range(5)]
+    mixed = [(100 + i, " ".join(rng.sample(t.split(), 100)), "aa", "s") for i, t, _, _ in probe]
+    copies = [(300, probe[0][1], "aa", "s")] * 3
+    table = spark.createDataFrame(rows(*probe, *mixed, *copies), DOCUMENT).repartition(3)
+    got = {r["doc_id"]: r["perplexity"] for r in quality.perplexity(spark, table, spark.createDataFrame(rows(*trusted), DOCUMENT)).collect()}
+    assert min(got[i] for i in got if 200 <= i < 300) > 1.5 * max(got[i] for i in got if i < 200)  # the same words and letters
+    assert got[300] == pytest.approx(got[100])
+    assert quality._keys(["\U00010000"])[0].tolist() != quality._keys(["\U00011000"])[0].tolist()  # no code point stands for another
