@@ -266,3 +266,12 @@ def test_quality_knows_word_order(spark):
     assert min(got[i] for i in got if 200 <= i < 300) > 1.5 * max(got[i] for i in got if i < 200)  # the same words and letters
     assert got[300] == pytest.approx(got[100])
     assert quality._keys(["\U00010000"])[0].tolist() != quality._keys(["\U00011000"])[0].tolist()  # no code point stands for another
+
+
+@pytest.mark.parametrize("size", [261, 321, 530, 780, 5000])
+def test_long_secrets_are_one_candidate(size):
+    rng = random.Random(size)
+    part = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-_", k=n))
+    value = f"{part(40)}.{part(size // 2)}.{part(size - size // 2 - 42)}"
+    for text, at in ((f'token = "{value}" ends', 9), (f"see {value.replace('.', '_')} ends", 4)):
+        assert [(b, e) for b, e, _ in secrets.candidates(text)] == [(at, at + size)]

@@ -7,8 +7,8 @@ nobody has labelled any, :func:`derived_findings` makes them from the documents'
 words: secrets of random characters under credential names, and the usual false alarms
 (checksums, placeholders, identifiers, paths, numbers).
 
-Edge cases: null and empty texts have no candidates.  Overlapping candidates are one, the
-first and longest.  Repeated rows give repeated findings.  An empty table gives an empty
+Edge cases: null and empty texts have no candidates.  Overlapping candidates are one, of
+the first one's rule.  None has a longest length; the features bound what they look at.  Repeated rows give repeated findings.  An empty table gives an empty
 table; without any document the forest is trained on words of its own seed.
 """
 
@@ -35,8 +35,8 @@ CREDENTIAL = ["api", "auth", "authorization", "bearer", "credential", "key", "pa
 DIGEST = ["asset", "build", "checksum", "commit", "digest", "etag", "hash", "id", "integrity", "md", "revision", "sha", "uuid", "version"]
 PLACEHOLDER = ["changeme", "dummy", "example", "fake", "here", "insert", "placeholder", "sample", "test", "todo", "xxxx", "your"]
 
-_ASSIGNED = re.compile(r"""[A-Za-z_][\w.\-]{1,40}\W{0,6}?\s?(?:=|:)\W{0,4}?\s?["']?(?P<v>[^\s"'|,;<>()]{8,256})""")
-_RUN = re.compile(r"[A-Za-z0-9+/_=\-]{20,512}")
+_ASSIGNED = re.compile(r"""[A-Za-z_][\w.\-]{1,40}\W{0,6}?\s?(?:=|:)\W{0,4}?\s?["']?(?P<v>[^\s"'|,;<>()]{8,})""")
+_RUN = re.compile(r"[A-Za-z0-9+/_=\-]{20,}")
 _BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----.+?-----END [A-Z ]*PRIVATE KEY-----", re.DOTALL)
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
 _HEX = re.compile(r"[0-9a-fA-F]+\Z")
@@ -75,10 +75,12 @@ def learn_language(docs: DataFrame, text: str = "text", key: str = "doc_id", sam
     return Language(frozenset(r["w"] for r in counted if len(r["w"]) >= 3), {p: math.log(n / total) for p, n in pairs.items()}, math.log(0.5 / total))
 
 
-def _overlap_free(found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+def _united(found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     out: list[tuple[int, int, str]] = []
     for begin, end, rule in sorted(found, key=lambda x: (x[0], -x[1])):
-        if not out or begin >= out[-1][1]:
+        if out and begin < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]), out[-1][2])
+        else:
             out.append((begin, end, rule))
     return out
 
@@ -93,7 +95,7 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     for m in _RUN.finditer(text):
         if any(c.isdigit() for c in m[0]) or not m[0].isalpha():
             found.append((m.start(), m.end(), "run"))
-    return _overlap_free(found)
+    return _united(found)
 
 
 def _coverage(value: str, words: frozenset[str]) -> float:
