@@ -275,3 +275,18 @@ def test_long_secrets_are_one_candidate(size):
     value = f"{part(40)}.{part(size // 2)}.{part(size - size // 2 - 42)}"
     for text, at in ((f'token = "{value}" ends', 9), (f"see {value.replace('.', '_')} ends", 4)):
         assert [(b, e) for b, e, _ in secrets.candidates(text)] == [(at, at + size)]
+
+
+def test_raw_elements_end_at_their_own_tag_only():
+    for script in ("for(var i=0;i<n;i++){f(i);}", "<!-- x", "a<b'", "s='<div'; t=\"</scripted>"):
+        blocks, pieces = html_text.parse(f"<p>a</p><script>{script}</script><article><p>Hello</p></article><style>p<q{{}}</STYLE >z")
+        assert [t for _, t in pieces] == ["a", "Hello", "z"]
+
+
+def test_pages_without_article_are_learned_from(spark):
+    prose = "A long sentence of plain prose, which goes on for a while; number {} of them is here."
+    plain = [(i, f"<nav><a href=/>Home</a></nav><script>{'x' * 70000}</script><div><p>{prose.format(i)}</p><p>{prose.format(-i)}</p></div>") for i in range(30)]
+    pages = spark.createDataFrame(plain, "page_id bigint, html string")
+    labelled = html_text.derived_pages(pages)
+    assert {r["label"] for r in labelled.select("label").distinct().collect()} == {0.0, 1.0}
+    assert html_text.main_text(plain[0][1], html_text.train(labelled)).startswith(prose.format(0))

@@ -55,7 +55,9 @@ SIDE_WORDS = {"ad", "ads", "advert", "advertisement", "aside", "banner", "bar",
 SIDE_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE) for name in sorted(RAW)}
 _ATTRIBUTE = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+_OWN_MAIN = re.compile(r"<(?:article|main)[\s/>]", re.IGNORECASE)
 _WORDS = re.compile(r"[a-z]+")
 FEATURES = 26
 
@@ -82,7 +84,6 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
     stack: list[tuple[str, int]] = [("#root", 0)]  # open elements with the block each belongs to
     buffer: list[str] = []
     linked = hidden = at = 0
-    raw: str | None = None
 
     def flush() -> None:
         nonlocal linked
@@ -106,8 +107,8 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
             if stack.pop()[0] in HIDDEN:
                 hidden -= 1
 
-    for token in _TOKEN.finditer(page):
-        if token.start() > at and raw is None and not hidden:
+    while token := _TOKEN.search(page, at):
+        if token.start() > at and not hidden:
             text = page[at : token.start()]
             buffer.append(text)
             if any(tag == "a" for tag, _ in stack):
@@ -117,11 +118,6 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
         if name is None:
             continue
         name = name.lower()
-        if raw is not None:
-            if token[1] and name == raw:
-                raw = None
-                close_to(len(stack) - 1)
-            continue
         if token[1]:
             if name == "br":
                 buffer.append(" ")
@@ -158,9 +154,11 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
         stack.append((name, len(blocks) - 1))
         if name in HIDDEN:
             hidden += 1
-            if name in RAW:
-                raw = name
-    if at < len(page) and raw is None and not hidden:
+            if name in RAW:  # nothing in it is a tag or a comment but its own end
+                end = _RAW_END[name].search(page, at)
+                at = end.end() if end else len(page)
+                close_to(len(stack) - 1)
+    if at < len(page) and not hidden:
         buffer.append(page[at:])
     close_to(1)
     flush()
@@ -299,11 +297,19 @@ def extract(pages: DataFrame, trees: Trees, column: str = "html", text: str = "t
 
 
 def harvest(page: str) -> tuple[list[str], list[str]]:
-    """Pieces of text inside and outside of a page's own ``article`` or ``main`` element."""
+    """Pieces of text inside and outside of a page's own ``article`` or ``main`` element.
+
+    Without such an element, the inside are blocks of prose: long, with marks, few links, and in nothing that is named as a side part.
+    """
     blocks, pieces = parse(page)
     inner = [False] * len(blocks)
     for i, b in enumerate(blocks):
         inner[i] = b.parent >= 0 and (inner[b.parent] or b.tag in ("article", "main"))
+    if not any(inner[b] for b, _ in pieces):
+        aside = [False] * len(blocks)
+        for i, b in enumerate(blocks):
+            aside[i] = b.parent >= 0 and aside[b.parent] or b.tag in SIDE_TAGS or bool(b.words & SIDE_WORDS)
+            inner[i] = not aside[i] and bool(b.runs) and b.chars >= 60 and b.marks > 0 and b.linked <= 0.3 * b.chars
     return [t for b, t in pieces if inner[b]], [t for b, t in pieces if not inner[b]]
 
 
@@ -372,7 +378,11 @@ def labelled_blocks(page: str, main: list[str]) -> list[tuple[list[float], float
 
 def derived_pages(pages: DataFrame, key: str = "page_id", column: str = "html", sample: int = 500) -> DataFrame:
     """Labelled blocks ``(label, features)`` of at most ``sample`` pages and of pages made from their pieces."""
-    chosen = smallest_by_hash(pages.filter(F.length(column) > 0).select(F.col(key).cast("string").alias("k"), F.substring(F.col(column), 1, 60000).alias("h")), sample, "k", seed=8)
+    whole = pages.filter(F.length(column) > 0).select(F.col(key).cast("string").alias("k"), F.col(column).alias("h")).withColumn("x", F.xxhash64("h"))
+    picked = smallest_by_hash(whole.select("k", "x").distinct(), sample, "k", "x", seed=8)
+    # At most ``sample`` short rows are broadcast.
+    same = F.col("k").eqNullSafe(F.col("pk")) & (F.col("x") == F.col("px"))
+    chosen = whole.join(F.broadcast(picked.toDF("pk", "px")), same, "left_semi").dropDuplicates(["k", "x"]).select("k", "h")
 
     def build(batches):
         for batch in batches:
@@ -382,7 +392,8 @@ def derived_pages(pages: DataFrame, key: str = "page_id", column: str = "html",
                 if not main:
                     continue
                 made = [invent(f"{k}-{i}", main, side) for i in range(2)]
-                for source, kept in [*made, (page, main)]:
+                own = [(page, main)] if _OWN_MAIN.search(page) else []  # else its own labels are but a guess
+                for source, kept in [*made, *own]:
                     rows += [{"label": label, "features": x} for x, label in labelled_blocks(source, kept)]
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("label", pa.float64()), ("features", pa.list_(pa.float64()))]))
 
