@@ -209,3 +209,14 @@ def test_embedding_links_match_brute_force(spark, monkeypatch):
     assert [got[i]["component_id"] for i in range(300)] == label.tolist()
     assert all(got[i]["n_links"] == 0 and got[i]["component_id"] == i and got[i]["kept"] for i in range(900, 906))
     assert got[None]["n_links"] == 0 and embeddings.near_duplicates(table.limit(0)).count() == 0
+
+
+def test_factors_stand_in_their_source(spark):
+    rng = random.Random(21)
+    lines = [" ".join(f"w{rng.randrange(1000)}" for _ in range(20)) for _ in range(8)]
+    texts = {i: " ".join(rng.choices(lines, k=12)) for i in range(12)}
+    got = substrings.remove_duplicates(spark.createDataFrame(rows(*[(i, t, "en", "s") for i, t in texts.items()]), DOCUMENT), chunk_bytes=2000).collect()
+    words = {i: t.split() for i, t in texts.items()}
+    factors = [(r["doc_id"], f) for r in got for f in r["factors"]]
+    assert factors and all(words[i][f["begin"] : f["begin"] + f["words"]] == words[f["source"]][f["at"] : f["at"] + f["words"]] for i, f in factors)
+    assert all(sum(any(f["begin"] <= p < f["begin"] + f["words"] for f in r["factors"]) for p in range(240)) == r["n_removed"] for r in got)

@@ -1,17 +1,19 @@
-"""Substring dedup: relative Lempel-Ziv factors against earlier documents.
+"""Substring dedup: runs of 13 words that an earlier document has, looked up by hash.
 
-The reference is every document with a smaller id.  Its index holds the runs of 13 words that
-two different texts share, each with the earliest document that has it.  A document is
-parsed greedily: a factor starts at the first indexed run and goes on while the following runs
-come from the same reference; where it ends, the run at the boundary is looked up anew.
-Factors are 13 words or longer; all words that lie in one are removed.
+The reference is every document with a smaller id.  The index holds the runs of 13 words that
+two different texts share, each with the earliest document that has it and its first place
+there.  A factor starts at the first indexed run and goes on while the following runs come next
+in the same reference; so its words stand in the reference as they stand here.  This is no full
+Lempel-Ziv parse: only the earliest document's first place is a reference, so another one may
+have a longer passage.  Which words lie in a factor does not depend on that.
+Factors are 13 words or longer and may overlap; all words that lie in one are removed.
 
 Only shared runs are indexed.  In every run of 13 words, one of its ten 4-word runs is its
 anchor, the one with the lowest hash, so equal runs have equal anchors; anchors are a fifth of
 the words.  Documents are dealt into chunks of bounded text.  A chunk sends its distinct
 anchors, sorted and packed, to the shards of the hash space; a shard answers which of them
 another text has as well.  The chunk then sends the distinct runs with such anchors, each
-with its smallest id, and gets the smallest id of all.  So a passage with a third of
+with its smallest id and place, and gets the smallest of all.  So a passage with a third of
 all documents costs one entry for each chunk.  Runs are compared by 64-bit hashes.
 Exact copies are found by text beforehand and removed whole.
 
@@ -127,20 +129,24 @@ class Chunk:
             first = first[shared[place] == slot] if len(shared) else first[:0]
             yield at, part, words, first, grams(words.hash, self.n, 41)[first]
 
-    def index(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct hashes of those runs, sorted, each with the smallest id of the chunk."""
-        hashes, ids = [np.zeros(0, U)], [np.zeros(0, np.int64)]
-        for at, _, words, first, h in self.runs(shared):
+    def index(self, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct hashes of those runs, sorted, each with the smallest id of the chunk and its first place there."""
+        hashes, ids, places = [np.zeros(0, U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for at, part, words, first, h in self.runs(shared):
+            row = words.row[first]
             hashes.append(h)
-            ids.append(self.ids[at + words.row[first]])
-        return _least(np.concatenate(hashes), np.concatenate(ids))
+            ids.append(self.ids[at + row])
+            # Rows of equal id are told apart by half their text's hash.
+            texts = np.asarray(part.column("th").cast(pa.int64()))[row]
+            places.append((texts >> 32 << 32) | (first - words.first[row]))
+        return _least(np.concatenate(hashes), np.concatenate(ids), np.concatenate(places))
 
 
-def _least(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, ids = keys[order], ids[order]
+def _least(keys: np.ndarray, ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((places, ids, keys))
+    keys = keys[order]
     start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return keys[start], np.minimum.reduceat(ids, start) if len(keys) else ids
+    return keys[start], ids[order[start]], places[order[start]]
 
 
 def _chunk(docs: pa.Table, side: pa.Table, n: int) -> tuple[Chunk, dict[tuple[int, int], tuple[bytes, bytes]]]:
@@ -190,31 +196,45 @@ def _which_are_shared(group: pa.Table) -> pa.Table:
 
 
 def _earliest_of_all(group: pa.Table) -> pa.Table:
-    """A shard's answer to each chunk: the smallest id that has each of its runs."""
+    """A shard's answer to each chunk: the smallest id that has each of its runs, and its first place there."""
     sent = [_unpacked(d, True) for d in group.column("data").to_pylist()]
-    ids = [_unpacked(d, False).view(np.int64) for d in group.column("more").to_pylist()]
-    keys, least = _least(np.concatenate(sent), np.concatenate(ids))
-    return _answer(group, 2, [_packed(least[np.searchsorted(keys, s)].view(U), False) for s in sent])
+    more = [_sources(d) for d in group.column("more").to_pylist()]
+    keys, least, places = _least(np.concatenate(sent), *(np.concatenate(x) for x in zip(*more, strict=True)))
+    found = [np.searchsorted(keys, s) for s in sent]
+    return _answer(group, 2, [_packed_sources(least[f], places[f]) for f in found])
 
 
-def parse(at: np.ndarray, source: np.ndarray, n: int) -> list[tuple[int, int, int]]:
-    """Factors ``(first word, words, source)`` from indexed runs: their places in order, and their references."""
+def _packed_sources(ids: np.ndarray, places: np.ndarray) -> bytes:
+    return _packed(np.concatenate([ids, places]).view(U), False)
+
+
+def _sources(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = _unpacked(data, False).view(np.int64)
+    return both[: len(both) // 2], both[len(both) // 2 :]
+
+
+def parse(at: np.ndarray, source: np.ndarray, place: np.ndarray, n: int) -> list[tuple[int, int, int, int]]:
+    """Factors ``(first word, words, source, first word there)`` from indexed runs in order, and where their references have them.
+
+    A factor goes on while the next run stands next in the same reference as well.
+    """
     if not len(at):
         return []
-    start = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 1) | (np.diff(source) != 0)]))
+    start = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 1) | (np.diff(source) != 0) | (np.diff(place) != 1)]))
     end = np.append(start[1:], len(at)) - 1
-    return [(int(at[a]), int(at[b] - at[a] + n), int(source[a])) for a, b in zip(start, end, strict=True)]
+    return [(int(at[a]), int(at[b] - at[a] + n), int(source[a]), int(place[a] & 0xFFFFFFFF)) for a, b in zip(start, end, strict=True)]
 
 
-def _cut(chunk: Chunk, shared: np.ndarray, keys: np.ndarray, least: np.ndarray) -> pa.Table:
+def _cut(chunk: Chunk, shared: np.ndarray, keys: np.ndarray, least: np.ndarray, places: np.ndarray) -> pa.Table:
     """What is left of every row of the chunk."""
     counts, removed, digests, factors = [], [], [], []
     nothing = hashlib.sha256(b"").hexdigest()
     for at, part, words, first, h in chunk.runs(shared):
-        source = least[np.searchsorted(keys, h)] if len(h) else np.zeros(0, np.int64)
+        found = np.searchsorted(keys, h)
+        source, place = (x[found] if len(h) else np.zeros(0, np.int64) for x in (least, places))
         row = words.row[first]
         earlier = source < chunk.ids[at + row]
-        first, row, source = first[earlier], row[earlier], source[earlier]
+        first, row, source, place = first[earlier], row[earlier], source[earlier], place[earlier]
         of_row = np.searchsorted(row, np.arange(part.num_rows + 1))
         texts = part.column("text")
         for i in range(part.num_rows):
@@ -223,23 +243,23 @@ def _cut(chunk: Chunk, shared: np.ndarray, keys: np.ndarray, least: np.ndarray)
             if b - a >= chunk.n and chunk.copy_of[at + i] != chunk.ids[at + i]:
                 removed.append(b - a)
                 digests.append(nothing)
-                factors.append([(0, b - a, int(chunk.copy_of[at + i]))])
+                factors.append([(0, b - a, int(chunk.copy_of[at + i]), 0)])
                 continue
             own = slice(of_row[i], of_row[i + 1])
-            found = parse(first[own] - a, source[own], chunk.n)
+            found = parse(first[own] - a, source[own], place[own], chunk.n)
             factors.append(found)
             if not found:
                 removed.append(0)
                 digests.append(hashlib.sha256(b" ".join((texts[i].as_py() or "").encode().split())).hexdigest())
                 continue
             gone = np.zeros(b - a, bool)
-            for begin, size, _ in found:
+            for begin, size, _, _ in found:
                 gone[begin : begin + size] = True
             removed.append(int(gone.sum()))
             kept = b" ".join(words.data[words.start[j] : words.end[j]].tobytes() for j in a + np.flatnonzero(~gone))
             digests.append(hashlib.sha256(kept).hexdigest())
-    shape = pa.list_(pa.struct([("begin", pa.int32()), ("words", pa.int32()), ("source", pa.int64())]))
-    listed = [[{"begin": b, "words": w, "source": s} for b, w, s in f] for f in factors]
+    shape = pa.list_(pa.struct([("begin", pa.int32()), ("words", pa.int32()), ("source", pa.int64()), ("at", pa.int64())]))
+    listed = [[{"begin": b, "words": w, "source": s, "at": p} for b, w, s, p in f] for f in factors]
     return pa.table({
         "id": chunk.table.column("id"), "text_hash": chunk.table.column("th"), "n_words": pa.array(counts, pa.int64()),
         "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(digests, pa.string()), "factors": pa.array(listed, shape),
@@ -250,7 +270,7 @@ def remove_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                       shard_words: int = SHARD_WORDS) -> DataFrame:
     """``(key, text_hash, n_words, n_removed, kept_sha256, factors)``, one row for each row of ``docs``.
 
-    A factor is ``(first word, words, source id)``; a whole copy of an earlier text is one factor.
+    A factor is ``(first word, words, source id, first word there)``; a whole copy of an earlier text is one factor.
     """
     docs = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     docs = docs.withColumn("th", F.coalesce(F.xxhash64("text"), F.lit(0)))
@@ -292,21 +312,22 @@ def remove_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     def send_runs(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk, answers = opened(left, right)
-        keys, ids = chunk.index(_shared_slots(chunk, answers, shards))
+        keys, ids, places = chunk.index(_shared_slots(chunk, answers, shards))
         number = left.column("chunk")[0].as_py() if len(left) else 0
-        return _sent(number, 2, keys, 64, shards, lambda s: _packed(ids[s].view(U), False))
+        return _sent(number, 2, keys, 64, shards, lambda s: _packed_sources(ids[s], places[s]))
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk, answers = opened(left, right)
         shared = _shared_slots(chunk, answers, shards)
-        keys, _ = chunk.index(shared)
-        least = [_unpacked(answers[2, s][0], False).view(np.int64) for s in range(shards) if (2, s) in answers]
-        return _cut(chunk, shared, keys, np.concatenate(least) if least else np.zeros(0, np.int64))
+        keys, _, _ = chunk.index(shared)
+        found = [_sources(answers[2, s][0]) for s in range(shards) if (2, s) in answers]
+        least, places = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+        return _cut(chunk, shared, keys, least, places)
 
     slots = staged(joined(None, send_slots, _REPLY), "slots")
     first = staged(slots.groupBy("shard").applyInArrow(_which_are_shared, _REPLY), "answers")
     runs = staged(joined(first, send_runs, _REPLY), "runs")
     second = staged(runs.groupBy("shard").applyInArrow(_earliest_of_all, _REPLY), "answers")
     result = "id bigint, text_hash bigint, n_words bigint, n_removed bigint, kept_sha256 string, " \
-             "factors array<struct<begin:int,words:int,source:bigint>>"
+             "factors array<struct<begin:int,words:int,source:bigint,at:bigint>>"
     return joined(first.unionByName(second), finish, result).withColumnRenamed("id", key)
