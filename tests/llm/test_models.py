@@ -290,3 +290,14 @@ def test_pages_without_article_are_learned_from(spark):
     labelled = html_text.derived_pages(pages)
     assert {r["label"] for r in labelled.select("label").distinct().collect()} == {0.0, 1.0}
     assert html_text.main_text(plain[0][1], html_text.train(labelled)).startswith(prose.format(0))
+
+
+def test_language_counts_every_document_and_language(spark):
+    many = [(i, "common words of the large language stand here", "aa", "s") for i in range(3000)]
+    few = [(5000 + i, "x " * 12000 + "kleinwort selten", "bb", "s") for i in range(4)]
+    odd = [(6000, "einmaligkeit", "aa", "s")]
+    table = spark.createDataFrame(rows(*many, *few, *odd), DOCUMENT)
+    language = secrets.learn_language(table, share=1 / 1000)
+    assert {"common", "kleinwort", "selten"} <= language.words and "einmaligkeit" not in language.words
+    assert "kl" in language.pairs and "nm" not in language.pairs
+    assert secrets.learn_language(table.limit(0)).words == frozenset()

@@ -27,7 +27,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.store import smallest_by_hash
+from tidemark.llm.store import smallest_by_hash, staged
 
 # Words that stand next to secrets, next to harmless digests, and inside placeholders.
 CREDENTIAL = ["api", "auth", "authorization", "bearer", "credential", "key", "pass", "passphrase", "passwd", "password", "private",
@@ -43,6 +43,8 @@ _HEX = re.compile(r"[0-9a-fA-F]+\Z")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _NAME = re.compile(r"[^\W\d_]+|\d+")
 
+#: Distinct words that a task holds before it sends them on.
+TASK_WORDS = 500_000
 FEATURES = ["length", "entropy", "class_changes", "transition", "unseen_transitions", "coverage", "digits", "upper", "symbols", "is_hex",
             "is_uuid", "slashes", "dots", "path", "url", "repeats", "credential_near", "credential_name", "digest_near", "placeholder",
             "assigned", "quoted", "block", "distinct"]
@@ -60,19 +62,49 @@ class Language:
     floor: float
 
 
-def learn_language(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int = 2000, words: int = 20000) -> Language:
-    """From a bounded sample of documents: its ``words`` commonest words of three letters or more."""
-    counted = (
-        smallest_by_hash(docs.filter(F.col(text).isNotNull()).select(key, F.substring(F.col(text), 1, 20000).alias("t")), sample, key, seed=5)
-        .select(F.explode(F.regexp_extract_all(F.lower("t"), F.lit(r"(\p{L}+)"), 1)).alias("w")).filter(F.length("w") >= 2)
-        .groupBy("w").count().orderBy(F.desc("count"), "w").limit(words).collect()
-    )
+def _count_words(batches):
+    """Words of a task's texts by language: how often, and in how many texts; the word '' is in each."""
+    often: Counter[tuple] = Counter()
+    texts: Counter[tuple] = Counter()
+
+    def send() -> pa.RecordBatch:
+        keys = list(texts)
+        return pa.record_batch([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
+                                pa.array([often[k] for k in keys], pa.int64()), pa.array([texts[k] for k in keys], pa.int64())],
+                               names=["lang", "w", "n", "docs"])
+
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            own = Counter(w for w in _LETTERS.findall(text.lower()) if len(w) >= 2)
+            own[""] = 1
+            for w, n in own.items():
+                often[lang, w] += n
+                texts[lang, w] += 1
+            if len(texts) > TASK_WORDS:
+                yield send()
+                often.clear()
+                texts.clear()
+    yield send()
+
+
+def learn_language(docs: DataFrame, text: str = "text", share: float = 1 / 5000, lang: str = "lang") -> Language:
+    """From all whole documents: the words that at least a ``share`` of a language's documents have.
+
+    So their number is bounded by the words of a document over the share, whatever the size of the table.
+    """
+    of = F.col(f"`{lang}`").cast("string") if lang in docs.columns else F.lit(None).cast("string")
+    counted = docs.filter(F.col(text).isNotNull()).select(of.alias("lang"), F.col(text).alias("text"))
+    counted = counted.mapInArrow(_count_words, "lang string, w string, n bigint, docs bigint").groupBy("lang", "w").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    counted = staged(counted, "words")
+    sizes = counted.filter("w = ''").select(F.col("lang").alias("l"), F.col("docs").alias("size"))  # a row for each language
+    common = counted.filter("w <> ''").join(F.broadcast(sizes), F.col("lang").eqNullSafe(F.col("l"))).filter(F.col("docs") >= F.col("size") * share)
+    rows = common.groupBy("w").agg(F.sum("n").alias("n")).collect()
     pairs: Counter[str] = Counter()
-    for row in counted:
+    for row in rows:
         for pair in zip(row["w"], row["w"][1:], strict=False):
-            pairs["".join(pair)] += row["count"]
+            pairs["".join(pair)] += row["n"]
     total = sum(pairs.values()) + 1
-    return Language(frozenset(r["w"] for r in counted if len(r["w"]) >= 3), {p: math.log(n / total) for p, n in pairs.items()}, math.log(0.5 / total))
+    return Language(frozenset(r["w"] for r in rows if len(r["w"]) >= 3), {p: math.log(n / total) for p, n in pairs.items()}, math.log(0.5 / total))
 
 
 def _united(found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
@@ -156,11 +188,12 @@ def find(docs: DataFrame, language: Language, text: str = "text") -> DataFrame:
 
 
 def derived_findings(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int = 1500) -> DataFrame:
-    """Labelled findings ``(text, begin, end, label)`` made from the words of at most ``sample`` documents."""
-    chosen = smallest_by_hash(
-        docs.filter(F.col(text).isNotNull()).select(F.col(key).cast("string").alias("k"), F.substring(F.col(text), 1, 4000).alias("t")),
-        sample, "k", seed=6,
-    )
+    """Labelled findings ``(text, begin, end, label)`` made from the words of at most ``sample`` whole documents."""
+    whole = docs.filter(F.col(text).isNotNull()).select(F.col(key).cast("string").alias("k"), F.col(text).alias("t")).withColumn("x", F.xxhash64("t"))
+    picked = smallest_by_hash(whole.select("k", "x").distinct(), sample, "k", "x", seed=6)
+    # At most ``sample`` short rows are broadcast.
+    same = F.col("k").eqNullSafe(F.col("pk")) & (F.col("x") == F.col("px"))
+    chosen = whole.join(F.broadcast(picked.toDF("pk", "px")), same, "left_semi").dropDuplicates(["k", "x"]).select("k", "t")
 
     def build(batches):
         for batch in batches:
@@ -176,7 +209,7 @@ def derived_findings(docs: DataFrame, text: str = "text", key: str = "doc_id", s
 def invent(seed: str, text: str) -> list[dict]:
     """Labelled findings in contexts taken from ``text``, the same ones for the same seed."""
     rng = random.Random(int(hashlib.md5(seed.encode()).hexdigest()[:12], 16))
-    words = _LETTERS.findall(text)[:400] or ["lorem", "ipsum", "dolor"]
+    words = _LETTERS.findall(text) or ["lorem", "ipsum", "dolor"]
 
     def chars(alphabet: str, low: int, high: int) -> str:
         return "".join(rng.choices(alphabet, k=rng.randint(low, high)))
@@ -243,7 +276,7 @@ def judge(found: DataFrame, forest, threshold: float = 0.5) -> DataFrame:
 
 def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", findings: DataFrame | None = None):
     """The language and the forest; ``findings`` are labelled ones, made from ``docs`` where there are none."""
-    language = learn_language(docs, text, key)
+    language = learn_language(docs, text)
     return language, train(findings if findings is not None else derived_findings(docs, text, key), language)
 
 
