@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm.conftest import DOCUMENT, EDGES, rows
 from pyspark.sql import functions as F
@@ -301,3 +302,12 @@ def test_language_counts_every_document_and_language(spark):
     assert {"common", "kleinwort", "selten"} <= language.words and "einmaligkeit" not in language.words
     assert "kl" in language.pairs and "nm" not in language.pairs
     assert secrets.learn_language(table.limit(0)).words == frozenset()
+
+
+def test_exceptions_see_every_match(spark):
+    lexicon = toxicity.Lexicon({" vexling ": 2.0})
+    batch = pa.RecordBatch.from_pylist([{"text": "vexling one " * 60 + "vexling festival", "label": 1}])
+    hits = [h for out in toxicity._measure([batch], lexicon) for h in out.column("hit").to_pylist()[0]]
+    assert any("vexling festival" in h for h in hits)
+    seen = [(1, hits)] + [(0, [" vexling festival ", " vexling fair "])] * 3
+    assert toxicity._harmless(spark.createDataFrame(seen, "label int, hit array<string>")) == [" vexling fair "]

@@ -159,14 +159,15 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         sample.mapInArrow(_count, "entry string, toxic bigint, other bigint, near array<bigint>")
         .groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.size(F.array_distinct(F.flatten(F.collect_list("near")))).alias("near"))
         .filter((F.col("near") >= NEIGHBOURS) & (F.col("toxic") * (n_other + 1) >= math.exp(ODDS) / 3 * F.col("other") * (n_toxic + 1)))
-        .orderBy(F.desc("toxic"), "entry").limit(20000)
+        # With fewer toxic texts there can't be evidence enough, even without any other text.
+        .filter(F.col("toxic") * math.log((n_toxic + n_other) / n_toxic) >= EVIDENCE)
     )
-    entries = choose_entries({r["entry"]: (r["toxic"], r["other"]) for r in counted.collect()}, n_toxic, n_other)
+    entries = choose_entries({r["entry"]: (r["toxic"], r["other"]) for r in sorted(counted.collect(), key=lambda r: (-r["toxic"], r["entry"]))}, n_toxic, n_other)
     lexicon = Lexicon(entries, [f" {' '.join(fold(p))} " for p in exceptions])
-    seen = sample.mapInArrow(lambda batches: _measure(batches, lexicon), "label int, words double, total double, hit array<string>").collect()
-    lexicon.exceptions += _harmless([(r["label"], r["hit"]) for r in seen])
-    kept = sample.mapInArrow(lambda batches: _measure(batches, lexicon), "label int, words double, total double, hit array<string>").collect()
-    lexicon.curve = _curve(np.array([(r["label"], r["words"], r["total"]) for r in kept], np.float64))
+    seen = sample.mapInArrow(lambda batches: _measure(batches, lexicon), "label int, words double, total double, hit array<string>")
+    lexicon.exceptions += _harmless(seen)
+    kept = sample.mapInArrow(lambda batches: _measure(batches, lexicon), "label int, words double, total double, hit array<string>")
+    lexicon.curve = _curve(np.array([tuple(r) for r in kept.select("label", "words", "total").collect()], np.float64))
     return lexicon
 
 
@@ -178,22 +179,20 @@ def _measure(batches, lexicon: Lexicon):
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
             words = fold(text)
             joined, found = f" {' '.join(words)} ", matches(automaton, words)
-            hits = []
-            for begin, _, _ in found[:50]:
+            hits = set()
+            for begin, _, _ in found:
                 end = joined.index(" ", begin + 1)
                 after = joined.find(" ", end + 1)
-                hits += [joined[begin : end + 1], joined[begin : after + 1] if after > 0 else "", joined[joined.rfind(" ", 0, max(begin, 1)) if begin else 0 : end + 1]]
+                hits |= {joined[begin : end + 1], joined[begin : after + 1] if after > 0 else "", joined[joined.rfind(" ", 0, max(begin, 1)) if begin else 0 : end + 1]}
             rows.append({"label": label, "words": float(len(words)), "total": sum(w for _, _, w in found), "hit": sorted({h for h in hits if h})})
         yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
             [("label", pa.int32()), ("words", pa.float64()), ("total", pa.float64()), ("hit", pa.list_(pa.string()))]))
 
 
-def _harmless(seen: list[tuple[int, list[str]]]) -> list[str]:
+def _harmless(seen: DataFrame) -> list[str]:
     """Matched words and phrases that occur in several other texts and in no toxic one."""
-    toxic, other = Counter(), Counter()
-    for label, hits in seen:
-        (toxic if label else other).update(hits)
-    return sorted(h for h, n in other.items() if n >= 3 and not toxic[h])
+    hits = seen.select("label", F.explode("hit").alias("hit")).groupBy("hit").agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("texts"))
+    return sorted(r["hit"] for r in hits.filter("toxic = 0 and texts >= 3").collect())
 
 
 def _curve(rows: np.ndarray) -> tuple[float, float, float]:
