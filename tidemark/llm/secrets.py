@@ -64,23 +64,22 @@ class Language:
 
 def _count_words(batches):
     """Words of a task's texts by language: how often, and in how many texts; the word '' is in each."""
-    often: Counter[tuple] = Counter()
-    texts: Counter[tuple] = Counter()
+    often: dict[str | None, Counter[str]] = {}
+    texts: dict[str | None, Counter[str]] = {}
 
     def send() -> pa.RecordBatch:
-        keys = list(texts)
-        return pa.record_batch([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                                pa.array([often[k] for k in keys], pa.int64()), pa.array([texts[k] for k in keys], pa.int64())],
-                               names=["lang", "w", "n", "docs"])
+        rows = [(lang, w, often[lang][w], n) for lang, own in texts.items() for w, n in own.items() if len(w) != 1]
+        columns = list(zip(*rows, strict=True)) or [()] * 4
+        kinds = [pa.string(), pa.string(), pa.int64(), pa.int64()]
+        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["lang", "w", "n", "docs"])
 
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            own = Counter(w for w in _LETTERS.findall(text.lower()) if len(w) >= 2)
-            own[""] = 1
-            for w, n in own.items():
-                often[lang, w] += n
-                texts[lang, w] += 1
-            if len(texts) > TASK_WORDS:
+            words = _LETTERS.findall(text.lower())
+            words.append("")
+            often.setdefault(lang, Counter()).update(words)
+            texts.setdefault(lang, Counter()).update(set(words))
+            if sum(map(len, texts.values())) > TASK_WORDS:
                 yield send()
                 often.clear()
                 texts.clear()
