@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, embeddings, html_text, langid, mixing, neardup, quality, secrets, substrings, toxicity
+from tidemark.llm import (
+    alignment, decontaminate, divergence, embeddings, fingerprints, html_text, langid, mixing, neardup, quality, secrets,
+    substrings, toxicity,
+)
 from tidemark.llm.store import calibration, held_out, staged, table, training_fold
 
 #: SQL with the same rows, for DuckDB.
@@ -41,8 +44,50 @@ SQL: dict[str, str] = {
         SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(t, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_document_fingerprints": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        n AS (SELECT doc_id, t, coalesce(lead(t) OVER o, first_value(t) OVER o) AS u FROM d WINDOW o AS (ORDER BY doc_id NULLS FIRST)),
+        e AS (SELECT doc_id, t, u, t[1:length(t) - length(t) // 2] || u[1:length(t) // 2] AS e FROM n),
+        w AS (SELECT doc_id, k, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS w
+              FROM (SELECT doc_id, unnest(['own', 'edited', 'next']) AS k, unnest([t, e, u]) AS x FROM e)),
+        h AS (SELECT doc_id, k, list_sort(list_distinct([left(md5(array_to_string(w[i:i + 4], ' ')), 16)
+                     FOR i IN range(1, if(len(w) = 0, 1, greatest(len(w) - 3, 2)))])) AS h FROM w),
+        s AS (SELECT doc_id, k, h[1:greatest(32, len(list_filter(h, lambda x: x < '1000000000000000')))] AS s FROM h),
+        l AS (SELECT doc_id, k, s, if(len(s) >= 32, greatest('1000000000000000', s[-1] || '0'), 'g') AS l FROM s),
+        p AS (SELECT a.doc_id, b.k, a.s AS own, b.s AS s, list_filter(a.s, lambda x: x < least(a.l, b.l)) AS a,
+                     list_filter(b.s, lambda x: x < least(a.l, b.l)) AS b FROM l a JOIN l b USING (doc_id) WHERE a.k = 'own' AND b.k <> 'own'),
+        c AS (SELECT doc_id, k, own, s, len(a) AS a, len(b) AS b, len(list_intersect(a, b)) AS i FROM p),
+        near AS (SELECT doc_id, k, own, s, CASE WHEN len(own) = 0 AND len(s) = 0 THEN 1.0::DOUBLE WHEN a = 0 THEN 0.0 ELSE i / a END AS containment,
+                        CASE WHEN len(own) = 0 AND len(s) = 0 THEN 1.0::DOUBLE WHEN a + b - i = 0 THEN 0.0 ELSE i / (a + b - i) END AS jaccard FROM c)
+        SELECT doc_id, length(t) AS n_chars, sha256(e) AS edited_sha256, array_to_string(x.own, '') AS fingerprint,
+               array_to_string(x.s, '') AS edited_fingerprint, x.containment AS near_edited, y.containment AS near_next,
+               x.jaccard AS jaccard_edited, y.jaccard AS jaccard_next
+        FROM e JOIN near x USING (doc_id) JOIN near y USING (doc_id) WHERE x.k = 'edited' AND y.k = 'next'""",
+    "op13_source_divergence": r"""
+        WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        kept AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM d) GROUP BY ALL HAVING count(*) >= 30),
+        c AS (SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(w) AS term FROM d) SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+        a AS (SELECT lang, source, term, coalesce(n, 0) AS n, sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS total, v
+              FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+        p AS (SELECT lang, source, term, n, (1 + (1000000000::HUGEINT * (n + 5)) // (total + 5 * v))::BIGINT AS p FROM a),
+        l AS (SELECT lang, term, sum(n) AS n FROM a GROUP BY ALL),
+        q AS (SELECT lang, term, (1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v))::BIGINT AS q FROM l JOIN v USING (lang)),
+        pair AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+                 FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+        parts AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0)::BIGINT AS value
+                  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+                  LEFT JOIN pair ON pair.lang = x.lang AND pair.source = x.source AND pair.item = y.source
+                  UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+        ranked AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM parts)
+        SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50""",
 }
 
+#: Folder of the public vocabularies that op12 aligns.
+TOKENIZERS = "/opt/tokenizers"
+
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
@@ -119,6 +164,26 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "class_size", "kept")
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.edited_likeness(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprints.fingerprint(F.col("sketch")).alias("fingerprint"),
+        fingerprints.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"), F.col("to_edited.containment").alias("near_edited"),
+        F.col("to_next.containment").alias("near_next"), F.col("to_edited.jaccard").alias("jaccard_edited"),
+        F.col("to_next.jaccard").alias("jaccard_next"),
+    )
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str, folder: str = TOKENIZERS) -> DataFrame:
+    vocabularies = alignment.Vocabularies.read(f"{folder}/byte_bpe_50k.json", f"{folder}/piece_bpe_32k.model")
+    found = alignment.aligned_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabularies)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_substring_dedup": op2_substring_dedup,
@@ -130,4 +195,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op9_language_id": op9_language_id,
+    "op11_document_fingerprints": op11_document_fingerprints,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_source_divergence": op13_source_divergence,
 }
