@@ -77,6 +77,18 @@ def fingerprint(hashes: Column) -> Column:
     return F.array_join(hashes, "")
 
 
+def packed(hashes: Column) -> Column:
+    """The sketch in eight bytes a hash, for the way between tasks."""
+    return F.unhex(F.array_join(hashes, ""))
+
+
+def unpacked(data: Column) -> Column:
+    size = DIGITS // 2
+    places = F.sequence(F.lit(0), F.greatest((F.length(data) / size).cast("int") - 1, F.lit(0)))
+    each = F.transform(places, lambda i: F.lower(F.hex(F.substring(data, i * size + 1, F.lit(size)))))
+    return F.when(F.length(data) > 0, each).otherwise(F.array().cast("array<string>"))
+
+
 def limit(hashes: Column, fraction: float = FRACTION, least: int = LEAST) -> Column:
     """The sketch holds every hash of its document that is smaller, as text, than this."""
     last = F.concat(F.element_at(hashes, -1), F.lit("0"))
@@ -135,6 +147,15 @@ def successors(docs: DataFrame, key: str, tag: str, size: str) -> DataFrame:
     return found.select(key, tag, *[F.col(f"before.{c}").alias(f"before_{c}") for c in (key, tag, size)])
 
 
+def _name(key: Column) -> Column:
+    """A key as text that is never null, so that joins by it need no other exchange than the removal of copies."""
+    return F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit(""))
+
+
+def _key(name: Column, kind) -> Column:
+    return F.when(name != "", F.substring(name, F.lit(2), F.length(name)).cast(kind))
+
+
 def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", fraction: float = FRACTION, least: int = LEAST) -> DataFrame:
     """Sketches of each document and of its text with the second half replaced by the next document's beginning.
 
@@ -146,19 +167,19 @@ def edited_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", fr
     docs = docs.select(F.col(f"`{key}`").alias("id"), whole.alias("text"))
     tagged = docs.withColumn("tag", F.xxhash64("text"))
     links = staged(successors(tagged.withColumn("size", F.length("text")), "id", "tag", "size"), "links")
-    own = tagged.withColumn("sketch", sketch(F.col("text"), fraction, least))
-
-    # Both joins read `own` by the same key, so its exchange is made once.
-    link = links.select(F.col("id").alias("link_id"), F.col("tag").alias("link_tag"), "before_id", "before_tag", "before_size")
-    sent = own.join(link, F.col("id").eqNullSafe(F.col("link_id")) & (F.col("tag") == F.col("link_tag")))
-    sent = sent.select(
-        "before_id", "before_tag", F.substring("text", F.lit(1), F.floor(F.col("before_size") / 2).cast("int")).alias("begin"),
-        F.col("sketch").alias("next_sketch"),
-    ).dropDuplicates(["before_id", "before_tag"])
-    met = own.join(sent, F.col("id").eqNullSafe(F.col("before_id")) & (F.col("tag") == F.col("before_tag")))
+    own = tagged.select(_name(F.col("id")).alias("name"), "tag", "text", packed(sketch(F.col("text"), fraction, least)).alias("own"))
+
+    # Both joins read the same columns of `own` by the same key, so its exchange is made once; the key also removes copies.
+    link = links.select(_name(F.col("id")).alias("name"), "tag", _name(F.col("before_id")).alias("to"), "before_tag", "before_size")
+    begin = F.substring("text", F.lit(1), F.floor(F.col("before_size") / 2).cast("int"))
+    sent = own.join(link, ["name", "tag"]).select(F.col("to").alias("name"), F.col("before_tag").alias("tag"), begin.alias("begin"), F.col("own").alias("next"))
+    met = own.join(sent.dropDuplicates(["name", "tag"]), ["name", "tag"])
     size = F.length("text")
     kept = F.substring("text", F.lit(1), (size - F.floor(size / 2)).cast("int"))
-    met = met.select("id", size.cast("long").alias("n_chars"), "sketch", "next_sketch", F.concat(kept, "begin").alias("edited"))
+    met = met.select(
+        _key(F.col("name"), docs.schema["id"].dataType).alias("id"), size.cast("long").alias("n_chars"), F.concat(kept, "begin").alias("edited"),
+        unpacked(F.col("own")).alias("sketch"), unpacked(F.col("next")).alias("next_sketch"),
+    )
     both = met.select("*", sketch(F.col("edited"), fraction, least).alias("edited_sketch"))
     return both.select(
         F.col("id").alias(key), "n_chars", "edited", "sketch", "edited_sketch",
