@@ -5,6 +5,7 @@ import os
 import random
 import re
 from collections import Counter, defaultdict
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pytest
@@ -217,8 +218,11 @@ def test_pairs_of_ids_are_bounded_by_the_vocabularies(vocabularies):
 # Divergence
 
 
+TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+
 def plain_audit(rows, least):
-    docs = [(lang or "", source or "", re.findall(divergence.TERM, (text or "").translate(str.maketrans(divergence.UPPER, divergence.LOWER))))
+    docs = [(lang or "", source or "", re.findall(TERM, (text or "").translate(str.maketrans(ascii_uppercase, ascii_lowercase))))
             for text, lang, source in rows]
     df, n, groups = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
     for lang, source, terms in docs:
@@ -256,6 +260,7 @@ def test_divergence_equals_the_plain_one(spark, monkeypatch, shard, cells):
     docs = spark.createDataFrame([(*r, "x", "x") for r in rows], "text string, lang string, source string, place string, n string")
     monkeypatch.setattr(divergence, "SHARD", shard)
     monkeypatch.setattr(divergence, "CELLS", cells)
+    monkeypatch.setattr(divergence, "HELD", shard)
     found = divergence.audit(docs.repartition(4), least=30)
     assert sorted(tuple(r[c] for c in ("lang", "source", "part", "item", "value", "rank")) for r in found.collect()) == plain_audit(rows, 30)
 

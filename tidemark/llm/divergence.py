@@ -29,34 +29,66 @@ Other columns are not read.
 
 from __future__ import annotations
 
+import re
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.store import staged
+from tidemark.llm.words import LOWER as FOLD
+from tidemark.llm.words import slices, text_bytes
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SCALE = 1_000_000_000
 SMOOTH = 5
 #: Postings that a task holds, and numbers that its accumulators have.
-SHARD, CELLS = 400_000, 1 << 20
+SHARD, CELLS = 50_000, 1 << 20
+#: Terms that a task counts before it sends the counts on.
+HELD = 500_000
 
 PAIRS = "lang string, source string, item string, value bigint"
 
 
 def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """``lang, source, term, n, docs``: occurrences in the group and documents of it that have the term."""
-    whole = F.translate(F.coalesce(F.col(f"`{text}`"), F.lit("")), UPPER, LOWER)
-    found = docs.select(
-        F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("lang"), F.coalesce(F.col(f"`{source}`"), F.lit("")).alias("source"),
-        F.regexp_extract_all(whole, F.lit(TERM), F.lit(0)).alias("all"),
-    )
-    # Two lists for a document: every occurrence, and every term once.
-    lists = found.select("lang", "source", F.posexplode(F.array("all", F.array_distinct("all"))).alias("kind", "terms"))
-    terms = lists.select("lang", "source", "kind", F.explode("terms").alias("term"))
-    return terms.groupBy("lang", "source", "term").agg(F.sum(1 - F.col("kind")).alias("n"), F.sum("kind").alias("docs"))
+    """``lang, source, term, n, docs``: occurrences in the group and documents of it that have the term.
+
+    A task adds up what it finds and sends it on whenever it holds :data:`HELD` terms.
+    """
+    named = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(n) for c, n in ((text, "text"), (lang, "lang"), (source, "source"))]
+    found = docs.select(*named).mapInArrow(_count_terms, "lang string, source string, term string, n long, docs long")
+    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+
+
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # In UTF-8 the terms are the runs of ASCII letters and bytes above 127.
+    term = re.compile(rb"[a-z\x80-\xff]+")
+    held: dict[tuple[str, str], tuple[Counter, Counter]] = defaultdict(lambda: (Counter(), Counter()))
+    for batch in batches:
+        for piece in slices(batch, "text"):
+            data, offsets = text_bytes(piece.column("text"))
+            whole = FOLD[data].tobytes()
+            groups = zip(piece.column("lang").to_pylist(), piece.column("source").to_pylist(), strict=True)
+            for group, begin, end in zip(groups, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                terms = term.findall(whole, begin, end)
+                n, docs = held[group]
+                n.update(terms)
+                docs.update(set(terms))
+            if sum(len(n) for n, _ in held.values()) > HELD:
+                yield from _sent(held)
+                held.clear()
+    yield from _sent(held)
+
+
+def _sent(held: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
+    for (lang, source), (n, docs) in held.items():
+        terms = pa.array(list(n), pa.binary()).cast(pa.string())
+        columns = [pa.array([v] * len(n), pa.string()) for v in (lang, source)]
+        numbers = [pa.array([c[t] for t in n], pa.int64()) for c in (n, docs)]
+        yield pa.RecordBatch.from_arrays([*columns, terms, *numbers], names=["lang", "source", "term", "n", "docs"])
 
 
 def term_index(counts: DataFrame, least: int) -> DataFrame:
