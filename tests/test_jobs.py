@@ -3,12 +3,15 @@
 import gzip
 import json
 import re
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark import __main__ as command
+from tidemark.operators.dedupe import new_events
+from tidemark.plans import jobs
 from tidemark.plans.jobs import (
     Warehouse, analyse, land, live, prepare, split, split_landed, sync_table, upsert_dimension,
     with_current_dimensions,
@@ -16,7 +19,9 @@ from tidemark.plans.jobs import (
 from tidemark.operators.events import recent
 from tidemark.plans.results import JOBS, RESULTS
 from tidemark.sinks.publish import CatalogTarget, FileTarget, publish, stored_rows
-from tidemark.sources.files import tail_lines
+from tidemark.session import shared_dir
+from tidemark.sources import folders
+from tidemark.sources.files import parse_lines, tail_lines
 
 
 def event(i, kind, hour, **payload):
@@ -86,7 +91,7 @@ def test_rounds(spark, tmp_path):
     hourly = RESULTS["topActiveUser"](inputs)._jdf.queryExecution().executedPlan().toString()
     facts_scan = next(row for row in hourly.splitlines() if "/house/facts" in row)
     assert "event_date" in facts_scan and re.search(r"PartitionFilters: \[[^\]]*type#[^\]]*Subquery", facts_scan)
-    assert "id#" not in facts_scan.replace("actor_id#", "")
+    assert "id#" not in re.sub("(actor|load)_id#", "", facts_scan)
     last = recent(house.table("facts"), 20, inputs.hour, inputs.date)
     assert sorted(r["id"] for r in last.collect()) == ["11", "20", "21", "22"]
 
@@ -122,6 +127,80 @@ def test_prepare_prunes_and_keeps_broken_lines(spark, tmp_path):
     assert lines == ["broken", '{"id":"1","actor":{"id":3}}']
 
 
+def raw_events(spark, *lines):
+    return parse_lines(spark.createDataFrame([(line,) for line in lines], "value string"))
+
+
+def test_loads_are_seen_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    split(house, raw_events(spark, *[event(i, "PushEvent", 5, push_id=i) for i in range(4)]), "a", 1.0)
+
+    def seen():
+        counts = RESULTS["eventAllCount"](house.inputs_of_events()).first()
+        return house.fact("pushTable").count(), house.table("issue").count(), house.table("timestable").count(), counts["pushEventCount"]
+
+    assert seen() == (4, 0, 1, 4)
+    second = raw_events(spark, event(3, "PushEvent", 5, push_id=3), event(9, "PushEvent", 6, push_id=9), event(10, "IssuesEvent", 6, action="opened", issue=issue(1)))
+    for stop in ("issue", "timestable", "hour_counts", "repo_counts"):
+        with monkeypatch.context() as patch:
+            write = jobs._write_load
+
+            def stops(rows, house, table, *more, stop=stop):
+                if table == stop:
+                    raise RuntimeError("stopped")
+                write(rows, house, table, *more)
+
+            patch.setattr(jobs, "_write_load", stops)
+            with pytest.raises(RuntimeError):
+                split(house, second, "b", 2.0)
+        assert seen() == (4, 0, 1, 4) and house.loads() == ["a"]
+    for _ in range(2):
+        split(house, second, "b", 2.0)
+        assert seen() == (5, 1, 2, 5) and house.loads() == ["a", "b"]
+    assert house.hour().first()["created_at"] == datetime(2024, 1, 1, 6)
+
+
+def test_counts_over_all_history_read_no_event(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    for load, hours in (("a", (5, 6)), ("b", (6, 7)), ("a", (5, 6)), ("c", (9,))):
+        split(house, raw_events(spark, *[event(100 * h + i, "PushEvent" if i else "WatchEvent", h, push_id=i) for h in hours for i in range(5)]), load, 1.0)
+    inputs = house.inputs_of_events()
+    for name in ("eventAllCount", "eventCount", "eventAllRatio", "eventTrend", "userEvents", "repoEvents"):
+        found = RESULTS[name](inputs)
+        plain = RESULTS[name](replace(inputs, hours=None, actors=None, repo_events=None))
+        assert found.columns == plain.columns
+        assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect())), name
+        files = "\n".join(found.inputFiles())
+        assert "/facts/" not in files and "_counts/" in files
+    assert RESULTS["eventAllCount"](inputs).first()["pushEventCount"] == 16
+
+
+def test_a_load_reads_the_loads_of_its_hours_only(spark, tmp_path, monkeypatch):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    for load, hour in (("a", 5), ("b", 6), ("c", 7)):
+        split(house, raw_events(spark, *[event(100 * hour + i, "PushEvent", hour, push_id=i) for i in range(3)]), load, 1.0)
+    read = []
+    monkeypatch.setattr(jobs, "new_events", lambda rows, stored, *key: read.append(stored.inputFiles()) or new_events(rows, stored, *key))
+    split(house, raw_events(spark, event(800, "PushEvent", 8, push_id=1)), "d", 1.0)
+    assert read == [[], []]
+    split(house, raw_events(spark, event(600, "PushEvent", 6, push_id=1), event(603, "PushEvent", 6, push_id=1)), "e", 1.0)
+    assert read[2] and all("load_id=b" in f for f in read[2])
+    assert house.fact("pushTable").count() == 11
+
+
+def test_nothing_staged_is_left(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    scratch = f"{shared_dir(spark)}/tidemark"
+    before = {p for p, _, _ in folders.entries(spark, scratch)}
+    split(house, raw_events(spark, event(1, "PushEvent", 5, push_id=1)), "a", 1.0)
+    sync_table(house, "users", users(spark, 1, (0, 5), (1, 6)), "a")
+    sync_table(house, "repos", repos(spark, 0, 1), "a")
+    inputs = replace(house.inputs(), users=house.table("users"), user_order=("updated_at", "load_id"))
+    targets = lambda name: [FileTarget(str(tmp_path / kind / name)) for kind in ("x", "y")]
+    analyse(inputs, targets, datetime(2024, 2, 1), ["users", "user_activity"])
+    assert {p for p, _, _ in folders.entries(spark, scratch)} == before
+
+
 def test_lines_that_are_no_events_are_rejected(spark, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
@@ -168,9 +247,9 @@ def test_upsert_versions(spark, tmp_path):
     first = spark.createDataFrame([(1, "a", 1, datetime(2024, 1, 1), 1), (2, "b", 1, datetime(2024, 1, 5), 2)], schema)
     second = spark.createDataFrame([(1, "A", 9, datetime(2024, 1, 2), 1), (2, "B", 9, datetime(2024, 1, 4), 2)], schema)
     updates = ("followers", "updated_at")
-    upsert_dimension(house, "current_users", first, updates, ["seq"], 1)
+    upsert_dimension(house, "current_users", first, updates, ["seq"])
     for _ in range(2):
-        out = upsert_dimension(house, "current_users", second, updates, ["seq"], 2)
+        out = upsert_dimension(house, "current_users", second, updates, ["seq"])
     assert out.columns == ["id", "login", "followers", "updated_at"]
     assert sorted(tuple(r) for r in out.collect()) == [(1, "a", 9, datetime(2024, 1, 2)), (2, "b", 1, datetime(2024, 1, 5))]
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.dims import first_snapshot, insert_new
@@ -24,9 +24,14 @@ def dedupe_events(events: DataFrame, key: str = "id", order: Sequence[str] | Non
 
 def rejected(landed: DataFrame, key: str = "id", broken: str = "broken") -> DataFrame:
     """Landed lines that are no events, as ``(reason, value)``: broken text, or a record without id."""
-    record = F.to_json(F.struct(*[c for c in landed.columns if c not in (broken, "event_date")]))
+    return landed.select(*reject_columns(landed.columns, key, broken)).where("reason is not null")
+
+
+def reject_columns(columns: Sequence[str], key: str = "id", broken: str = "broken") -> list[Column]:
+    """``reason, value`` of a landed record, both NULL for an event."""
+    record = F.to_json(F.struct(*[c for c in columns if c not in (broken, "event_date")]))
     reason = F.when(F.col(broken).isNotNull(), "broken").when(F.col(key).isNull(), "no id")
-    return landed.select(reason.alias("reason"), F.coalesce(broken, record).alias("value")).where("reason is not null")
+    return [reason.alias("reason"), F.when(reason.isNotNull(), F.coalesce(broken, record)).alias("value")]
 
 
 def new_events(incoming: DataFrame, stored: DataFrame, key: str = "id", date: str = "event_date") -> DataFrame:

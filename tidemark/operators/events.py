@@ -67,6 +67,11 @@ def event_trend(activity: DataFrame) -> DataFrame:
     hourly = activity.groupBy(floor_hour(F.col("ts")).alias("hour"), "type").agg(
         F.count("*").alias("events")
     )
+    return hourly_change(hourly)
+
+
+def hourly_change(hourly: DataFrame) -> DataFrame:
+    """``hour, type, events`` with the change from the previous hour of the type."""
     previous = F.lag("events").over(W.partitionBy("type").orderBy("hour"))
     return hourly.withColumn("change", F.col("events") - previous)
 

@@ -61,23 +61,32 @@ def _payload_column(name: str) -> Column:
     return F.when(F.col("type").isin(owners), _payload_value(name))
 
 
-def split_facts(raw: DataFrame) -> DataFrame:
-    """All eight facts in one scan: one wide row per record of a known type.
+def is_fact() -> Column:
+    return F.col("type").isin(list(FACT_TYPES))
 
-    Written with ``partitionBy("event_date", "type")`` this is the fact layer;
-    :func:`fact` reads one table of it with partition pruning.
-    """
+
+def fact_columns() -> list[Column]:
+    """Columns of the fact layer, of a raw record of a known type."""
     ts = parse_utc(F.col("created_at"))
-    return raw.where(F.col("type").isin(list(FACT_TYPES))).select(
-        "id",
-        "type",
+    return [
+        F.col("id"),
+        F.col("type"),
         F.col("actor")["id"].try_cast("bigint").alias("actor_id"),
         F.col("repo")["id"].try_cast("bigint").alias("repo_id"),
         *[_payload_column(name).alias(name) for name in PAYLOAD_COLUMNS],
         hour_key(ts).alias("time"),
         ts.alias("ts"),
         F.to_date(ts).alias("event_date"),
-    )
+    ]
+
+
+def split_facts(raw: DataFrame) -> DataFrame:
+    """All eight facts in one scan: one wide row per record of a known type.
+
+    Written with ``partitionBy("event_date", "type")`` this is the fact layer;
+    :func:`fact` reads one table of it with partition pruning.
+    """
+    return raw.where(is_fact()).select(*fact_columns())
 
 
 def fact(facts: DataFrame, table: str) -> DataFrame:
@@ -96,9 +105,21 @@ def issue_snapshots(raw: DataFrame) -> DataFrame:
 
     ``event_id`` and ``event_date`` identify the record, for a repeatable load.
     """
-    issue = F.from_json(F.col("payload")["issue"], ISSUE_PAYLOAD)
-    records = raw.where(F.col("type") == "IssuesEvent").select("id", "created_at", issue.alias("issue"))
-    return records.select(
+    return raw.where(is_issue()).select("id", "created_at", issue_record().alias("issue")).select(*issue_columns())
+
+
+def is_issue() -> Column:
+    return F.col("type") == "IssuesEvent"
+
+
+def issue_record() -> Column:
+    """The issue of a raw record, parsed once for all its columns."""
+    return F.from_json(F.col("payload")["issue"], ISSUE_PAYLOAD)
+
+
+def issue_columns() -> list[Column]:
+    """Columns of an issue snapshot, of a record whose ``issue`` is parsed."""
+    return [
         F.col("id").alias("event_id"),
         F.col("issue.id").try_cast("bigint").alias("id"),
         F.col("issue.state_reason").alias("state_reason"),
@@ -108,7 +129,7 @@ def issue_snapshots(raw: DataFrame) -> DataFrame:
         parse_utc(F.col("issue.created_at")).alias("start_time"),
         parse_utc(F.col("issue.closed_at")).alias("end_time"),
         F.to_date(parse_utc(F.col("created_at"))).alias("event_date"),
-    )
+    ]
 
 
 def issue_dim(raw: DataFrame) -> DataFrame:
@@ -118,7 +139,12 @@ def issue_dim(raw: DataFrame) -> DataFrame:
 
 def time_dim(raw: DataFrame, loaded_at: float) -> DataFrame:
     """One row per load: when it ran and the newest data hour it saw."""
-    newest = raw.agg(F.max(parse_utc(F.col("created_at"))).alias("ts")).where(F.col("ts").isNotNull())
+    return time_row(raw.select(parse_utc(F.col("created_at")).alias("ts")), loaded_at)
+
+
+def time_row(times: DataFrame, loaded_at: float) -> DataFrame:
+    """The same from parsed times (``ts``)."""
+    newest = times.agg(F.max("ts").alias("ts")).where(F.col("ts").isNotNull())
     return newest.select(
         F.lit(loaded_at).cast("double").alias("timestamp_d"),
         hour_key(F.col("ts")).alias("time_hour"),

@@ -16,30 +16,49 @@ from pyspark.sql import types as T
 
 from tidemark.functions.json_text import prune_json
 from tidemark.functions.time import parse_utc
-from tidemark.operators.dedupe import new_events, rejected
+from tidemark.operators.dedupe import new_events, reject_columns, rejected
 from tidemark.operators.dims import changed_since, latest_snapshot, merge_newest, next_mark
-from tidemark.operators.facts import FACT_SPECS, ISSUE_COLUMNS, fact, issue_snapshots, split_facts, time_dim
+from tidemark.operators.facts import (
+    FACT_SPECS, ISSUE_COLUMNS, fact, fact_columns, is_fact, is_issue, issue_columns, issue_record, issue_snapshots, split_facts,
+    time_dim, time_row,
+)
 from tidemark.operators.hours import latest_loaded_hour
+from tidemark.operators.partials import hour_partials, key_partials, loads_of_hours
 from tidemark.plans.results import CURRENT_REPO, CURRENT_USER, JOBS, RESULTS, Inputs
 from tidemark.schemas import LANDED_EVENT, RAW_EVENT
 from tidemark.session import ship_package
-from tidemark.sinks.publish import FileTarget, balanced, publish, staged
+from tidemark.sinks.buckets import BucketedTable
+from tidemark.sinks.publish import FileTarget, balanced, discard, publish, staged
+from tidemark.sources import folders
 from tidemark.sources.files import read_text, tail_activity
 from tidemark.sources.marks import path_exists, read_mark, write_mark
 from tidemark.streaming.records import flatten_records, parse_records, type_counts
 from tidemark.streaming.writers import land_files, write_target
 
-# Layers computed from raw records; their columns are those of the operator.
+#: Buckets of the current dimensions: about one per 128 MB of their final size.
+BUCKETS = {"users": 64, "repos": 64}
+
+# Layers that a load fills; their columns are those of the operator, applied to raw records.
 LAYERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "facts": split_facts,
     "issue": issue_snapshots,
     "timestable": lambda raw: time_dim(raw, 0.0),
+    "rejects": lambda raw: rejected(raw.withColumn("broken", F.lit(None).cast("string"))),
+    # What the load adds to the counts over all history.
+    "hour_counts": lambda raw: hour_partials(split_facts(raw)),
+    "actor_counts": lambda raw: key_partials(split_facts(raw), "actor_id"),
+    "repo_counts": lambda raw: key_partials(split_facts(raw), "repo_id"),
 }
+_LOAD = "load_id"
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Where the layers live, under one root folder."""
+    """Where the layers live, under one root folder.
+
+    Every layer has a folder per load, and ``loads`` lists the loads whose layers are all written:
+    readers see a load in every layer or in none.
+    """
 
     spark: SparkSession
     root: str
@@ -50,39 +69,77 @@ class Warehouse:
     def has(self, table: str) -> bool:
         return path_exists(self.spark, self.path(table))
 
-    def table(self, name: str) -> DataFrame:
-        """A stored table; a layer that was not loaded yet is empty, with its columns."""
+    def loads(self) -> list[str]:
+        """The finished loads, in order; a load is finished once its row is there, in one file."""
+        if not folders.entries(self.spark, self.path("loads")):
+            return []
+        listed = self.spark.read.schema(f"loaded_at double, {_LOAD} string").parquet(self.path("loads"))
+        return sorted(listed.agg(F.collect_set(_LOAD).alias("ids")).first()["ids"])
+
+    def table(self, name: str, loads: Sequence[str] | None = None, keep_load: bool = False) -> DataFrame:
+        """A stored table; of a layer the finished loads, or those of them that are named."""
         if name not in LAYERS:
             return self.spark.read.parquet(self.path(name))
         empty = LAYERS[name](self.spark.createDataFrame([], RAW_EVENT))
-        return self.spark.read.schema(empty.schema).parquet(self.path(name)) if self.has(name) else empty
+        finished = self.loads()
+        chosen = finished if loads is None else [load for load in finished if load in set(loads)]
+        schema = T.StructType([*empty.schema.fields, T.StructField(_LOAD, T.StringType())])
+        if chosen:
+            reader = self.spark.read.schema(schema).option("basePath", self.path(name))
+            rows = reader.parquet(*[f"{self.path(name)}/{_LOAD}={load}" for load in chosen])
+        else:
+            rows = self.spark.createDataFrame([], schema)
+        return rows if keep_load else rows.select(*empty.columns)
 
     def fact(self, name: str) -> DataFrame:
         return fact(self.table("facts"), name)
 
+    def current(self, name: str) -> BucketedTable:
+        """The current rows of a dimension, see :func:`sync_dimension`."""
+        history = self.spark.read.parquet(self.path(name))
+        fields = [f for f in history.schema.fields if f.name != _LOAD]
+        return BucketedTable(self.spark, self.path(f"current/{name}"), T.StructType(fields), buckets=BUCKETS[name])
+
     def register_views(self) -> None:
         """Temporary views under the table names analysts use."""
         for name in FACT_SPECS:
             self.fact(name).createOrReplaceTempView(name)
         self.table("issue").select(*ISSUE_COLUMNS).createOrReplaceTempView("issue")
-        self.table("timestable").drop("load_id").createOrReplaceTempView("timestable")
+        self.table("timestable").createOrReplaceTempView("timestable")
         for name in ("users", "repos"):
             if self.has(name):
-                self.table(name).drop("load_id").createOrReplaceTempView(name)
+                self.table(name).drop(_LOAD).createOrReplaceTempView(name)
 
-    def inputs(self) -> Inputs:
+    def hour(self) -> DataFrame:
+        """The newest loaded hour, a frame of one row."""
+        return latest_loaded_hour(self.table("timestable"))
+
+    def inputs_of_events(self) -> Inputs:
+        """What the tables about events alone are computed from; there need be no dimension."""
+        none = self.spark.createDataFrame([], "id bigint")
         return Inputs(
             activity=self.table("facts"),
             issues=self.table("issue"),
-            users=self.table("users"),
-            repos=self.table("repos"),
-            hour=latest_loaded_hour(self.table("timestable")),
-            user_order=("updated_at", "load_id"),
-            repo_order=("updated_at", "load_id"),
+            users=none,
+            repos=none,
+            hour=self.hour(),
             unique_events=True,
             date="event_date",
+            hours=self.table("hour_counts"),
+            actors=self.table("actor_counts"),
+            repo_events=self.table("repo_counts"),
         )
 
+    def inputs(self) -> Inputs:
+        """What all result tables are computed from: current dimensions where they are kept, else their histories."""
+        kept = {name: self.has(f"current/{name}/pointer") for name in ("users", "repos")}
+        users, repos = (self.current(name).current() if kept[name] else self.table(name) for name in ("users", "repos"))
+        order = ("updated_at", _LOAD)
+        return replace(
+            self.inputs_of_events(), users=users, repos=repos,
+            user_order=None if kept["users"] else order, repo_order=None if kept["repos"] else order,
+        )
+
 
 def prepare(spark: SparkSession, archive: str, directory: str, partitions: int | None = None) -> None:
     """Prune an archive (JSON lines, plain or gzip) into a folder of its own under the landing folder.
@@ -109,16 +166,46 @@ def land(house: Warehouse, directory: str, **options: str) -> None:
 
 
 def split(house: Warehouse, raw: DataFrame, load_id: str, loaded_at: float) -> None:
-    """Turn one increment of raw records into facts, issue snapshots, a time row and rejects.
+    """Turn one increment of raw records into the layers of a load, which become visible together.
 
-    Facts and issue snapshots are each appended by event id, so what an earlier
-    or interrupted round has stored is skipped; the time row and the rejects of
-    a load replace those of an earlier attempt with the same ``load_id``.
+    The records are read and parsed once.  Events and issue records that another finished load
+    has are left out; of the older loads only those are read that hold events of the same hours.
+    A load that is repeated, or was stopped before its end, replaces what it has written.
     """
-    _append_new(house, split_facts(raw), "facts", "id", ("event_date", "type"))
-    _append_new(house, issue_snapshots(raw), "issue", "event_id", ("event_date",))
-    _replace_load(time_dim(raw, loaded_at), house.path("timestable"), load_id)
-    _replace_load(rejected(raw), house.path("rejects"), load_id)
+    parsed = staged(_parsed(raw), "parsed")
+    facts = parsed.where("fact is not null").select("fact.*")
+    earlier = [load for load in house.loads() if load != load_id]
+    hours = house.table("hour_counts", earlier, keep_load=True)
+    alike = loads_of_hours(hours, facts).agg(F.collect_set(_LOAD).alias("ids")).first()["ids"]
+    _write_load(balanced(new_events(facts, house.table("facts", alike)), "event_date", "type"), house, "facts", load_id, ("event_date", "type"))
+    # An issue record is an event: it is stored where its event is.
+    issues = parsed.where("issue is not null").select("issue.*")
+    _write_load(balanced(new_events(issues, house.table("issue", alike), "event_id"), "event_date"), house, "issue", load_id, ("event_date",))
+    _write_load(time_row(parsed.select("ts"), loaded_at), house, "timestable", load_id)
+    _write_load(parsed.where("reject is not null").select("reject.*"), house, "rejects", load_id)
+
+    written = house.spark.read.schema(split_facts(house.spark.createDataFrame([], RAW_EVENT)).schema)
+    written = written.parquet(f"{house.path('facts')}/{_LOAD}={load_id}")
+    for name, partials in (
+        ("hour_counts", hour_partials(written)), ("actor_counts", key_partials(written, "actor_id")), ("repo_counts", key_partials(written, "repo_id"))
+    ):
+        _write_load(partials, house, name, load_id)
+    done = house.spark.range(1).select(F.lit(float(loaded_at)).alias("loaded_at")).coalesce(1)
+    done.write.mode("overwrite").parquet(f"{house.path('loads')}/{_LOAD}={load_id}")
+    discard(parsed)
+
+
+def _parsed(raw: DataFrame) -> DataFrame:
+    """Every raw record once: its time, and what it is a row of."""
+    if "broken" not in raw.columns:
+        raw = raw.withColumn("broken", F.lit(None).cast("string"))
+    record = raw.select("*", F.when(is_issue(), issue_record()).alias("issue"))
+    return record.select(
+        parse_utc(F.col("created_at")).alias("ts"),
+        F.when(is_fact(), F.struct(*fact_columns())).alias("fact"),
+        F.when(is_issue(), F.struct(*issue_columns())).alias("issue"),
+        F.when(F.col("broken").isNotNull() | F.col("id").isNull(), F.struct(*reject_columns(raw.columns))).alias("reject"),
+    )
 
 
 def split_landed(house: Warehouse, loaded_at: float) -> None:
@@ -135,14 +222,13 @@ def split_landed(house: Warehouse, loaded_at: float) -> None:
     query.awaitTermination()
 
 
-def _append_new(house: Warehouse, rows: DataFrame, table: str, key: str, partition_by: tuple[str, ...]) -> None:
-    # The batch is parsed once; its dates, its rows and the anti-join read the stored result.
-    fresh = new_events(staged(rows, table), house.table(table), key)
-    FileTarget(house.path(table), partition_by=partition_by).write(balanced(fresh, *partition_by))
+def _write_load(rows: DataFrame, house: Warehouse, table: str, load_id: str, partition_by: tuple[str, ...] = ()) -> None:
+    target = FileTarget(f"{house.path(table)}/{_LOAD}={load_id}", mode="overwrite", partition_by=partition_by)
+    target.write(rows)
 
 
 def _replace_load(df: DataFrame, path: str, load_id: str) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/load_id={load_id}")
+    df.write.mode("overwrite").parquet(f"{path}/{_LOAD}={load_id}")
 
 
 def sync_dimension(
@@ -159,6 +245,9 @@ def sync_dimension(
     are written once and the next mark is taken from what was written, so a row
     changed meanwhile is neither lost nor marked as read.  A load that is
     repeated starts where it did the first time and replaces its own records.
+
+    The current rows are kept besides, in buckets of which a load rewrites
+    those that it touches; the newest record of an id is its current row.
     """
     marks = house.path("_marks")
     mark = read_mark(house.spark, marks, name, load_id)
@@ -168,8 +257,11 @@ def sync_dimension(
         history = house.spark.read.schema(T.StructType([*fetched.schema.fields, T.StructField("load_id", T.StringType())]))
         known = history.parquet(house.path(name)).where(at_mark & (F.col("load_id") != load_id)).select("id", "updated_at")
         fetched = fetched.join(known, ["id", "updated_at"], "left_anti").select(*fetched.columns)
-    _replace_load(staged(fetched, name), house.path(name), load_id)
-    written = house.spark.read.schema(fetched.schema).parquet(f"{house.path(name)}/load_id={load_id}")
+    fetched = staged(fetched, name)
+    _replace_load(fetched, house.path(name), load_id)
+    discard(fetched)
+    written = house.spark.read.schema(fetched.schema).parquet(f"{house.path(name)}/{_LOAD}={load_id}")
+    house.current(name).replace(written, ["updated_at"])
     write_mark(next_mark(written, mark), marks, name, load_id, mark)
 
 
@@ -179,21 +271,17 @@ def sync_table(house: Warehouse, name: str, source: DataFrame, load_id: str) ->
 
 
 def upsert_dimension(
-    house: Warehouse, name: str, incoming: DataFrame, updates: Sequence[str], order: Sequence[str], version: int
+    house: Warehouse, name: str, incoming: DataFrame, updates: Sequence[str], order: Sequence[str], buckets: int = 64
 ) -> DataFrame:
-    """Merge fetched records into a current-state table; returns the new version.
+    """Merge fetched records into a current-state table; returns its rows.
 
-    Version ``n`` is version ``n - 1`` and the incoming records; version 1
-    starts from nothing.  A repeated call rewrites the same version.
+    A call rewrites the buckets of the incoming keys only.  One that is
+    repeated, or that comes late, changes nothing: only newer versions do.
     """
-    root = house.path(name)
     columns = [c for c in incoming.columns if c not in order or c in updates]
-    if version > 1:
-        stored = house.spark.read.parquet(f"{root}/version={version - 1}")
-    else:
-        stored = house.spark.createDataFrame([], incoming.select(*columns).schema)
-    merge_newest(stored, incoming, updates, order).write.mode("overwrite").parquet(f"{root}/version={version}")
-    return house.spark.read.parquet(f"{root}/version={version}")
+    table = BucketedTable(house.spark, house.path(name), incoming.select(*columns).schema, buckets=buckets)
+    table.upsert(incoming, updates, order)
+    return table.current()
 
 
 def with_current_dimensions(inputs: Inputs, jobs: Iterable[str]) -> Inputs:
@@ -219,10 +307,13 @@ def analyse(
     jobs: Sequence[str] = tuple(JOBS),
 ) -> None:
     """Compute and publish the result tables of the given jobs."""
-    inputs = with_current_dimensions(inputs, jobs)
+    given, inputs = inputs, with_current_dimensions(inputs, jobs)
     for job in jobs:
         for name in JOBS[job]:
             publish(RESULTS[name](inputs), targets(name), as_of)
+    for reduced, before in ((inputs.users, given.users), (inputs.repos, given.repos)):
+        if reduced is not before:
+            discard(reduced)
 
 
 def live(log: DataFrame, target, checkpoint: str, every: str = "1 minute"):

@@ -8,7 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from tidemark.operators import events, issues, profiles, rankings
+from tidemark.operators import events, issues, partials, profiles, rankings
 from tidemark.operators.dims import latest_snapshot
 from tidemark.operators.hours import stamp_hour, within_hour
 
@@ -22,6 +22,8 @@ class Inputs:
     ``hour`` is a one-row frame, see ``operators.hours``.
     ``unique_events`` says that no event occurs twice in ``activity``; ``date``
     names the column its files are partitioned by, if they are.
+    ``hours, actors, repo_events`` are partial counts of the activity, see
+    ``operators.partials``; with them no result over all history reads an event.
     """
 
     activity: DataFrame
@@ -33,6 +35,9 @@ class Inputs:
     repo_order: rankings.Order = ("updated_at",)
     unique_events: bool = False
     date: str | None = None
+    hours: DataFrame | None = None
+    actors: DataFrame | None = None
+    repo_events: DataFrame | None = None
 
     @cached_property
     def current_users(self) -> DataFrame:
@@ -49,12 +54,25 @@ class Inputs:
         return rankings.activity_per(self.pushes, "repo_id", unique=self.unique_events)
 
 
+def _event_all_count(i: Inputs) -> DataFrame:
+    return events.event_all_count(i.activity, i.hour) if i.hours is None else partials.all_count(i.hours, i.hour)
+
+
+def _event_count(i: Inputs) -> DataFrame:
+    return events.event_count(i.activity, i.hour, i.date) if i.hours is None else partials.hour_count(i.hours, i.hour)
+
+
+def _counts(i: Inputs, key: str) -> DataFrame:
+    stored = i.actors if key == "actor_id" else i.repo_events
+    return events.count_by(i.activity, key) if stored is None else partials.counts_per(stored, key)
+
+
 def _event_all_ratio(i: Inputs) -> DataFrame:
-    return events.event_ratio(events.event_all_count(i.activity, i.hour))
+    return events.event_ratio(_event_all_count(i))
 
 
 def _event_ratio(i: Inputs) -> DataFrame:
-    return events.event_ratio(events.event_count(i.activity, i.hour, i.date))
+    return events.event_ratio(_event_count(i))
 
 
 def _top_active_user(i: Inputs) -> DataFrame:
@@ -71,8 +89,8 @@ def _top_language(i: Inputs) -> DataFrame:
 
 # Names of the published tables.
 RESULTS: dict[str, Callable[[Inputs], DataFrame]] = {
-    "eventAllCount": lambda i: events.event_all_count(i.activity, i.hour),
-    "eventCount": lambda i: events.event_count(i.activity, i.hour, i.date),
+    "eventAllCount": _event_all_count,
+    "eventCount": _event_count,
     "eventAllRatio": _event_all_ratio,
     "eventRatio": _event_ratio,
     "usersCount": lambda i: events.dim_count(i.users, "usersCount"),
@@ -97,14 +115,16 @@ def _recent_users(i: Inputs) -> DataFrame:
 
 
 def _all_users(i: Inputs) -> DataFrame:
+    if i.actors is not None:
+        return partials.counts_per(i.actors, "actor_id", (rankings.PUSH,), "id")
     return rankings.activity_per(i.activity, "actor_id", unique=i.unique_events)
 
 
 RESULTS |= {
-    "eventTrend": lambda i: events.event_trend(i.activity),
-    "userEvents": lambda i: events.count_by(i.activity, "actor_id"),
+    "eventTrend": lambda i: events.event_trend(i.activity) if i.hours is None else partials.trend(i.hours),
+    "userEvents": lambda i: _counts(i, "actor_id"),
     "userEventsRecent": lambda i: events.count_by(events.recent(i.activity, 20, i.hour, i.date), "actor_id"),
-    "repoEvents": lambda i: events.count_by(i.activity, "repo_id"),
+    "repoEvents": lambda i: _counts(i, "repo_id"),
     "repoEventsRecent": lambda i: events.count_by(events.recent(i.activity, 20, i.hour, i.date), "repo_id"),
     "topRegionAllTime": lambda i: rankings.active_regions(_all_users(i), i.users, i.user_order),
     "topCompanyAllTime": lambda i: rankings.active_companies(_all_users(i), i.users, i.user_order),

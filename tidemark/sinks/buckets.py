@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.dims import insert_new, latest_snapshot, merge_newest
-from tidemark.sinks.publish import staged
+from tidemark.sinks.publish import discard, staged
 from tidemark.sources import folders
 
 _VERSION = "version"
@@ -123,6 +123,7 @@ class BucketedTable:
             version = pointer.version + 1
             self._write(merge(stored, incoming), version)
             self._point(Pointer(version, tuple(version if b in touched else v for b, v in enumerate(pointer.since))))
+        discard(incoming)
         return sorted(touched)
 
     def insert(self, incoming: DataFrame, keys: Sequence[str]) -> list[int]:
@@ -133,6 +134,7 @@ class BucketedTable:
             stored = self._rows_of([p for p, (b, _) in self.files(pointer).items() if b in touched])
             self._write(insert_new(incoming.dropDuplicates(list(keys)), stored, keys), pointer.version + 1)
             self._point(Pointer(pointer.version + 1, pointer.since))
+        discard(incoming)
         return sorted(touched)
 
     def _touched(self, rows: DataFrame) -> set[int]:

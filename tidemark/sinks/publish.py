@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.hours import stamp_run
 from tidemark.session import new_run_dir
+from tidemark.sources import folders
 
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -78,8 +80,18 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def publish(df: DataFrame, targets: Sequence[object], as_of=None) -> DataFrame:
-    """Write one result to every target; returns what was written.
+_RUN = re.compile(r"/tidemark/[^/]+-[0-9a-f]{32}$")
+
+
+def discard(df: DataFrame) -> None:
+    """Remove what :func:`staged` wrote, once nothing reads it any more."""
+    for folder in {path.rpartition("/")[0] for path in df.inputFiles()}:
+        if _RUN.search(folder):
+            folders.delete(df.sparkSession, folder)
+
+
+def publish(df: DataFrame, targets: Sequence[object], as_of=None) -> None:
+    """Write one result to every target.
 
     With more than one target the result is computed once, into a table in the
     shared folder, and every target reads that table: a lost executor then
@@ -93,7 +105,8 @@ def publish(df: DataFrame, targets: Sequence[object], as_of=None) -> DataFrame:
         df = staged(df, "publish")
     for target in targets:
         target.write(df, as_of)
-    return df
+    if len(targets) > 1:
+        discard(df)
 
 
 def stored_rows(spark, target: CatalogTarget) -> int:
