@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from tidemark import __main__ as command
 from tidemark.operators.dedupe import new_events
 from tidemark.plans import jobs
+from tidemark.operators.ledger import archive_states
 from tidemark.plans.jobs import (
-    Warehouse, analyse, land, live, prepare, split, split_landed, sync_table, upsert_dimension,
-    with_current_dimensions,
+    Warehouse, analyse, archive_log, catch_up, collect, follows, land, live, prepare, profiles, split, split_landed, sync_table,
+    to_refresh, upsert_dimension, with_current_dimensions,
 )
 from tidemark.operators.events import recent
 from tidemark.plans.results import JOBS, RESULTS
@@ -127,6 +128,69 @@ def test_prepare_prunes_and_keeps_broken_lines(spark, tmp_path):
     assert lines == ["broken", '{"id":"1","actor":{"id":3}}']
 
 
+def test_archives_of_one_name_and_corrected_ones_are_all_loaded(spark, tmp_path):
+    house, landing = Warehouse(spark, str(tmp_path / "house")), str(tmp_path / "landing")
+
+    def put(folder, hour, *ids):
+        (tmp_path / "archive" / folder).mkdir(parents=True, exist_ok=True)
+        with gzip.open(tmp_path / "archive" / folder / f"2024-01-01-{hour}.json.gz", "wt") as f:
+            f.write("\n".join(event(i, "PushEvent", hour, push_id=i) for i in ids))
+
+    def states():
+        found = archive_states(archive_log(house)).collect()
+        return sorted((r["path"].partition("archive/")[2], r["state"]) for r in found)
+
+    put("x", 5, 1, 2)
+    put("y", 5, 3)
+    put("x", 6, 4)
+    assert catch_up(house, str(tmp_path / "archive"), landing, 1, 1.0) == 1
+    assert states() == [("x/2024-01-01-6.json.gz", "split")]
+    assert catch_up(house, str(tmp_path / "archive"), landing, 5, 2.0) == 2
+    assert house.fact("pushTable").count() == 4 and {s for _, s in states()} == {"split"} and len(states()) == 3
+    put("x", 5, 1, 2, 7, 8, 9)
+    assert catch_up(house, str(tmp_path / "archive"), landing, 5, 3.0) == 1
+    assert catch_up(house, str(tmp_path / "archive"), landing, 5, 4.0) == 0
+    assert house.fact("pushTable").count() == 7 and len(states()) == 4
+
+
+def test_a_round_of_archives_is_taken_up_where_it_stopped(spark, tmp_path, monkeypatch):
+    house, landing = Warehouse(spark, str(tmp_path / "house")), str(tmp_path / "landing")
+    (tmp_path / "archive").mkdir()
+    (tmp_path / "archive" / "2024-01-01-5.json").write_text(event(1, "PushEvent", 5, push_id=1))
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "split_landed", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError):
+            catch_up(house, str(tmp_path / "archive"), landing, 5, 1.0)
+    assert [r["state"] for r in archive_states(archive_log(house)).collect()] == ["landed"]
+    assert catch_up(house, str(tmp_path / "archive"), landing, 5, 2.0) == 0
+    assert [r["state"] for r in archive_states(archive_log(house)).collect()] == ["split"]
+    assert house.fact("pushTable").count() == 1
+
+
+def test_collected_documents_over_two_rounds(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    docs = lambda *rows: spark.createDataFrame([(json.dumps(r),) for r in rows], "doc string")
+    user = lambda i, day, n: {"id": i, "login": f"u{i}", "followers": n, "updated_at": f"2024-01-{day:02d}T00:00:00Z"}
+    split_raw = raw_events(spark, *[event(i, "PushEvent", 5, push_id=i) for i in range(6)])
+    split_raw.withColumn("broken", F.lit(None).cast("string")).withColumn("event_date", F.lit("2024-01-01").cast("date")).write.parquet(house.path("ods"))
+    wanted = lambda: sorted((r["kind"], r["id"]) for r in to_refresh(house).collect())
+    assert wanted() == [("repo", "0"), ("repo", "1"), ("user", "0"), ("user", "1"), ("user", "2")]
+
+    collect(house, "users", docs(user(0, 1, 5), user(1, 1, 6), {"login": "nobody"}))
+    collect(house, "repos", docs({"id": 1, "name": "r1", "updated_at": "2024-01-01T00:00:00Z", "topics": ["a", "b"]}))
+    assert wanted() == [("repo", "0"), ("user", "2")]
+    for _ in range(2):
+        collect(house, "users", docs(user(1, 3, 9), user(2, 3, 1), user(0, 1, 7)))
+    stored = {r["id"]: r["followers"] for r in profiles(house, "users").current().collect()}
+    assert stored == {0: 5, 1: 9, 2: 1} and wanted() == [("repo", "0")]
+    assert profiles(house, "repos").current().first()["topics"] == "'a','b'"
+
+    page = {"id": 1, "followers": [{"id": 2}], "following": [{"id": 3}, {"id": 4}]}
+    collect(house, "follows", docs(page, {"id": 9, "followers": []}))
+    collect(house, "follows", docs(page, {"id": 2, "following": [{"id": 1}, {"id": 5}]}))
+    assert sorted(tuple(r) for r in follows(house).current().collect()) == [(1, 3), (1, 4), (2, 1), (2, 5)]
+
+
 def raw_events(spark, *lines):
     return parse_lines(spark.createDataFrame([(line,) for line in lines], "value string"))
 
@@ -141,7 +205,7 @@ def test_loads_are_seen_whole_or_not_at_all(spark, tmp_path, monkeypatch):
 
     assert seen() == (4, 0, 1, 4)
     second = raw_events(spark, event(3, "PushEvent", 5, push_id=3), event(9, "PushEvent", 6, push_id=9), event(10, "IssuesEvent", 6, action="opened", issue=issue(1)))
-    for stop in ("issue", "timestable", "hour_counts", "repo_counts"):
+    for stop in ("timestable", "repo_counts"):
         with monkeypatch.context() as patch:
             write = jobs._write_load
 
@@ -241,6 +305,19 @@ def test_publishing_again_after_a_stop_between_two_targets(spark, tmp_path):
     assert spark.read.parquet(first.path).count() == 6 and stored_rows(spark, table) == 6
 
 
+def test_a_new_session_publishes_onto_what_an_earlier_one_wrote(spark):
+    target = CatalogTarget("results_of_two_sessions.hourly")
+    publish(spark.range(3), [target], as_of=datetime(2024, 2, 1))
+    spark.sql("DROP TABLE results_of_two_sessions.hourly")  # as if the catalog had been in memory: the folder stays
+    for _ in range(2):
+        publish(spark.range(4), [target], as_of=datetime(2024, 2, 2))
+    assert stored_rows(spark, target) == 7
+    plain = CatalogTarget("plain_of_two_sessions")
+    plain.write(spark.range(2))
+    plain.write(spark.range(2))
+    assert stored_rows(spark, plain) == 4
+
+
 def test_upsert_versions(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path / "house"))
     schema = "id int, login string, followers int, updated_at timestamp_ntz, seq int"

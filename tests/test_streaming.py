@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.text import word_count
 from tidemark.session import new_run_dir, shared_dir
@@ -167,3 +168,42 @@ def test_shared_folder_is_the_same_on_any_master(spark):
     assert shared_dir(Session()) == "hdfs:///w/_shared"
     Session.conf = {"spark.checkpoint.dir": "hdfs:///x/", "spark.sql.warehouse.dir": "hdfs:///w"}
     assert new_run_dir(Session(), "a").startswith("hdfs:///x/tidemark/a-")
+
+
+def test_batches_are_folded_into_snapshots(spark, tmp_path):
+    out, schema = str(tmp_path / "out"), T._parse_datatype_string("type string, events bigint")
+    fold = writers.newest_rows("type")
+
+    def batch(n):
+        return spark.createDataFrame([("a", 10 * n), (f"b{n % 3}", n)], schema)
+
+    def totals():
+        return {r["type"]: r["events"] for r in writers.newest_per_key(writers.read_batches(spark, out, schema), "type", "events").collect()}
+
+    for n in range(30):
+        batch(n).write.parquet(f"{out}/batch_id={n}")
+        if n % 5 == 4:
+            before = totals()
+            writers.compact(spark, out, schema, fold)
+            assert totals() == before
+    assert totals() == {"a": 290, "b0": 27, "b1": 28, "b2": 29}
+    read = writers.read_batches(spark, out, schema).inputFiles()
+    assert all("/_snapshots/upto=29/" in f for f in read)
+    assert len(writers._numbered(spark, out, "batch_id")) <= 10 and len(writers._snapshots(spark, out)) == 2
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    drop(tmp_path / "in", "a", *[line(i, "PushEvent", "2024-01-01T05:30:00Z") for i in range(3)])
+    drop(tmp_path / "in", "b", line(7, "WatchEvent", "2024-01-01T05:30:00Z"))
+    options = {"mode": "update", "fold": writers.newest_rows("type"), "fold_after": 1}
+    counts = records.type_counts(log(spark, tmp_path / "in"))
+    first = writers.newest_per_key(run(counts, tmp_path, **options), "type", "events").collect()
+    # The checkpoint is lost: the same batches come again, with the same numbers.
+    writers.write_batches(counts, str(tmp_path / "out"), str(tmp_path / "other"), **options).awaitTermination()
+    again = writers.newest_per_key(writers.read_batches(spark, str(tmp_path / "out"), counts.schema), "type", "events").collect()
+    assert sorted(first) == sorted(again) == [("PushEvent", 3), ("WatchEvent", 1)]
+
+
+def test_sums_are_folded(spark):
+    rows = spark.createDataFrame([("a", 1, 0), ("a", 2, 1), ("b", 5, 1)], "type string, events bigint, batch_id bigint")
+    assert sorted(tuple(r) for r in writers.summed_rows("type", "events")(rows).collect()) == [("a", 3, 1), ("b", 5, 1)]

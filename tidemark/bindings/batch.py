@@ -12,9 +12,10 @@ from tidemark.functions.json_text import payload_as_text, prune_json
 from tidemark.functions.text import quoted_list
 from tidemark.functions.time import day_key, floor_hour, hour_key, parse_utc
 from tidemark.operators import dedupe, dims, events, facts, hours, issues, ledger, profiles, rankings, text
-from tidemark.plans import jobs
+from tidemark.plans import jobs, ranks, results
 from tidemark.schemas import LANDED_EVENT
 from tidemark.session import new_run_dir, ship_package
+from tidemark.sinks.buckets import BucketedTable
 from tidemark.sinks.publish import FileTarget, publish
 from tidemark.sources.files import parse_lines, read_activity
 
@@ -189,6 +190,69 @@ def upsert_repos(s: SparkSession, d: str) -> DataFrame:
     return dims.merge_newest(stored, _from(history), dims.REPO_UPDATES, arrival)
 
 
+def upsert_buckets_touched(s: SparkSession, d: str) -> DataFrame:
+    """The same upsert in a table of buckets: stored records, newer ones, and the stored ones again, which change nothing."""
+    history = _user_history(s, d)
+    table = BucketedTable(s, new_run_dir(s, "upsert-buckets"), history.drop("seq").schema, buckets=16)
+    table.replace(_before(history), V.USER_ORDER)
+    for incoming in (_from(history), _before(history)):
+        table.upsert(incoming, dims.USER_UPDATES, ["seq"])
+    return table.current()
+
+
+def _loaded(s, d) -> jobs.Warehouse:
+    """Activity in three overlapping loads, one of them repeated after a later one."""
+    house = jobs.Warehouse(s, new_run_dir(s, "loads"))
+    dated = _activity(s, d).withColumn("day", F.dayofmonth("ts"))
+    for load, first, last in (("a", 1, 11), ("b", 9, 20), ("a", 1, 11), ("c", 18, 31)):
+        jobs.split(house, V.ods_rows(dated.where(F.col("day").between(first, last)).drop("day")), load, 1700000000.5)
+    return house
+
+
+def _incremental_result(name: str):
+    return lambda s, d: results.RESULTS[name](_loaded(s, d).inputs_of_events())
+
+
+def append_indexed(s: SparkSession, d: str) -> DataFrame:
+    """What the load of the last days has added to the loads before it, which share some of its days."""
+    return _loaded(s, d).table("facts", ["c"]).select("id", "type", "actor_id", "repo_id", "ts", "event_date")
+
+
+def rank_users_all_time(s: SparkSession, d: str) -> DataFrame:
+    return ranks.rank_all(_all_user_activity(s, d), "activity_cnt", ["id"])
+
+
+def _archives(s, d) -> tuple[DataFrame, DataFrame]:
+    """Every hour of activity as an archive, and a log by which some are split, landed or prepared already."""
+    hourly = _activity(s, d).groupBy(floor_hour(F.col("ts")).alias("hour")).agg(
+        (F.count("*") * 100).alias("bytes"), *[F.count_if(F.col("type") == t).alias(t) for t in ("ReleaseEvent", "DeleteEvent", "IssuesEvent")])
+    named = hourly.withColumn("path", F.concat(F.lit("archive/"), hour_key(F.col("hour")), F.lit(".json.gz")))
+    steps = (("ReleaseEvent", "split"), ("DeleteEvent", "landed"), ("IssuesEvent", "prepared"))
+    log = [ledger.entries(named.where(F.col(t) > 0), state) for t, state in steps]
+    return named.select("path", "bytes", "hour"), log[0].unionAll(log[1]).unionAll(log[2])
+
+
+def ledger_next(s: SparkSession, d: str) -> DataFrame:
+    """The archives that are not split yet, and how far they have come."""
+    return ledger.pending(*_archives(s, d))
+
+
+def ledger_after_round(s: SparkSession, d: str) -> DataFrame:
+    """The states of all archives after a round that took up what was missing and split what was landed."""
+    available, log = _archives(s, d)
+    prepared = ledger.entries(ledger.pending(available, log, "prepared"), "prepared")
+    done = ledger.entries(ledger.archive_states(log).where("state = 'landed'"), "split")
+    return ledger.archive_states(log.unionAll(prepared).unionAll(done))
+
+
+def issue_basic_current(s: SparkSession, d: str) -> DataFrame:
+    return issues.issue_basic(issues.current_issues(V.view(s, d, "issue_history")), _hour(s, d))
+
+
+def issue_interval_current(s: SparkSession, d: str) -> DataFrame:
+    return issues.issue_interval_hist(issues.current_issues(V.view(s, d, "issue_history")), _hour(s, d))
+
+
 def topics_list(s: SparkSession, d: str) -> DataFrame:
     doc = F.from_json("doc", "id bigint, topics array<string>")
     docs = V.repo_docs(V.table(s, d, "part")).select(doc.alias("doc"))
@@ -324,6 +388,15 @@ QUERIES = {
     "flatten_users": lambda s, d: dims.flatten_users(V.user_docs(V.view(s, d, "users"))),
     "flatten_repos": lambda s, d: dims.flatten_repos(V.repo_docs(V.table(s, d, "part"))),
     "topics_list": topics_list,
+    "upsert_buckets_touched": upsert_buckets_touched,
+    "event_all_count_incremental": _incremental_result("eventAllCount"),
+    "user_event_counts_incremental": _incremental_result("userEvents"),
+    "append_indexed": append_indexed,
+    "rank_users_all_time": rank_users_all_time,
+    "ledger_next": ledger_next,
+    "ledger_after_round": ledger_after_round,
+    "issue_basic_current": issue_basic_current,
+    "issue_interval_current": issue_interval_current,
     "follow_edges": _edges,
     "follow_edges_insert": follow_edges_insert,
     "exclude_bots": lambda s, d: dims.exclude_bots(_users(s, d)).select("id", "login"),

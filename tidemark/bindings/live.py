@@ -52,6 +52,17 @@ def batch_count(s: SparkSession, d: str) -> DataFrame:
     return batches.groupBy("type").agg(F.sum("events").alias("events"))
 
 
+def stream_counts_compacted(s: SparkSession, d: str) -> DataFrame:
+    """Running counts over a dozen batches whose folders are folded into snapshots on the way."""
+    path = new_run_dir(s, "compacted")
+    activity = V.view(s, d, "activity")
+    activity.withColumn("part", F.pmod(F.dayofmonth("ts"), F.lit(12))).repartition("part").write.partitionBy("part").parquet(f"{path}/in")
+    stream = s.readStream.schema(activity.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    fold = writers.newest_rows("type")
+    batches = _run(records.type_counts(stream), path, mode="update", fold=fold, fold_after=5)
+    return writers.newest_per_key(batches, "type", "events")
+
+
 def stream_word_count(s: SparkSession, d: str) -> DataFrame:
     counted = word_count(_tail(s, d, "conversations"), "text")
     return writers.newest_per_key(_run(counted, new_run_dir(s, "word-count"), mode="update"), "word", "words")
@@ -72,5 +83,6 @@ QUERIES = {
     "stream_event_window_count": event_window_count,
     "stream_event_running_count": event_running_count,
     "stream_batch_count": batch_count,
+    "stream_counts_compacted": stream_counts_compacted,
     "stream_word_count": stream_word_count,
 }

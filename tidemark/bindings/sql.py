@@ -90,6 +90,10 @@ def _bands(value: str, prefix: str, edges: tuple[int, ...], exact_first: bool) -
 
 
 _DAYS = "(CAST(end_time AS DATE) - CAST(start_time AS DATE))"
+_INTERVAL_HIST = (
+    f"SELECT {_bands(_DAYS, 'I', _INTERVALS, False)}, CAST(max({_DAYS}) AS INTEGER) AS \"issueMaxInterval\", {STAMP} "
+    "FROM issues WHERE state = 'closed'"
+)
 
 
 def _newest(source: str, order: str, columns: str = "*", rank: str = "rn") -> str:
@@ -195,6 +199,13 @@ def _count_by(key: str, recent: bool) -> str:
     return _A + f"SELECT {key}, count(*) AS activity_cnt FROM activity {where} GROUP BY {key}"
 
 
+_ARCHIVES = ctes("activity", archive="""SELECT concat('archive/', strftime(date_trunc('hour', ts), '%Y-%m-%d-%H'), '.json.gz') AS path,
+        count(*) * 100 AS bytes, date_trunc('hour', ts) AS hour,
+        CASE WHEN bool_or(type = 'ReleaseEvent') THEN 'split' WHEN bool_or(type = 'DeleteEvent') THEN 'landed'
+             WHEN bool_or(type = 'IssuesEvent') THEN 'prepared' ELSE 'missing' END AS state
+        FROM activity GROUP BY date_trunc('hour', ts)""")
+_ISSUE_NEWEST = _newest("issue_history", "event_time DESC, event_id DESC, number DESC NULLS LAST, state DESC, state_reason DESC NULLS LAST, "
+                        "comments DESC NULLS LAST, start_time DESC, end_time DESC NULLS LAST")
 _TYPE_COUNTS = _A + "SELECT type, count(*) AS events FROM activity GROUP BY type"
 _WORDS = "SELECT word, count(*) AS words FROM (SELECT unnest(string_split(text, ' ')) AS word FROM conversations) w GROUP BY word"
 
@@ -249,9 +260,7 @@ SQL = {
         FROM issues GROUP BY state UNION ALL
         SELECT state, state_reason, count(*), TRUE FROM issues WHERE state = 'closed' GROUP BY state, state_reason""",
     "issue_comment_freq": ctes("issues") + "SELECT comments, count(*) AS issues FROM issues GROUP BY comments",
-    "issue_interval_hist": ctes("issues", hour=HOUR)
-        + f"SELECT {_bands(_DAYS, 'I', _INTERVALS, False)}, CAST(max({_DAYS}) AS INTEGER) AS \"issueMaxInterval\", {STAMP} "
-          "FROM issues WHERE state = 'closed'",
+    "issue_interval_hist": ctes("issues", hour=HOUR) + _INTERVAL_HIST,
     "issue_comments_hist": ctes("issues", hour=HOUR) + f"SELECT {_bands('comments', 'C', _LEVELS, True)}, {STAMP} FROM issues",
     "issue_number_hist": ctes("issues", hour=HOUR) + f"SELECT {_bands('number', 'N', _LEVELS, True)}, {STAMP} FROM issues",
     "profile_ratios": ctes("users", hour=HOUR) + "SELECT "
@@ -281,6 +290,21 @@ SQL = {
     "upsert_users": _upsert("user_history", ["id"], USER_UPDATES, _USER_KEPT, "updated_at DESC, seq DESC", "seq"),
     "upsert_repos": _upsert("repo_history", ["id"], REPO_UPDATES, _REPO_KEPT, _REPO_DESC,
                             "order_seq, line_seq, supp_seq, size, stargazers_count, updated_at"),
+    "upsert_buckets_touched": _upsert("user_history", ["id"], USER_UPDATES, _USER_KEPT, "updated_at DESC, seq DESC", "seq"),
+    "event_all_count_incremental": _AH + _event_counts(),
+    "user_event_counts_incremental": _count_by("actor_id", False),
+    "append_indexed": _A + f"SELECT {_ID}, type, actor_id, repo_id, date_trunc('second', ts) AS ts, CAST(ts AS DATE) AS event_date "
+                           "FROM activity WHERE day(ts) > 20",
+    "rank_users_all_time": ctes("activity", cnt=_per("actor_id", "AND actor_id IS NOT NULL")) + """SELECT id, activity_cnt,
+        row_number() OVER (ORDER BY activity_cnt DESC, id) AS position, rank() OVER (ORDER BY activity_cnt DESC) AS rank FROM cnt""",
+    "ledger_next": _ARCHIVES + "SELECT path, bytes, hour, state FROM archive WHERE state <> 'split'",
+    "ledger_after_round": _ARCHIVES + """SELECT path, bytes, CASE state WHEN 'missing' THEN 'prepared' WHEN 'landed' THEN 'split' ELSE state END AS state
+        FROM archive""",
+    "issue_basic_current": ctes("issue_history", hour=HOUR, issues=_ISSUE_NEWEST) + f"""SELECT count(*) FILTER (WHERE state = 'open') AS "issueOpenCount",
+        count(*) FILTER (WHERE state = 'closed') AS "issueClosedCount", count(*) FILTER (WHERE state_reason = 'reopened') AS "issueReopenedCount",
+        count(*) FILTER (WHERE state_reason = 'completed') AS "issueCompletedCount",
+        count(*) FILTER (WHERE state_reason <> 'completed') AS "issueOtherClosedCount", {STAMP} FROM issues""",
+    "issue_interval_current": ctes("issue_history", hour=HOUR, issues=_ISSUE_NEWEST) + _INTERVAL_HIST,
     "flatten_users": ctes("users") + """SELECT id, login, concat('U_', id) AS node_id, '' AS gravatar_id, 'User' AS type,
         'false' AS site_admin, login AS name, company, blog, location, email, hireable, bio, twitter_username,
         public_repos, public_gists, followers, following, TIMESTAMP '2020-02-03 04:05:06' AS created_at,
@@ -327,5 +351,6 @@ SQL = {
         (SELECT date_trunc('hour', ts) AS window_start, type, count(*) AS events FROM activity GROUP BY 1, 2) w""",
     "stream_event_running_count": _TYPE_COUNTS,
     "stream_batch_count": _TYPE_COUNTS,
+    "stream_counts_compacted": _TYPE_COUNTS,
     "stream_word_count": _WORDS,
 }

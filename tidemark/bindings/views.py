@@ -55,6 +55,15 @@ VIEWS = {
                CASE WHEN o_orderstatus <> 'O' THEN e END AS end_time
         FROM {orders} LEFT JOIN (SELECT l_orderkey, count(*) AS n, max(l_shipdate) AS e
                                  FROM {lineitem} GROUP BY l_orderkey) x ON o_orderkey = l_orderkey""",
+    "issue_history": """
+        SELECT l_orderkey AS id, l_partkey AS number,
+               CASE WHEN l_linestatus = 'O' THEN 'open' ELSE 'closed' END AS state,
+               CASE WHEN l_returnflag = 'R' THEN 'not_planned' WHEN l_returnflag = 'A' AND l_linenumber > 3 THEN 'reopened'
+                    WHEN l_returnflag = 'A' THEN 'completed' END AS state_reason,
+               CAST(l_quantity AS BIGINT) AS comments, o_orderdate AS start_time,
+               CASE WHEN l_linestatus <> 'O' THEN l_shipdate END AS end_time,
+               l_shipdate AS event_time, l_linenumber AS event_id
+        FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
     "user_history": """
         SELECT o_custkey AS id,
                concat('user-', CAST(o_custkey AS STRING), '-', o_orderpriority) AS login,

@@ -103,7 +103,8 @@ ISSUE_COLUMNS = ("id", "state_reason", "state", "comments", "number", "start_tim
 def issue_snapshots(raw: DataFrame) -> DataFrame:
     """One row per issue record: the state of the issue at that moment.
 
-    ``event_id`` and ``event_date`` identify the record, for a repeatable load.
+    ``event_id`` and ``event_date`` identify the record, for a repeatable load;
+    ``event_time`` orders the snapshots of an issue.
     """
     return raw.where(is_issue()).select("id", "created_at", issue_record().alias("issue")).select(*issue_columns())
 
@@ -128,6 +129,7 @@ def issue_columns() -> list[Column]:
         F.col("issue.number").try_cast("bigint").alias("number"),
         parse_utc(F.col("issue.created_at")).alias("start_time"),
         parse_utc(F.col("issue.closed_at")).alias("end_time"),
+        parse_utc(F.col("created_at")).alias("event_time"),
         F.to_date(parse_utc(F.col("created_at"))).alias("event_date"),
     ]
 

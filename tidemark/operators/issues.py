@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.buckets import interval_label, interval_names, level_label, level_names
+from tidemark.operators.dims import latest_snapshot
 from tidemark.operators.hours import stamp_hour
 
 
+#: What orders the snapshots of an issue in the warehouse.
+ISSUE_ORDER = ("event_time", "event_id")
+
+
+def current_issues(snapshots: DataFrame, order: Sequence[str] = ISSUE_ORDER) -> DataFrame:
+    """The latest snapshot of every issue; the statistics below then count issues and not records."""
+    return latest_snapshot(snapshots, order).drop(*order)
+
+
 def issue_basic(issues: DataFrame, hour: DataFrame) -> DataFrame:
     """Counts by state and by state reason.
 

@@ -52,9 +52,10 @@ def _ranked(df: DataFrame, ties: Sequence[str], k: int | None) -> DataFrame:
 def _with_current(counts: DataFrame, dim: DataFrame, columns: Sequence[str], order: Order) -> DataFrame:
     if order is None:
         return counts.join(dim.select("id", *columns), "id")
-    # Only the history of the counted keys is reduced, a small part of it for the active keys of an hour.
-    history = dim.join(counts.select("id"), "id", "left_semi")
-    return counts.join(latest_snapshot(history, order, keep=columns), "id")
+    # The counts are unique, so they meet the history as it is: one join, then one row per id from the same exchange.
+    # Only the history of the counted ids is reduced, a small part of it for the active ids of an hour.
+    history = dim.select("id", *dict.fromkeys([*order, *columns])).join(counts, "id")
+    return latest_snapshot(history, order, keep=[*columns, "activity_cnt"])
 
 
 def _totals(df: DataFrame, value: Column, name: str, k: int | None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The recurring jobs: prepare, land, split, sync, upsert, analyse, live.
+"""The recurring jobs: prepare, land, split, catch up, collect, sync, upsert, analyse, live.
 
 Each call is one round; the caller's scheduler decides when to run the next.
 A round that is repeated, or restarted after a failure, leaves the same tables.
@@ -6,6 +6,7 @@ A round that is repeated, or restarted after a failure, leaves the same tables.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
@@ -15,14 +16,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.json_text import prune_json
-from tidemark.functions.time import parse_utc
+from tidemark.functions.time import parse_hour_key, parse_utc
 from tidemark.operators.dedupe import new_events, reject_columns, rejected
-from tidemark.operators.dims import changed_since, latest_snapshot, merge_newest, next_mark
+from tidemark.operators.dims import (
+    REPO_UPDATES, USER_UPDATES, changed_since, flatten_repos, flatten_users, follow_edges, latest_snapshot, next_mark,
+    refresh_candidates,
+)
 from tidemark.operators.facts import (
     FACT_SPECS, ISSUE_COLUMNS, fact, fact_columns, is_fact, is_issue, issue_columns, issue_record, issue_snapshots, split_facts,
     time_dim, time_row,
 )
 from tidemark.operators.hours import latest_loaded_hour
+from tidemark.operators.ledger import archive_states, entries, next_archives
 from tidemark.operators.partials import hour_partials, key_partials, loads_of_hours
 from tidemark.plans.results import CURRENT_REPO, CURRENT_USER, JOBS, RESULTS, Inputs
 from tidemark.schemas import LANDED_EVENT, RAW_EVENT
@@ -50,6 +55,13 @@ LAYERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "repo_counts": lambda raw: key_partials(split_facts(raw), "repo_id"),
 }
 _LOAD = "load_id"
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
+def layer_schema(spark: SparkSession, name: str) -> T.StructType:
+    if name not in _SCHEMAS:
+        _SCHEMAS[name] = LAYERS[name](spark.createDataFrame([], RAW_EVENT)).schema
+    return _SCHEMAS[name]
 
 
 @dataclass(frozen=True)
@@ -77,19 +89,18 @@ class Warehouse:
         return sorted(listed.agg(F.collect_set(_LOAD).alias("ids")).first()["ids"])
 
     def table(self, name: str, loads: Sequence[str] | None = None, keep_load: bool = False) -> DataFrame:
-        """A stored table; of a layer the finished loads, or those of them that are named."""
+        """A stored table; of a layer all finished loads, or those that are named."""
         if name not in LAYERS:
             return self.spark.read.parquet(self.path(name))
-        empty = LAYERS[name](self.spark.createDataFrame([], RAW_EVENT))
-        finished = self.loads()
-        chosen = finished if loads is None else [load for load in finished if load in set(loads)]
-        schema = T.StructType([*empty.schema.fields, T.StructField(_LOAD, T.StringType())])
+        columns = layer_schema(self.spark, name)
+        chosen = self.loads() if loads is None else loads
+        schema = T.StructType([*columns.fields, T.StructField(_LOAD, T.StringType())])
         if chosen:
             reader = self.spark.read.schema(schema).option("basePath", self.path(name))
             rows = reader.parquet(*[f"{self.path(name)}/{_LOAD}={load}" for load in chosen])
         else:
             rows = self.spark.createDataFrame([], schema)
-        return rows if keep_load else rows.select(*empty.columns)
+        return rows if keep_load else rows.select(*columns.names)
 
     def fact(self, name: str) -> DataFrame:
         return fact(self.table("facts"), name)
@@ -141,15 +152,21 @@ class Warehouse:
         )
 
 
+def archive_folder(path: str, size: int) -> str:
+    """Where an archive lands: its name, and a key of its full path and size, so that no two archives share a folder."""
+    key = hashlib.md5(f"{path}|{size}".encode()).hexdigest()[:12]
+    return f"archive={path.rstrip('/').rpartition('/')[2]}-{key}"
+
+
 def prepare(spark: SparkSession, archive: str, directory: str, partitions: int | None = None) -> None:
     """Prune an archive (JSON lines, plain or gzip) into a folder of its own under the landing folder.
 
     A line that is not JSON is passed on as it is, so that nothing is lost.  An
-    archive that was prepared to the end is not written again; ``partitions``
-    deals the lines of a gzip archive over so many tasks.
+    archive that was prepared to the end is not written again, unless it has
+    another size by now; ``partitions`` deals the lines of a gzip archive over so many tasks.
     """
     ship_package(spark)
-    out = f"{directory}/archive={archive.rstrip('/').rpartition('/')[2]}"
+    out = f"{directory}/{archive_folder(archive, folders.size(spark, archive))}"
     if path_exists(spark, f"{out}/_SUCCESS"):
         return
     lines = read_text(spark, archive, partitions)
@@ -157,6 +174,84 @@ def prepare(spark: SparkSession, archive: str, directory: str, partitions: int |
     pruned.write.mode("overwrite").text(out)
 
 
+def archives(spark: SparkSession, directory: str) -> DataFrame:
+    """``path, bytes, hour`` of the archives under a folder; the hour is in the name, as ``2024-01-01-5``."""
+    found = spark.createDataFrame(folders.tree(spark, directory), "path string, bytes bigint")
+    stamp = F.regexp_extract("path", r"(\d{4}-\d\d-\d\d)-(\d{1,2})[^/]*$", 1)
+    hour = F.lpad(F.regexp_extract("path", r"(\d{4}-\d\d-\d\d)-(\d{1,2})[^/]*$", 2), 2, "0")
+    return found.withColumn("hour", parse_hour_key(F.concat_ws("-", stamp, hour)))
+
+
+def archive_log(house: Warehouse) -> DataFrame:
+    """The log of archives, ``path, bytes, state``."""
+    log = "path string, bytes bigint, state string"
+    stored = house.spark.read.schema(log)
+    return stored.parquet(house.path("archives")) if house.has("archives") else house.spark.createDataFrame([], log)
+
+
+def catch_up(house: Warehouse, directory: str, landing: str, n: int, loaded_at: float, partitions: int | None = None) -> int:
+    """Prepare the ``n`` newest missing archives of a folder, land and split them; returns how many it took.
+
+    Every step is logged when it is done.  A round that stopped is taken up where it stopped:
+    what was prepared is landed and split by the next one, and nothing is prepared twice.
+    """
+    spark = house.spark
+
+    def log(rows: DataFrame, state: str) -> None:
+        entries(rows, state).coalesce(1).write.mode("append").parquet(house.path("archives"))
+
+    available = archives(spark, directory)
+    chosen = next_archives(available, archive_log(house), n).agg(F.collect_list(F.struct("path", "bytes")).alias("rows")).first()["rows"]
+    for path, size in chosen:
+        prepare(spark, path, landing, partitions)
+        log(spark.createDataFrame([(path, size)], "path string, bytes bigint"), "prepared")
+    for step, state in ((lambda: land(house, landing), "landed"), (lambda: split_landed(house, loaded_at), "split")):
+        before = archive_states(archive_log(house)).where(F.col("state") == ("prepared" if state == "landed" else "landed"))
+        moved = staged(before, "moved")
+        step()
+        log(moved, state)
+        discard(moved)
+    return len(chosen)
+
+
+PROFILES = {"users": (flatten_users, USER_UPDATES), "repos": (flatten_repos, REPO_UPDATES)}
+EDGES = T.StructType([T.StructField("follower_id", T.LongType()), T.StructField("following_id", T.LongType())])
+
+
+def profiles(house: Warehouse, name: str) -> BucketedTable:
+    """The table of fetched user or repository records."""
+    flatten, _ = PROFILES[name]
+    schema = flatten(house.spark.createDataFrame([], "doc string")).schema
+    return BucketedTable(house.spark, house.path(f"profiles/{name}"), schema, buckets=BUCKETS[name])
+
+
+def follows(house: Warehouse) -> BucketedTable:
+    return BucketedTable(house.spark, house.path("profiles/follows"), EDGES, key="follower_id", buckets=BUCKETS["users"])
+
+
+def collect(house: Warehouse, name: str, docs: DataFrame) -> list[int]:
+    """Store fetched documents (``doc``): ``users`` and ``repos`` are upserted, ``follows`` pages add edges.
+
+    Documents without an id are left out.  Returns the buckets that were touched.
+    """
+    if name == "follows":
+        edges = follow_edges(docs).where("follower_id is not null and following_id is not null")
+        return follows(house).insert(edges, EDGES.names)
+    flatten, updates = PROFILES[name]
+    rows = flatten(docs).where("id is not null")
+    return profiles(house, name).upsert(rows, updates, ["updated_at"])
+
+
+def to_refresh(house: Warehouse) -> DataFrame:
+    """``kind, id, name`` of the users and repositories that the raw activity names and no profile is stored of."""
+    found = refresh_candidates(house.table("ods"))
+    for kind in ("user", "repo"):
+        if house.has(f"profiles/{kind}s/pointer"):
+            stored = profiles(house, f"{kind}s").current().select(F.col("id").cast("string").alias("id"), F.lit(kind).alias("kind"))
+            found = found.join(stored, ["kind", "id"], "left_anti").select("kind", "id", "name")
+    return found
+
+
 def land(house: Warehouse, directory: str, **options: str) -> None:
     """Move new JSON files into the raw layer, each file once."""
     raw = tail_activity(house.spark, directory, **options)
@@ -184,8 +279,7 @@ def split(house: Warehouse, raw: DataFrame, load_id: str, loaded_at: float) -> N
     _write_load(time_row(parsed.select("ts"), loaded_at), house, "timestable", load_id)
     _write_load(parsed.where("reject is not null").select("reject.*"), house, "rejects", load_id)
 
-    written = house.spark.read.schema(split_facts(house.spark.createDataFrame([], RAW_EVENT)).schema)
-    written = written.parquet(f"{house.path('facts')}/{_LOAD}={load_id}")
+    written = house.spark.read.schema(layer_schema(house.spark, "facts")).parquet(f"{house.path('facts')}/{_LOAD}={load_id}")
     for name, partials in (
         ("hour_counts", hour_partials(written)), ("actor_counts", key_partials(written, "actor_id")), ("repo_counts", key_partials(written, "repo_id"))
     ):

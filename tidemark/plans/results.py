@@ -43,6 +43,10 @@ class Inputs:
     def current_users(self) -> DataFrame:
         return self.users if self.user_order is None else latest_snapshot(self.users, self.user_order)
 
+    @cached_property
+    def current_issues(self) -> DataFrame:
+        return issues.current_issues(self.issues)
+
     @cached_property
     def pushes(self) -> DataFrame:
         return self.activity.where(within_hour(self.hour, date=self.date))
@@ -132,6 +136,14 @@ RESULTS |= {
     "topCompanyRecent": lambda i: rankings.active_companies(_recent_users(i), i.users, i.user_order),
 }
 
+# The issue tables over the current state of every issue.
+RESULTS |= {
+    "issueBasicCurrent": lambda i: issues.issue_basic(i.current_issues, i.hour),
+    "issueIntervalCurrent": lambda i: issues.issue_interval_hist(i.current_issues, i.hour),
+    "issueCommentsCurrent": lambda i: issues.issue_comments_hist(i.current_issues, i.hour),
+    "issueNumberCurrent": lambda i: issues.issue_number_hist(i.current_issues, i.hour),
+}
+
 # Dimension columns the tables above need.
 CURRENT_USER = ("login", *profiles.TEXT_FIELDS, *profiles.NUMBER_FIELDS)
 CURRENT_REPO = rankings.REPO_COLUMNS
@@ -140,6 +152,7 @@ CURRENT_REPO = rankings.REPO_COLUMNS
 JOBS = {
     "events": ("eventAllCount", "eventCount", "eventAllRatio", "eventRatio", "usersCount", "reposCount"),
     "issues": ("issueBasic", "issueInterval", "issueComments", "issueNumber"),
+    "current_issues": ("issueBasicCurrent", "issueIntervalCurrent", "issueCommentsCurrent", "issueNumberCurrent"),
     "users": ("userBasic", "top20_followers", "top20_following"),
     "user_activity": ("topActiveUser", "topActiveRegion", "topActiveCompany"),
     "repo_activity": ("topActiveRepo", "topLanguage"),

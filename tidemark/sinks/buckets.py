@@ -111,8 +111,16 @@ class BucketedTable:
         return self.rewrite(incoming, lambda stored, rows: merge_newest(stored, rows, updates, order, self.key))
 
     def replace(self, incoming: DataFrame, order: Sequence[str]) -> list[int]:
-        """Keep the last row of every key by ``order``."""
-        return self.rewrite(incoming, lambda stored, rows: latest_snapshot(stored.unionByName(rows.select(*stored.columns)), order, self.key))
+        """Keep the last row of every key by ``order``.
+
+        Order columns that the table lacks tell incoming rows apart; where the others are equal, an incoming row is later.
+        """
+
+        def merge(stored: DataFrame, rows: DataFrame) -> DataFrame:
+            rows = rows.select(*stored.columns, *[c for c in order if c not in stored.columns])
+            return latest_snapshot(stored.unionByName(rows, allowMissingColumns=True), order, self.key, stored.columns)
+
+        return self.rewrite(incoming, merge)
 
     def rewrite(self, incoming: DataFrame, merge: Merge) -> list[int]:
         """Write the touched buckets anew as ``merge(stored rows of them, incoming)``; returns these buckets."""

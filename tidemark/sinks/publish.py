@@ -35,25 +35,47 @@ class FileTarget:
 
 @dataclass(frozen=True)
 class CatalogTarget:
-    """A catalog table: created on the first write, appended to after.
+    """A catalog table over a folder: created on the first write, appended to after.
 
     With ``as_of`` an appended result is a partition of its own, which a repeated write replaces.
+    The folder is ``location``, or the table's name in its database's folder.  A catalog that
+    doesn't know the table, such as that of a new session without a metastore, is told of a folder
+    that an earlier one has filled.
     """
 
     table: str
     mode: str = "append"
     format: str = "parquet"
+    location: str | None = None
 
     def write(self, df: DataFrame, as_of=None) -> None:
-        if as_of is None or self.mode != "append":
-            df.write.format(self.format).mode(self.mode).saveAsTable(self.table)
+        spark = df.sparkSession
+        if self.mode != "append":
+            df.write.format(self.format).mode(self.mode).option("path", self._folder(spark)).saveAsTable(self.table)
             return
-        spark, run = df.sparkSession, f"{as_of:%Y-%m-%dT%H%M%S}"
-        if not spark.catalog.tableExists(self.table):
-            empty = df.limit(0).withColumn("as_of", F.lit(run))
-            empty.write.format(self.format).partitionBy("as_of").saveAsTable(self.table)
-        columns = ", ".join(f"`{c}`" for c in spark.table(self.table).columns if c != "as_of")
-        spark.sql(f"INSERT OVERWRITE TABLE {self.table} PARTITION (as_of = '{run}') SELECT {columns} FROM {{rows}}", rows=df)
+        partition = None if as_of is None else f"{as_of:%Y-%m-%dT%H%M%S}"
+        self._know(spark, df, partition is not None)
+        columns = ", ".join(f"`{c}`" for c in spark.table(self.table).columns if partition is None or c != "as_of")
+        into = "INTO" if partition is None else "OVERWRITE"
+        part = "" if partition is None else f"PARTITION (as_of = '{partition}')"
+        spark.sql(f"INSERT {into} TABLE {self.table} {part} SELECT {columns} FROM {{rows}}", rows=df)
+
+    def _folder(self, spark) -> str:
+        if self.location:
+            return self.location
+        database, _, name = self.table.rpartition(".")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database or 'default'}")
+        return f"{spark.catalog.getDatabase(database or 'default').locationUri.rstrip('/')}/{name}"
+
+    def _know(self, spark, df: DataFrame, dated: bool) -> None:
+        if spark.catalog.tableExists(self.table):
+            return
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        dates = (", as_of STRING", "PARTITIONED BY (as_of)") if dated else ("", "")
+        folder = self._folder(spark)
+        spark.sql(f"CREATE TABLE {self.table} ({columns}{dates[0]}) USING {self.format} {dates[1]} LOCATION '{folder}'")
+        if dated and folders.exists(spark, folder):
+            spark.sql(f"ALTER TABLE {self.table} RECOVER PARTITIONS")
 
 
 @dataclass(frozen=True)

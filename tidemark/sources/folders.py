@@ -24,6 +24,23 @@ def entries(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted(found)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files under a folder."""
+    system, where = _open(spark, path)
+    return system.getContentSummary(where).getLength()
+
+
+def tree(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """``(full path, bytes)`` of every file under a folder; hidden ones are left out."""
+    system, where = _open(spark, path)
+    found, files = [], system.listFiles(where, True)
+    while files.hasNext():
+        status = files.next()
+        if status.getPath().getName()[0] not in "._":
+            found.append((status.getPath().toString(), status.getLen()))
+    return sorted(found)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a file or a whole folder; nothing happens if it isn't there."""
     system, where = _open(spark, path)
