@@ -359,5 +359,15 @@ def test_command_line_rounds(spark, tmp_path, monkeypatch):
     for _ in range(2):
         command.main(["analyse", root, str(tmp_path / "out"), "--jobs", "events"])
     command.main(["analyse", root, "results", "--jobs", "dashboard", "--target", "catalog"])
+    command.main(["refresh", root, str(tmp_path / "refresh")])
+    assert {r["name"] for r in spark.read.json(str(tmp_path / "refresh")).collect()} == {"u0", "u1", "u2", "o/r0", "o/r1"}
+    (tmp_path / "docs").write_text(json.dumps({"id": 1, "login": "u1", "updated_at": "2024-01-01T00:00:00Z"}))
+    command.main(["collect", root, "users", str(tmp_path / "docs")])
+    assert {r["login"] for r in profiles(house, "users").current().collect()} == {"u1"}
+    (tmp_path / "more").mkdir()
+    (tmp_path / "more" / "2024-01-01-8.json").write_text(event(50, "PushEvent", 8, push_id=50))
+    command.main(["catch-up", root, str(tmp_path / "more"), landing, "-n", "3", "--partitions", "2"])
+    command.main(["missing", root, str(tmp_path / "missing")])
+    assert [r["hour"][11:13] for r in spark.read.json(str(tmp_path / "missing")).collect()] == ["07", "06"]
     assert spark.table("results.userEvents").agg(F.sum("activity_cnt")).first()[0] == 4
     assert spark.read.parquet(str(tmp_path / "out" / "eventCount")).first()["pushEventCount"] == 4

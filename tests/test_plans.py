@@ -8,7 +8,10 @@ import __spark_entry__ as contract
 
 SF = "/root/testdata/sf0.001"
 QUERIES = {**contract.batch.QUERIES, **contract.live.QUERIES}
-WRITES = {"ods_json_files", "publish_fanout", "publish_repeated", "sync_repeated", "land_rejects"} | {n for n in QUERIES if n.startswith(("stream_", "ingest_"))}
+WRITES = {
+    "ods_json_files", "publish_fanout", "publish_repeated", "sync_repeated", "land_rejects", "upsert_buckets_touched", "event_all_count_incremental",
+    "user_event_counts_incremental", "append_indexed",
+} | {n for n in QUERIES if n.startswith(("stream_", "ingest_"))}
 
 
 def plan(spark, name):

@@ -13,7 +13,7 @@ from tidemark.operators.text import word_count
 from tidemark.session import new_run_dir, shared_dir
 from tidemark.sinks.publish import FileTarget
 from tidemark.sources.files import tail_activity, tail_lines, tail_table
-from tidemark.streaming import records, writers
+from tidemark.streaming import once, records, writers
 
 
 def line(i, kind, stamp):
@@ -207,3 +207,22 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
 def test_sums_are_folded(spark):
     rows = spark.createDataFrame([("a", 1, 0), ("a", 2, 1), ("b", 5, 1)], "type string, events bigint, batch_id bigint")
     assert sorted(tuple(r) for r in writers.summed_rows("type", "events")(rows).collect()) == [("a", 3, 1), ("b", 5, 1)]
+
+
+def test_every_event_is_appended_once(spark, tmp_path):
+    """Copies within a batch, across batches, across restarts, within the lateness and long after it."""
+    folder, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    at = lambda hour: f"2024-01-01T{hour:02d}:30:00Z"
+
+    def round_():
+        once.append_once(lambda: log(spark, folder), out, check, lateness="1 hour")
+        return sorted(r["id"] for r in once.read_once(spark, out, log(spark, folder).schema).collect())
+
+    drop(folder, "1", line(1, "PushEvent", at(5)), line(1, "PushEvent", at(5)), line(2, "PushEvent", at(5)))
+    drop(folder, "2", line(2, "PushEvent", at(5)), line(3, "PushEvent", at(12)), "broken")
+    assert round_() == ["1", "2", "3"] == round_()
+    drop(folder, "3", line(1, "PushEvent", at(5)), line(4, "PushEvent", at(4)), line(3, "PushEvent", at(12)), line(6, "PushEvent", "no time"))
+    assert round_() == ["1", "2", "3", "4", "6"]
+    drop(folder, "4", line(4, "PushEvent", at(4)), line(5, "PushEvent", at(20)), line(4, "PushEvent", at(4)), line(6, "PushEvent", "no time"))
+    assert round_() == ["1", "2", "3", "4", "5", "6"]
+

@@ -9,7 +9,7 @@ from tidemark.bindings import views as V
 from tidemark.operators.text import word_count
 from tidemark.session import new_run_dir
 from tidemark.sources.files import tail_table
-from tidemark.streaming import records, writers
+from tidemark.streaming import once, records, writers
 
 
 def _tail(s: SparkSession, d: str, name: str) -> DataFrame:
@@ -63,6 +63,21 @@ def stream_counts_compacted(s: SparkSession, d: str) -> DataFrame:
     return writers.newest_per_key(batches, "type", "events")
 
 
+def stream_dedupe(s: SparkSession, d: str) -> DataFrame:
+    """Events that come in many batches, many of them twice and half of them days late: every one is appended once."""
+    path = new_run_dir(s, "stream-once")
+    activity = V.view(s, d, "activity")
+    parts = activity.withColumn("part", F.pmod(F.dayofmonth("ts"), F.lit(3)))
+    parts.unionAll(activity.withColumn("part", F.pmod(F.col("id"), F.lit(2)) + 3)).repartition("part").write.partitionBy("part").parquet(f"{path}/in")
+
+    def source() -> DataFrame:
+        return s.readStream.schema(activity.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+
+    for _ in range(2):
+        once.append_once(source, f"{path}/out", f"{path}/checkpoint")
+    return once.read_once(s, f"{path}/out", activity.schema)
+
+
 def stream_word_count(s: SparkSession, d: str) -> DataFrame:
     counted = word_count(_tail(s, d, "conversations"), "text")
     return writers.newest_per_key(_run(counted, new_run_dir(s, "word-count"), mode="update"), "word", "words")
@@ -83,6 +98,7 @@ QUERIES = {
     "stream_event_window_count": event_window_count,
     "stream_event_running_count": event_running_count,
     "stream_batch_count": batch_count,
+    "stream_dedupe": stream_dedupe,
     "stream_counts_compacted": stream_counts_compacted,
     "stream_word_count": stream_word_count,
 }

@@ -351,6 +351,7 @@ SQL = {
         (SELECT date_trunc('hour', ts) AS window_start, type, count(*) AS events FROM activity GROUP BY 1, 2) w""",
     "stream_event_running_count": _TYPE_COUNTS,
     "stream_batch_count": _TYPE_COUNTS,
+    "stream_dedupe": _A + "SELECT id, type, actor_id, repo_id, ts FROM activity",
     "stream_counts_compacted": _TYPE_COUNTS,
     "stream_word_count": _WORDS,
 }

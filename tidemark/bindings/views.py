@@ -128,6 +128,15 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark_view(spark, name, **{n: table(spark, sf_dir, n) for n in set(_TABLE.findall(VIEWS[name]))})
 
 
+#: The provided tables are a file of one row group each, so one task would read, render and parse
+#: them.  The views that render documents deal their rows out first, always over so many tasks.
+FIXTURE_PARTITIONS = 16
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    return df.repartition(FIXTURE_PARTITIONS)
+
+
 def ctes(*names: str, **more: str) -> str:
     """``WITH`` clause of views and further named queries for the comparison SQL."""
     parts = [f"{n} AS ({_TABLE.sub(r'\1', VIEWS[n]).replace('JSON_K', ANSI_JSON_K)})" for n in names]
@@ -191,7 +200,7 @@ def _record(activity: DataFrame) -> DataFrame:
 
 def activity_lines(activity: DataFrame) -> DataFrame:
     """Archive records as raw JSON lines (``value``)."""
-    return _record(activity).select(F.to_json(F.struct("*")).alias("value"))
+    return _record(activity if activity.isStreaming else dealt(activity)).select(F.to_json(F.struct("*")).alias("value"))
 
 
 def _text_map(struct: str, members: list[str], nested: tuple[str, ...] = ()) -> F.Column:
@@ -204,7 +213,7 @@ def _text_map(struct: str, members: list[str], nested: tuple[str, ...] = ()) ->
 
 def ods_rows(activity: DataFrame) -> DataFrame:
     """Archive records as the landed layer holds them: text maps, nested values as JSON text."""
-    records = _record(activity)
+    records = _record(dealt(activity))
     return records.select(
         "id", "type", _text_map("actor", ["id", "login"]), _text_map("repo", ["id", "name"]),
         _text_map("payload", records.schema["payload"].dataType.names, ("issue", "release")),
@@ -232,7 +241,7 @@ def user_docs(users: DataFrame) -> DataFrame:
         F.concat(F.lit("U_"), F.col("id").cast("string")).alias("node_id"), F.lit("").alias("gravatar_id"),
         F.lit("User").alias("type"), F.lit(False).alias("site_admin"), F.col("login").alias("name"),
     )
-    return users.select(F.to_json(doc).alias("doc"))
+    return dealt(users).select(F.to_json(doc).alias("doc"))
 
 
 def repo_docs(part: DataFrame) -> DataFrame:
@@ -258,7 +267,7 @@ def repo_docs(part: DataFrame) -> DataFrame:
         F.when(size == 1, F.array().cast("array<string>")).otherwise(topics).alias("topics"),
         F.lit("main").alias("default_branch"),
     )
-    return part.select(F.to_json(doc).alias("doc"))
+    return dealt(part).select(F.to_json(doc).alias("doc"))
 
 
 def follow_docs(lineitem: DataFrame) -> DataFrame:
@@ -272,7 +281,7 @@ def follow_docs(lineitem: DataFrame) -> DataFrame:
         F.col("l_suppkey").alias("id"), followers.alias("followers"),
         F.when(F.col("l_linestatus") == "O", ids(F.col("l_orderkey"), F.col("l_partkey"))).alias("following"),
     )
-    return lineitem.select(F.to_json(doc).alias("doc"))
+    return dealt(lineitem).select(F.to_json(doc).alias("doc"))
 
 
 def page_docs(pages: DataFrame) -> DataFrame:
@@ -288,4 +297,4 @@ def page_docs(pages: DataFrame) -> DataFrame:
             F.array(F.struct(F.col("url").alias("u"), F.lit(1).alias("k"))).alias("items"),
         ).alias("meta"),
     )
-    return pages.select("page_id", F.to_json(doc).alias("doc"))
+    return dealt(pages).select("page_id", F.to_json(doc).alias("doc"))

@@ -27,7 +27,7 @@ from tidemark.operators.facts import (
     time_dim, time_row,
 )
 from tidemark.operators.hours import latest_loaded_hour
-from tidemark.operators.ledger import archive_states, entries, next_archives
+from tidemark.operators.ledger import archive_states, entries, hour_span, missing_hours, next_archives
 from tidemark.operators.partials import hour_partials, key_partials, loads_of_hours
 from tidemark.plans.results import CURRENT_REPO, CURRENT_USER, JOBS, RESULTS, Inputs
 from tidemark.schemas import LANDED_EVENT, RAW_EVENT
@@ -252,6 +252,12 @@ def to_refresh(house: Warehouse) -> DataFrame:
     return found
 
 
+def hours_without_events(house: Warehouse) -> DataFrame:
+    """``hour``, newest first, of which no load has an event, between the first and the last that one has."""
+    hours = house.table("hour_counts").where("hour is not null")
+    return missing_hours(hour_span(hours.select(F.col("hour").alias("ts"))), hours)
+
+
 def land(house: Warehouse, directory: str, **options: str) -> None:
     """Move new JSON files into the raw layer, each file once."""
     raw = tail_activity(house.spark, directory, **options)

@@ -14,18 +14,17 @@ def parse_records(log: DataFrame) -> DataFrame:
     return log.select(F.from_json(F.col("value").cast("string"), STREAM_EVENT).alias("data"))
 
 
+# Columns of a flat record and the member of the nested one that each holds.
+FLAT = {
+    "id": "id", "type": "type", "actor_id": "actor.id", "actor_login": "actor.login", "repo_id": "repo.id",
+    "repo_name": "repo.name", "repo_url": "repo.url",
+}
+
+
 def flatten_records(parsed: DataFrame) -> DataFrame:
     """Nested activity as flat rows: actor, repository and event time pulled up."""
-    flat = parsed.select(
-        "data.*",
-        F.col("data.actor.id").alias("actor_id"),
-        F.col("data.actor.login").alias("actor_login"),
-        F.col("data.repo.id").alias("repo_id"),
-        F.col("data.repo.name").alias("repo_name"),
-        F.col("data.repo.url").alias("repo_url"),
-        parse_utc(F.col("data.created_at")).alias("ts"),
-    )
-    return flat.drop("actor", "repo", "org", "payload", "created_at")
+    columns = [F.col(f"data.{member}").alias(name) for name, member in FLAT.items()]
+    return parsed.select(*columns, parse_utc(F.col("data.created_at")).alias("ts"))
 
 
 def window_counts(events: DataFrame, window: str = "1 hour", lateness: str = "1 minute") -> DataFrame:

@@ -32,8 +32,9 @@ def write_batches(
     every: str | None = None,
     fold: Callable[[DataFrame], DataFrame] | None = None,
     fold_after: int = 20,
+    each_numbered: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Start a query whose batches land under ``path``; ``each`` maps a batch before the write.
+    """Start a query whose batches land under ``path``; ``each`` maps a batch before the write, ``each_numbered`` one and its number.
 
     ``every`` is a processing-time interval such as ``1 minute``; without it
     the query takes what is there and stops.  With ``fold`` the folders of
@@ -46,7 +47,7 @@ def write_batches(
             # A replay of a batch that a snapshot holds: it runs, so that the query's state goes on, and is not written.
             batch.write.format("noop").mode("overwrite").save()
             return
-        out = each(batch) if each else batch
+        out = each(batch) if each else each_numbered(batch, batch_id) if each_numbered else batch
         out.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
         if fold and (batch_id + 1) % fold_after == 0:
             compact(spark, path, out.schema, fold)
