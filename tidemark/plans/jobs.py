@@ -27,6 +27,7 @@ from tidemark.operators.facts import (
     time_dim, time_row,
 )
 from tidemark.operators.hours import latest_loaded_hour
+from tidemark.operators.issues import ISSUE_ORDER
 from tidemark.operators.ledger import archive_states, entries, hour_span, missing_hours, next_archives
 from tidemark.operators.partials import hour_partials, key_partials, loads_of_hours
 from tidemark.plans.results import CURRENT_REPO, CURRENT_USER, JOBS, RESULTS, Inputs
@@ -131,6 +132,7 @@ class Warehouse:
         return Inputs(
             activity=self.table("facts"),
             issues=self.table("issue"),
+            issue_order=ISSUE_ORDER,
             users=none,
             repos=none,
             hour=self.hour(),

@@ -18,7 +18,8 @@ class Inputs:
     """Frames the result tables are computed from.
 
     ``users`` and ``repos`` keep every snapshot, and the order columns rank the
-    snapshots of one id; with an order of None they hold current rows only.
+    snapshots of one id; with an order of None they hold current rows only,
+    and so do the ``issues``.
     ``hour`` is a one-row frame, see ``operators.hours``.
     ``unique_events`` says that no event occurs twice in ``activity``; ``date``
     names the column its files are partitioned by, if they are.
@@ -33,6 +34,7 @@ class Inputs:
     hour: DataFrame
     user_order: rankings.Order = ("updated_at",)
     repo_order: rankings.Order = ("updated_at",)
+    issue_order: rankings.Order = None
     unique_events: bool = False
     date: str | None = None
     hours: DataFrame | None = None
@@ -45,7 +47,7 @@ class Inputs:
 
     @cached_property
     def current_issues(self) -> DataFrame:
-        return issues.current_issues(self.issues)
+        return self.issues if self.issue_order is None else issues.current_issues(self.issues, self.issue_order)
 
     @cached_property
     def pushes(self) -> DataFrame:
