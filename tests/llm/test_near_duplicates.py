@@ -1,6 +1,7 @@
 """Near-duplicate, substring and decontamination operators against brute force."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -104,6 +105,24 @@ def test_components(spark):
     assert got == {x: r for x, r in root.items() if any(x in p and p[0] != p[1] for p in pairs)}
 
 
+@pytest.mark.parametrize("shape", ["path", "ordered path", "star", "chain of cliques"])
+def test_components_take_logarithmic_steps(spark, monkeypatch, shape):
+    rng, n = random.Random(8), 700
+    name = list(range(n))
+    if shape != "ordered path":
+        rng.shuffle(name)
+    pairs = {
+        "star": [(0, i) for i in range(1, n)],
+        "chain of cliques": [(i + x, i + y) for i in range(0, n - 7, 7) for x in range(8) for y in range(x)],
+    }.get(shape, [(i, i + 1) for i in range(n - 1)])
+    steps, write = [], graph.staged
+    monkeypatch.setattr(graph, "staged", lambda df, label: steps.append(label) or write(df, label))
+    found = graph.components(spark.createDataFrame([(name[a], name[b]) for a, b in pairs], "a long, b long"))
+    nodes = {name[x] for p in pairs for x in p}
+    assert {r["label"] for r in found.collect()} == {min(nodes)} and found.count() == len(nodes)
+    assert steps.count("offers") <= 3 * math.log2(n)
+
+
 def brute_cut(documents, n=13):
     first, out = {}, {}
     for i, text in sorted((d[0], d[1]) for d in documents):
