@@ -33,14 +33,17 @@ SCRIPT_STARTS = [
     (0x3040, "kana"), (0x3100, "han"), (0xA000, "other"), (0xAC00, "hangul"), (0xD7B0, "other"),
     (0xF900, "han"), (0xFB00, "latin"), (0xFB13, "other"), (0xFB50, "arabic"), (0xFE00, "other"),
     (0xFF21, "latin"), (0xFF5B, "other"), (0xFF66, "kana"), (0xFFA0, "other"),
+    (0x1AFF0, "kana"), (0x1B170, "other"), (0x1D400, "latin"), (0x1D6A8, "greek"), (0x1D7CC, "other"), (0x20000, "han"),
 ]
 SCRIPTS = sorted({name for _, name in SCRIPT_STARTS})
+#: No letter lies beyond the planes up to here.
+_PLANES = 4 << 16
 _STARTS = np.array([start for start, _ in SCRIPT_STARTS])
 _SCRIPT = np.array([SCRIPTS.index(name) for _, name in SCRIPT_STARTS], np.uint8)[
-    np.searchsorted(_STARTS, np.arange(65536), "right") - 1
+    np.searchsorted(_STARTS, np.arange(_PLANES), "right") - 1
 ]
-_LETTER = np.array([chr(c).isalpha() for c in range(65536)])
-_LOWER = np.array([ord(chr(c).lower()) if len(chr(c).lower()) == 1 else c for c in range(65536)], np.uint32)
+_LETTER = np.array([chr(c).isalpha() for c in range(_PLANES)])
+_LOWER = np.array([ord(chr(c).lower()) if len(chr(c).lower()) == 1 else c for c in range(_PLANES)], np.uint32)
 BUCKETS = 1 << 16
 
 
@@ -60,8 +63,8 @@ def spoken(texts: list[str]) -> Spoken:
     joined = "\n".join(texts)
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     row_start = np.cumsum([0] + [len(t) + 1 for t in texts])
-    narrow = np.minimum(codes, 65535)
-    letter = _LETTER[narrow] & (codes < 65535)
+    narrow = np.minimum(codes, _PLANES - 1)
+    letter = _LETTER[narrow]
     padded = np.concatenate([[False], letter, [False]])
     start = np.flatnonzero(padded[1:] & ~padded[:-1])
     end = np.flatnonzero(~padded[1:] & padded[:-1])

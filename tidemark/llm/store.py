@@ -29,11 +29,12 @@ def smallest_by_hash(df: DataFrame, n: int, *keys: str, seed: int = 0) -> DataFr
 
 def training_fold(doc_id: str = "doc_id"):
     """Rows that labels may be learned from: crc32 of the id as text, modulo 4, is not 2."""
-    return ~F.coalesce(held_out(doc_id), F.lit(False))
+    return ~held_out(doc_id)
 
 
 def held_out(doc_id: str = "doc_id"):
-    return (F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4) == 2
+    """Rows that models are tried on; those without an id aren't."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def calibration(doc_id: str = "doc_id"):
