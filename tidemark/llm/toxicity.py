@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.store import smallest_by_hash
+from tidemark.llm.store import smallest_by_hash, staged
 
 # Look-alikes of Latin letters (Cyrillic, Greek, others), and signs that stand for letters.
 HOMOGLYPHS = str.maketrans({
@@ -80,10 +80,15 @@ def matches(automaton, words: list[str]) -> list[tuple[int, int, float]]:
         return []
     found, quiet = [], []
     for last, (size, weight) in automaton.iter(f" {' '.join(words)} "):
-        (quiet if weight is None else found).append((last + 1 - size, last + 1, weight))
+        (quiet if weight is None else found).append((last + 1 - size, last + 1, weight or 0.0))
     out: list[tuple[int, int, float]] = []
+    quiet.sort()
+    at = spared = 0  # exceptions that begin so far, and where the farthest of them ends
     for begin, end, weight in sorted(found, key=lambda x: (x[0], -x[1])):
-        if any(b <= begin and end <= e for b, e, _ in quiet) or out and begin < out[-1][1] - 1:
+        while at < len(quiet) and quiet[at][0] <= begin:
+            spared = max(spared, quiet[at][1])
+            at += 1
+        if end <= spared or out and begin < out[-1][1] - 1:
             continue
         out.append((begin, end, weight))
     return out
@@ -149,7 +154,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     picked = [smallest_by_hash(known.filter(F.col("label") == kind).distinct(), per_class, "k", seed=3) for kind in (0, 1)]
     texts = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).filter("text is not null")
     # At most 2 * per_class short rows are broadcast.
-    sample = texts.join(F.broadcast(picked[0].union(picked[1])), "k").select("text", "label").dropDuplicates(["text"])
+    sample = texts.join(F.broadcast(picked[0].union(picked[1])), "k")
+    # Copies with both labels count as most of them do, as toxic if that is half.
+    sample = staged(sample.groupBy("text").agg((F.avg("label") >= 0.5).cast("int").alias("label")), "labelled")
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     n_other, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not n_other or not n_toxic:
@@ -167,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     seen = sample.mapInArrow(lambda batches: _measure(batches, lexicon), "label int, words double, total double, hit array<string>")
     lexicon.exceptions += _harmless(seen)
     kept = sample.mapInArrow(lambda batches: _measure(batches, lexicon), "label int, words double, total double, hit array<string>")
-    lexicon.curve = _curve(np.array([tuple(r) for r in kept.select("label", "words", "total").collect()], np.float64))
+    lexicon.curve = _curve(np.array(sorted(tuple(r) for r in kept.select("label", "words", "total").collect()), np.float64))
     return lexicon
 
 
