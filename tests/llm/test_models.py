@@ -1,6 +1,7 @@
 """Trained operators: edge cases, and results on small made-up corpora."""
 
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -237,6 +238,26 @@ def test_parsing():
     assert [t for _, t in pieces] == ["t"]
 
 
+def test_unknown_and_hidden_elements_do_not_part_a_paragraph():
+    for inner in ("<o:p></o:p>", "<ruby></ruby>", "<x-y>", "<script>1</script>", "<button>no <div>no</div></button>", "<svg><path></svg>", "<link href=x>"):
+        assert [t for _, t in html_text.parse(f"<div>0<p>hi{inner} there</p>1</div>")[1]] == ["0", "hi there", "1"]
+    blocks, pieces = html_text.parse('<p title="x>a</p><p>b<a href=\'q>c</a> d')
+    assert [t for _, t in pieces] == ["a", "bc d"]  # a quote without end: the tag ends at the first >
+    assert html_text.parse("<b><i>a<center>b</b>c</center></b>d")[1] == [(0, "a"), (1, "bc"), (0, "d")]
+
+
+@pytest.mark.parametrize("page", [
+    '<a "' * 250_000, "<a " * 300_000, "<a<b" * 250_000 + ">", '<a "\'>' * 150_000, "<!x " * 250_000, "<!--" * 250_000, "<x>" * 200_000 + "</y>" * 200_000,
+    "<b>" * 100_000 + "<h1></h1>" * 60_000, "<b><div>" * 60_000 + "</b>" * 100_000, "<p>x</p>" * 100_000, "<a>x" * 100_000, "</script " * 100_000, "<i class=" * 90_000 + ">",
+    "<a '\"<b \">" * 80_000 + "'", "<li>" * 100_000,
+])
+def test_hostile_pages_take_linear_time(page):
+    start = time.process_time()
+    blocks, pieces = html_text.parse(page)
+    kept = html_text.decode(blocks, np.full(len(html_text.describe(blocks)), 0.9))
+    assert len(kept) == len(blocks) and time.process_time() - start < 15
+
+
 def test_quality_bound_is_a_quantile_of_unseen_texts(spark):
     rng = random.Random(12)
     rated = [(i, "aa", float(np.exp(2 + rng.uniform(-1, 1) * (0.01 + 1 / n) ** 0.5)), n) for i in range(1000) for n in [rng.choice([20, 50, 500, 2000])]]
@@ -311,3 +332,28 @@ def test_exceptions_see_every_match(spark):
     assert any("vexling festival" in h for h in hits)
     seen = [(1, hits)] + [(0, [" vexling festival ", " vexling fair "])] * 3
     assert toxicity._harmless(spark.createDataFrame(seen, "label int, hit array<string>")) == [" vexling fair "]
+
+
+def test_long_toxic_texts_and_copies_of_both_labels(spark):
+    lexicon = toxicity.Lexicon({" vexling ": 2.0, " grum": 1.0}, [" vexling festival ", " a vexling "])
+    words = random.Random(3).choices(["a", "vexling", "festival", "grumblor", "plain"], k=400)
+    joined = f" {' '.join(words)} "
+    places = lambda x: [(i, i + len(x)) for i in range(len(joined)) if joined.startswith(x, i)]
+    quiet = [p for x in lexicon.exceptions for p in places(x)]
+    wanted = sorted(p for x in lexicon.weights for p in places(x) if not any(b <= p[0] and p[1] <= e for b, e in quiet))
+    assert [(b, e) for b, e, _ in toxicity.matches(lexicon.matcher(), words)] == wanted
+    start = time.process_time()
+    assert len(toxicity.matches(lexicon.matcher(), ["vexling", "festival", "vexling"] * 50_000)) == 50_000 and time.process_time() - start < 5
+    docs = [(i, f"{sentence(random.Random(i % 100), 'aa', 30)} {'zorblax' if i % 100 < 50 else ''}", "aa", "s") for i in range(300)]
+    labels = [(i, int(i % 100 < 50 and i < 200)) for i in range(300)]  # two of three copies are toxic
+    fits = [toxicity.fit(spark.createDataFrame(rows(*own), DOCUMENT), spark.createDataFrame(labels, "doc_id bigint, toxic int")) for own in (docs, docs[::-1])]
+    assert fits[0] == fits[1] and any("zor" in e for e in fits[0].weights)
+
+
+def test_letters_beyond_the_first_plane(spark, model):
+    texts = ["\U00010330\U00010331", "\U00020000 \U0002A6D0", "\U0001F600 \U000F0000 \uFFFF 12", "\U0001D41A"]
+    got = {r["doc_id"]: r for r in langid.identify(spark.createDataFrame(rows(*[(i, t, None, "s") for i, t in enumerate(texts)]), DOCUMENT), model).collect()}
+    assert [got[i]["lang_pred"] == "und" for i in range(4)] == [False, False, True, False]
+    learned = langid.fit(spark.createDataFrame(rows(*corpus(60), *[(500 + i, "\U00020000\U00020001 \U00020002", "dd", "s") for i in range(20)]), DOCUMENT))
+    assert langid.identify(spark.createDataFrame(rows((1, "\U00020001\U00020005", None, "s")), DOCUMENT), learned).first()["lang_pred"] == "dd"
+    assert [r[0] for r in spark.createDataFrame([(None,), (2,)], "doc_id bigint").select(held_out()).collect()][0] is False

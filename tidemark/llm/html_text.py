@@ -14,7 +14,10 @@ forms and comments.
 
 Edge cases: a null or empty page, and one without main text, give the empty string.  Unclosed
 and stray tags are closed or ignored as browsers do; comments, scripts and styles have no text.
+A tag with an unclosed quote ends at the first ``>``.  Unknown elements are part of the text around them, and a hidden
+element inside a paragraph does not part it.
 Character references are decoded, also those without semicolon.  A line break is white space.
+Very long pages take time in proportion to their length.
 Repeated rows are treated alike; other columns are kept, result columns replace columns of the
 same name.
 """
@@ -26,6 +29,8 @@ import html
 import math
 import random
 import re
+from bisect import bisect_right
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -42,8 +47,13 @@ from tidemark.llm.words import slices
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 HIDDEN = {"script", "style", "noscript", "template", "title", "textarea", "select", "option", "svg", "math", "iframe", "object", "button"}
 RAW = {"script", "style", "title", "textarea", "noscript", "iframe"}
-INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q",
-          "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
+#: Elements that stand as blocks of their own; all others, unknown ones too, belong to the text around them.
+BLOCKS = {"address", "article", "aside", "blockquote", "body", "caption", "center", "colgroup", "dd", "details", "dialog", "dir", "div", "dl",
+          "dt", "fieldset", "figcaption", "figure", "footer", "form", "frameset", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup",
+          "html", "legend", "li", "listing", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "tbody", "td",
+          "tfoot", "th", "thead", "tr", "ul", "xmp"}
+#: Elements without an end that show as something between words, and those that leave no trace.
+SHOWN_VOID, UNSEEN_VOID = {"br", "img", "input", "embed"}, VOID - {"br", "img", "input", "embed", "hr"}
 #: An opening tag of a key closes an open element of its values, unless one of the barriers stands between.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 BARRIERS = {"ul", "ol", "dl", "table", "body", "html", "div", "article", "section", "main", "aside", "nav", "header", "footer", "form", "blockquote"}
@@ -54,7 +64,8 @@ SIDE_WORDS = {"ad", "ads", "advert", "advertisement", "aside", "banner", "bar",
               "share", "sidebar", "signup", "site", "social", "sponsor", "sponsored", "subscribe", "tags", "toolbar", "widget"}
 SIDE_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset"}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+_OPEN = re.compile(r"<(?:(!--)|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_MARK = re.compile("[>\"']")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE) for name in sorted(RAW)}
 _ATTRIBUTE = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _OWN_MAIN = re.compile(r"<(?:article|main)[\s/>]", re.IGNORECASE)
@@ -78,15 +89,106 @@ class Block:
     pieces: int = 0
 
 
+def tag_end(page: str, at: int, failed: set[int]) -> int:
+    """Where the tag ends whose name ends at ``at``: after the first ``>`` outside quotes.
+
+    A tag with a quote that nothing closes ends at the first ``>`` at all; a later ``>`` must exist.  ``failed``
+    remembers the quotes that lead to such an end, so that no stretch of the page is read for them twice.
+    """
+    place, opened = at, []
+    while mark := _MARK.search(page, place):
+        if mark[0] == ">":
+            return mark.end()
+        opened.append(mark.start())
+        close = -1 if mark.start() in failed else page.find(mark[0], mark.end())
+        if close < 0:
+            break
+        place = close + 1
+    failed.update(opened)
+    return page.find(">", at) + 1
+
+
+def tokens(page: str):
+    """Tags, comments and declarations as ``(begin, end, closing, name, end of the name)``, the name None for the latter two.
+
+    The caller may send the place to go on from.  Takes time in proportion to the page, whatever is in it.
+    """
+    last, failed, at = page.rfind(">"), set(), 0
+    while head := _OPEN.search(page, at):
+        if head[1]:
+            end = page.find("-->", head.end()) + 3
+            end = end if end > 2 else len(page)
+        elif head.start() > last:  # no tag ends after this
+            at = page.find("<!--", head.start())
+            if at < 0:
+                return
+            continue
+        else:
+            end = tag_end(page, head.end(), failed) if head[3] else page.find(">", head.end()) + 1
+        at = (yield head.start(), end, bool(head[2]), head[3], head.end()) or end
+
+
+class Open:
+    """The open elements: names with the block each belongs to, and the places of each name."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = [("#root", 0)]
+        self.places: dict[str, list[int]] = {}
+        self.boxes, self.barriers = [0], [0]  # places of blocks, and of those that nothing is closed beyond
+
+    def push(self, name: str, block: int, box: bool) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        if box:
+            self.boxes.append(len(self.stack))
+        if name in BARRIERS or name in HIDDEN:
+            self.barriers.append(len(self.stack))
+        self.stack.append((name, block))
+
+    def pop(self) -> tuple[str, bool]:
+        """The innermost name, and whether it was a block."""
+        name, _ = self.stack.pop()
+        self.places[name].pop()
+        box = self.boxes[-1] == len(self.stack)
+        if box:
+            self.boxes.pop()
+        if self.barriers[-1] == len(self.stack):
+            self.barriers.pop()
+        return name, box
+
+    def innermost(self, name: str) -> int:
+        """The place of the innermost open element of a name, 0 without one."""
+        return (self.places.get(name) or [0])[-1]
+
+    def ended_by(self, name: str) -> int:
+        """The outermost element that an opening tag of a block ends, 0 for none."""
+        floor = self.barriers[-1]
+        same = max((self.innermost(x) for x in CLOSES.get(name, ())), default=0)
+        if same > floor:
+            return same
+        paragraphs = self.places.get("p", [])
+        return next(iter(paragraphs[bisect_right(paragraphs, floor) :]), 0)
+
+
+def resume(found, at: int):
+    """The next token from a place on."""
+    try:
+        return found.send(at)
+    except StopIteration:
+        return None
+
+
 def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
     """Block elements in page order, the root first, and pieces of text ``(block, text)`` in page order."""
     blocks, pieces = [Block("#root", -1, 0)], []
-    stack: list[tuple[str, int]] = [("#root", 0)]  # open elements with the block each belongs to
+    opened = Open()
+    stack = opened.stack
     buffer: list[str] = []
     linked = hidden = at = 0
 
     def flush() -> None:
         nonlocal linked
+        if hidden:  # what stands before a hidden element goes on after it
+            return
         text = " ".join(html.unescape("".join(buffer)).split())
         buffer.clear()
         if text:
@@ -102,62 +204,60 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
     def close_to(depth: int) -> None:
         nonlocal hidden
         while len(stack) > depth:
-            if stack[-1][0] not in INLINE:
+            if stack[-1][0] in BLOCKS:
                 flush()
-            if stack.pop()[0] in HIDDEN:
+            if opened.pop()[0] in HIDDEN:
                 hidden -= 1
 
-    while token := _TOKEN.search(page, at):
-        if token.start() > at and not hidden:
-            text = page[at : token.start()]
+    found = tokens(page)
+    token = next(found, None)
+    while token:
+        begin, end, closing, name, named = token
+        if begin > at and not hidden:
+            text = page[at:begin]
             buffer.append(text)
-            if any(tag == "a" for tag, _ in stack):
+            if opened.innermost("a"):
                 linked += len(text.strip())
-        at = token.end()
-        name = token[2]
+        at = end
+        name = name and name.lower()
         if name is None:
-            continue
-        name = name.lower()
-        if token[1]:
-            if name == "br":
+            pass
+        elif closing:
+            if name == "br" and not hidden:
                 buffer.append(" ")
-            found = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-            if found and (name not in INLINE or not any(t not in INLINE for t, _ in stack[found:])):
-                close_to(found)
-            continue
-        if name in VOID:
-            if name in ("br", "wbr", "img"):
-                buffer.append(" " if name != "wbr" else "")
-            else:
-                flush()
-            continue
-        if name in INLINE:
-            stack.append((name, stack[-1][1]))
+            place = opened.innermost(name)
+            if place and (name in BLOCKS or name in HIDDEN or place > opened.boxes[-1]):
+                close_to(place)
+        elif name in UNSEEN_VOID:
+            pass
+        elif name in SHOWN_VOID:
+            if not hidden:
+                buffer.append(" ")
+        elif name == "hr":
+            flush()
+        elif name not in BLOCKS and name not in HIDDEN:
+            opened.push(name, stack[-1][1], False)
             blocks[stack[-1][1]].elements += 1
-            continue
-        flush()
-        closes = CLOSES.get(name, set())
-        for i in range(len(stack) - 1, 0, -1):
-            tag = stack[i][0]
-            if tag in closes or tag == "p":
-                close_to(i)
-                if tag != "p":
-                    break
-            elif tag in BARRIERS:
-                break
-        if token[3].endswith("/") and name in ("svg", "math"):
-            continue
-        owner = stack[-1][1]
-        words = {w for m in _ATTRIBUTE.finditer(token[3]) for w in _WORDS.findall("".join(g or "" for g in m.groups()).lower())} if token[3] else set()
-        blocks.append(Block(name, owner, blocks[owner].depth + 1, words))
-        blocks[owner].children.append(len(blocks) - 1)
-        stack.append((name, len(blocks) - 1))
-        if name in HIDDEN:
-            hidden += 1
-            if name in RAW:  # nothing in it is a tag or a comment but its own end
-                end = _RAW_END[name].search(page, at)
-                at = end.end() if end else len(page)
-                close_to(len(stack) - 1)
+        else:
+            if name in BLOCKS:
+                flush()
+                if ended := opened.ended_by(name):
+                    close_to(ended)
+            if not (page[end - 2] == "/" and name in ("svg", "math")):
+                owner = stack[-1][1]
+                # Words of the attributes, those of a few names only.
+                given = _ATTRIBUTE.finditer(page, named, end - 1)
+                words = {w for m in given for w in _WORDS.findall("".join(g or "" for g in m.groups()).lower())}
+                blocks.append(Block(name, owner, blocks[owner].depth + 1, words))
+                blocks[owner].children.append(len(blocks) - 1)
+                opened.push(name, len(blocks) - 1, True)
+                if name in HIDDEN:
+                    hidden += 1
+                    if name in RAW:  # nothing in it is a tag or a comment but its own end
+                        stop = _RAW_END[name].search(page, at)
+                        at = stop.end() if stop else len(page)
+                        close_to(len(stack) - 1)
+        token = resume(found, at)
     if at < len(page) and not hidden:
         buffer.append(page[at:])
     close_to(1)
@@ -177,23 +277,27 @@ def describe(blocks: list[Block]) -> np.ndarray:
     seen = 0  # text before a block, by the order of the blocks
     above = [(False, False)] * len(blocks)
     rank = [(0, 1)] * len(blocks)
+    kin: list[Counter[str]] = [Counter()] * len(blocks)  # tags of a block's children, and their text
+    sums = [0] * len(blocks)
     for i, b in enumerate(blocks):
         for k, child in enumerate(b.children):
             rank[child] = (k, len(b.children))
+        kin[i] = Counter(blocks[c].tag for c in b.children) or Counter([b.tag])
+        sums[i] = sum(blocks[c].chars for c in b.children) if b.children else b.chars
         main, side = len(b.words & MAIN_WORDS), len(b.words & SIDE_WORDS)
         is_main, is_side = b.tag in ("article", "main"), b.tag in SIDE_TAGS
         up = above[b.parent] if b.parent >= 0 else (False, False)
         above[i] = (up[0] or is_main or main > 0, up[1] or is_side or side > 0)
         parent = blocks[b.parent] if b.parent >= 0 else b
-        around = [blocks[c] for c in parent.children] or [b]
-        own = sum(1 for _ in b.runs)
+        up_at = max(b.parent, 0)
+        many = max(1, len(parent.children))
         out[i] = (
             b.depth, math.log1p(b.chars), b.chars / total, b.linked / max(1, b.chars), b.elements / max(1, b.chars) * 100,
             b.marks / max(1, b.chars) * 100, math.log1p(b.chars / max(1, b.pieces)), b.paragraphs, math.log1p(b.elements),
             b.tag == "p", b.tag in ("h1", "h2", "h3", "h4", "h5", "h6"), b.tag in ("li", "ul", "ol", "dl"), b.tag in ("div", "section"),
             is_main, is_side, main, side, up[0], up[1], rank[i][0] / rank[i][1], math.log1p(rank[i][1]),
-            sum(x.tag == b.tag for x in around) / len(around), b.chars / max(1, parent.chars),
-            math.log1p(sum(x.chars for x in around) / len(around)), seen / total, own,
+            kin[up_at][b.tag] / many, b.chars / max(1, parent.chars),
+            math.log1p(sums[up_at] / many), seen / total, len(b.runs),
         )
         seen += b.chars if not b.children else 0
     return out
