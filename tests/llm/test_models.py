@@ -357,3 +357,17 @@ def test_letters_beyond_the_first_plane(spark, model):
     learned = langid.fit(spark.createDataFrame(rows(*corpus(60), *[(500 + i, "\U00020000\U00020001 \U00020002", "dd", "s") for i in range(20)]), DOCUMENT))
     assert langid.identify(spark.createDataFrame(rows((1, "\U00020001\U00020005", None, "s")), DOCUMENT), learned).first()["lang_pred"] == "dd"
     assert [r[0] for r in spark.createDataFrame([(None,), (2,)], "doc_id bigint").select(held_out()).collect()][0] is False
+
+
+def test_secrets_are_judged_whole():
+    value = lambda text: [text[b:e] for b, e, _ in secrets.candidates(text)]
+    assert value("password: hunterhunter") == ["hunterhunter"] and value("remark: something else") == []
+    assert value('db_password = "correct horse battery staple" end') == ["correct horse battery staple"]
+    block = "-----BEGIN RSA PRIVATE KEY-----abc-----END RSA PRIVATE KEY-----"
+    assert value(f"a {block} b {block}") == [block, block]
+    start = time.process_time()
+    assert secrets.candidates("-----BEGIN PRIVATE KEY----- " * 40_000) == []
+    language = secrets.Language(frozenset({"readable"}), {}, -9.0)
+    long = "readable" * 500 + "X9" * 2000
+    own = dict(zip(secrets.FEATURES, secrets.features(f"token={long}", 6, 6 + len(long), "assignment", language), strict=True))
+    assert own["length"] == 8000 and own["coverage"] == 4000 / 6000 and own["digits"] == 0.25 and time.process_time() - start < 5

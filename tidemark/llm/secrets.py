@@ -8,7 +8,8 @@ words: secrets of random characters under credential names, and the usual false
 (checksums, placeholders, identifiers, paths, numbers).
 
 Edge cases: null and empty texts have no candidates.  Overlapping candidates are one, of
-the first one's rule.  None has a longest length; the features bound what they look at.  Repeated rows give repeated findings.  An empty table gives an empty
+the first one's rule.  None has a longest length, and the features see all of it.  A value of
+small letters only, or of several quoted words, is a candidate under a credential's name.  Repeated rows give repeated findings.  An empty table gives an empty
 table; without any document the forest is trained on words of its own seed.
 """
 
@@ -37,7 +38,8 @@ PLACEHOLDER = ["changeme", "dummy", "example", "fake", "here", "insert", "placeh
 
 _ASSIGNED = re.compile(r"""[A-Za-z_][\w.\-]{1,40}\W{0,6}?\s?(?:=|:)\W{0,4}?\s?["']?(?P<v>[^\s"'|,;<>()]{8,})""")
 _RUN = re.compile(r"[A-Za-z0-9+/_=\-]{20,}")
-_BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----.+?-----END [A-Z ]*PRIVATE KEY-----", re.DOTALL)
+_QUOTED = re.compile(r"""(?P<n>[A-Za-z_][\w.\-]{1,40})["']?\s?(?:=|:)\s?(?P<q>["'])(?P<v>[^"'\n]{8,})(?P=q)""")
+_BEGIN, _END = (re.compile(rf"-----{mark} [A-Z ]*PRIVATE KEY-----") for mark in ("BEGIN", "END"))
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
 _HEX = re.compile(r"[0-9a-fA-F]+\Z")
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -116,13 +118,30 @@ def _united(found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     return out
 
 
+def _key_blocks(text: str):
+    """Each opening mark of a private key to the next closing one; the text is read once."""
+    at = 0
+    while head := _BEGIN.search(text, at):
+        tail = _END.search(text, head.end() + 1)
+        if not tail:
+            return
+        at = tail.end()
+        yield head.start(), at, "block"
+
+
+def _names_credential(name: str) -> bool:
+    return any(w in CREDENTIAL for w in _NAME.findall(name.lower()))
+
+
 def candidates(text: str) -> list[tuple[int, int, str]]:
-    found = [(m.start(), m.end(), "block") for m in _BLOCK.finditer(text)] if "PRIVATE KEY" in text else []
+    found = list(_key_blocks(text)) if "PRIVATE KEY" in text else []
     if "=" in text or ":" in text:
         for m in _ASSIGNED.finditer(text):
             value = m["v"].rstrip("!.?:&$%#*")
-            if len(value) >= 8 and not (value.isalpha() and value.islower()):
+            plain = value.isalpha() and value.islower()  # a word, unless it is called a password
+            if len(value) >= 8 and (not plain or _names_credential(text[m.start() : m.start("v")])):
                 found.append((m.start("v"), m.start("v") + len(value), "assignment"))
+        found += [(*m.span("v"), "assignment") for m in _QUOTED.finditer(text) if _names_credential(m["n"])]
     for m in _RUN.finditer(text):
         if any(c.isdigit() for c in m[0]) or not m[0].isalpha():
             found.append((m.start(), m.end(), "run"))
@@ -132,7 +151,7 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
 def _coverage(value: str, words: frozenset[str]) -> float:
     """Share of the letters that the longest dictionary words cover, taken greedily from the left."""
     covered = letters = 0
-    for run in _LETTERS.findall(value.lower()[:512]):
+    for run in _LETTERS.findall(value.lower()):
         letters += len(run)
         at = 0
         while at < len(run):
@@ -147,9 +166,9 @@ def features(text: str, begin: int, end: int, rule: str, language: Language) ->
     n = len(value)
     counts = Counter(value)
     entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
-    kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "s" for c in value[:2000]]
+    kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "s" for c in value]
     changes = sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / max(1, len(kinds) - 1)
-    low = value.lower()[:2000]
+    low = value.lower()
     steps = [language.pairs.get(low[i : i + 2], language.floor) for i in range(len(low) - 1) if low[i].isalpha() and low[i + 1].isalpha()]
     unseen = sum(s == language.floor for s in steps) / len(steps) if steps else 1.0
     before, after = text[max(0, begin - 60) : begin], text[end : end + 30]
@@ -157,7 +176,7 @@ def features(text: str, begin: int, end: int, rule: str, language: Language) ->
     name = near[-2:]
     around = near + [w.lower() for w in _NAME.findall(after)][:2]
     return [
-        float(min(n, 1000)), entropy, changes, sum(steps) / len(steps) if steps else language.floor, unseen, _coverage(value, language.words),
+        float(n), entropy, changes, sum(steps) / len(steps) if steps else language.floor, unseen, _coverage(value, language.words),
         kinds.count("d") / len(kinds), kinds.count("u") / len(kinds), kinds.count("s") / len(kinds), float(bool(_HEX.match(value))),
         float(bool(_UUID.match(value))), float(value.count("/")), float(value.count(".")),
         float("/" in before[-2:] or "\\" in value or value.startswith(("/", "./", "~/"))), float("://" in value or "://" in before[-10:] or "@" in value),
