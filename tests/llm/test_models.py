@@ -2,6 +2,7 @@
 
 import random
 import time
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -9,8 +10,11 @@ import pytest
 from llm.conftest import DOCUMENT, EDGES, rows
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_text, langid, mixing, quality, secrets, toxicity
+from tidemark.llm import html_text, kneser, langid, mixing, quality, secrets, toxicity
 from tidemark.llm.store import held_out, smallest_by_hash, training_fold
+from tidemark.llm.words import split_words
+from tidemark.session import shared_dir
+from tidemark.sources import folders
 
 SYLLABLES = {"aa": ["ka", "lo", "mi", "tu", "re"], "bb": ["sch", "ung", "eit", "ver", "ich"], "cc": ["ción", "ado", "que", "ñe", "os"]}
 
@@ -127,20 +131,90 @@ def test_quality(spark, edges, nothing):
     assert all(r["kept"] for r in untaught if r["text"])
 
 
-def test_kneser_ney_sums_to_one(spark):
-    counts = {"abab": 3, "abac": 1, "bacb": 2, "acba": 1, "cbab": 4, "babc": 2}
-    key = lambda g: sum(ord(c) << (16 * (3 - i)) for i, c in enumerate(g))
-    table = spark.createDataFrame([(key(g), n) for g, n in counts.items()], "key bigint, n bigint")
-    for context in ("aba", "bab", "zzz"):
-        wanted = spark.createDataFrame([(key(context + c),) for c in "abc"], "key bigint")
-        mass = sum(np.exp(r["logp"]) for r in quality._probabilities(table, wanted).collect())
-        assert 0.5 < mass < 1.0  # the rest is for characters never seen
-
+class PlainModel:
+    """The word model by its formulas, with dictionaries."""
+
+    def __init__(self, texts):
+        grams = Counter()
+        for text in texts:
+            words = ["<s>", "<s>", *text.split(), "</s>"]
+            grams.update(zip(words, words[1:], words[2:]))
+        self.counts = [Counter(g[1:] for g in grams), grams]
+        self.counts.insert(0, Counter(g[1:] for g in self.counts[0]))
+        self.cuts = [kneser.discounts(*(sum(n == k for n in c.values()) for k in (1, 2, 3, 4))) for c in self.counts]
+        spelled = Counter(g for (w,) in self.counts[0] if w != "</s>" for g in self.bytes(w))
+        self.spelled = [spelled]
+        for _ in range(2):
+            self.spelled.insert(0, Counter(g[1:] for g in self.spelled[0]))
+        self.spelled_cuts = [kneser.discounts(*(sum(n == k for n in c.values()) for k in (1, 2, 3, 4))) for c in self.spelled]
+
+    @staticmethod
+    def bytes(word):
+        b = [0xFF, 0xFF, *word.encode(), 0x20]
+        return list(zip(b, b[1:], b[2:]))
+
+    @staticmethod
+    def step(counts, cut, gram, lower, mixed=True):
+        followers = [n for g, n in counts.items() if g[:-1] == gram[:-1]]
+        if not followers:
+            return lower
+        rest = sum(cut[min(n, 3) - 1] for n in followers) / sum(followers)
+        n = counts.get(gram, 0)
+        kept = (n - cut[min(n, 3) - 1]) / sum(followers) if n else 0.0
+        return kept + (rest * lower if mixed or not n else 0.0)
+
+    def letters(self, word):
+        out = 1.0
+        for g in self.bytes(word):
+            p = 1 / 256
+            for i in range(3):
+                p = self.step(self.spelled[i], self.spelled_cuts[i], g[2 - i :], p)
+            out *= p
+        return out
 
-def test_key_table():
-    keys = np.random.RandomState(1).randint(1, 2**62, 5000).astype(np.uint64)
-    table = quality.KeyTable(keys, np.arange(5000, dtype=np.float32))
-    assert (table(keys[::-1]) == np.arange(5000)[::-1]).all() and (table(keys + np.uint64(1)) == 0).mean() > 0.99
+    def __call__(self, gram):
+        p = self.step(self.counts[0], self.cuts[0], gram[2:], 0.0 if gram[2] == "</s>" else self.letters(gram[2]), mixed=False)
+        for i in (1, 2):
+            p = self.step(self.counts[i], self.cuts[i], gram[2 - i :], p)
+        return p
+
+
+@pytest.mark.parametrize(("pack_words", "shard_words"), [(40, 60), (10**6, 10**6)])
+def test_kneser_ney_equals_plain_model(spark, pack_words, shard_words):
+    rng = random.Random(21)
+    words = ["ab", "abc", "ba", "été", "cab", "x", "bac,", "Cab."]
+    text = lambda n, more=(): " ".join(rng.choice([*words, *words[:2], *more]) for _ in range(n))
+    trusted = [text(rng.choice([1, 5, 30])) for _ in range(25)]
+    trusted += [trusted[0]] * 3 + [trusted[3]]  # copies count
+    probes = [text(12, ["new", "\U00010000a", "newer"]) for _ in range(20)] + [trusted[0], "   ", "new"]
+    plain = PlainModel(trusted)
+    known = [w for (w,) in plain.counts[0]]
+    for context in [("<s>", "<s>"), ("<s>", "ab"), ("ab", "abc"), ("new", "ab"), ("new", "newer"), ("x", "x")]:
+        # What is kept for unknown words: nothing of the context's own counts, so the same share of every lower order.
+        unknown = plain(("?", "?", "\u1234")) / plain.letters("\u1234")
+        for i in (1, 2):
+            unknown = plain.step(plain.counts[i], plain.cuts[i], (*context, "\u1234")[2 - i :], unknown)
+        assert sum(plain((*context, w)) for w in known) + unknown == pytest.approx(1)
+    table = [(i, i < len(trusted), hash(t) % 2**62, t) for i, t in enumerate(trusted + probes)]
+    named = spark.createDataFrame([(i, False, h, t) for i, _, h, t in table], "id bigint, learned boolean, h bigint, text string").repartition(3)
+    flagged = spark.createDataFrame(table, named.schema).repartition(2)
+    ids = spark.createDataFrame([(i,) for i in range(len(trusted))], "id bigint")
+    for got in (kneser.log_probabilities(spark, named, ids, pack_words, shard_words), kneser.log_probabilities(spark, flagged, None, pack_words, shard_words)):
+        got = {r["h"]: r["logp"] for r in got.collect()}
+        assert len(got) == len(set(trusted + probes))
+        for t in trusted + probes:
+            line = ["<s>", "<s>", *t.split(), "</s>"]
+            assert got[hash(t) % 2**62] == pytest.approx(sum(np.log(plain(g)) for g in zip(line, line[1:], line[2:])))
+
+
+def test_kneser_ney_leaves_no_data_but_the_scores(spark):
+    names = set(t.name for t in spark.catalog.listTables())
+    texts = spark.createDataFrame([(1, True, 1, "a b c"), (2, False, 2, "a b d")], "id bigint, learned boolean, h bigint, text string")
+    before = {path for path, _, _ in folders.entries(spark, f"{shared_dir(spark)}/tidemark")}
+    scores = kneser.log_probabilities(spark, texts)
+    left = {path for path, _, _ in folders.entries(spark, f"{shared_dir(spark)}/tidemark")} - before
+    assert scores.count() == 2 and [path.rsplit("/", 1)[1].split("-")[0] for path in left] == ["scores"]
+    assert set(t.name for t in spark.catalog.listTables()) == names
 
 
 def test_mixing(spark, edges, nothing):
@@ -287,7 +361,8 @@ def test_quality_knows_word_order(spark):
     got = {r["doc_id"]: r["perplexity"] for r in quality.perplexity(spark, table, spark.createDataFrame(rows(*trusted), DOCUMENT)).collect()}
     assert min(got[i] for i in got if 200 <= i < 300) > 1.5 * max(got[i] for i in got if i < 200)  # the same words and letters
     assert got[300] == pytest.approx(got[100])
-    assert quality._keys(["\U00010000"])[0].tolist() != quality._keys(["\U00011000"])[0].tolist()  # no code point stands for another
+    far = [split_words(pa.array([t])) for t in ("\U00010000", "\U00011000")]
+    assert kneser._byte_grams(far[0], np.array([0]))[0].tolist() != kneser._byte_grams(far[1], np.array([0]))[0].tolist()  # no code point stands for another
 
 
 @pytest.mark.parametrize("size", [261, 321, 530, 780, 5000])

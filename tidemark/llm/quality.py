@@ -1,14 +1,8 @@
 """Quality: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model is over words, three at a time, and its tables grow with the corpus.  Words are runs
-without white space, by 64-bit hash.  Counts of all trusted text, continuation counts and
-context totals are tables; the probability of every n-gram that any document has comes from
-joins with them.  A task sends each of its distinct n-grams once, with the texts that have it;
-they meet the probabilities in a join and are summed by text.
-
-A word that no trusted text has is spelled: its probability is that of its letters under the same
-kind of model over characters, four UTF-16 codes at a time, learned from the distinct trusted words.
-A word that is new after the word before it is as likely as its shape is after theirs.
+The model (``kneser``) is over words, three at a time, and its tables grow with the corpus.  Words are
+runs without white space.  A word that no trusted text has is spelled, byte by byte.  The probabilities
+of all words after a context, with what is kept for unknown ones, sum to one.
 
 A document is kept if its perplexity is not above a quantile of its language's trusted texts
 that the model hasn't seen.  Short texts vary more: the quantile is taken in spreads that depend
@@ -24,293 +18,32 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.kneser import log_probabilities
 from tidemark.llm.store import staged
-from tidemark.llm.words import U, Words, mix, slices, split_words
-
-ORDER, WORDS = 4, 3
-#: Words or n-grams that a task holds before it sends them on.
-TASK = 2_000_000
-#: A word's id is its hash with its shape in the last bits; the marks have shapes of their own.
-SHAPES = 32
-_START, _END = 31, 30
-
-
-def _keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram that ends at each UTF-16 code, and the row of each; the text is led in by three start marks."""
-    lead = chr(_START) * (ORDER - 1)
-    coded = [t.encode("utf-16-le", "surrogatepass") for t in texts]
-    codes = np.frombuffer(lead.encode("utf-16-le") + lead.encode("utf-16-le").join(coded), np.uint16).astype(U)
-    length = np.array([len(t) // 2 for t in coded], np.int64)
-    row = np.repeat(np.arange(len(texts)), length)
-    at = np.arange(int(length.sum())) + (ORDER - 1) * (row + 1)
-    key = codes[at]
-    for back in range(1, ORDER):
-        key = key | (codes[at - back] << U(16 * back))
-    return key, row
-
-
-def _unique_keys(batches, counted: bool):
-    """The distinct n-grams of a task's texts, in sorted stretches; with their counts."""
-    keys, counts = np.zeros(0, U), np.zeros(0, np.int64)
-    for batch in batches:
-        for part in slices(batch, "text"):
-            own, n = np.unique(_keys([t or "" for t in part.column("text").to_pylist()])[0], return_counts=True)
-            keys, place = np.unique(np.concatenate([keys, own]), return_inverse=True)
-            counts = np.bincount(place, np.concatenate([counts, n]), len(keys)).astype(np.int64)
-            if len(keys) > TASK:
-                yield _key_batch(keys, counts, counted)
-                keys, counts = np.zeros(0, U), np.zeros(0, np.int64)
-    yield _key_batch(keys, counts, counted)
-
-
-def _key_batch(keys: np.ndarray, counts: np.ndarray, counted: bool) -> pa.RecordBatch:
-    columns = [pa.array(keys.view(np.int64))] + ([pa.array(counts)] if counted else [])
-    return pa.record_batch(columns, names=["key", "n"][: len(columns)])
-
-
-def _discounts(counts: DataFrame) -> list[float]:
-    """Discounts of counts 1, 2 and more, from how many n-grams occur once to four times."""
-    found = {r["n"]: r["m"] for r in counts.filter("n <= 4").groupBy("n").agg(F.count(F.lit(1)).alias("m")).collect()}
-    n1, n2, n3, n4 = (found.get(i, 0) for i in (1, 2, 3, 4))
-    if not (n1 and n2 and n3 and n4):
-        return [0.5, 0.75, 0.9]
-    y = n1 / (n1 + 2 * n2)
-    return [min(max(i - (i + 1) * y * b / a, 0.05), i - 0.05) for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-
-
-def _low(key, order: int):
-    """The last ``order`` characters of an n-gram."""
-    return key.bitwiseAND(F.lit((1 << (16 * order)) - 1)) if order < ORDER else key
-
-
-def _probabilities(counts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(key, logp)`` for the n-grams ``wanted``, from the counts of the trusted text."""
-    levels = {ORDER: counts}
-    for order in range(ORDER - 1, 0, -1):  # continuation counts: in how many ways a shorter n-gram is preceded
-        longer = levels[order + 1]
-        levels[order] = staged(longer.groupBy(_low(F.col("key"), order).alias("key")).agg(F.count(F.lit(1)).alias("n")), "continuations")
-    letters = levels[1].count() + 1  # and one for what was never seen
-    below = None
-    for order in range(1, ORDER + 1):
-        table, cut = levels[order], _discounts(levels[order])
-        discount = F.when(F.col("n") == 1, cut[0]).when(F.col("n") == 2, cut[1]).otherwise(cut[2])
-        contexts = table.groupBy(F.shiftrightunsigned("key", 16).alias("context")).agg(
-            F.sum("n").alias("total"), (F.sum(discount) / F.sum("n")).alias("rest")
-        )
-        asked = wanted.select(_low(F.col("key"), order).alias("key")).distinct() if order < ORDER else wanted
-        own = asked.withColumn("context", F.shiftrightunsigned("key", 16)).join(table.select("key", (F.col("n") - discount).alias("kept")), "key", "left")
-        own = own.join(contexts, "context", "left")
-        if below is None:
-            lower = F.lit(1.0 / letters)
-        else:
-            own = own.withColumn("shorter", _low(F.col("key"), order - 1)).join(below.select(F.col("key").alias("shorter"), "p"), "shorter")
-            lower = F.col("p")
-        p = F.when(F.col("total").isNull(), lower).otherwise(F.coalesce("kept", F.lit(0.0)) / F.col("total") + F.col("rest") * lower)
-        below = staged(own.select("key", p.alias("p")), "probabilities")
-    return below.select("key", F.log("p").alias("logp"))
-
-
-class KeyTable:
-    """Values by 64-bit key, looked up for many keys at once: open addressing in an array four times as large."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        size = 1 << max(4, int(len(keys) * 4).bit_length())
-        self.mask, self.keys, self.values = size - 1, np.zeros(size, U), np.zeros(size, np.float32)
-        self.used = np.zeros(size, bool)
-        left, slot = np.arange(len(keys)), (mix(keys) & U(self.mask)).astype(np.int64)
-        while len(left):
-            free = ~self.used[slot]
-            self.keys[slot[free]] = keys[left[free]]
-            self.used[slot[free]] = True
-            done = self.keys[slot] == keys[left]
-            self.values[slot[done]] = values[left[done]]
-            left, slot = left[~done], (slot[~done] + 1) & self.mask
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        """Values of the keys, 0 for those not in the table."""
-        out = np.zeros(len(keys), np.float32)
-        slot = (mix(keys) & U(self.mask)).astype(np.int64)
-        same = self.keys[slot] == keys
-        same &= self.used[slot]
-        out[same] = self.values[slot[same]]
-        left = np.flatnonzero(~same & self.used[slot])
-        slot = slot[left]
-        while len(left):
-            slot = (slot + 1) & self.mask
-            used = self.used[slot]
-            same = used & (self.keys[slot] == keys[left])
-            out[left[same]] = self.values[slot[same]]
-            left, slot = left[used & ~same], slot[used & ~same]
-        return out
-
 
-def _spelled(words: DataFrame, known: DataFrame) -> DataFrame:
-    """``(w3, spelled)``: log probability of each of ``words (w, s)``, letter by letter, learned from the words ``known``."""
-    ended = lambda table: table.select(F.concat("s", F.lit(" ")).alias("text"))
-    counts = ended(known).mapInArrow(lambda b: _unique_keys(b, True), "key bigint, n bigint")
-    counts = staged(counts.groupBy("key").agg(F.sum("n").alias("n")), "letters")
 
-    def letters(batches):
-        for batch in batches:
-            key, row = _keys([f"{s} " for s in batch.column("s").to_pylist()])
-            w = np.asarray(batch.column("w"))[row]
-            yield pa.record_batch([pa.array(w), pa.array(key.view(np.int64))], names=["w", "key"])
+def perplexity(spark: SparkSession, docs: DataFrame, trusted: DataFrame, text: str = "text", key: str | None = None) -> DataFrame:
+    """``docs`` with ``perplexity`` per character, under the model of the texts ``trusted``, and ``n_chars``.
 
-    used = staged(words.mapInArrow(letters, "w bigint, key bigint").groupBy("w", "key").agg(F.count(F.lit(1)).alias("n")), "spellings")
-    table = _probabilities(counts, used.select("key").distinct())
-    return used.join(table, "key").groupBy(F.col("w").alias("w3")).agg(F.sum(F.col("n") * F.col("logp")).alias("spelled"))
-
-
-def _ids(words: Words) -> np.ndarray:
-    """Hashes with the shape in the last bits: how a word begins (small, capital, capitals, other) and ends (letter, stop, comma, other)."""
-    first, last = words.data[words.start], words.data[words.end - 1]
-    follow = words.data[np.minimum(words.start + 1, words.end - 1)]
-    large = lambda b: (b >= 65) & (b <= 90)
-    small = lambda b: (b >= 97) & (b <= 122) | (b >= 128)
-    accented = (first == 0xC3) & (follow >= 0x80) & (follow <= 0x9E)
-    follow = np.where(accented, words.data[np.minimum(words.start + 2, words.end - 1)], follow)
-    begin = np.select([(large(first) | accented) & large(follow), large(first) | accented, small(first)], [2, 1, 0], 3)
-    end = np.select([large(last) | small(last), np.isin(last, list(b".!?")), np.isin(last, list(b",;:"))], [0, 1, 2], 3)
-    return words.hash & ~U(SHAPES - 1) | (begin * 4 + end).astype(U)
-
-
-def _marked(words: Words) -> tuple[np.ndarray, ...]:
-    """Every word and every text's end, with the two words before it and its row; start marks lead a text in."""
-    rows = np.arange(len(words.first) - 1)
-    sequence = np.full(len(words.hash) + 3 * len(rows), U(_START))
-    place = np.arange(len(words.hash)) + 3 * words.row + 2
-    ends = words.first[1:] + 3 * rows + 2
-    sequence[place], sequence[ends] = _ids(words), U(_END)
-    at = np.concatenate([place, ends])
-    return sequence[at - 2], sequence[at - 1], sequence[at], np.concatenate([words.row, rows])
-
-
-def _grouped(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    """One row for each distinct n-gram: its count, and the texts that have it with the count of each."""
-    first, second, third, text = (np.concatenate(x) for x in zip(*parts, strict=True))
-    key = mix(mix(mix(first) + second) + third)
-    order = np.lexsort((text, key))
-    key, text = key[order], text[order]
-    new = np.concatenate([[True], (key[1:] != key[:-1]) | (text[1:] != text[:-1])])
-    pair = np.flatnonzero(new)
-    counts = np.diff(np.append(pair, len(key)))
-    start = np.flatnonzero(np.concatenate([[True], key[pair][1:] != key[pair][:-1]]))
-    edges = pa.array(np.append(start, len(pair)).astype(np.int32))
-    own = order[pair[start]]
-    lists = [pa.ListArray.from_arrays(edges, pa.array(x)) for x in (text[pair], counts.astype(np.int32))]
-    columns = [pa.array(x[own].view(np.int64)) for x in (first, second, third)]
-    return pa.record_batch([*columns, pa.array(np.add.reduceat(counts, start)), *lists], names=["w1", "w2", "w3", "n", "texts", "counts"])
-
-
-_USES = "w1 bigint, w2 bigint, w3 bigint, n bigint, texts array<bigint>, counts array<int>"
-
-
-def _uses(batches, once: bool):
-    """The distinct n-grams of a task's texts ``(h, text)``; ``once`` leaves out what the task has had already."""
-    seen: set[int] = set()
-    parts, size = [], 0
-    for batch in batches:
-        if once:
-            keep = [not (h in seen or seen.add(h)) for h in batch.column("h").to_pylist()]
-            batch = batch.filter(pa.array(keep, pa.bool_()))
-        for part in slices(batch, "text"):
-            first, second, third, row = _marked(split_words(part.column("text")))
-            parts.append((first, second, third, np.asarray(part.column("h"))[row]))
-            size += len(row)
-            if size > TASK:
-                yield _grouped(parts)
-                parts, size = [], 0
-    if parts:
-        yield _grouped(parts)
-
-
-def _vocabulary(batches):
-    """The distinct words of a task's texts with their spelling."""
-    seen: set[int] = set()
-    for batch in batches:
-        for part in slices(batch, "text"):
-            words = split_words(part.column("text"))
-            found, at = np.unique(_ids(words).view(np.int64), return_index=True)
-            new = [i for i, w in enumerate(found.tolist()) if w not in seen]
-            spelled = [words.data[words.start[i] : words.end[i]].tobytes().decode(errors="replace") for i in at[new].tolist()]
-            seen.update(found[new].tolist())
-            if len(seen) > TASK:
-                seen.clear()
-            yield pa.record_batch([pa.array(found[new]), pa.array(spelled, pa.string())], names=["w", "s"])
-
-
-def _shapes(counts: DataFrame) -> DataFrame:
-    """``(s1, s2, s3, shift)``: how much likelier a shape is after two others than anywhere, as a logarithm; a bounded table."""
-    shape = [F.col(f"w{i}").bitwiseAND(F.lit(SHAPES - 1)).cast("int").alias(f"s{i}") for i in (1, 2, 3)]
-    seen = {(r["s1"], r["s2"], r["s3"]): r["n"] for r in counts.groupBy(*shape).agg(F.sum("n").alias("n")).collect()}
-    kinds = range(SHAPES)
-    alone, pairs = dict.fromkeys(kinds, 1), {}
-    for (s1, s2, s3), n in seen.items():
-        alone[s3] += n
-        pairs[s1, s2] = pairs.get((s1, s2), 0) + n
-    total = sum(alone.values())
-    rows = [(s1, s2, s3, math.log((seen.get((s1, s2, s3), 0) + alone[s3] / total) / (n + 1) / (alone[s3] / total)))
-            for (s1, s2), n in pairs.items() for s3 in kinds]
-    return counts.sparkSession.createDataFrame(rows, "s1 int, s2 int, s3 int, shift double")
-
-
-def _word_probabilities(counts: DataFrame, asked: DataFrame, spelled: DataFrame) -> DataFrame:
-    """``(w1, w2, w3, logp)`` of the n-grams ``asked``; a word that was never counted has its ``spelled`` probability."""
-    names = [f"w{i}" for i in range(1, WORDS + 1)]
-    levels = {WORDS: counts}
-    for order in range(WORDS - 1, 0, -1):
-        levels[order] = staged(levels[order + 1].groupBy(*names[-order:]).agg(F.count(F.lit(1)).alias("n")), "continuations")
-    below = None
-    for order in range(1, WORDS + 1):
-        own, cut = names[-order:], _discounts(levels[order])
-        discount = F.when(F.col("n") == 1, cut[0]).when(F.col("n") == 2, cut[1]).otherwise(cut[2])
-        table = levels[order].select(*own, (F.col("n") - discount).alias("kept"))
-        of_context = [F.sum("n").alias("total"), (F.sum(discount) / F.sum("n")).alias("rest")]
-        wanted = (asked.select(*own).distinct() if order < WORDS else asked).join(table, own, "left")
-        if below is None:
-            all_words = levels[1].agg(*of_context).first()
-            lower = F.coalesce("spelled", F.lit(0.0))
-            total, rest = (F.lit(all_words[c]).cast("double") for c in ("total", "rest"))
-            wanted = wanted.join(spelled, "w3", "left")
-            seen = F.col("kept") / total
-        else:
-            wanted = wanted.join(levels[order].groupBy(*own[:-1]).agg(*of_context), own[:-1], "left").join(below, own[1:])
-            lower, total, rest = (F.col(c) for c in ("lower", "total", "rest"))
-            seen = F.col("kept") / total + rest * F.exp("lower")
-        logp = F.when(total.isNull(), lower).when(F.col("kept").isNull(), F.log(rest) + lower).otherwise(F.log(seen))
-        alone = F.lit(True) if below is None else F.col("alone") & F.col("kept").isNull()
-        below = staged(wanted.select(*own, logp.alias("lower"), alone.alias("alone")), "probabilities")
-    # A word that was never seen after the word before it: as likely as its shape is there.
-    shape = [F.col(f"w{i}").bitwiseAND(F.lit(SHAPES - 1)).cast("int").alias(f"s{i}") for i in (1, 2, 3)]
-    shaped = below.select("*", *shape).join(F.broadcast(_shapes(counts)), ["s1", "s2", "s3"], "left")
-    return shaped.select(*names, (F.col("lower") + F.when(F.col("alone"), F.coalesce("shift", F.lit(0.0))).otherwise(0.0)).alias("logp"))
+    With ``key``, ``trusted`` names documents by that column and needs no text; their texts are read once and not shuffled.
+    """
+    body = F.col(f"`{text}`")
 
+    def texts(table: DataFrame, learned: bool) -> DataFrame:
+        own = F.col(f"`{key}`").cast("long") if key else F.lit(None).cast("long")
+        return table.filter(F.length(body) > 0).select(own.alias("id"), F.lit(learned).alias("learned"), F.xxhash64(body).alias("h"), body.alias("text"))
 
-def perplexity(spark: SparkSession, docs: DataFrame, trusted: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``perplexity`` per character, under the model of the texts ``trusted``, and ``n_chars``."""
-    body = F.col(f"`{text}`")
-    texts = lambda table: table.filter(F.length(body) > 0).select(F.xxhash64(body).alias("h"), body.alias("text"))
-    spellings = lambda table: table.select("text").mapInArrow(_vocabulary, "w bigint, s string").groupBy("w").agg(F.min("s").alias("s"))
-    learned, judged = texts(trusted), texts(docs)
-    counts = learned.mapInArrow(lambda b: _uses(b, False), _USES).groupBy("w1", "w2", "w3").agg(F.sum("n").alias("n"))
-    counts, known = staged(counts, "counts"), staged(spellings(learned), "vocabulary")
-    uses = staged(judged.mapInArrow(lambda b: _uses(b, True), _USES).drop("n"), "uses")
-    unknown = spellings(judged).join(known, "w", "left_anti")
-    table = _word_probabilities(counts, uses.select("w1", "w2", "w3").distinct(), _spelled(unknown, known))
-    # A text that several tasks have is there as often as its end.
-    each = uses.join(table, ["w1", "w2", "w3"]).select("w3", "logp", F.explode(F.arrays_zip("texts", "counts")).alias("use"))
-    sums = each.groupBy(F.col("use.texts").alias("_h")).agg(
-        (F.sum(F.col("logp") * F.col("use.counts")) / F.sum((F.col("w3") == _END).cast("int"))).alias("_logp")
-    )
+    if key:
+        sums = log_probabilities(spark, texts(docs, False), trusted.select(F.col(f"`{key}`").cast("long").alias("id")))
+    else:
+        sums = log_probabilities(spark, texts(docs, False).unionAll(texts(trusted, True)))
     names = [c for c in docs.columns if c not in ("perplexity", "n_chars", "_logp", "_h", "_size")]
     size = F.length(F.translate(body, " \t\n\r\v\f", "")) + 1
     out = docs.select(*[F.col(f"`{c}`") for c in names], F.length(body).alias("n_chars"), F.xxhash64(body).alias("_own"), size.alias("_size"))
-    out = out.join(sums, F.col("_own") == F.col("_h"), "left")
+    out = out.join(sums.toDF("_h", "_logp"), F.col("_own") == F.col("_h"), "left")
     measured = F.when(F.col("n_chars") > 0, F.exp(-F.col("_logp") / F.col("_size")))
     return out.select(*[F.col(f"`{c}`") for c in names], "n_chars", measured.alias("perplexity"))
 

@@ -117,9 +117,8 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     trusted = table(spark, sf_dir, "labels").filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    # The list of trusted texts grows with the corpus: the same sort-merge join at every size.
-    learned = docs.join(trusted.filter(training_fold() & ~calibration()).hint("merge"), "doc_id", "left_semi")
-    scored = staged(quality.perplexity(spark, docs, learned).select("doc_id", "lang", "perplexity", "n_chars"), "scored")
+    learned = trusted.filter(training_fold() & ~calibration())
+    scored = staged(quality.perplexity(spark, docs, learned, key="doc_id").select("doc_id", "lang", "perplexity", "n_chars"), "scored")
     judged = quality.judge(scored, trusted.filter(calibration()), size="n_chars")
     return judged.select("doc_id", "perplexity", "highest", "kept")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import new_run_dir, ship_package
+from tidemark.sources import folders
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove what :func:`staged` wrote, once nothing reads it any more."""
+    for folder in {path.rsplit("/", 2)[0] for path in df.inputFiles()}:
+        folders.delete(df.sparkSession, folder)
+
+
 def smallest_by_hash(df: DataFrame, n: int, *keys: str, seed: int = 0) -> DataFrame:
     """At most ``n`` rows, picked alike in every run: those whose keys hash lowest, in that order."""
     order = F.xxhash64(F.lit(seed), *keys)
