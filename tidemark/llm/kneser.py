@@ -15,7 +15,7 @@ distinct trusted words, three at a time; that table has at most 2^24 rows and is
 With the answers a pack computes the probability of each of its words, and sums them by text.
 
 So a key with a third of all words costs one entry for each pack.  The hash space is worked off in
-``ROUNDS`` parts one after another, and what was asked is removed before the next part, which bounds the disk.
+parts (``ROUNDS``) one after another, and what was asked is removed before the next part, which bounds the disk.
 N-grams are known by 56 bits of a hash, words by 64.
 """
 
@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +38,12 @@ from tidemark.sources import folders
 
 #: Words of a pack, and words of the corpus for each shard of the hash space.
 PACK_WORDS, SHARD_WORDS = 1_500_000, 4_000_000
-KEY_BITS, ROUNDS = 56, 2
+KEY_BITS = 56
 _MARKS = np.array([0x5354415254, 0x454E44], U)  # what stands before a text, twice, and after it
 _PAD, _STOP = 0xFF, 0x20  # before and after a spelled word
 TRUSTED, WORD, PAIR, TRIGRAM = 0, 1, 2, 3
+#: In how many parts, one after another, the hash space is worked off.
+ROUNDS = {WORD: 1, PAIR: 2, TRIGRAM: 2}
 
 _PACK = "pack bigint, ids array<bigint>, of array<int>, learned array<boolean>, texts array<bigint>, sizes array<int>, tokens binary, words binary"
 _QUESTION = "pack bigint, shard int, keys binary, parts binary"
@@ -114,8 +115,8 @@ class Pack:
         self.row, self.shards = row, shards
         self.answers = {(a["level"], a["shard"]): a for a in answers}
         self.spelling = split_words(pa.array([zstandard.decompress(row["words"])], pa.binary()).cast(pa.large_binary()).cast(pa.large_string(), safe=False))
-        self.words = np.concatenate([self.spelling.hash, _MARKS])
-        self.kinds = len(self.words)
+        self.words = np.concatenate([self.spelling.hash, _MARKS])  # rising but for the marks
+        self.by_hash, self.kinds = np.argsort(self.words, kind="stable"), len(self.words)
 
     def learned(self) -> np.ndarray:
         """How many trusted documents have each text."""
@@ -138,39 +139,35 @@ class Pack:
         return out, at, text
 
     def pairs(self, sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct pairs: first and second word, hash; and which pair begins at each place."""
-        codes, rank = np.unique(sequence[:-1] * self.kinds + sequence[1:], return_inverse=True)
-        first, second = codes // self.kinds, codes % self.kinds
-        return first, second, mix(mix(self.words[first], 1) + self.words[second], 2), rank
+        """Distinct pairs: first and second word, hash, in the order of the hashes; and which pair begins at each place."""
+        keys, at, rank = _distinct(mix(mix(self.words, 1)[sequence[:-1]] + self.words[sequence[1:]], 2))
+        return sequence[at], sequence[at + 1], keys, rank
 
     def trigrams(self):
         """``(pairs, context, ending, last, hash, which, text)``: of distinct trigrams the pairs they begin and end with, and which each place has."""
         sequence, at, text = self.sequence()
         pairs = self.pairs(sequence)
         context, last = pairs[3][at - 2], sequence[at]
-        codes, index, which = np.unique(context * self.kinds + last, return_index=True, return_inverse=True)
-        context, last = codes // self.kinds, codes % self.kinds
-        return pairs, context, pairs[3][at - 1][index], last, mix(pairs[2][context] + self.words[last], 3), which, text
+        keys, index, which = _distinct(mix(pairs[2][context] + self.words[last], 3))
+        return pairs, context[index], pairs[3][at[index] - 1], last[index], keys, which, text
 
     def answer(self, level: int, keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-        """The sums for each key, a row for each part, and whether this pack owns the key."""
-        order, cuts = _dealt(keys, self.shards)
-        found = np.zeros((parts + 1, len(keys)), np.int64)
-        for shard in range(self.shards):
-            if cuts[shard + 1] > cuts[shard]:
-                own = order[cuts[shard] : cuts[shard + 1]]
-                found[:, own] = _unpacked(self.answers[level, shard]["data"], np.int64).reshape(parts + 1, -1)
+        """The sums for each of the rising ``keys``, a row for each part, and whether this pack owns the key."""
+        cuts = _dealt(keys, self.shards)
+        found = [np.zeros((parts + 1, 0), np.int64)]
+        for shard in np.flatnonzero(np.diff(cuts)).tolist():
+            found.append(_unpacked(self.answers[level, shard]["data"], np.int64).reshape(parts + 1, -1))
+        found = np.concatenate(found, 1)
         return found[:parts], found[parts] == 1
 
     def ask(self, keys: np.ndarray, parts: list[np.ndarray], part_of: tuple[int, int]) -> pa.Table:
-        """Questions to the shards of a part of the hash space."""
-        order, cuts = _dealt(keys, self.shards)
-        small, values = (keys >> U(64 - KEY_BITS))[order], np.stack(parts).astype(np.int64)[:, order]
-        rows = []
-        for shard in range(*part_of):
+        """Questions about the rising ``keys`` to the shards of a part of the hash space."""
+        cuts = _dealt(keys, self.shards)
+        small, rows = keys >> U(64 - KEY_BITS), []
+        for shard in (part_of[0] + np.flatnonzero(np.diff(cuts[part_of[0] : part_of[1] + 1]))).tolist():
             own = slice(cuts[shard], cuts[shard + 1])
-            if cuts[shard + 1] > cuts[shard]:
-                rows.append((self.row["pack"], shard, _packed(np.diff(small[own], prepend=U(0))), _packed(values[:, own])))
+            values = np.stack([p[own] for p in parts]).astype(np.int64)
+            rows.append((self.row["pack"], shard, _packed(np.diff(small[own], prepend=U(0))), _packed(values)))
         columns = list(zip(*rows, strict=True)) or [()] * 4
         kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["pack", "shard", "keys", "parts"])
@@ -187,11 +184,19 @@ class Pack:
     def ask_words(self, part_of: tuple[int, int]) -> pa.Table:
         first, second, keys, _ = self.pairs(self.sequence()[0])
         before, owned = self.answer(PAIR, keys, 5)
-        return self.ask(mix(self.words, 4), _of_contexts(before[4] * owned, first, second, self.kinds), part_of)
+        parts = _of_contexts(before[4] * owned, first, second, self.kinds)
+        return self.ask(self.words[self.by_hash], [p[self.by_hash] for p in parts], part_of)
+
+    def answer_words(self) -> tuple[np.ndarray, np.ndarray]:
+        """The answers on words, in the order of ``words``."""
+        found, owned = self.answer(WORD, self.words[self.by_hash], 5)
+        back = np.empty_like(self.by_hash)
+        back[self.by_hash] = np.arange(self.kinds)
+        return found[:, back], owned[back]
 
     def spellings(self) -> pa.Table:
         """Byte trigrams of the trusted words that the pack owns."""
-        before, owned = self.answer(WORD, mix(self.words, 4), 5)
+        before, owned = self.answer_words()
         keys, _ = _byte_grams(self.spelling, np.flatnonzero((before[4] > 0)[:-2] & owned[:-2]))
         keys, n = np.unique(keys, return_counts=True)
         return pa.table({"key": pa.array(keys, pa.int64()), "n": pa.array(n, pa.int64())})
@@ -201,14 +206,15 @@ class Pack:
         pairs, context, ending, last, keys, which, text = self.trigrams()
         (count,), _ = self.answer(TRIGRAM, keys, 1)
         of_pair, _ = self.answer(PAIR, pairs[2], 5)
-        of_word, _ = self.answer(WORD, mix(self.words, 4), 5)
+        of_word, _ = self.answer_words()
         cuts = {level: discounts(*tallies[level][:4]) for level in (WORD, PAIR, TRIGRAM)}
         one, two, _, _, kinds, total = tallies[WORD]
         everywhere = np.array([total, one, two, kinds - one - two])[:, None]
         below = np.zeros(self.kinds)
         unknown = np.flatnonzero(of_word[4][:-2] == 0)
         grams, word = _byte_grams(self.spelling, unknown)
-        below[unknown] = np.bincount(word, spelled(grams), len(unknown))
+        distinct, _, gram = _distinct(grams)
+        below[unknown] = np.bincount(word, spelled(distinct)[gram], len(unknown))
         below = _interpolated(of_word[4], np.broadcast_to(everywhere, (4, self.kinds)), cuts[WORD], below, mixed=False)
         below = _interpolated(of_pair[4], of_word[:4, pairs[0]], cuts[PAIR], below[pairs[1]])
         logp = _interpolated(count, of_pair[:4, context], cuts[TRIGRAM], below[ending])
@@ -216,11 +222,21 @@ class Pack:
         return pa.table({"h": pa.array(self.row["texts"], pa.int64()), "logp": pa.array(sums, pa.float64())})
 
 
-def _dealt(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order of the keys, and where each shard's stretch of it begins and ends."""
-    order = np.argsort(keys, kind="stable")
-    edges = np.array([(i << 64) // shards >> (64 - KEY_BITS) for i in range(shards)], U) << U(64 - KEY_BITS)
-    return order, np.append(np.searchsorted(keys[order], edges), len(keys))
+def _dealt(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Where each shard's stretch of rising keys begins and ends."""
+    edges = np.array([(i << KEY_BITS) // shards for i in range(shards)], U) << U(64 - KEY_BITS)
+    return np.append(np.searchsorted(keys, edges), len(keys))
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, rising; a place of each; and which of them every place has."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    rank = np.empty(len(keys), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], rank
 
 
 def _of_contexts(count: np.ndarray, context: np.ndarray, ending: np.ndarray, n: int) -> list[np.ndarray]:
@@ -313,37 +329,38 @@ def _answers(level: int, parts: int):
     return answer
 
 
-def _released(spark: SparkSession, run: Callable):
-    """``run()`` with the files of its exchanges removed as soon as it has ended."""
+def log_probabilities(spark: SparkSession, texts: DataFrame, trusted: DataFrame | None = None, pack_words: int = PACK_WORDS,
+                      shard_words: int = SHARD_WORDS) -> DataFrame:
+    """``(h, logp)`` for each distinct text of ``texts (id, learned, h, text)``.
+
+    The model learns from rows with ``learned`` and from those whose id is in ``trusted (id)``.
+    The files of an exchange are removed as soon as its step has ended.
+    """
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(name, "false")
     spark.conf.set(name, "true")
     try:
-        return run()
+        return _log_probabilities(spark, texts, trusted, pack_words, shard_words)
     finally:
         spark.conf.set(name, before)
 
 
-def log_probabilities(spark: SparkSession, texts: DataFrame, trusted: DataFrame | None = None, pack_words: int = PACK_WORDS,
-                      shard_words: int = SHARD_WORDS) -> DataFrame:
-    """``(h, logp)`` for each distinct text of ``texts (id, learned, h, text)``.
-
-    The model learns from rows with ``learned`` and from those whose id is in ``trusted (id)``.
-    """
+def _log_probabilities(spark: SparkSession, texts: DataFrame, trusted: DataFrame | None, pack_words: int, shard_words: int) -> DataFrame:
     name, path = f"packs_{uuid.uuid4().hex}", f"{new_run_dir(spark, 'packs')}/t"
     buckets = min(100_000, int(spark.conf.get("spark.sql.shuffle.partitions")))
     written = texts.mapInArrow(lambda b: _packs(b, pack_words), _PACK).write.option("compression", "zstd")
-    _released(spark, lambda: written.bucketBy(buckets, "pack").option("path", path).saveAsTable(name))
+    written.bucketBy(buckets, "pack").option("path", path).saveAsTable(name)
     packs = spark.table(name)
     total = packs.select(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x).alias("n")).agg(F.sum("n")).first()[0] or 0
-    shards = ROUNDS * max(1, math.ceil(total / shard_words / ROUNDS))
+    rounds = max(ROUNDS.values())
+    shards = rounds * max(1, math.ceil(total / shard_words / rounds))
     known = {}
     if trusted is not None:
         rows = packs.select("pack", F.posexplode("ids").alias("at", "id")).join(trusted.select("id").distinct().hint("merge"), "id")
         nothing = [F.lit(None).cast(t).alias(c) for c, t in (("data", "binary"), ("tally", "array<bigint>"))]
         places = rows.groupBy("pack").agg(F.collect_list("at").alias("places"))
         places = places.select("pack", F.lit(TRUSTED).alias("level"), F.lit(0).alias("shard"), nothing[0], "places", nothing[1])
-        known[TRUSTED] = [_released(spark, lambda: staged(places, "trusted"))]
+        known[TRUSTED] = [staged(places, "trusted")]
 
     def each(run, schema: str, *levels: int) -> DataFrame:
         """``run`` of every pack that knows the answers of these levels."""
@@ -361,21 +378,23 @@ def log_probabilities(spark: SparkSession, texts: DataFrame, trusted: DataFrame
     tallies = {}
     for level, question, parts, needs in steps:
         known[level] = []
-        for part in range(ROUNDS):
-            part_of = (shards * part // ROUNDS, shards * (part + 1) // ROUNDS)
+        for part in range(ROUNDS[level]):
+            part_of = (shards * part // ROUNDS[level], shards * (part + 1) // ROUNDS[level])
             asked = each(lambda pack, q=question, p=part_of: q(pack, p), _QUESTION, *needs)
             answers = asked.groupBy("shard").applyInArrow(_answers(level, parts), _ANSWER)
-            known[level].append(_released(spark, lambda df=answers: staged(df, "answers")))
+            known[level].append(staged(answers, "answers"))
         tally = known[level][0]
         for more in known[level][1:]:
             tally = tally.unionAll(more)
         found = tally.agg(*[F.sum(F.col("tally")[i]) for i in range(6)]).first()
         tallies[level] = [int(x or 0) for x in found]
+        for df in known.pop(TRUSTED, []):
+            discard(df)
     letters = each(lambda pack: pack.spellings(), "key bigint, n bigint", WORD).groupBy("key").agg(F.sum("n").alias("n"))
-    letters = _released(spark, letters.toPandas)  # at most 2^24 rows
+    letters = letters.toPandas()  # at most 2^24 rows
     spelled = Spelling(letters["key"].to_numpy(np.int64), letters["n"].to_numpy(np.int64))
     scores = each(lambda pack: pack.scores(tallies, spelled), "h bigint, logp double", WORD, PAIR, TRIGRAM)
-    scores = _released(spark, lambda: staged(scores.groupBy("h").agg(F.min("logp").alias("logp")), "scores"))
+    scores = staged(scores.groupBy("h").agg(F.min("logp").alias("logp")), "scores")
     for df in [df for level in known.values() for df in level]:
         discard(df)
     spark.sql(f"DROP TABLE {name}")
