@@ -37,7 +37,7 @@ from tidemark.session import new_run_dir
 from tidemark.sources import folders
 
 #: Words of a pack, and words of the corpus for each shard of the hash space.
-PACK_WORDS, SHARD_WORDS = 1_500_000, 4_000_000
+PACK_WORDS, SHARD_WORDS = 1_500_000, 2_000_000
 KEY_BITS = 56
 _MARKS = np.array([0x5354415254, 0x454E44], U)  # what stands before a text, twice, and after it
 _PAD, _STOP = 0xFF, 0x20  # before and after a spelled word
@@ -311,17 +311,18 @@ def _answers(level: int, parts: int):
         sent = [np.cumsum(_unpacked(r["keys"], U), dtype=U) for r in rows]
         cuts = np.cumsum([0] + [len(s) for s in sent])
         _, first, place = np.unique(np.concatenate(sent), return_index=True, return_inverse=True)
-        values = np.concatenate([_unpacked(r["parts"], np.int64).reshape(parts, -1) for r in rows], 1)
-        sums = np.stack([np.bincount(place, v, len(first)) for v in values]).astype(np.int64)
+        sums = np.zeros((parts, len(first)), np.int64)
+        for row, a, b in zip(rows, cuts, cuts[1:]):
+            for part, values in zip(sums, _unpacked(row["parts"], np.int64).reshape(parts, -1)):
+                np.add.at(part, place[a:b], values)
         owner = np.zeros(len(place), np.int64)
         owner[first] = sums[-1] > 0
-        out = np.concatenate([sums[:, place], owner[None]])
         n = sums[-1]
         tally = [int((n == k).sum()) for k in (1, 2, 3, 4)] + [int((n > 0).sum()), int(n.sum())]
         full = [None] * (len(rows) - 1)
         columns = [
             pa.array([r["pack"] for r in rows], pa.int64()), pa.array([level] * len(rows), pa.int32()), pa.array([r["shard"] for r in rows], pa.int32()),
-            pa.array([_packed(np.ascontiguousarray(out[:, a:b])) for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            pa.array([_packed(np.vstack([sums[:, place[a:b]], owner[a:b]])) for a, b in zip(cuts, cuts[1:])], pa.binary()),
             pa.array([None, *full], pa.list_(pa.int32())), pa.array([tally, *full], pa.list_(pa.int64())),
         ]
         return pa.table(columns, names=["pack", "level", "shard", "data", "places", "tally"])
