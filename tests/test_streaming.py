@@ -9,9 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.bindings import live
 from tidemark.operators.text import word_count
 from tidemark.session import new_run_dir, shared_dir
 from tidemark.sinks.publish import FileTarget
+from tidemark.sources import folders
 from tidemark.sources.files import tail_activity, tail_lines, tail_table
 from tidemark.streaming import once, records, writers
 
@@ -226,3 +228,19 @@ def test_every_event_is_appended_once(spark, tmp_path):
     drop(folder, "4", line(4, "PushEvent", at(4)), line(5, "PushEvent", at(20)), line(4, "PushEvent", at(4)), line(6, "PushEvent", "no time"))
     assert round_() == ["1", "2", "3", "4", "5", "6"]
 
+
+
+def test_batches_of_the_once_query_are_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    """A batch has a file for each task that has rendered rows of it, and its span is found without a shuffle of its rows."""
+    rows = spark.range(400).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id as int)) as ts", "id % 7 as user_id",
+        "'view' as event_type", "1.0d as value", "'{\"k\": 1}' as props")
+    rows.repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(live, "new_run_dir", lambda s, label: f"{tmp_path}/run")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 27))
+    try:
+        got = live.stream_dedupe(spark, str(tmp_path))
+        assert sorted(r["id"] for r in got.select("id").collect()) == list(range(400))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len([f for f, _ in folders.tree(spark, f"{tmp_path}/run/in") if f.endswith(".parquet")]) > 5

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.bindings import views as V
 from tidemark.operators.text import word_count
 from tidemark.session import new_run_dir
+from tidemark.sources import folders
 from tidemark.sources.files import tail_table
 from tidemark.streaming import once, records, writers
 
@@ -67,11 +70,15 @@ def stream_dedupe(s: SparkSession, d: str) -> DataFrame:
     """Events that come in many batches, many of them twice and half of them days late: every one is appended once."""
     path = new_run_dir(s, "stream-once")
     activity = V.view(s, d, "activity")
-    parts = activity.withColumn("part", F.pmod(F.dayofmonth("ts"), F.lit(3)))
-    parts.unionAll(activity.withColumn("part", F.pmod(F.col("id"), F.lit(2)) + 3)).repartition("part").write.partitionBy("part").parquet(f"{path}/in")
+    days, ids = F.coalesce(F.pmod(F.dayofmonth("ts"), F.lit(3)), F.lit(0)), F.coalesce(F.pmod(F.col("id"), F.lit(2)), F.lit(0))
+    parts = [days == i for i in range(3)] + [ids == i for i in range(2)]
+    # One part after the other, which is the order of the batches; a part has a file for each task that has rows of it.
+    for part in parts:
+        activity.where(part).write.mode("append").parquet(f"{path}/in")
+    files = max(1, math.ceil(len(folders.tree(s, f"{path}/in")) / len(parts)))
 
     def source() -> DataFrame:
-        return s.readStream.schema(activity.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+        return s.readStream.schema(activity.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/in")
 
     for _ in range(2):
         once.append_once(source, f"{path}/out", f"{path}/checkpoint")

@@ -38,11 +38,11 @@ def append_once(source: Callable[[], DataFrame], path: str, checkpoint: str, key
 
     def only_new(batch: DataFrame, batch_id: int) -> DataFrame:
         old = F.col(time).isNull() if bound is None else F.col(time).isNull() | (F.col(time) < F.lit(bound))
-        late = batch.where(old).dropDuplicates([key])
+        late = batch.where(old)
         span = late.agg(F.min(time).alias("low"), F.max(time).alias("high")).first()
         inside = F.col(time).isNull() if span["low"] is None else F.col(time).isNull() | F.col(time).between(F.lit(span["low"]), F.lit(span["high"]))
         stored = _rows(spark, path, ON_TIME, schema).unionByName(_rows(spark, path, LATE, schema, batch_id)).where(inside)
-        return late.join(stored.select(key), key, "left_anti").select(*schema.names)
+        return late.dropDuplicates([key]).join(stored.select(key), key, "left_anti").select(*schema.names)
 
     late = source().where(F.col(key).isNotNull())
     write_batches(late, f"{path}/{LATE}", f"{checkpoint}/{LATE}", each_numbered=only_new).awaitTermination()
