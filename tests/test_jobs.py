@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import __main__ as command
+from tidemark.bindings import views
 from tidemark.operators.dedupe import new_events
 from tidemark.plans import jobs
 from tidemark.operators.ledger import archive_states
@@ -20,6 +21,7 @@ from tidemark.plans.jobs import (
 from tidemark.operators.events import recent
 from tidemark.plans.results import JOBS, RESULTS
 from tidemark.sinks.publish import CatalogTarget, FileTarget, publish, stored_rows
+from tidemark.schemas import RAW_EVENT
 from tidemark.session import shared_dir
 from tidemark.sources import folders
 from tidemark.sources.files import parse_lines, tail_lines
@@ -371,3 +373,15 @@ def test_command_line_rounds(spark, tmp_path, monkeypatch):
     assert [r["hour"][11:13] for r in spark.read.json(str(tmp_path / "missing")).collect()] == ["07", "06"]
     assert spark.table("results.userEvents").agg(F.sum("activity_cnt")).first()[0] == 4
     assert spark.read.parquet(str(tmp_path / "out" / "eventCount")).first()["pushEventCount"] == 4
+
+
+def test_time_of_a_record_is_parsed_once(spark):
+    """Five columns have it; the dates of an issue are two more, each with one search for an offset."""
+    plan = jobs._parsed(spark.createDataFrame([], RAW_EVENT))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("RLIKE") == 3
+
+
+def test_rendered_rows_have_tasks_for_every_core(spark, monkeypatch):
+    monkeypatch.setattr(views, "FIXTURE_PARTITIONS", 1)
+    tasks = views.dealt(spark.range(1000)).rdd.getNumPartitions()
+    assert tasks == 3 * spark.sparkContext.defaultParallelism

@@ -129,12 +129,14 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 #: The provided tables are a file of one row group each, so one task would read, render and parse
-#: them.  The views that render documents deal their rows out first, always over so many tasks.
+#: them.  The views that render documents deal their rows out first, over so many tasks at least.
 FIXTURE_PARTITIONS = 16
+#: On more cores, tasks for each of them: with hardly more tasks than cores, most cores would wait for the last ones.
+TASKS_PER_CORE = 3
 
 
 def dealt(df: DataFrame) -> DataFrame:
-    return df.repartition(FIXTURE_PARTITIONS)
+    return df.repartition(max(FIXTURE_PARTITIONS, TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism))
 
 
 def ctes(*names: str, **more: str) -> str:

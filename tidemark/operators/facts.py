@@ -65,9 +65,9 @@ def is_fact() -> Column:
     return F.col("type").isin(list(FACT_TYPES))
 
 
-def fact_columns() -> list[Column]:
-    """Columns of the fact layer, of a raw record of a known type."""
-    ts = parse_utc(F.col("created_at"))
+def fact_columns(ts: Column | None = None) -> list[Column]:
+    """Columns of the fact layer, of a raw record of a known type; ``ts`` is its time, where it is parsed already."""
+    ts = parse_utc(F.col("created_at")) if ts is None else ts
     return [
         F.col("id"),
         F.col("type"),
@@ -118,8 +118,9 @@ def issue_record() -> Column:
     return F.from_json(F.col("payload")["issue"], ISSUE_PAYLOAD)
 
 
-def issue_columns() -> list[Column]:
-    """Columns of an issue snapshot, of a record whose ``issue`` is parsed."""
+def issue_columns(ts: Column | None = None) -> list[Column]:
+    """Columns of an issue snapshot, of a record whose ``issue`` is parsed, and its time ``ts`` too, if given."""
+    ts = parse_utc(F.col("created_at")) if ts is None else ts
     return [
         F.col("id").alias("event_id"),
         F.col("issue.id").try_cast("bigint").alias("id"),
@@ -129,8 +130,8 @@ def issue_columns() -> list[Column]:
         F.col("issue.number").try_cast("bigint").alias("number"),
         parse_utc(F.col("issue.created_at")).alias("start_time"),
         parse_utc(F.col("issue.closed_at")).alias("end_time"),
-        parse_utc(F.col("created_at")).alias("event_time"),
-        F.to_date(parse_utc(F.col("created_at"))).alias("event_date"),
+        ts.alias("event_time"),
+        F.to_date(ts).alias("event_date"),
     ]
 
 

@@ -301,11 +301,13 @@ def _parsed(raw: DataFrame) -> DataFrame:
     """Every raw record once: its time, and what it is a row of."""
     if "broken" not in raw.columns:
         raw = raw.withColumn("broken", F.lit(None).cast("string"))
-    record = raw.select("*", F.when(is_issue(), issue_record()).alias("issue"))
+    # The time is in five columns of the rows: it is parsed once for all of them, as the issue is.
+    record = raw.select("*", parse_utc(F.col("created_at")).alias("_ts"), F.when(is_issue(), issue_record()).alias("issue"))
+    ts = F.col("_ts")
     return record.select(
-        parse_utc(F.col("created_at")).alias("ts"),
-        F.when(is_fact(), F.struct(*fact_columns())).alias("fact"),
-        F.when(is_issue(), F.struct(*issue_columns())).alias("issue"),
+        ts.alias("ts"),
+        F.when(is_fact(), F.struct(*fact_columns(ts))).alias("fact"),
+        F.when(is_issue(), F.struct(*issue_columns(ts))).alias("issue"),
         F.when(F.col("broken").isNotNull() | F.col("id").isNull(), F.struct(*reject_columns(raw.columns))).alias("reject"),
     )
 
