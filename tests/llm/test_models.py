@@ -446,3 +446,25 @@ def test_secrets_are_judged_whole():
     long = "readable" * 500 + "X9" * 2000
     own = dict(zip(secrets.FEATURES, secrets.features(f"token={long}", 6, 6 + len(long), "assignment", language), strict=True))
     assert own["length"] == 8000 and own["coverage"] == 4000 / 6000 and own["digits"] == 0.25 and time.process_time() - start < 5
+
+
+def test_packs_number_words_by_frequency():
+    """Small numbers for frequent words, and as many bytes for a number as the largest needs."""
+    filling = kneser._Filling()
+    columns = {"id": [1, 2], "learned": [True, False], "h": [5, 6], "text": ["b a b c", "b a"]}
+    filling.add(pa.RecordBatch.from_pydict(columns))
+    row = filling.row(0).to_pylist()[0]
+    assert kneser._unpacked(row["tokens"], np.uint32).tolist() == [0, 1, 0, 2, 0, 1]
+    assert kneser.Pack(row, [], 1).spelling.data.tobytes() == b"b\na\nc"
+    for values, width in (([], 1), ([0, 255], 1), ([256], 2), ([1 << 20, 0], 4), ([1 << 56], 8)):
+        packed = kneser._packed(np.array(values, np.int64))
+        assert packed[0] == width and kneser._unpacked(packed, np.int64).tolist() == values
+
+
+def test_owned_counts_are_answered_apart():
+    """A shard tells each pack its owned counts in a column of their own: of the packs that count a key in trusted text, the first owns it."""
+    questions = [{"pack": n, "shard": 0, "keys": kneser._packed(np.array([3, 4], np.uint64)), "parts": kneser._packed(np.array(p))}
+                 for n, p in ((1, [0, 0]), (2, [2, 0]), (3, [1, 0]))]
+    rows = kneser._answers(kneser.TRIGRAM, 1)(pa.Table.from_pylist(questions)).to_pylist()
+    assert [kneser._unpacked(r["data"], np.int64).tolist() for r in rows] == [[3, 0]] * 3
+    assert [kneser._unpacked(r["own"], np.int64).tolist() for r in rows] == [[0, 0], [3, 0], [0, 0]]

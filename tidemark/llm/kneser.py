@@ -26,13 +26,14 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.store import discard, staged
-from tidemark.llm.words import U, mix, slices, split_words
+from tidemark.llm.words import U, Words, mix, slices, split_words
 from tidemark.session import new_run_dir
 from tidemark.sources import folders
 
@@ -42,23 +43,26 @@ KEY_BITS = 56
 _MARKS = np.array([0x5354415254, 0x454E44], U)  # what stands before a text, twice, and after it
 _PAD, _STOP = 0xFF, 0x20  # before and after a spelled word
 TRUSTED, WORD, PAIR, TRIGRAM = 0, 1, 2, 3
-#: In how many parts, one after another, the hash space is worked off.
-ROUNDS = {WORD: 1, PAIR: 2, TRIGRAM: 2}
+#: In how many parts, one after another, the hash space is worked off, and the packs are scored.
+ROUNDS, SCORE_ROUNDS = {WORD: 1, PAIR: 3, TRIGRAM: 3}, 2
 
 _PACK = "pack bigint, ids array<bigint>, of array<int>, learned array<boolean>, texts array<bigint>, sizes array<int>, tokens binary, words binary"
 _QUESTION = "pack bigint, shard int, keys binary, parts binary"
-_ANSWER = "pack bigint, level int, shard int, data binary, places array<int>, tally array<bigint>"
+_ANSWER = "pack bigint, level int, shard int, data binary, own binary, places array<int>, tally array<bigint>"
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Numbers, byte plane by byte plane."""
+    """Numbers from 0 on, byte plane by byte plane, of as many bytes as the largest needs; the first byte says how many."""
+    values = values.reshape(-1)
+    values = values.astype(np.min_scalar_type(int(values.max(initial=0))), copy=False)
     width = values.dtype.itemsize
-    return zstandard.compress(np.ascontiguousarray(values.reshape(-1).view(np.uint8).reshape(-1, width).T).tobytes(), 1)
+    return bytes([width]) + zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, width).T).tobytes(), 1)
 
 
 def _unpacked(data: bytes, dtype) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
-    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+    width = data[0]
+    planes = np.frombuffer(zstandard.decompress(memoryview(data)[1:]), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(f"u{width}").ravel().astype(dtype)
 
 
 def _packs(batches, limit: int):
@@ -81,7 +85,7 @@ class _Filling:
     def __init__(self) -> None:
         self.size, self.ids, self.of, self.learned, self.sizes = 0, [], [], [], []
         self.place: dict[int, int] = {}
-        self.hashes, self.known, self.spelled = [], [], []
+        self.seen, self.tokens, self.known, self.spelled = 0, [], [], []
 
     def add(self, part: pa.RecordBatch) -> None:
         new = []
@@ -92,22 +96,36 @@ class _Filling:
         self.learned += part.column("learned").to_pylist()
         words = split_words(part.column("text").filter(pa.array(new, pa.bool_())))
         self.sizes += np.diff(words.first).tolist()
-        found, at = np.unique(words.hash, return_index=True)
-        self.hashes.append(words.hash)
+        found, at, which = _distinct(words.hash)
+        self.tokens.append(which + self.seen)
         self.known.append(found)
-        self.spelled += [words.data[words.start[i] : words.end[i]].tobytes() for i in at.tolist()]
+        self.seen += len(found)
+        self.spelled.append(_spelled(words, at))
         self.size += len(words.hash) + len(new)
 
     def row(self, number: int) -> pa.RecordBatch:
-        vocabulary, at = np.unique(np.concatenate(self.known), return_index=True)
-        tokens = np.searchsorted(vocabulary, np.concatenate(self.hashes)).astype(np.uint32)
-        spelled = b"\n".join(self.spelled[i] for i in at.tolist())
+        _, at, place = _distinct(np.concatenate(self.known))
+        tokens = place[np.concatenate(self.tokens)]
+        # The most frequent words have the smallest numbers, which compress best.
+        order = np.argsort(-np.bincount(tokens, minlength=len(at)), kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order), dtype=np.uint32)
+        tokens, words = rank[tokens], pa.concat_arrays(self.spelled).take(pa.array(at[order]))
+        spelled = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), b"\n")[0].as_py()
         values = [number, self.ids, self.of, self.learned, list(self.place), self.sizes, _packed(tokens), zstandard.compress(spelled, 3)]
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int32()),
                  pa.binary(), pa.binary()]
         return pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=[c.split()[0] for c in _PACK.split(", ")])
 
 
+def _spelled(words: Words, at: np.ndarray) -> pa.Array:
+    """The bytes of some of the words."""
+    length = (words.end - words.start)[at]
+    offsets = np.concatenate([[0], np.cumsum(length)])
+    data = words.data[np.repeat(words.start[at] - offsets[:-1], length) + np.arange(offsets[-1])]
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
+
+
 class Pack:
     """A pack with the answers it has so far."""
 
@@ -115,7 +133,7 @@ class Pack:
         self.row, self.shards = row, shards
         self.answers = {(a["level"], a["shard"]): a for a in answers}
         self.spelling = split_words(pa.array([zstandard.decompress(row["words"])], pa.binary()).cast(pa.large_binary()).cast(pa.large_string(), safe=False))
-        self.words = np.concatenate([self.spelling.hash, _MARKS])  # rising but for the marks
+        self.words = np.concatenate([self.spelling.hash, _MARKS])
         self.by_hash, self.kinds = np.argsort(self.words, kind="stable"), len(self.words)
 
     def learned(self) -> np.ndarray:
@@ -140,9 +158,17 @@ class Pack:
 
     def pairs(self, sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct pairs: first and second word, hash, in the order of the hashes; and which pair begins at each place."""
-        keys, at, rank = _distinct(mix(mix(self.words, 1)[sequence[:-1]] + self.words[sequence[1:]], 2))
+        keys, at, rank = _distinct(self.pair_keys(sequence))
         return sequence[at], sequence[at + 1], keys, rank
 
+    def pair_keys(self, sequence: np.ndarray) -> np.ndarray:
+        """Hash of the pair that begins at each place."""
+        return mix(mix(self.words, 1)[sequence[:-1]] + self.words[sequence[1:]], 2)
+
+    def trigram_keys(self, sequence: np.ndarray, pair_keys: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Hash of the trigram that ends at each of the places."""
+        return mix(pair_keys[at - 2] + self.words[sequence[at]], 3)
+
     def trigrams(self):
         """``(pairs, context, ending, last, hash, which, text)``: of distinct trigrams the pairs they begin and end with, and which each place has."""
         sequence, at, text = self.sequence()
@@ -151,14 +177,23 @@ class Pack:
         keys, index, which = _distinct(mix(pairs[2][context] + self.words[last], 3))
         return pairs, context[index], pairs[3][at[index] - 1], last[index], keys, which, text
 
-    def answer(self, level: int, keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-        """The sums for each of the rising ``keys``, a row for each part, and whether this pack owns the key."""
-        cuts = _dealt(keys, self.shards)
-        found = [np.zeros((parts + 1, 0), np.int64)]
-        for shard in np.flatnonzero(np.diff(cuts)).tolist():
-            found.append(_unpacked(self.answers[level, shard]["data"], np.int64).reshape(parts + 1, -1))
+    def answer(self, level: int, keys: np.ndarray, parts: int, column: str = "data") -> np.ndarray:
+        """The sums for each of the rising ``keys``, a row for each part."""
+        found = [np.zeros((parts, 0), np.int64)]
+        for shard in np.flatnonzero(np.diff(_dealt(keys, self.shards))).tolist():
+            found.append(_unpacked(self.answers[level, shard][column], np.int64).reshape(parts, -1))
         found = np.concatenate(found, 1)
-        return found[:parts], found[parts] == 1
+        if parts > 1:
+            found[0] += found[1] + 2 * found[2]
+        return found
+
+    def owned(self, level: int, keys: np.ndarray, trusted: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The count of each key that the pack owns, and a place of each, out of the ``trusted`` keys at the places ``at``."""
+        keys = _rising(keys)
+        (count,) = self.answer(level, keys, 1, "own")
+        own = count > 0
+        rising, order, first = _ordered(trusted)
+        return count[own], at[order[first[np.searchsorted(rising[first], keys[own])]]]
 
     def ask(self, keys: np.ndarray, parts: list[np.ndarray], part_of: tuple[int, int]) -> pa.Table:
         """Questions about the rising ``keys`` to the shards of a part of the hash space."""
@@ -172,71 +207,114 @@ class Pack:
         kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["pack", "shard", "keys", "parts"])
 
+    def within(self, keys: np.ndarray, part_of: tuple[int, int]) -> np.ndarray:
+        """Which keys belong to a part of the hash space."""
+        edges = _edges(self.shards)
+        return (keys >= edges[part_of[0]]) & ((keys < edges[part_of[1]]) if part_of[1] < self.shards else True)
+
     def ask_trigrams(self, part_of: tuple[int, int]) -> pa.Table:
-        _, _, _, _, keys, which, text = self.trigrams()
-        return self.ask(keys, [np.bincount(which, self.learned()[text], len(keys))], part_of)
+        """Only the trigrams of the part are sorted."""
+        sequence, at, text = self.sequence()
+        keys = self.trigram_keys(sequence, self.pair_keys(sequence), at)
+        own = self.within(keys, part_of)
+        keys, order, first = _ordered(keys[own])
+        counts = np.add.reduceat(self.learned()[text[own]][order], first) if len(first) else first
+        return self.ask(keys[first], [counts], part_of)
 
     def ask_pairs(self, part_of: tuple[int, int]) -> pa.Table:
-        pairs, context, ending, _, keys, _, _ = self.trigrams()
-        (count,), owned = self.answer(TRIGRAM, keys, 1)
-        return self.ask(pairs[2], _of_contexts(count * owned, context, ending, len(pairs[2])), part_of)
+        """The pairs of the part; they are counted from the trigrams that the pack owns."""
+        sequence, at, text = self.sequence()
+        of_place = self.pair_keys(sequence)
+        trusted = at[self.learned()[text] > 0]
+        keys = self.trigram_keys(sequence, of_place, at)
+        count, place = self.owned(TRIGRAM, keys, self.trigram_keys(sequence, of_place, trusted), trusted)
+        pairs = _rising(of_place[self.within(of_place, part_of)])
+
+        def number(own: np.ndarray) -> np.ndarray:
+            return np.where(self.within(own, part_of), np.searchsorted(pairs, own), len(pairs))
+
+        parts = _of_contexts(count, number(of_place[place - 2]), number(of_place[place - 1]), len(pairs) + 1)
+        return self.ask(pairs, [p[:-1] for p in parts], part_of)
 
     def ask_words(self, part_of: tuple[int, int]) -> pa.Table:
-        first, second, keys, _ = self.pairs(self.sequence()[0])
-        before, owned = self.answer(PAIR, keys, 5)
-        parts = _of_contexts(before[4] * owned, first, second, self.kinds)
+        sequence, at, text = self.sequence()
+        keys, trusted = self.pair_keys(sequence), at[self.learned()[text] > 0] - 1
+        before, place = self.owned(PAIR, keys, keys[trusted], trusted)
+        parts = _of_contexts(before, sequence[place], sequence[place + 1], self.kinds)
         return self.ask(self.words[self.by_hash], [p[self.by_hash] for p in parts], part_of)
 
-    def answer_words(self) -> tuple[np.ndarray, np.ndarray]:
+    def answer_words(self, parts: int = 5, column: str = "data") -> np.ndarray:
         """The answers on words, in the order of ``words``."""
-        found, owned = self.answer(WORD, self.words[self.by_hash], 5)
+        found = self.answer(WORD, self.words[self.by_hash], parts, column)
         back = np.empty_like(self.by_hash)
         back[self.by_hash] = np.arange(self.kinds)
-        return found[:, back], owned[back]
+        return found[:, back]
 
     def spellings(self) -> pa.Table:
         """Byte trigrams of the trusted words that the pack owns."""
-        before, owned = self.answer_words()
-        keys, _ = _byte_grams(self.spelling, np.flatnonzero((before[4] > 0)[:-2] & owned[:-2]))
+        (own,) = self.answer_words(1, "own")
+        keys, _ = _byte_grams(self.spelling, np.flatnonzero(own[:-2] > 0))
         keys, n = np.unique(keys, return_counts=True)
         return pa.table({"key": pa.array(keys, pa.int64()), "n": pa.array(n, pa.int64())})
 
     def scores(self, tallies: dict[int, list[int]], spelled: Spelling) -> pa.Table:
         """Log probability of each text."""
         pairs, context, ending, last, keys, which, text = self.trigrams()
-        (count,), _ = self.answer(TRIGRAM, keys, 1)
-        of_pair, _ = self.answer(PAIR, pairs[2], 5)
-        of_word, _ = self.answer_words()
+        (count,) = self.answer(TRIGRAM, keys, 1)
+        of_pair, of_word = self.answer(PAIR, pairs[2], 5), self.answer_words()
         cuts = {level: discounts(*tallies[level][:4]) for level in (WORD, PAIR, TRIGRAM)}
         one, two, _, _, kinds, total = tallies[WORD]
         everywhere = np.array([total, one, two, kinds - one - two])[:, None]
         below = np.zeros(self.kinds)
         unknown = np.flatnonzero(of_word[4][:-2] == 0)
         grams, word = _byte_grams(self.spelling, unknown)
-        distinct, _, gram = _distinct(grams)
-        below[unknown] = np.bincount(word, spelled(distinct)[gram], len(unknown))
+        some = np.zeros(1 << 24, bool)
+        some[grams] = True
+        distinct = np.flatnonzero(some)
+        below[unknown] = np.bincount(word, spelled(distinct)[np.searchsorted(distinct, grams)], len(unknown))
         below = _interpolated(of_word[4], np.broadcast_to(everywhere, (4, self.kinds)), cuts[WORD], below, mixed=False)
-        below = _interpolated(of_pair[4], of_word[:4, pairs[0]], cuts[PAIR], below[pairs[1]])
-        logp = _interpolated(count, of_pair[:4, context], cuts[TRIGRAM], below[ending])
+        below = _after(of_word, pairs[0], of_pair[4], cuts[PAIR], below[pairs[1]])
+        logp = _after(of_pair, context, count, cuts[TRIGRAM], below[ending])
         sums = np.bincount(text, logp[which], len(self.row["sizes"]))
         return pa.table({"h": pa.array(self.row["texts"], pa.int64()), "logp": pa.array(sums, pa.float64())})
 
 
+def _edges(shards: int) -> np.ndarray:
+    """The lowest key of each shard."""
+    return np.array([(i << KEY_BITS) // shards for i in range(shards)], U) << U(64 - KEY_BITS)
+
+
 def _dealt(keys: np.ndarray, shards: int) -> np.ndarray:
     """Where each shard's stretch of rising keys begins and ends."""
-    edges = np.array([(i << KEY_BITS) // shards for i in range(shards)], U) << U(64 - KEY_BITS)
-    return np.append(np.searchsorted(keys, edges), len(keys))
+    return np.append(np.searchsorted(keys, _edges(shards)), len(keys))
 
 
-def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct keys, rising; a place of each; and which of them every place has."""
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Places of rising keys that differ from the one before."""
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return np.flatnonzero(new)
+
+
+def _rising(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys, rising."""
+    ordered = np.sort(keys)
+    return ordered[_firsts(ordered)]
+
+
+def _ordered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys, rising; the place each comes from; and where each distinct one begins."""
     order = np.argsort(keys)
     ordered = keys[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = ordered[1:] != ordered[:-1]
+    return ordered, order, _firsts(ordered)
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, rising; a place of each; and which of them every place has."""
+    ordered, order, first = _ordered(keys)
     rank = np.empty(len(keys), np.int64)
-    rank[order] = np.cumsum(new) - 1
-    return ordered[new], order[new], rank
+    rank[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(keys)))
+    return ordered[first], order[first], rank
 
 
 def _of_contexts(count: np.ndarray, context: np.ndarray, ending: np.ndarray, n: int) -> list[np.ndarray]:
@@ -257,12 +335,20 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
 def _interpolated(count: np.ndarray, of_context: np.ndarray, cut: list[float], lower: np.ndarray, mixed: bool = True) -> np.ndarray:
     """Log probabilities from counts, their contexts ``(total, followers of count 1, 2, more)`` and the lower order; ``mixed``: counted ones get of it too."""
     total = np.maximum(of_context[0], 1)
-    rest = np.maximum(np.tensordot(np.array(cut), of_context[1:4], 1) / total, 1e-300)
+    rest = np.maximum(sum(c * n for c, n in zip(cut, of_context[1:4], strict=True)) / total, 1e-300)
     kept = np.where(count > 0, count - np.array([0.0, *cut])[np.minimum(count, 3)], 0.0) / total
     seen = np.log(np.maximum(kept + (rest * np.exp(lower) if mixed else 0.0), 1e-300))
     return np.where(of_context[0] == 0, lower, np.where(count > 0, seen, np.log(rest) + lower))
 
 
+def _after(table: np.ndarray, context: np.ndarray, count: np.ndarray, cut: list[float], lower: np.ndarray) -> np.ndarray:
+    """:func:`_interpolated` for contexts of a table; after one that trusted text lacks, the lower order stands."""
+    seen = np.flatnonzero((table[0] > 0)[context])
+    out = lower.copy()
+    out[seen] = _interpolated(count[seen], table[:4, context[seen]], cut, lower[seen])
+    return out
+
+
 def _byte_grams(spelling, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Three bytes for each byte of the chosen words and for the stop after them; and the place of its word among the chosen."""
     length = (spelling.end - spelling.start)[chosen]
@@ -304,28 +390,36 @@ def _looked_up(table: np.ndarray, values: np.ndarray, keys: np.ndarray) -> np.nd
 
 
 def _answers(level: int, parts: int):
-    """A shard's answers: sums over all packs, one owner for each key that trusted text has; and the tally of their counts."""
+    """A shard's answers: sums over all packs, one owner for each key that trusted text has, a pack whose own has it; and the tally of their counts."""
 
     def answer(group: pa.Table) -> pa.Table:
         rows = sorted(group.to_pylist(), key=lambda r: r["pack"])
         sent = [np.cumsum(_unpacked(r["keys"], U), dtype=U) for r in rows]
         cuts = np.cumsum([0] + [len(s) for s in sent])
-        _, first, place = np.unique(np.concatenate(sent), return_index=True, return_inverse=True)
-        sums = np.zeros((parts, len(first)), np.int64)
+        _, first, place = _distinct(np.concatenate(sent))
+        sums, own = np.zeros((parts, len(first)), np.int64), np.zeros(len(place), bool)
         for row, a, b in zip(rows, cuts, cuts[1:]):
             for part, values in zip(sums, _unpacked(row["parts"], np.int64).reshape(parts, -1)):
                 np.add.at(part, place[a:b], values)
+            own[a:b] = values > 0
+        # Of the packs that count a key in trusted text, the first owns it: the last one written here.
+        having = np.flatnonzero(own)[::-1]
+        owners = np.full(len(first), -1)
+        owners[place[having]] = having
         owner = np.zeros(len(place), np.int64)
-        owner[first] = sums[-1] > 0
-        n = sums[-1]
+        owner[owners[owners >= 0]] = 1
+        n = sums[-1].copy()
+        if parts > 1:
+            sums[0] -= sums[1] + 2 * sums[2]  # what followers of count 3 and more add: mostly nothing
         tally = [int((n == k).sum()) for k in (1, 2, 3, 4)] + [int((n > 0).sum()), int(n.sum())]
         full = [None] * (len(rows) - 1)
         columns = [
             pa.array([r["pack"] for r in rows], pa.int64()), pa.array([level] * len(rows), pa.int32()), pa.array([r["shard"] for r in rows], pa.int32()),
-            pa.array([_packed(np.vstack([sums[:, place[a:b]], owner[a:b]])) for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            pa.array([_packed(sums[:, place[a:b]]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            pa.array([_packed(n[place[a:b]] * owner[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
             pa.array([None, *full], pa.list_(pa.int32())), pa.array([tally, *full], pa.list_(pa.int64())),
         ]
-        return pa.table(columns, names=["pack", "level", "shard", "data", "places", "tally"])
+        return pa.table(columns, names=["pack", "level", "shard", "data", "own", "places", "tally"])
 
     return answer
 
@@ -358,24 +452,26 @@ def _log_probabilities(spark: SparkSession, texts: DataFrame, trusted: DataFrame
     known = {}
     if trusted is not None:
         rows = packs.select("pack", F.posexplode("ids").alias("at", "id")).join(trusted.select("id").distinct().hint("merge"), "id")
-        nothing = [F.lit(None).cast(t).alias(c) for c, t in (("data", "binary"), ("tally", "array<bigint>"))]
+        nothing = [F.lit(None).cast(t).alias(c) for c, t in (("data", "binary"), ("own", "binary"), ("tally", "array<bigint>"))]
         places = rows.groupBy("pack").agg(F.collect_list("at").alias("places"))
-        places = places.select("pack", F.lit(TRUSTED).alias("level"), F.lit(0).alias("shard"), nothing[0], "places", nothing[1])
+        places = places.select("pack", F.lit(TRUSTED).alias("level"), F.lit(0).alias("shard"), *nothing[:2], "places", nothing[2])
         known[TRUSTED] = [staged(places, "trusted")]
 
-    def each(run, schema: str, *levels: int) -> DataFrame:
-        """``run`` of every pack that knows the answers of these levels."""
+    def each(run, schema: str, *levels: int, chosen=None, column: str = "own") -> DataFrame:
+        """``run`` of every pack, or of the chosen ones, that knows this column of the answers of these levels."""
         side = [df for level in levels for df in known.get(level, [])]
         if not side:
             return packs.mapInArrow(lambda b: (t for x in b for r in x.to_pylist() for t in run(Pack(r, [], shards)).to_batches()), schema)
         answers = side[0]
         for more in side[1:]:
             answers = answers.unionAll(more)
-        answers = answers.drop("tally").withColumnRenamed("pack", "to")
         opened = lambda left, right: run(Pack(left.to_pylist()[0], right.to_pylist(), shards))
-        return packs.groupBy("pack").cogroup(answers.groupBy("to")).applyInArrow(opened, schema)
+        own = packs if chosen is None else packs.where(chosen)
+        answers = (answers if chosen is None else answers.where(chosen)).select("pack", "level", "shard", column, "places").withColumnRenamed("pack", "to")
+        return own.groupBy("pack").cogroup(answers.groupBy("to")).applyInArrow(opened, schema)
 
-    steps = [(TRIGRAM, Pack.ask_trigrams, 1, (TRUSTED,)), (PAIR, Pack.ask_pairs, 5, (TRIGRAM,)), (WORD, Pack.ask_words, 5, (PAIR,))]
+    steps = [(TRIGRAM, Pack.ask_trigrams, 1, (TRUSTED,)), (PAIR, Pack.ask_pairs, 5, (TRUSTED, TRIGRAM)),
+             (WORD, Pack.ask_words, 5, (TRUSTED, PAIR))]
     tallies = {}
     for level, question, parts, needs in steps:
         known[level] = []
@@ -389,14 +485,20 @@ def _log_probabilities(spark: SparkSession, texts: DataFrame, trusted: DataFrame
             tally = tally.unionAll(more)
         found = tally.agg(*[F.sum(F.col("tally")[i]) for i in range(6)]).first()
         tallies[level] = [int(x or 0) for x in found]
-        for df in known.pop(TRUSTED, []):
-            discard(df)
+    for df in known.pop(TRUSTED, []):
+        discard(df)
     letters = each(lambda pack: pack.spellings(), "key bigint, n bigint", WORD).groupBy("key").agg(F.sum("n").alias("n"))
     letters = letters.toPandas()  # at most 2^24 rows
     spelled = Spelling(letters["key"].to_numpy(np.int64), letters["n"].to_numpy(np.int64))
-    scores = each(lambda pack: pack.scores(tallies, spelled), "h bigint, logp double", WORD, PAIR, TRIGRAM)
+    scored = []
+    for part in range(SCORE_ROUNDS):  # answers are dealt to the packs of one part at a time, which bounds the disk
+        own = F.pmod(F.xxhash64("pack"), F.lit(SCORE_ROUNDS)) == part
+        scored.append(staged(each(lambda pack: pack.scores(tallies, spelled), "h bigint, logp double", WORD, PAIR, TRIGRAM, chosen=own, column="data"), "scored"))
+    scores = scored[0]
+    for more in scored[1:]:
+        scores = scores.unionAll(more)
     scores = staged(scores.groupBy("h").agg(F.min("logp").alias("logp")), "scores")
-    for df in [df for level in known.values() for df in level]:
+    for df in [df for level in known.values() for df in level] + scored:
         discard(df)
     spark.sql(f"DROP TABLE {name}")
     folders.delete(spark, path.rsplit("/", 1)[0])
