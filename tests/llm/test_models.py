@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import html_text, kneser, langid, mixing, quality, secrets, toxicity
 from tidemark.llm.store import held_out, smallest_by_hash, training_fold
-from tidemark.llm.words import split_words
+from tidemark.llm.words import _BYTE as BYTE_NUMBERS
+from tidemark.llm.words import _FAR as FAR
+from tidemark.llm.words import _STEP as STEP
+from tidemark.llm.words import mix, split_words
 from tidemark.session import shared_dir
 from tidemark.sources import folders
 
@@ -461,6 +464,42 @@ def test_packs_number_words_by_frequency():
         assert packed[0] == width and kneser._unpacked(packed, np.int64).tolist() == values
 
 
+def test_packs_store_words_that_come_once_as_one_number():
+    """They are numbered as they come, from the first of them on; a pack without such words is read as it is."""
+    for texts, stored, numbers in ((["a b c", "d a"], [0, 1, 1, 1, 0], [0, 1, 2, 3, 0]), (["b b a", "a"], [0, 0, 1, 1], [0, 0, 1, 1]),
+                                   (["x"], [0], [0]), (["z y", "x"], [0, 0, 0], [0, 1, 2]), (["  ", "\n"], [], [])):
+        filling = kneser._Filling()
+        filling.add(pa.RecordBatch.from_pydict({"id": [1, 2][: len(texts)], "learned": [True] * len(texts), "h": [5, 6][: len(texts)], "text": texts}))
+        row = filling.row(0).to_pylist()[0]
+        pack = kneser.Pack(row, [], 1)
+        assert kneser._unpacked(row["tokens"], np.uint32).tolist() == stored and pack.numbers().tolist() == numbers
+        words = pack.spelling.data.tobytes().split()
+        assert [words[i].decode() for i in pack.numbers()] == " ".join(texts).split()
+    filling = kneser._Filling()
+    words = [f"w{i}" for i in range(3000)]
+    filling.add(pa.RecordBatch.from_pydict({"id": [1], "learned": [True], "h": [5], "text": [" ".join(random.Random(3).sample(words, 3000))]}))
+    assert len(filling.row(0).to_pylist()[0]["tokens"]) < 100  # 12 bits each before
+
+
+def test_word_hashes_by_running_sums():
+    """A word's hash is that of its bytes alone, wherever it lies: across the blocks of the running sums, and longer than their margin."""
+    rng = random.Random(4)
+    sizes = [1, 7, 1023, 1024, 1025, 40_000, 5] * 2 + [rng.randrange(1, 30) for _ in range(9000)]
+    words = ["".join(rng.choice("abcé") for _ in range(n)) for n in sizes]
+    rng.shuffle(words)
+    whole = split_words(pa.array([" ".join(words)]))
+    assert len(whole.hash) == len(words)
+    for word, got in zip(words[::7] + sorted(words, key=len)[-12:], [*whole.hash[::7].tolist(), *whole.hash[sorted(range(len(words)), key=lambda i: len(words[i]))[-12:]].tolist()], strict=True):
+        assert split_words(pa.array([word])).hash.tolist() == [got] == [plain_hash(word.encode())]
+
+
+def plain_hash(word):
+    total, size = len(word), 2**64
+    for i, byte in enumerate(word):
+        total += int(BYTE_NUMBERS[byte]) * pow(int(STEP), i & 1023, size) * pow(int(FAR), i >> 10, size)
+    return int(mix(np.array([total % size], np.uint64))[0])
+
+
 def test_owned_counts_are_answered_apart():
     """A shard tells each pack its owned counts in a column of their own: of the packs that count a key in trusted text, the first owns it."""
     questions = [{"pack": n, "shard": 0, "keys": kneser._packed(np.array([3, 4], np.uint64)), "parts": kneser._packed(np.array(p))}

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.store import discard, staged
-from tidemark.llm.words import U, Words, mix, slices, split_words
+from tidemark.llm.words import U, Words, hashes, mix, slices, split_words
 from tidemark.session import new_run_dir
 from tidemark.sources import folders
 
@@ -59,10 +60,12 @@ def _packed(values: np.ndarray) -> bytes:
     return bytes([width]) + zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, width).T).tobytes(), 1)
 
 
-def _unpacked(data: bytes, dtype) -> np.ndarray:
+def _unpacked(data: bytes, dtype=None) -> np.ndarray:
+    """The numbers; without ``dtype``, of the bytes they were packed with."""
     width = data[0]
     planes = np.frombuffer(zstandard.decompress(memoryview(data)[1:]), np.uint8).reshape(width, -1)
-    return np.ascontiguousarray(planes.T).view(f"u{width}").ravel().astype(dtype)
+    out = np.ascontiguousarray(planes.T).view(f"u{width}").ravel()
+    return out if dtype is None else out.astype(dtype, copy=False)
 
 
 def _packs(batches, limit: int):
@@ -106,11 +109,14 @@ class _Filling:
     def row(self, number: int) -> pa.RecordBatch:
         _, at, place = _distinct(np.concatenate(self.known))
         tokens = place[np.concatenate(self.tokens)]
-        # The most frequent words have the smallest numbers, which compress best.
-        order = np.argsort(-np.bincount(tokens, minlength=len(at)), kind="stable")
+        # The most frequent words have the smallest numbers, which compress best; equally frequent ones are numbered as they come.
+        count, begin = np.bincount(tokens, minlength=len(at)), np.empty(len(at), np.int64)
+        begin[tokens[::-1]] = np.arange(len(tokens))[::-1]
+        order = np.argsort((count.max(initial=0) - count) * len(tokens) + begin)
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
-        tokens, words = rank[tokens], pa.concat_arrays(self.spelled).take(pa.array(at[order]))
+        # So the words that come once are numbered on from the first of them, and all are stored as that one.
+        tokens, words = np.minimum(rank[tokens], np.uint32((count > 1).sum())), pa.concat_arrays(self.spelled).take(pa.array(at[order]))
         spelled = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), b"\n")[0].as_py()
         values = [number, self.ids, self.of, self.learned, list(self.place), self.sizes, _packed(tokens), zstandard.compress(spelled, 3)]
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int32()),
@@ -126,15 +132,36 @@ def _spelled(words: Words, at: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
 
 
+def _lines(data: bytes) -> Words:
+    """The words of lines of one word each."""
+    data = np.frombuffer(data, np.uint8)
+    end = np.append(np.flatnonzero(data == 10), len(data))[: len(data)]  # no data: no word
+    start = np.append(0, end[:-1] + 1)[: len(end)]
+    return Words(data, start, end, np.zeros(len(end), np.int64), np.array([0, len(end)]), hashes(data, start, end))
+
+
 class Pack:
     """A pack with the answers it has so far."""
 
     def __init__(self, row: dict, answers: list[dict], shards: int) -> None:
         self.row, self.shards = row, shards
         self.answers = {(a["level"], a["shard"]): a for a in answers}
-        self.spelling = split_words(pa.array([zstandard.decompress(row["words"])], pa.binary()).cast(pa.large_binary()).cast(pa.large_string(), safe=False))
+        self.spelling = _lines(zstandard.decompress(row["words"]))
         self.words = np.concatenate([self.spelling.hash, _MARKS])
-        self.by_hash, self.kinds = np.argsort(self.words, kind="stable"), len(self.words)
+        self.kinds = len(self.words)
+
+    @cached_property
+    def by_hash(self) -> np.ndarray:
+        return np.argsort(self.words, kind="stable")
+
+    def numbers(self) -> np.ndarray:
+        """The words of all texts in a row, those that come once counted on from the first of them."""
+        out = _unpacked(self.row["tokens"], np.int64)
+        top = int(out.max(initial=0))
+        once = np.flatnonzero(out == top)
+        if top + len(once) == self.kinds - 2:
+            out[once] += np.arange(len(once))
+        return out
 
     def learned(self) -> np.ndarray:
         """How many trusted documents have each text."""
@@ -146,36 +173,26 @@ class Pack:
     def sequence(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words and marks of all texts in a row; the places that are predicted, and the text of each."""
         sizes = np.array(self.row["sizes"], np.int64)
-        first = np.cumsum(sizes + 3) - sizes - 1  # place of each text's first word
-        text = np.repeat(np.arange(len(sizes)), sizes + 1)
-        at = np.arange(len(text)) + 2 * (text + 1)
+        end = np.cumsum(sizes + 3) - 1  # place of the mark after each text
         out = np.full(int((sizes + 3).sum()), self.kinds - 2, np.int64)
-        out[first + sizes] = self.kinds - 1
-        inner = np.ones(len(at), bool)
-        inner[np.cumsum(sizes + 1) - 1] = False
-        out[at[inner]] = _unpacked(self.row["tokens"], np.uint32)
-        return out, at, text
-
-    def pairs(self, sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct pairs: first and second word, hash, in the order of the hashes; and which pair begins at each place."""
-        keys, at, rank = _distinct(self.pair_keys(sequence))
-        return sequence[at], sequence[at + 1], keys, rank
-
-    def pair_keys(self, sequence: np.ndarray) -> np.ndarray:
-        """Hash of the pair that begins at each place."""
-        return mix(mix(self.words, 1)[sequence[:-1]] + self.words[sequence[1:]], 2)
-
-    def trigram_keys(self, sequence: np.ndarray, pair_keys: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Hash of the trigram that ends at each of the places."""
-        return mix(pair_keys[at - 2] + self.words[sequence[at]], 3)
-
-    def trigrams(self):
-        """``(pairs, context, ending, last, hash, which, text)``: of distinct trigrams the pairs they begin and end with, and which each place has."""
-        sequence, at, text = self.sequence()
-        pairs = self.pairs(sequence)
-        context, last = pairs[3][at - 2], sequence[at]
-        keys, index, which = _distinct(mix(pairs[2][context] + self.words[last], 3))
-        return pairs, context[index], pairs[3][at[index] - 1], last[index], keys, which, text
+        inner = np.ones(len(out), bool)
+        inner[end - sizes - 2] = inner[end - sizes - 1] = False
+        at = np.flatnonzero(inner)
+        inner[end] = False
+        out[inner], out[end] = self.numbers(), self.kinds - 1
+        return out, at, np.repeat(np.arange(len(sizes)), sizes + 1)
+
+    def keys(self, sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the pair and of the trigram that begin at each place."""
+        begun, n = mix(self.words, 1), max(1, len(sequence) - 1)
+        pairs, trigrams = np.empty(n - 1 + (len(sequence) > 1), U), np.empty(n - 1, U)
+        for i, j in _blocks(len(pairs)):
+            part = sequence[i : j + 2]
+            word = self.words[part]
+            pair = mix(begun[part[:-1]] + word[1:], 2)
+            pairs[i:j] = pair[: j - i]
+            trigrams[i:j] = mix(pair[:-1] + word[2:], 3)[: j - i]
+        return pairs, trigrams
 
     def answer(self, level: int, keys: np.ndarray, parts: int, column: str = "data") -> np.ndarray:
         """The sums for each of the rising ``keys``, a row for each part."""
@@ -190,10 +207,14 @@ class Pack:
     def owned(self, level: int, keys: np.ndarray, trusted: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The count of each key that the pack owns, and a place of each, out of the ``trusted`` keys at the places ``at``."""
         keys = _rising(keys)
-        (count,) = self.answer(level, keys, 1, "own")
-        own = count > 0
+        cuts, owned, counts = _dealt(keys, self.shards), [keys[:0]], [np.zeros(0, np.int64)]
+        for shard in np.flatnonzero(np.diff(cuts)).tolist():
+            count = _unpacked(self.answers[level, shard]["own"])
+            own = np.flatnonzero(count)
+            owned.append(keys[own + cuts[shard]])
+            counts.append(count[own].astype(np.int64))
         rising, order, first = _ordered(trusted)
-        return count[own], at[order[first[np.searchsorted(rising[first], keys[own])]]]
+        return np.concatenate(counts), at[order[first[np.searchsorted(rising[first], np.concatenate(owned))]]]
 
     def ask(self, keys: np.ndarray, parts: list[np.ndarray], part_of: tuple[int, int]) -> pa.Table:
         """Questions about the rising ``keys`` to the shards of a part of the hash space."""
@@ -215,7 +236,7 @@ class Pack:
     def ask_trigrams(self, part_of: tuple[int, int]) -> pa.Table:
         """Only the trigrams of the part are sorted."""
         sequence, at, text = self.sequence()
-        keys = self.trigram_keys(sequence, self.pair_keys(sequence), at)
+        keys = self.keys(sequence)[1][at - 2]
         own = self.within(keys, part_of)
         keys, order, first = _ordered(keys[own])
         counts = np.add.reduceat(self.learned()[text[own]][order], first) if len(first) else first
@@ -224,21 +245,18 @@ class Pack:
     def ask_pairs(self, part_of: tuple[int, int]) -> pa.Table:
         """The pairs of the part; they are counted from the trigrams that the pack owns."""
         sequence, at, text = self.sequence()
-        of_place = self.pair_keys(sequence)
-        trusted = at[self.learned()[text] > 0]
-        keys = self.trigram_keys(sequence, of_place, at)
-        count, place = self.owned(TRIGRAM, keys, self.trigram_keys(sequence, of_place, trusted), trusted)
+        of_place, keys = self.keys(sequence)
+        keys, trusted = keys[at - 2], self.learned()[text] > 0
+        count, place = self.owned(TRIGRAM, keys, keys[trusted], at[trusted])
         pairs = _rising(of_place[self.within(of_place, part_of)])
-
-        def number(own: np.ndarray) -> np.ndarray:
-            return np.where(self.within(own, part_of), np.searchsorted(pairs, own), len(pairs))
-
-        parts = _of_contexts(count, number(of_place[place - 2]), number(of_place[place - 1]), len(pairs) + 1)
-        return self.ask(pairs, [p[:-1] for p in parts], part_of)
+        context, ending = of_place[place - 2], of_place[place - 1]
+        own = self.within(context, part_of)
+        ending = np.searchsorted(pairs, np.sort(ending[self.within(ending, part_of)]))
+        return self.ask(pairs, _of_contexts(count[own], np.searchsorted(pairs, context[own]), ending, len(pairs)), part_of)
 
     def ask_words(self, part_of: tuple[int, int]) -> pa.Table:
         sequence, at, text = self.sequence()
-        keys, trusted = self.pair_keys(sequence), at[self.learned()[text] > 0] - 1
+        keys, trusted = self.keys(sequence)[0], at[self.learned()[text] > 0] - 1
         before, place = self.owned(PAIR, keys, keys[trusted], trusted)
         parts = _of_contexts(before, sequence[place], sequence[place + 1], self.kinds)
         return self.ask(self.words[self.by_hash], [p[self.by_hash] for p in parts], part_of)
@@ -259,9 +277,14 @@ class Pack:
 
     def scores(self, tallies: dict[int, list[int]], spelled: Spelling) -> pa.Table:
         """Log probability of each text."""
-        pairs, context, ending, last, keys, which, text = self.trigrams()
-        (count,) = self.answer(TRIGRAM, keys, 1)
-        of_pair, of_word = self.answer(PAIR, pairs[2], 5), self.answer_words()
+        sequence, at, text = self.sequence()
+        pairs, trigrams = self.keys(sequence)
+        keys, _, pair = _distinct(pairs)
+        of_pair, of_word = self.answer(PAIR, keys, 5), self.answer_words()
+        # The answers on trigrams, back from the order of their hashes to their places.
+        keys, order, first = _ordered(trigrams[at - 2])
+        count = np.zeros(len(sequence), np.int64)
+        count[at[order]] = np.repeat(self.answer(TRIGRAM, keys[first], 1)[0], np.diff(first, append=len(at)))
         cuts = {level: discounts(*tallies[level][:4]) for level in (WORD, PAIR, TRIGRAM)}
         one, two, _, _, kinds, total = tallies[WORD]
         everywhere = np.array([total, one, two, kinds - one - two])[:, None]
@@ -270,15 +293,25 @@ class Pack:
         grams, word = _byte_grams(self.spelling, unknown)
         some = np.zeros(1 << 24, bool)
         some[grams] = True
-        distinct = np.flatnonzero(some)
-        below[unknown] = np.bincount(word, spelled(distinct)[np.searchsorted(distinct, grams)], len(unknown))
+        distinct, number = np.flatnonzero(some), np.empty(1 << 24, np.int32)  # only the pages of grams that occur are touched
+        number[distinct] = np.arange(len(distinct), dtype=np.int32)
+        below[unknown] = np.bincount(word, spelled(distinct)[number[grams]], len(unknown))
         below = _interpolated(of_word[4], np.broadcast_to(everywhere, (4, self.kinds)), cuts[WORD], below, mixed=False)
-        below = _after(of_word, pairs[0], of_pair[4], cuts[PAIR], below[pairs[1]])
-        logp = _after(of_pair, context, count, cuts[TRIGRAM], below[ending])
-        sums = np.bincount(text, logp[which], len(self.row["sizes"]))
+        of_word, of_pair, logp = np.ascontiguousarray(of_word[:4].T), np.ascontiguousarray(of_pair.T), np.zeros(len(sequence))
+        for i, j in _blocks(len(trigrams)):  # the trigrams that begin at these places
+            context = of_pair.take(pair[i : j + 1], axis=0).T
+            lower = _interpolated(context[4], of_word.take(sequence[i : j + 1], axis=0).T, cuts[PAIR], below[sequence[i + 1 : j + 2]])
+            logp[i + 2 : j + 2] = _interpolated(count[i + 2 : j + 2], context[:4, :-1], cuts[TRIGRAM], lower[1:])
+        logp = logp[at]
+        sums = np.bincount(text, logp, len(self.row["sizes"]))
         return pa.table({"h": pa.array(self.row["texts"], pa.int64()), "logp": pa.array(sums, pa.float64())})
 
 
+def _blocks(n: int, size: int = 1 << 14):
+    """Where stretches of ``n`` places begin and end whose temporary arrays fit a core's cache."""
+    return ((i, min(n, i + size)) for i in range(0, n, size))
+
+
 def _edges(shards: int) -> np.ndarray:
     """The lowest key of each shard."""
     return np.array([(i << KEY_BITS) // shards for i in range(shards)], U) << U(64 - KEY_BITS)
@@ -319,9 +352,8 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _of_contexts(count: np.ndarray, context: np.ndarray, ending: np.ndarray, n: int) -> list[np.ndarray]:
     """For each shorter n-gram: the sum over what follows it, how many followers have count 1, 2 and more, how many words come before it."""
-    seen = count > 0
     kinds = [np.bincount(context[own], minlength=n) for own in (count == 1, count == 2, count > 2)]
-    return [np.bincount(context, count, n), *kinds, np.bincount(ending[seen], minlength=n)]
+    return [np.bincount(context, count, n), *kinds, np.bincount(ending, minlength=n)]
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
@@ -333,20 +365,16 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
 
 
 def _interpolated(count: np.ndarray, of_context: np.ndarray, cut: list[float], lower: np.ndarray, mixed: bool = True) -> np.ndarray:
-    """Log probabilities from counts, their contexts ``(total, followers of count 1, 2, more)`` and the lower order; ``mixed``: counted ones get of it too."""
+    """Log probabilities from counts, their contexts ``(total, followers of count 1, 2, more)`` and the lower order; ``mixed``: counted ones get of it too.
+
+    After a context that trusted text lacks, the lower order stands.
+    """
     total = np.maximum(of_context[0], 1)
     rest = np.maximum(sum(c * n for c, n in zip(cut, of_context[1:4], strict=True)) / total, 1e-300)
-    kept = np.where(count > 0, count - np.array([0.0, *cut])[np.minimum(count, 3)], 0.0) / total
-    seen = np.log(np.maximum(kept + (rest * np.exp(lower) if mixed else 0.0), 1e-300))
-    return np.where(of_context[0] == 0, lower, np.where(count > 0, seen, np.log(rest) + lower))
-
-
-def _after(table: np.ndarray, context: np.ndarray, count: np.ndarray, cut: list[float], lower: np.ndarray) -> np.ndarray:
-    """:func:`_interpolated` for contexts of a table; after one that trusted text lacks, the lower order stands."""
-    seen = np.flatnonzero((table[0] > 0)[context])
-    out = lower.copy()
-    out[seen] = _interpolated(count[seen], table[:4, context[seen]], cut, lower[seen])
-    return out
+    out, seen = np.log(rest) + lower, np.flatnonzero(count > 0)
+    kept = (count[seen] - np.array([0.0, *cut])[np.minimum(count[seen], 3)]) / total[seen]
+    out[seen] = np.log(np.maximum(kept + (rest[seen] * np.exp(lower[seen]) if mixed else 0.0), 1e-300))
+    return np.where(of_context[0] == 0, lower, out)
 
 
 def _byte_grams(spelling, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -369,13 +397,15 @@ class Spelling:
         self.levels = [(keys[order], n[order])]
         for bits in (16, 8):
             self.levels.insert(0, np.unique(self.levels[0][0] & ((1 << bits) - 1), return_counts=True))
+        self.contexts = []
+        for table, n in self.levels:
+            contexts, of = np.unique(table >> 8, return_inverse=True)
+            sums = np.stack([np.bincount(of, w, len(contexts)) for w in (n, n == 1, n == 2, n > 2)]) if len(n) else np.zeros((4, 0))
+            self.contexts.append((contexts, sums, discounts(*(int((n == k).sum()) for k in (1, 2, 3, 4)))))
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         out = np.full(len(keys), -math.log(256))
-        for i, (table, n) in enumerate(self.levels):
-            cut = discounts(*(int((n == k).sum()) for k in (1, 2, 3, 4)))
-            contexts, of = np.unique(table >> 8, return_inverse=True)
-            sums = np.stack([np.bincount(of, w, len(contexts)) for w in (n, n == 1, n == 2, n > 2)]) if len(n) else np.zeros((4, 0))
+        for i, ((table, n), (contexts, sums, cut)) in enumerate(zip(self.levels, self.contexts, strict=True)):
             own = keys & ((1 << (8 * (i + 1))) - 1)
             out = _interpolated(_looked_up(table, n[None], own)[0].astype(np.int64), _looked_up(contexts, sums, own >> 8), cut, out)
         return out
@@ -406,17 +436,18 @@ def _answers(level: int, parts: int):
         having = np.flatnonzero(own)[::-1]
         owners = np.full(len(first), -1)
         owners[place[having]] = having
-        owner = np.zeros(len(place), np.int64)
-        owner[owners[owners >= 0]] = 1
+        owner = np.zeros(len(place), bool)
+        owner[owners[owners >= 0]] = True
         n = sums[-1].copy()
         if parts > 1:
             sums[0] -= sums[1] + 2 * sums[2]  # what followers of count 3 and more add: mostly nothing
+        sums = sums.astype(np.min_scalar_type(int(sums.max(initial=0))))  # of as few bytes as they need
         tally = [int((n == k).sum()) for k in (1, 2, 3, 4)] + [int((n > 0).sum()), int(n.sum())]
         full = [None] * (len(rows) - 1)
         columns = [
             pa.array([r["pack"] for r in rows], pa.int64()), pa.array([level] * len(rows), pa.int32()), pa.array([r["shard"] for r in rows], pa.int32()),
             pa.array([_packed(sums[:, place[a:b]]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
-            pa.array([_packed(n[place[a:b]] * owner[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            pa.array([_packed(np.where(owner[a:b], n[place[a:b]], 0)) for a, b in zip(cuts, cuts[1:])], pa.binary()),
             pa.array([None, *full], pa.list_(pa.int32())), pa.array([tally, *full], pa.list_(pa.int64())),
         ]
         return pa.table(columns, names=["pack", "level", "shard", "data", "own", "places", "tally"])

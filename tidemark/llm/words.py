@@ -23,6 +23,9 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 _NEAR_POWERS = _powers(_STEP, 1024)
+#: Bytes that are hashed at a time, and the powers and inverse powers for their places.
+_BLOCK = 1 << 15
+_PLACE_POWERS, _PLACE_INVERSE = _powers(_STEP, _BLOCK + 1024), _powers(U(pow(int(_STEP), -1, 2**64)), _BLOCK + 1024)
 #: Byte classes: everything but space and tab to carriage return; lower-case letters, digits and non-ASCII bytes.
 NOT_SPACE = np.array([b != 0x20 and not 9 <= b <= 13 for b in range(256)])
 ALNUM = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)])
@@ -95,19 +98,31 @@ def split_words(column: pa.Array, kind: np.ndarray = NOT_SPACE, lower: bool = Fa
     end = np.flatnonzero(member & ~after) + 1
     row = np.searchsorted(offsets, start, "right") - 1
     first = np.searchsorted(row, np.arange(len(offsets)))
-    return Words(data, start, end, row, first, _hashes(data, member, start, end))
-
-
-def _hashes(data: np.ndarray, member: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    if not len(start):
-        return np.zeros(0, U)
-    length = end - start
-    at = np.cumsum(length) - length
-    place = np.arange(int(length.sum())) - np.repeat(at, length)
-    terms = _BYTE[data[member]] * _NEAR_POWERS[place & 1023]
-    if length.max() > 1024:
-        terms *= _powers(_FAR, int(length.max() >> 10) + 1)[place >> 10]
-    return mix(np.add.reduceat(terms, at) + length.astype(U))
+    return Words(data, start, end, row, first, hashes(data, start, end))
+
+
+def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each word ``data[start:end]``; the words are in the order of their places.
+
+    That is the sum of its bytes' numbers times powers of their places in the word: differences
+    of running sums over a block, brought back to the word's first place.
+    """
+    length, out = end - start, np.empty(len(start), U)
+    cuts = np.searchsorted(start, np.arange(0, len(data) + _BLOCK, _BLOCK)).tolist()
+    for block, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        if a < b:
+            begin = block * _BLOCK
+            terms = _BYTE[data[begin : begin + _BLOCK + 1024]]
+            terms *= _PLACE_POWERS[: len(terms)]
+            sums = np.zeros(len(terms) + 1, U)
+            np.cumsum(terms, out=sums[1:])
+            first = start[a:b] - begin
+            out[a:b] = (sums[np.minimum(end[a:b] - begin, len(terms))] - sums[first]) * _PLACE_INVERSE[first]
+    for i in np.flatnonzero(length > 1024).tolist():
+        place = np.arange(length[i])
+        far = _powers(_FAR, (int(length[i]) >> 10) + 1)
+        out[i] = (_BYTE[data[start[i] : end[i]]] * _NEAR_POWERS[place & 1023] * far[place >> 10]).sum(dtype=U)
+    return mix(out + length.astype(U))
 
 
 def grams(hashes: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
