@@ -481,6 +481,18 @@ def test_packs_store_words_that_come_once_as_one_number():
     assert len(filling.row(0).to_pylist()[0]["tokens"]) < 100  # 12 bits each before
 
 
+def test_packs_count_the_characters_of_words(spark):
+    """The scores bring what the perplexity divides by: characters that are no white space, of one to four bytes each."""
+    texts = ["a b", " \t\n\r\v\f", "é\u3042 \U00010000\u00a0x", "a b", "xyz"]
+    table = spark.createDataFrame([(i, i != 2, i % 3, t) for i, t in enumerate(texts)], "id bigint, learned boolean, h bigint, text string")
+    got = {r["h"]: r["chars"] for r in kneser.log_probabilities(spark, table.where("id < 3")).collect()}
+    assert got == {0: 2, 1: 0, 2: 5}
+    filling = kneser._Filling()
+    for part in ([0, 2], [0, 1, 4]):
+        filling.add(pa.RecordBatch.from_pydict({"id": part, "learned": [True] * len(part), "h": part, "text": [texts[i] for i in part]}))
+    assert filling.row(0).to_pylist()[0]["chars"] == [2, 5, 0, 3]
+
+
 def test_word_hashes_by_running_sums():
     """A word's hash is that of its bytes alone, wherever it lies: across the blocks of the running sums, and longer than their margin."""
     rng = random.Random(4)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.store import discard, staged
-from tidemark.llm.words import U, Words, hashes, mix, slices, split_words
+from tidemark.llm.words import NOT_SPACE, U, Words, hashes, mix, slices, split_words, text_bytes
 from tidemark.session import new_run_dir
 from tidemark.sources import folders
 
@@ -42,12 +42,13 @@ from tidemark.sources import folders
 PACK_WORDS, SHARD_WORDS = 1_500_000, 2_000_000
 KEY_BITS = 56
 _MARKS = np.array([0x5354415254, 0x454E44], U)  # what stands before a text, twice, and after it
+_CHARS = NOT_SPACE & (np.arange(256) & 0xC0 != 0x80)  # bytes that begin a character
 _PAD, _STOP = 0xFF, 0x20  # before and after a spelled word
 TRUSTED, WORD, PAIR, TRIGRAM = 0, 1, 2, 3
 #: In how many parts, one after another, the hash space is worked off, and the packs are scored.
 ROUNDS, SCORE_ROUNDS = {WORD: 1, PAIR: 3, TRIGRAM: 3}, 2
 
-_PACK = "pack bigint, ids array<bigint>, of array<int>, learned array<boolean>, texts array<bigint>, sizes array<int>, tokens binary, words binary"
+_PACK = "pack bigint, ids array<bigint>, of array<int>, learned array<boolean>, texts array<bigint>, sizes array<int>, tokens binary, words binary, chars array<int>"
 _QUESTION = "pack bigint, shard int, keys binary, parts binary"
 _ANSWER = "pack bigint, level int, shard int, data binary, own binary, places array<int>, tally array<bigint>"
 
@@ -86,7 +87,7 @@ class _Filling:
     """A pack that is being filled."""
 
     def __init__(self) -> None:
-        self.size, self.ids, self.of, self.learned, self.sizes = 0, [], [], [], []
+        self.size, self.ids, self.of, self.learned, self.sizes, self.chars = 0, [], [], [], [], []
         self.place: dict[int, int] = {}
         self.seen, self.tokens, self.known, self.spelled = 0, [], [], []
 
@@ -97,7 +98,9 @@ class _Filling:
             self.of.append(self.place.setdefault(h, len(self.place)))
         self.ids += part.column("id").to_pylist()
         self.learned += part.column("learned").to_pylist()
-        words = split_words(part.column("text").filter(pa.array(new, pa.bool_())))
+        texts = part.column("text").filter(pa.array(new, pa.bool_()))
+        words = split_words(texts)
+        self.chars += np.diff(np.append(0, np.cumsum(_CHARS[words.data]))[text_bytes(texts)[1]]).tolist()
         self.sizes += np.diff(words.first).tolist()
         found, at, which = _distinct(words.hash)
         self.tokens.append(which + self.seen)
@@ -118,9 +121,9 @@ class _Filling:
         # So the words that come once are numbered on from the first of them, and all are stored as that one.
         tokens, words = np.minimum(rank[tokens], np.uint32((count > 1).sum())), pa.concat_arrays(self.spelled).take(pa.array(at[order]))
         spelled = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), b"\n")[0].as_py()
-        values = [number, self.ids, self.of, self.learned, list(self.place), self.sizes, _packed(tokens), zstandard.compress(spelled, 3)]
+        values = [number, self.ids, self.of, self.learned, list(self.place), self.sizes, _packed(tokens), zstandard.compress(spelled, 3), self.chars]
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int32()),
-                 pa.binary(), pa.binary()]
+                 pa.binary(), pa.binary(), pa.list_(pa.int32())]
         return pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=[c.split()[0] for c in _PACK.split(", ")])
 
 
@@ -276,7 +279,7 @@ class Pack:
         return pa.table({"key": pa.array(keys, pa.int64()), "n": pa.array(n, pa.int64())})
 
     def scores(self, tallies: dict[int, list[int]], spelled: Spelling) -> pa.Table:
-        """Log probability of each text."""
+        """Log probability of each text, and its characters that are no white space."""
         sequence, at, text = self.sequence()
         pairs, trigrams = self.keys(sequence)
         keys, _, pair = _distinct(pairs)
@@ -304,7 +307,7 @@ class Pack:
             logp[i + 2 : j + 2] = _interpolated(count[i + 2 : j + 2], context[:4, :-1], cuts[TRIGRAM], lower[1:])
         logp = logp[at]
         sums = np.bincount(text, logp, len(self.row["sizes"]))
-        return pa.table({"h": pa.array(self.row["texts"], pa.int64()), "logp": pa.array(sums, pa.float64())})
+        return pa.table({"h": pa.array(self.row["texts"], pa.int64()), "logp": pa.array(sums, pa.float64()), "chars": pa.array(self.row["chars"], pa.int32())})
 
 
 def _blocks(n: int, size: int = 1 << 14):
@@ -457,7 +460,7 @@ def _answers(level: int, parts: int):
 
 def log_probabilities(spark: SparkSession, texts: DataFrame, trusted: DataFrame | None = None, pack_words: int = PACK_WORDS,
                       shard_words: int = SHARD_WORDS) -> DataFrame:
-    """``(h, logp)`` for each distinct text of ``texts (id, learned, h, text)``.
+    """``(h, logp, chars)`` for each distinct text of ``texts (id, learned, h, text)``; ``chars`` counts what is no white space.
 
     The model learns from rows with ``learned`` and from those whose id is in ``trusted (id)``.
     The files of an exchange are removed as soon as its step has ended.
@@ -524,11 +527,11 @@ def _log_probabilities(spark: SparkSession, texts: DataFrame, trusted: DataFrame
     scored = []
     for part in range(SCORE_ROUNDS):  # answers are dealt to the packs of one part at a time, which bounds the disk
         own = F.pmod(F.xxhash64("pack"), F.lit(SCORE_ROUNDS)) == part
-        scored.append(staged(each(lambda pack: pack.scores(tallies, spelled), "h bigint, logp double", WORD, PAIR, TRIGRAM, chosen=own, column="data"), "scored"))
+        scored.append(staged(each(lambda pack: pack.scores(tallies, spelled), "h bigint, logp double, chars int", WORD, PAIR, TRIGRAM, chosen=own, column="data"), "scored"))
     scores = scored[0]
     for more in scored[1:]:
         scores = scores.unionAll(more)
-    scores = staged(scores.groupBy("h").agg(F.min("logp").alias("logp")), "scores")
+    scores = staged(scores.groupBy("h").agg(F.min("logp").alias("logp"), F.min("chars").alias("chars")), "scores")
     for df in [df for level in known.values() for df in level] + scored:
         discard(df)
     spark.sql(f"DROP TABLE {name}")

@@ -41,10 +41,9 @@ def perplexity(spark: SparkSession, docs: DataFrame, trusted: DataFrame, text: s
     else:
         sums = log_probabilities(spark, texts(docs, False).unionAll(texts(trusted, True)))
     names = [c for c in docs.columns if c not in ("perplexity", "n_chars", "_logp", "_h", "_size")]
-    size = F.length(F.translate(body, " \t\n\r\v\f", "")) + 1
-    out = docs.select(*[F.col(f"`{c}`") for c in names], F.length(body).alias("n_chars"), F.xxhash64(body).alias("_own"), size.alias("_size"))
-    out = out.join(sums.toDF("_h", "_logp"), F.col("_own") == F.col("_h"), "left")
-    measured = F.when(F.col("n_chars") > 0, F.exp(-F.col("_logp") / F.col("_size")))
+    out = docs.select(*[F.col(f"`{c}`") for c in names], F.length(body).alias("n_chars"), F.xxhash64(body).alias("_own"))
+    out = out.join(sums.toDF("_h", "_logp", "_size"), F.col("_own") == F.col("_h"), "left")
+    measured = F.when(F.col("n_chars") > 0, F.exp(-F.col("_logp") / (F.col("_size") + 1)))
     return out.select(*[F.col(f"`{c}`") for c in names], "n_chars", measured.alias("perplexity"))
 
 
