@@ -481,6 +481,15 @@ def test_packs_store_words_that_come_once_as_one_number():
     assert len(filling.row(0).to_pylist()[0]["tokens"]) < 100  # 12 bits each before
 
 
+def test_numbers_of_words_are_packed_by_size():
+    """Lowest bytes of small and of large numbers lie apart, and come back to their places."""
+    rng = np.random.RandomState(5)
+    small = np.minimum((rng.pareto(0.4, 100_000) * 4).astype(np.int64), 70_000)
+    for values in (small, small % 5000, small % 200, small[:0], np.array([1 << 20]), np.array([256, 0, 4096, 255])):
+        assert np.array_equal(kneser._unpacked(kneser._packed(values, grouped=True), np.int64), values)
+    assert len(kneser._packed(small, grouped=True)) < len(kneser._packed(small))
+
+
 def test_packs_count_the_characters_of_words(spark):
     """The scores bring what the perplexity divides by: characters that are no white space, of one to four bytes each."""
     texts = ["a b", " \t\n\r\v\f", "é\u3042 \U00010000\u00a0x", "a b", "xyz"]

@@ -53,22 +53,43 @@ _QUESTION = "pack bigint, shard int, keys binary, parts binary"
 _ANSWER = "pack bigint, level int, shard int, data binary, own binary, places array<int>, tally array<bigint>"
 
 
-def _packed(values: np.ndarray) -> bytes:
-    """Numbers from 0 on, byte plane by byte plane, of as many bytes as the largest needs; the first byte says how many."""
+def _packed(values: np.ndarray, grouped: bool = False) -> bytes:
+    """Numbers from 0 on, byte plane by byte plane, of as many bytes as the largest needs; the first byte says how many.
+
+    ``grouped``: in a plane the bytes of small numbers come before those of larger ones, which compresses better where small ones are frequent.
+    """
     values = values.reshape(-1)
     values = values.astype(np.min_scalar_type(int(values.max(initial=0))), copy=False)
     width = values.dtype.itemsize
-    return bytes([width]) + zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, width).T).tobytes(), 1)
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, width).T)
+    if grouped := grouped and width > 1:
+        for i in range(width - 1):
+            planes[i] = planes[i, _by_size(values >> 8 * (i + 1))]
+    return bytes([width | grouped << 7]) + zstandard.compress(planes.tobytes(), 1)
 
 
 def _unpacked(data: bytes, dtype=None) -> np.ndarray:
     """The numbers; without ``dtype``, of the bytes they were packed with."""
-    width = data[0]
+    width = data[0] & 0x7F
     planes = np.frombuffer(zstandard.decompress(memoryview(data)[1:]), np.uint8).reshape(width, -1)
-    out = np.ascontiguousarray(planes.T).view(f"u{width}").ravel()
+    if data[0] >> 7:
+        out = planes[-1].astype(f"u{width}")
+        for plane in planes[-2::-1]:
+            low = np.empty(len(out), np.uint8)
+            low[_by_size(out)] = plane
+            out = out << 8 | low
+    else:
+        out = np.ascontiguousarray(planes.T).view(f"u{width}").ravel()
     return out if dtype is None else out.astype(dtype, copy=False)
 
 
+def _by_size(high: np.ndarray) -> np.ndarray | slice:
+    """Places of small, middle and large numbers, by their higher bytes."""
+    if not high.any():
+        return slice(None)
+    return np.concatenate([np.flatnonzero(own) for own in (high == 0, (high > 0) & (high < 16), high >= 16)])
+
+
 def _packs(batches, limit: int):
     """The texts ``(id, learned, h, text)`` of a task in packs; a pack has a text once."""
     task, number = TaskContext.get().partitionId(), 0
@@ -121,7 +142,7 @@ class _Filling:
         # So the words that come once are numbered on from the first of them, and all are stored as that one.
         tokens, words = np.minimum(rank[tokens], np.uint32((count > 1).sum())), pa.concat_arrays(self.spelled).take(pa.array(at[order]))
         spelled = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), b"\n")[0].as_py()
-        values = [number, self.ids, self.of, self.learned, list(self.place), self.sizes, _packed(tokens), zstandard.compress(spelled, 3), self.chars]
+        values = [number, self.ids, self.of, self.learned, list(self.place), self.sizes, _packed(tokens, grouped=True), zstandard.compress(spelled, 6), self.chars]
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int32()),
                  pa.binary(), pa.binary(), pa.list_(pa.int32())]
         return pa.record_batch([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=[c.split()[0] for c in _PACK.split(", ")])
