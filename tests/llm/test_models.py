@@ -1,5 +1,7 @@
 """Trained operators: edge cases, and results on small made-up corpora."""
 
+import math
+import pickle
 import random
 import time
 from collections import Counter
@@ -403,6 +405,26 @@ def test_language_counts_every_document_and_language(spark):
     assert secrets.learn_language(table.limit(0)).words == frozenset()
 
 
+def test_driver_gets_no_row_for_each_word(spark, monkeypatch):
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choices("abcdefgh", k=rng.randint(1, 9))) for _ in range(20_000)})
+    texts = [" ".join(words[i::7] + words[i::50] * 2) + " Ünï İx" for i in range(7)]
+    table = spark.createDataFrame(rows(*[(i, t, "ab"[i % 2], "s") for i, t in enumerate(texts)]), DOCUMENT)
+    got, collect = [], type(table).collect
+    monkeypatch.setattr(type(table), "collect", lambda self: got.append(collect(self)) or got[-1])
+    language = secrets.learn_language(table)
+    assert got and max(map(len, got)) < 1000 < len(words) / 10
+    sent = pickle.loads(pickle.dumps(language))
+    assert "words" not in vars(language) and not isinstance(sent.listed, frozenset)
+    counted = Counter(w for t in texts for w in secrets._LETTERS.findall(t.lower()) if len(w) > 1)
+    pairs = Counter()
+    for w, n in counted.items():
+        pairs.update({a: b * n for a, b in Counter(map("".join, zip(w, w[1:], strict=False))).items()})
+    total = sum(pairs.values()) + 1
+    assert sent.words == {w for w in counted if len(w) >= 3}
+    assert sent.pairs == {p: math.log(n / total) for p, n in pairs.items()} and sent.floor == math.log(0.5 / total)
+
+
 def test_exceptions_see_every_match(spark):
     lexicon = toxicity.Lexicon({" vexling ": 2.0})
     batch = pa.RecordBatch.from_pylist([{"text": "vexling one " * 60 + "vexling festival", "label": 1}])

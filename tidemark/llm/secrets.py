@@ -21,6 +21,7 @@ import random
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
@@ -57,12 +58,19 @@ _SHAPE = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("rule"
 
 @dataclass
 class Language:
-    """What ordinary text looks like: frequent words, and log probabilities of letter pairs."""
+    """What ordinary text looks like: frequent words, and log probabilities of letter pairs.
 
-    words: frozenset[str]
+    The words are a set, or a text with one in each line; a task makes a set of that, so that the driver holds none.
+    """
+
+    listed: frozenset[str] | str
     pairs: dict[str, float]
     floor: float
 
+    @cached_property
+    def words(self) -> frozenset[str]:
+        return frozenset(self.listed.split("\n")) - {""} if isinstance(self.listed, str) else self.listed
+
 
 def _count_words(batches):
     """Words of a task's texts by language: how often, and in how many texts; the word '' is in each."""
@@ -88,6 +96,22 @@ def _count_words(batches):
     yield send()
 
 
+def _list_words(batches):
+    """Words of three letters or more as texts with one in each line."""
+    for batch in batches:
+        yield pa.record_batch([pa.array(["\n".join(w for w in batch.column("w").to_pylist() if len(w) >= 3)])], names=["lines"])
+
+
+def _count_pairs(batches):
+    """How often a task's words have two letters in a row."""
+    pairs: Counter[str] = Counter()
+    for batch in batches:
+        for w, n in zip(batch.column("w").to_pylist(), batch.column("n").to_pylist(), strict=True):
+            for a, b in zip(w, w[1:], strict=False):
+                pairs[a + b] += n
+    yield pa.record_batch([pa.array(list(pairs), pa.string()), pa.array(list(pairs.values()), pa.int64())], names=["pair", "n"])
+
+
 def learn_language(docs: DataFrame, text: str = "text", share: float = 1 / 5000, lang: str = "lang") -> Language:
     """From all whole documents: the words that at least a ``share`` of a language's documents have.
 
@@ -99,13 +123,12 @@ def learn_language(docs: DataFrame, text: str = "text", share: float = 1 / 5000,
     counted = staged(counted, "words")
     sizes = counted.filter("w = ''").select(F.col("lang").alias("l"), F.col("docs").alias("size"))  # a row for each language
     common = counted.filter("w <> ''").join(F.broadcast(sizes), F.col("lang").eqNullSafe(F.col("l"))).filter(F.col("docs") >= F.col("size") * share)
-    rows = common.groupBy("w").agg(F.sum("n").alias("n")).collect()
-    pairs: Counter[str] = Counter()
-    for row in rows:
-        for pair in zip(row["w"], row["w"][1:], strict=False):
-            pairs["".join(pair)] += row["n"]
+    common = staged(common.groupBy("w").agg(F.sum("n").alias("n")), "common")
+    listed = "\n".join(r["lines"] for r in common.select("w").mapInArrow(_list_words, "lines string").collect())
+    counts = common.mapInArrow(_count_pairs, "pair string, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    pairs = {r["pair"]: r["n"] for r in counts.collect()}
     total = sum(pairs.values()) + 1
-    return Language(frozenset(r["w"] for r in rows if len(r["w"]) >= 3), {p: math.log(n / total) for p, n in pairs.items()}, math.log(0.5 / total))
+    return Language(listed, {p: math.log(n / total) for p, n in pairs.items()}, math.log(0.5 / total))
 
 
 def _united(found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
