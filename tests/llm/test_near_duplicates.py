@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pathlib
 import random
 import re
 
@@ -230,6 +231,62 @@ def test_embedding_links_match_brute_force(spark, monkeypatch):
     assert got[None]["n_links"] == 0 and embeddings.near_duplicates(table.limit(0)).count() == 0
 
 
+def _linked(x, least=0.9):
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    near, label = unit @ unit.T >= least, np.arange(len(x))
+    while True:
+        lower = np.array([label[near[i]].min() for i in range(len(x))])
+        if (lower == label).all():
+            return near.sum(axis=1) - 1, label
+        label = lower
+
+
+def test_embedding_rounds_match_brute_force(spark, monkeypatch):
+    # Twenty intervals in ten rounds, whose links are summed up after each.
+    monkeypatch.setattr(embeddings, "INTERVAL", 20)
+    monkeypatch.setattr(embeddings, "BLOCK", 8)
+    monkeypatch.setattr(embeddings, "ROUND_BYTES", 2 * 20 * 8 * 4)
+    monkeypatch.setattr(embeddings, "KEPT", 0)
+    rng = np.random.RandomState(4)
+    x = (rng.normal(size=(30, 8))[rng.randint(0, 30, 400)] + rng.normal(scale=0.25, size=(400, 8))).astype(np.float32)
+    x[200:320] = x[200] + rng.normal(scale=0.02, size=(120, 8))
+    x[330:350] = x[330]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>")
+    got = {r["vec_id"]: r for r in embeddings.near_duplicates(table).collect()}
+    links, label = _linked(x)
+    assert [got[i]["n_links"] for i in range(400)] == links.tolist()
+    assert [got[i]["component_id"] for i in range(400)] == label.tolist()
+
+
+def test_embedding_disk_does_not_grow_with_pairs_of_intervals(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "INTERVAL", 50)
+    plans, own = [], embeddings.staged
+
+    def written(df, label):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return own(df, label)
+
+    monkeypatch.setattr(embeddings, "staged", written)
+    folder = pathlib.Path(spark.conf.get("spark.checkpoint.dir"), "tidemark")
+    before = set(folder.glob("*"))
+    rng = np.random.RandomState(5)
+    x = rng.normal(size=(600, 64))
+    for i in range(0, 300, 3):  # cosines close to the limit, on both sides of it
+        across = x[i + 1] - x[i] * (x[i + 1] @ x[i]) / (x[i] @ x[i])
+        cosine = 0.9 + rng.choice([-1, 1]) * 10.0 ** -rng.randint(2, 7)
+        x[i + 1] = cosine * x[i] / np.linalg.norm(x[i]) + (1 - cosine**2) ** 0.5 * across / np.linalg.norm(across)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = {r["vec_id"]: r for r in embeddings.near_duplicates(table).collect()}
+    links, label = _linked(x)
+    assert [got[i]["n_links"] for i in range(600)] == links.tolist() and 20 < links.sum() / 2 < 80
+    assert [got[i]["component_id"] for i in range(600)] == label.tolist()
+    # Intervals aren't dealt out by pairs, and no copy of the vectors stays.
+    compared = [plan for label, plan in plans if label == "links"]
+    assert compared and not any("Exchange" in plan for plan in compared)
+    kept = sum(f.stat().st_size for d in set(folder.glob("*")) - before for f in d.rglob("*.parquet"))
+    assert kept < x.nbytes / 4
+
+
 def test_factors_stand_in_their_source(spark):
     rng = random.Random(21)
     lines = [" ".join(f"w{rng.randrange(1000)}" for _ in range(20)) for _ in range(8)]

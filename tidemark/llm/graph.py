@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.store import staged
+from tidemark.llm.store import discard, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -35,6 +35,10 @@ def components(edges: DataFrame) -> DataFrame:
         trees = trees.select(F.col("label").alias("node"), "tree")
         lower = F.least("label", "near", "tree")
         moved = staged(offered.join(trees, "node", "left").select("node", lower.alias("label"), (lower < F.col("label")).alias("moved")), "labels")
-        if not moved.filter("moved").limit(1).count():
+        more = moved.filter("moved").limit(1).count()
+        for df in (known, offered, labels if more else moved):  # of a step only the labels stay
+            discard(df)
+        if not more:
+            discard(both)
             return labels
         labels = moved.select("node", "label")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +25,18 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def exchanges_removed(spark: SparkSession) -> Iterator[None]:
+    """While this is open, the files of an exchange are removed as soon as its query has ended."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def discard(df: DataFrame) -> None:
     """Remove what :func:`staged` wrote, once nothing reads it any more."""
     for folder in {path.rsplit("/", 2)[0] for path in df.inputFiles()}:
